@@ -50,17 +50,14 @@ def dated_sales(
         _summable(fact, amount).alias("_amount"),
         _summable(fact, quantity).alias("_units"),
     )
-    days = dim_tiempo.select("sk_tiempo", *period)
-    keys = [*period, *([key] if key else [])]
+    days = dim_tiempo.select("sk_tiempo", *period).dropna()
     sums = [F.sum("_amount").alias("_amount"), F.count("sk_venta").alias(COUNT)]
     if quantity:
         sums.append(F.sum("_units").alias("_units"))
-    return (
-        sales.join(days, sales.fk_fecha == days.sk_tiempo, "left")
-        .dropna(subset=keys)
-        .groupBy(*keys)
-        .agg(*sums)
-    )
+    if key:
+        sales = sales.where(F.col(key).isNotNull())
+    keys = [*period, *([key] if key else [])]
+    return sales.join(days, sales.fk_fecha == days.sk_tiempo).groupBy(*keys).agg(*sums)
 
 
 def _totals(times: Column) -> list[Column]:
@@ -142,7 +139,8 @@ def dimension_attributes(
     dim: DataFrame, entity: str, prefix: str, taken: Sequence[str]
 ) -> tuple[DataFrame | None, list[str]]:
     """The dimension's key as text, its attributes, and how often each such row
-    occurs; attributes whose name is taken get a prefix."""
+    occurs; attributes whose name is taken get a prefix. Rows with a null belong to
+    no group."""
     key = f"nk_{entity}"
     if key not in dim.columns:
         log.warning("the dimension has no column %s; attributes are left out", key)
@@ -157,7 +155,8 @@ def dimension_attributes(
         *[_column(dim, c).alias(name) for c, name in names.items()],
     )
     attributes = list(names.values())
-    return rows.groupBy("_key", *attributes).agg(F.count(F.lit(1)).alias("_times")), attributes
+    counted = rows.dropna().groupBy("_key", *attributes).agg(F.count(F.lit(1)).alias("_times"))
+    return counted, attributes
 
 
 def entity_sales(
@@ -176,7 +175,9 @@ def entity_sales(
     times = F.lit(1)
     if rows is not None:
         as_key = canonical_key(F.col(key), fact.schema[key].dataType)
-        sums = sums.join(rows, as_key == F.col("_key"), "left").dropna(subset=attributes or [key])
+        # An unmatched sale lacks the attributes, if there are any.
+        how = "inner" if attributes else "left"
+        sums = sums.join(rows, as_key == F.col("_key"), how)
         times = F.coalesce("_times", F.lit(1))
     units = []
     if "_units" in sums.columns:

@@ -47,11 +47,14 @@ def dense_ranks(df: DataFrame, groups: Sequence[str], value: str, name: str) ->
     The value is cut into three digits of 21 bits. A row's rank is its rank among
     values that share the upper two digits, plus the number of values with a larger
     middle digit, plus those with a larger upper digit. So each window sees at most
-    2**21 rows, however large a group is, and a retry gives the same cuts.
+    2**21 rows, however large a group is, and a retry gives the same cuts. The
+    distinct values are written, as all three counts start from them. Rows without
+    a group or value have no rank.
     """
     high = F.shiftright(value, 2 * DIGIT_BITS).alias("_high")
     upper = F.shiftright(value, DIGIT_BITS).alias("_upper")
-    values = df.select(*groups, value).distinct().select("*", high, upper)
+    distinct = df.select(*groups, value).dropna().distinct()
+    values = written(distinct, "values").select("*", high, upper)
 
     by_upper = values.groupBy(*groups, "_high", "_upper").agg(F.count(F.lit(1)).alias("_n"))
     by_high = by_upper.groupBy(*groups, "_high").agg(F.sum("_n").alias("_n"))

@@ -94,7 +94,7 @@ def dim_tiempo(
     loaded_at: dt.datetime | None = None,
 ) -> DataFrame:
     """Calendar from 1 January of ``start_year`` to ``end_date`` (today)."""
-    bounds = spark.range(1).select(
+    bounds = spark.range(0, 1, 1, 1).select(
         F.lit(dt.date(start_year, 1, 1)).alias("first"),
         F.lit(end_date or now_utc().date()).alias("last"),
     )
