@@ -5,7 +5,7 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from strata.fixed_values import BRONZE_TABLES, FIRST_YEAR
+from strata.fixed_values import BRONZE_TABLES, FIRST_YEAR, LOAD_RULES
 from strata.operators.clean import clean
 from strata.operators.star import dim_clientes, dim_productos, dim_tiempo, fact_ventas
 from strata.sources.catalog import ensure_database, read_first, save
@@ -31,7 +31,9 @@ def run_silver(
     }
     summary = {"total": len(builders), "success": 0, "errors": 0}
     ensure_database(spark, database)
-    raw = {k: read_first(spark, bronze, names.get(k, ()), k) for k in BRONZE_TABLES}
+    # Staging tables hold the last load only.
+    staging = [rule[2] for rule in LOAD_RULES]
+    raw = {k: read_first(spark, bronze, names.get(k, ()), k, staging) for k in BRONZE_TABLES}
     if any(df is None for df in raw.values()):
         summary["errors"] = summary["total"]
         return summary

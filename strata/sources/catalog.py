@@ -79,10 +79,14 @@ def read_table(spark: SparkSession, database: str, name: str) -> DataFrame | Non
 
 
 def read_first(
-    spark: SparkSession, database: str, names: Sequence[str], keyword: str
+    spark: SparkSession,
+    database: str,
+    names: Sequence[str],
+    keyword: str,
+    skipped: Sequence[str] = (),
 ) -> DataFrame | None:
     """The first of the names that exists, else the first table in alphabetical
-    order with the keyword in its name."""
+    order with the keyword in its name that is not to be skipped."""
     for name in names:
         if table_exists(spark, database, name):
             return table(spark, database, name)
@@ -90,7 +94,7 @@ def read_first(
         found = sorted(
             t.name
             for t in spark.catalog.listTables(quoted(database))
-            if not t.isTemporary and keyword.lower() in t.name.lower()
+            if not t.isTemporary and keyword.lower() in t.name.lower() and t.name not in skipped
         )
         if found:
             log.info("read %s.%s for %s", database, found[0], keyword)

@@ -212,6 +212,7 @@ def test_read_first(spark, database):
     save(spark.createDataFrame([("a",)], "v string"), database, "a_clientes")
     assert read_first(spark, database, ["x", "b_clientes"], "clientes").first().v == "b"
     assert read_first(spark, database, ["x"], "CLIENTES").first().v == "a"
+    assert read_first(spark, database, ["x"], "clientes", ["a_clientes"]).first().v == "b"
     assert read_first(spark, database, ["x"], "ventas") is None
     assert read_first(spark, "no_such_database", ["x"], "ventas") is None
 
