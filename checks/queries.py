@@ -228,7 +228,7 @@ def json_records(spark, folder):
 
 def workbook_rows(spark, folder):
     sales = orders(spark, folder)
-    files = packed(sales, "Ventas")
+    files = packed(sales.repartition(spark.sparkContext.defaultParallelism), "Ventas")
     return with_columns(sheet_cells(files, "Ventas"), sales.columns)
 
 

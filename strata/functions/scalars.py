@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from strata.fixed_values import BLANKS, NULL_TEXTS
 
-NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+NUMBER = (
+    r"(?U)^[\s\x1c-\x1f]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[\s\x1c-\x1f]*$"
+)
 ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
 COMPACT_DATE = r"^(\d{4})(\d{2})(\d{2})$"
 SLASH_DATE = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})([ T].*)?$"
@@ -37,9 +39,13 @@ def number(value: Column, kind: T.DataType) -> Column:
         return value.cast("double")
     if not isinstance(kind, T.StringType):
         return F.lit(None).cast("double")
-    text = strip(value)
-    parsed = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(F.abs(parsed) < float("inf"), parsed)
+    # Casts trim common blanks by themselves; stripping is left for the rare others.
+    parsed = F.when(
+        value.rlike(NUMBER),
+        F.coalesce(value.try_cast("double"), strip(value).try_cast("double")),
+    )
+    infinite = F.lit(float("inf"))
+    return F.nullif(F.nullif(parsed, infinite), -infinite)
 
 
 def whole(value: Column, kind: T.DataType) -> Column:
@@ -48,14 +54,14 @@ def whole(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.IntegralType):
         return value.cast("bigint")
     if isinstance(kind, T.StringType):
-        return F.coalesce(strip(value).try_cast("bigint"), parsed)
+        exact_digits = F.coalesce(value.try_cast("bigint"), strip(value).try_cast("bigint"))
+        return F.coalesce(exact_digits, parsed)
     return parsed
 
 
 def round2(value: Column) -> Column:
-    """Two decimals, halves of the scaled value to even. Doubles from 1e15 on
-    have no second decimal to round."""
-    return F.when(F.abs(value) < 1e15, F.rint(value * 100) / 100).otherwise(value)
+    """Two decimals, halves of the scaled value to even."""
+    return F.rint(value * 100) / 100
 
 
 def ratio(top: Column, bottom: Column) -> Column:
@@ -103,11 +109,17 @@ def as_text(value: Column, kind: T.DataType) -> Column:
     elif isinstance(kind, T.BooleanType):
         text = F.when(value, "True").when(~value, "False")
     elif isinstance(kind, (T.FloatType, T.DoubleType)):
-        size = F.abs(value)
-        plain = value.try_cast("decimal(38,18)").cast("string")
-        text = F.when(
-            (size >= 1e-4) & (size < 1e16), F.regexp_replace(plain, r"(\.\d+?)0+$", "$1")
-        ).when(F.isnan(value), None).otherwise(value.cast("string"))
+        size, text = F.abs(value), value.cast("string")
+        # Outside this range the cast would show an exponent.
+        in_full = F.regexp_replace(
+            value.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+$", "$1"
+        )
+        text = (
+            F.when((size < 1e7) & (size >= 1e-3), text)
+            .when((size < 1e16) & (size >= 1e-4), in_full)
+            .otherwise(text)
+        )
+        text = F.when(~F.isnan(value), text)
     else:
         text = value.cast("string")
     return F.when(text != "nan", text)
