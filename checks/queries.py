@@ -164,7 +164,7 @@ def bronze_incremental_new(spark, folder):
         "idventa", F.when(F.col("estado") != "P", F.concat(F.lit(" "), F.col("idventa")))
     )
     loaded = read(spark, folder, "lineitem").select(F.col("l_orderkey").alias("idventa"))
-    return new_rows(incoming, loaded, "idventa").drop("fecha")
+    return new_rows(incoming, loaded, "idventa", incoming.count()).drop("fecha")
 
 
 def bronze_replace_staging(spark, folder):

@@ -207,7 +207,7 @@ def kpi_ventas_por_cliente(
     loaded_at: datetime | None = None,
 ) -> DataFrame:
     sales = entity_sales(fact, dim_clientes, dim_tiempo, "cliente", "cli").drop(UNITS)
-    ranked, _ = _ranked(sales, "fk_cliente", "customer-sales")
+    ranked, _ = _ranked(sales, "fk_cliente", "customer_sales")
     columns = [*sales.columns, "ranking_mes", "ranking_global"]
     return _finished(ranked, columns, "fk_cliente", loaded_at)
 
@@ -219,6 +219,6 @@ def kpi_ventas_por_producto(
     loaded_at: datetime | None = None,
 ) -> DataFrame:
     sales = entity_sales(fact, dim_productos, dim_tiempo, "producto", "prod")
-    ranked, _ = _ranked(sales, "fk_producto", "product-sales")
+    ranked, _ = _ranked(sales, "fk_producto", "product_sales")
     columns = [*sales.columns, "ranking_mes", "ranking_global", "participacion_mes_pct"]
     return _finished(month_share(ranked), columns, "fk_producto", loaded_at)

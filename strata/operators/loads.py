@@ -16,7 +16,7 @@ from strata.fixed_values import (
 )
 from strata.functions.scalars import canonical_key, stamp
 from strata.operators.raw import normalize, stringify
-from strata.session import written
+from strata.session import scratch, written
 from strata.sources.catalog import (
     append_rows,
     quoted,
@@ -29,6 +29,9 @@ log = logging.getLogger(__name__)
 
 Rule = tuple[str, str, str, str | None]
 
+# Up to this many incoming rows their id hashes, 8 bytes each, are broadcast.
+THINNING_ROWS = 2_000_000
+
 
 def load_rule(name: Column, rules: Sequence[Rule] = LOAD_RULES) -> Column:
     """Load mode, staging table and id column for a table name; the first rule
@@ -51,18 +54,29 @@ def load_rule(name: Column, rules: Sequence[Rule] = LOAD_RULES) -> Column:
     return otherwise if chosen is None else chosen.otherwise(otherwise)
 
 
-def new_rows(incoming: DataFrame, existing: DataFrame, id_column: str) -> DataFrame:
+def new_rows(
+    incoming: DataFrame, existing: DataFrame, id_column: str, rows: int | None = None
+) -> DataFrame:
     """Incoming rows whose id is not among the existing ones. A missing id equals
-    a missing id. Copies within the incoming rows all stay."""
+    a missing id. Copies within the incoming rows all stay.
+
+    ``rows``, if known, is the number of incoming rows. When they are few, the hashes
+    of their ids first thin out the existing ids where those are scanned, so that a
+    small load does not shuffle a large table."""
 
     def with_key(df: DataFrame) -> tuple[Column, Column]:
         key = canonical_key(F.col(f"`{id_column}`"), df.schema[id_column].dataType)
         return F.coalesce(key, F.lit("")).alias("_id"), key.isNull().alias("_no_id")
 
+    marked = incoming.select("*", *with_key(incoming))
+    known = existing.select(*with_key(existing))
+    if rows is not None and rows <= THINNING_ROWS:
+        digest = F.xxhash64("_id", "_no_id").alias("_hash")
+        near = marked.select(digest).distinct()
+        known = known.withColumn("_hash", digest).join(F.broadcast(near), "_hash", "left_semi")
     # Distinct on the join's own columns, so both share one shuffle, and copies of
     # an id shrink before it.
-    known = existing.select(*with_key(existing)).distinct()
-    marked = incoming.select("*", *with_key(incoming))
+    known = known.select("_id", "_no_id").distinct()
     return marked.join(known, ["_id", "_no_id"], "left_anti").select(
         *[F.col(f"`{c}`") for c in incoming.columns]
     )
@@ -116,19 +130,24 @@ def load_new(
     """Append rows with new ids and stage them. A table without the id column is
     replaced."""
     spark = df.sparkSession
-    exists = table_exists(spark, database, name)
-    if exists:
-        existing = table(spark, database, name)
-        if id_column not in existing.columns:
-            log.warning("table %s has no column %s and is replaced", name, id_column)
-            return save(df, database, name, "replace")
+    if not table_exists(spark, database, name):
+        rows = save(df, database, name)
+        if rows and staging:
+            stage(table(spark, database, name), database, staging, loaded_at)
+        return rows
+    existing = table(spark, database, name)
+    if id_column not in existing.columns:
+        log.warning("table %s has no column %s and is replaced", name, id_column)
+        return save(df, database, name, "replace")
+    with scratch(spark):
+        incoming = written(df, "incoming")
         # Written before the append, after which they would be new no more.
-        df = written(new_rows(df, existing, id_column), "new-rows")
-        if df.isEmpty():
+        fresh = written(new_rows(incoming, existing, id_column, incoming.count()), "new_rows")
+        if fresh.isEmpty():
             return 0
-    rows = save(df, database, name)
-    if rows and staging:
-        stage(df if exists else table(spark, database, name), database, staging, loaded_at)
+        rows = save(fresh, database, name)
+        if staging:
+            stage(fresh, database, staging, loaded_at)
     return rows
 
 

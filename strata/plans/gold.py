@@ -11,6 +11,7 @@ from strata.operators.kpis import (
     kpi_ventas_por_periodo,
     kpi_ventas_por_producto,
 )
+from strata.session import scratch
 from strata.sources.catalog import ensure_database, read_table, save
 
 log = logging.getLogger(__name__)
@@ -46,7 +47,9 @@ def run_gold(
                 log.info("keys of %s: %s", entity, report.asDict())
     for name, build in builders.items():
         try:
-            log.info("%s.%s: %d rows", database, name, save(build(), database, name, "replace"))
+            with scratch(spark):
+                rows = save(build(), database, name, "replace")
+            log.info("%s.%s: %d rows", database, name, rows)
             summary["success"] += 1
         except Exception as error:
             log.error("%s.%s not built: %s", database, name, error)

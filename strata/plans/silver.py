@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from strata.fixed_values import BRONZE_TABLES, FIRST_YEAR, LOAD_RULES
 from strata.operators.clean import clean
 from strata.operators.star import dim_clientes, dim_productos, dim_tiempo, fact_ventas
+from strata.session import scratch
 from strata.sources.catalog import ensure_database, read_first, save
 
 log = logging.getLogger(__name__)
@@ -40,7 +41,9 @@ def run_silver(
     cleaned = {k: clean(df, loaded_at) for k, df in raw.items()}
     for name, build in builders.items():
         try:
-            log.info("%s.%s: %d rows", database, name, save(build(), database, name, "replace"))
+            with scratch(spark):
+                rows = save(build(), database, name, "replace")
+            log.info("%s.%s: %d rows", database, name, rows)
             summary["success"] += 1
         except Exception as error:
             log.error("%s.%s not built: %s", database, name, error)

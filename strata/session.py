@@ -1,11 +1,16 @@
 """Session settings and the shared folder for data written between steps."""
 
+import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+SCRATCH = "strata_scratch"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -43,10 +48,33 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+_to_drop: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("to_drop", default=None)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write the rows once and read them back, so that later steps and retries
-    see the same rows and values without running the plan before them again."""
+    """Write the rows once as a table in the shared folder and read them back, so
+    that later steps and retries see the same rows and values without running the
+    plan before them again."""
     spark = df.sparkSession
-    path = fresh_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sql(
+        f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{shared_folder(spark)}/{SCRATCH}'"
+    )
+    name = f"{SCRATCH}.{label}_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(name)
+    names = _to_drop.get()
+    if names is not None:
+        names.append(name)
+    return spark.table(name)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop the tables that ``written`` leaves inside, when their result is saved."""
+    names: list[str] = []
+    token = _to_drop.set(names)
+    try:
+        yield
+    finally:
+        _to_drop.reset(token)
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

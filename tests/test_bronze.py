@@ -5,10 +5,18 @@ from pyspark.sql import functions as F
 
 from strata.fixed_values import INGESTED_AT, STAGED_AT
 from strata.operators.control import ControlLog, ensure_control_table, mark_pending
-from strata.operators.loads import load_rule, load_unit, new_rows, reset_staging, stage
+from strata.operators.loads import (
+    THINNING_ROWS,
+    load_rule,
+    load_unit,
+    new_rows,
+    reset_staging,
+    stage,
+)
 from strata.operators.raw import normalize, normalize_columns, stringify
 from strata.plans.bronze import run_bronze
 from strata.sources.catalog import ensure_database, read_first, read_table, save, table
+from strata.session import SCRATCH
 from strata.sources.records import SourceRecord
 
 AT = dt.datetime(2024, 5, 1, tzinfo=dt.UTC)
@@ -87,10 +95,21 @@ def test_new_rows(spark):
     assert values(new_rows(incoming, existing, "id"), "v") == [("b",), ("c",), ("d",), ("e",), ("f",)]
 
 
-def test_missing_ids_are_equal(spark):
+@pytest.mark.parametrize("rows", [None, 3, THINNING_ROWS + 1])
+def test_missing_ids_are_equal(spark, rows):
     incoming = spark.createDataFrame([(None, "a"), ("2", "b"), ("", "c")], "id string, v string")
-    existing = spark.createDataFrame([(None,), (None,)], "id string")
-    assert values(new_rows(incoming, existing, "id"), "v") == [("b",), ("c",)]
+    existing = spark.createDataFrame([(None,), (None,), ("7",)], "id string")
+    assert values(new_rows(incoming, existing, "id", rows), "v") == [("b",), ("c",)]
+
+
+def test_new_rows_against_brute_force(spark):
+    ids = [None if i % 11 == 0 else str(i % 700) for i in range(3000)]
+    incoming = spark.createDataFrame([(v, i) for i, v in enumerate(ids)], "id string, n int")
+    known = [str(i) for i in range(0, 900, 3)]
+    existing = spark.createDataFrame([(v,) for v in known * 2], "id string")
+    expected = sorted(i for i, v in enumerate(ids) if v not in set(known))
+    for rows in (None, 3000):
+        assert sorted(r.n for r in new_rows(incoming, existing, "id", rows).collect()) == expected
 
 
 def test_incremental_load(spark, database):
@@ -116,6 +135,20 @@ def test_incremental_load(spark, database):
     assert staged.select("_source_file").distinct().first()[0] == "ventas.xlsx"
 
 
+def test_scratch_tables_are_dropped(spark, database):
+    rows = spark.createDataFrame([("1",), ("2",)], "idventa string")
+    save(rows.limit(1), database, "ventas__a")
+
+    def scratch_tables():
+        if not spark.catalog.databaseExists(SCRATCH):
+            return set()
+        return {t.name for t in spark.catalog.listTables(SCRATCH)}
+
+    before = scratch_tables()
+    assert load_unit(rows, database, "ventas__a", "f", "s", None, "idventa") == 1
+    assert scratch_tables() == before
+
+
 def test_incremental_load_fills_missing_columns_and_refuses_new_ones(spark, database):
     def load(df):
         return load_unit(df, database, "ventas__a", "f", "s", None, "idventa")

@@ -3,9 +3,9 @@ import logging
 
 import pytest
 
-from strata.operators import kpis
 from strata.plans import gold, silver
 from strata.plans.run import failed, run
+from strata.session import SCRATCH
 from strata.sources.catalog import ensure_database, save, table
 from strata.sources.records import SourceRecord
 
@@ -41,6 +41,12 @@ class Sales:
             yield SourceRecord(df, f"{name}.xlsx / Hoja", f"{name}__hoja")
 
 
+def scratch_tables(spark):
+    if not spark.catalog.databaseExists(SCRATCH):
+        return set()
+    return {t.name for t in spark.catalog.listTables(SCRATCH)}
+
+
 def options(names):
     return {
         "bronze": {"database": names["bronze"]},
@@ -55,7 +61,9 @@ def options(names):
 
 def test_all_layers(spark, names, caplog):
     caplog.set_level(logging.INFO)
+    before = scratch_tables(spark)
     summary = run(spark, "all", [Sales(spark)], options=options(names))
+    assert scratch_tables(spark) == before
     assert summary == {
         "bronze": {"total": 3, "success": 3, "skipped": 0, "errors": 0},
         "silver": {"total": 4, "success": 4, "errors": 0},
@@ -122,7 +130,3 @@ def test_failing_tables_do_not_stop_the_others(spark, names, monkeypatch):
 def test_errors_in_one_layer_do_not_stop_the_next(spark, names):
     summary = run(spark, "all", [], options=options(names))
     assert [summary[layer]["errors"] for layer in ("bronze", "silver", "gold")] == [0, 4, 3]
-
-
-def test_log_names(spark):
-    assert kpis.log.name.startswith("strata")

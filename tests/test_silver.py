@@ -207,7 +207,7 @@ def test_row_numbers_spread_copies_of_a_key(spark):
     assert numbered.select(F.count_distinct("n"), F.min("n"), F.max("n")).first()[:] == (40_000, 1, 40_000)
     sizes = [
         r["count"]
-        for r in spark.read.parquet(*numbered.inputFiles())
+        for r in spark.read.parquet(*numbered.inputFiles())  # the written rows
         .where("k = 5000")
         .groupBy(F.shiftrightunsigned("_slot", 33))
         .count()
