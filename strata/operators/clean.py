@@ -1,5 +1,6 @@
 """Type inference and cleaning of bronze rows."""
 
+import logging
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -18,6 +19,8 @@ from strata.functions.scalars import (
     whole,
 )
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class ColumnProfile:
@@ -128,4 +131,7 @@ def clean(df: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
     """Drop empty rows and audit columns, type each column by its content, stamp.
     A table without rows is returned as it is."""
     rows, profiles = profile(df)
+    for p in profiles:
+        if p.lost:
+            log.warning("%s: %d values are no numbers and become null", p.column, p.lost)
     return apply_profile(df, profiles, loaded_at) if rows else df

@@ -23,13 +23,15 @@ def add_row_number(df: DataFrame, name: str, order_by: Sequence[str] = ()) -> Da
 
     Each task numbers its own rows and the result is written once, so a retry
     cannot renumber. One count per task then gives each task its start. Rows are
-    shuffled only for a sort, and the arrival number spreads copies of a key.
+    shuffled only for a sort. It sorts written rows too: their arrival numbers are
+    fixed, and spread copies of a key over tasks.
     """
+    number = F.monotonically_increasing_id()
     rows = df
     if order_by:
-        arrival = F.monotonically_increasing_id()
-        rows = df.withColumn("_arrival", arrival).orderBy(*order_by, "_arrival").drop("_arrival")
-    rows = written(rows.withColumn("_slot", F.monotonically_increasing_id()), "numbered")
+        rows = written(df.withColumn("_arrival", number), "arrived")
+        rows = rows.orderBy(*order_by, "_arrival").drop("_arrival")
+    rows = written(rows.withColumn("_slot", number), "numbered")
     task = F.shiftrightunsigned("_slot", TASK_SHIFT)
     counts = rows.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per task of the written step.

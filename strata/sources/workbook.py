@@ -30,7 +30,7 @@ HEADER_SCHEMA = (
 CELL_SCHEMA = "path string, sheet_name string, row_index bigint, cells array<string>"
 
 # Built-in number formats that show a date or time.
-DATE_FORMATS = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 
 
 # The unpacking travels with the job, so executors need no copy of this package.
@@ -76,8 +76,8 @@ class _Workbook:
         root = self._xml("xl/styles.xml")
         dates = set(DATE_FORMATS)
         for f in _children(root, "numFmt"):
-            code = re.sub(r'"[^"]*"|\[[^\]]*\]|\\.|_.', "", f.get("formatCode", "")).lower()
-            if re.search("[dmyhs]", code):
+            shown = f.get("formatCode", "").split(";")[0]
+            if re.search("[dmyhs]", re.sub(r'"[^"]*"|\[[^\]]*\]|\\.|_.', "", shown).lower()):
                 dates.add(int(f.get("numFmtId")))
         formats = next(_children(root, "cellXfs"), ())
         return {i for i, f in enumerate(formats) if int(f.get("numFmtId", 0)) in dates}
