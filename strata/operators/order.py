@@ -15,7 +15,7 @@ ROW_MASK = (1 << TASK_SHIFT) - 1
 DIGIT_BITS = 21
 
 # Up to this many rows a rank is left to one window per group.
-WINDOW_ROWS = 1_000_000
+WINDOW_ROWS = 4_000_000
 
 
 def add_row_number(df: DataFrame, name: str, order_by: Sequence[str] = ()) -> DataFrame:
