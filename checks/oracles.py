@@ -281,6 +281,14 @@ ORACLES: dict[str, str] = {
         sums=SUMS,
         ranked=ranked("fk_cliente"),
     ),
+    "kpi_repeated_keys": f"""
+        WITH sales AS (
+            SELECT {month_keys("l_shipdate")}, l_linenumber AS fk_cliente,
+                   c_mktsegment AS segmento, {SUMS}
+            FROM (SELECT *, CAST(l_extendedprice AS DECIMAL(18, 2)) AS amount FROM lineitem)
+            JOIN customer ON c_nationkey = l_linenumber
+            GROUP BY ALL)
+        {ranked("fk_cliente")}""",
     "kpi_by_product": f"""
         WITH sales AS (
             SELECT {month_keys("l_shipdate")}, l_partkey AS fk_producto, p_name AS nombre,
@@ -327,6 +335,7 @@ ORACLES: dict[str, str] = {
                count(DISTINCT k) FILTER (NOT known)
         FROM (SELECT o_orderkey AS k,
                      o_orderkey IN (SELECT l_orderkey FROM lineitem) AS known FROM orders)""",
+    "key_sample": "SELECT DISTINCT o_custkey AS key FROM orders ORDER BY key LIMIT 5",
     "medallion_run": CUSTOMER_KPI.format(
         keys=month_keys("o_orderdate"),
         fk="o_custkey",

@@ -14,7 +14,7 @@ from strata.functions.scalars import date_number
 from strata.operators import kpis
 from strata.operators.clean import clean, profile_table
 from strata.operators.control import mark_pending
-from strata.operators.coverage import key_coverage
+from strata.operators.coverage import key_coverage, key_sample
 from strata.operators.loads import load_rule, load_unit, new_rows, reset_staging
 from strata.operators.order import WINDOW_ROWS, dense_ranks
 from strata.operators.raw import normalize, normalize_columns, stringify
@@ -318,6 +318,20 @@ def kpi_by_customer(spark, folder):
     ).drop(GOLD_AT)
 
 
+def kpi_repeated_keys(spark, folder):
+    """A dimension in which a key has many rows and few different attributes."""
+    dim = read(spark, folder, "customer").select(
+        F.col("c_nationkey").cast("double").alias("nk_cliente"), F.col("c_mktsegment").alias("segmento")
+    )
+    lines = read(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("sk_venta"),
+        F.col("l_linenumber").alias("id_cliente"),
+        F.col("l_shipdate").alias("fecha"),
+        F.col("l_extendedprice").alias("total"),
+    )
+    return kpis.kpi_ventas_por_cliente(fact_columns(lines), dim, days(spark)).drop(GOLD_AT)
+
+
 def kpi_by_product(spark, folder):
     dim = products(spark, folder).withColumnRenamed("id_producto", "nk_producto")
     return kpis.kpi_ventas_por_producto(line_fact(spark, folder), dim, days(spark)).drop(GOLD_AT)
@@ -380,6 +394,10 @@ def key_coverage_report(spark, folder):
     )
 
 
+def key_samples(spark, folder):
+    return key_sample(read(spark, folder, "orders"), "o_custkey")
+
+
 @dataclass
 class Tables:
     """The given tables as a source of units."""
@@ -440,6 +458,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_sales": fact_sales,
     "kpi_by_period": kpi_by_period,
     "kpi_by_customer": kpi_by_customer,
+    "kpi_repeated_keys": kpi_repeated_keys,
     "kpi_by_product": kpi_by_product,
     "period_growth": period_growth,
     "period_ytd": period_ytd,
@@ -448,5 +467,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rank_lines": rank_lines,
     "month_share": month_share,
     "key_coverage": key_coverage_report,
+    "key_sample": key_samples,
     "medallion_run": medallion_run,
 }

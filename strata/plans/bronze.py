@@ -106,7 +106,7 @@ def _load(
         return "skipped"
     try:
         rows = load_unit(
-            record.df,
+            record.rows(),
             database,
             record.table_name,
             unit.file_name,

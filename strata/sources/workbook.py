@@ -1,6 +1,7 @@
 """Workbooks of a landed folder, unpacked in parallel over the files."""
 
 import datetime as dt
+import functools
 import io
 import itertools
 import logging
@@ -302,6 +303,12 @@ def _open(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(_literal_path(path))
 
 
+def _sheet(
+    spark: SparkSession, path: str, sheet_name: str, header: Sequence[str | None]
+) -> DataFrame:
+    return with_columns(sheet_cells(_open(spark, path), sheet_name), header)
+
+
 def read_workbook(
     spark: SparkSession,
     path: str,
@@ -357,9 +364,8 @@ class WorkbookFolder:
             if unit.error:
                 log.error("%s skipped: %s", unit.file_name, unit.error)
                 continue
-            rows = sheet_cells(_open(self.spark, unit.path), unit.sheet_name)
             yield SourceRecord(
-                df=with_columns(rows, unit.header),
+                df=functools.partial(_sheet, self.spark, unit.path, unit.sheet_name, unit.header),
                 source_name=f"{unit.file_name}{UNIT_SEPARATOR}{unit.sheet_name}",
                 table_name=unit.table_name,
                 source_id=unit.path,

@@ -130,6 +130,7 @@ def test_folder_of_workbooks(spark, folder, database):
         "Ejercicio Otros.xlsx / ventas",
         "Ejercicio Ventas.xlsx / Ventas 2024",
     ]
+    assert units[1].rows().columns == ["IdVenta", "Total"]
     assert units[1].table_name == "ejercicio_ventas__ventas_2024"
     assert units[1].modified_at == dt.datetime.fromtimestamp(1_000_000)
     summary = run_bronze(spark, [source], database=database)
