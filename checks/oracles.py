@@ -63,12 +63,13 @@ def parsed(column: str) -> str:
 
 def profile(column: str) -> str:
     return f"""
-    SELECT '{column}' AS column_name, count(*) AS row_count, count(n) AS number_count,
+    SELECT '{column}' AS column_name, count(*) AS table_rows, count(*) AS row_count,
+           count({column}) AS value_count, count(n) AS number_count,
            coalesce(bool_or(n % 1 <> 0), false) AS has_decimals,
            CASE WHEN count(n) < 0.5 * count(*) THEN 'text'
                 WHEN coalesce(bool_or(n % 1 <> 0), false) THEN 'decimal'
                 ELSE 'integer' END AS kind
-    FROM (SELECT {parsed(column)} AS n FROM messy)"""
+    FROM (SELECT {column}, {parsed(column)} AS n FROM messy)"""
 
 
 def upper_text(column: str) -> str:

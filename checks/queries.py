@@ -12,7 +12,7 @@ from checks.workbooks import packed
 from strata.fixed_values import GOLD_AT, INGESTED_AT, LOAD_RULES, SILVER_AT, STAGED_AT
 from strata.functions.scalars import date_number
 from strata.operators import kpis
-from strata.operators.clean import clean, profile_table
+from strata.operators.clean import clean, column_profiles
 from strata.operators.control import mark_pending
 from strata.operators.coverage import key_coverage, key_sample
 from strata.operators.loads import load_rule, load_unit, new_rows, reset_staging
@@ -269,7 +269,7 @@ def messy_customers(spark, folder):
 
 
 def silver_infer_types(spark, folder):
-    return profile_table(messy_customers(spark, folder))
+    return column_profiles(messy_customers(spark, folder))
 
 
 def silver_clean_customer(spark, folder):

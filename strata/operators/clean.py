@@ -1,7 +1,6 @@
 """Type inference and cleaning of bronze rows."""
 
 import logging
-from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -22,28 +21,6 @@ from strata.functions.scalars import (
 log = logging.getLogger(__name__)
 
 
-@dataclass(frozen=True)
-class ColumnProfile:
-    column: str
-    rows: int
-    numbers: int
-    values: int
-    fractions: bool
-    huge: bool
-
-    @property
-    def kind(self) -> str:
-        """Numeric if at least half of all rows, missing ones included, are numbers."""
-        if self.numbers < 0.5 * max(self.rows, 1):
-            return "text"
-        return "decimal" if self.fractions or self.huge else "integer"
-
-    @property
-    def lost(self) -> int:
-        """Values that cleaning turns into null because they are no numbers."""
-        return 0 if self.kind == "text" else self.values - self.numbers
-
-
 def _data_fields(df: DataFrame) -> list[T.StructField]:
     return [f for f in df.schema.fields if f.name not in BRONZE_AUDIT]
 
@@ -56,15 +33,17 @@ def _any_value(fields: list[T.StructField]) -> Column:
     return F.coalesce(*[F.when(_field(f).isNotNull(), F.lit(True)) for f in fields], F.lit(False))
 
 
-def profile_rows(df: DataFrame) -> DataFrame:
-    """One row of counts for all data columns, taken in one pass."""
+def column_profiles(df: DataFrame) -> DataFrame:
+    """One row per data column, from one pass: rows of the table, rows with any data,
+    values, numbers among them, and the kind. A column is numeric if at least half of
+    the rows with data, missing values included, are numbers."""
     fields = _data_fields(df)
     parsed = df.select(
         _any_value(fields).alias("_any"),
         *[_field(f).isNotNull().alias(f"v{i}") for i, f in enumerate(fields)],
         *[number(_field(f), f.dataType).alias(f"n{i}") for i, f in enumerate(fields)],
     )
-    counts = [F.count(F.lit(1)).alias("all_rows"), F.count_if("_any").alias("rows")]
+    counts = [F.count(F.lit(1)).alias("table_rows"), F.count_if("_any").alias("row_count")]
     for i in range(len(fields)):
         n = F.col(f"n{i}")
         counts += [
@@ -73,36 +52,23 @@ def profile_rows(df: DataFrame) -> DataFrame:
             F.coalesce(F.bool_or(n % 1 != 0), F.lit(False)).alias(f"f{i}"),
             F.coalesce(F.bool_or(F.abs(n) >= LONG_LIMIT), F.lit(False)).alias(f"h{i}"),
         ]
-    return parsed.agg(*counts)
-
-
-def profile(df: DataFrame) -> tuple[int, list[ColumnProfile]]:
-    """Row count and the profile of each data column; runs one job."""
-    counts = profile_rows(df).first()
-    return counts["all_rows"], [
-        ColumnProfile(
-            f.name, counts["rows"], counts[f"n{i}"], counts[f"v{i}"], counts[f"f{i}"], counts[f"h{i}"]
-        )
-        for i, f in enumerate(_data_fields(df))
-    ]
-
-
-def profile_table(df: DataFrame) -> DataFrame:
-    """The same profile as rows: one per data column."""
     per_column = [
         F.struct(
             F.lit(f.name).alias("column_name"),
-            F.col("rows").alias("row_count"),
+            "table_rows",
+            "row_count",
+            F.col(f"v{i}").alias("value_count"),
             F.col(f"n{i}").alias("number_count"),
             F.col(f"f{i}").alias("has_decimals"),
-            F.when(F.col(f"n{i}") < 0.5 * F.greatest(F.col("rows"), F.lit(1)), "text")
+            F.when(F.col(f"n{i}") < 0.5 * F.greatest("row_count", F.lit(1)), "text")
+            # Whole numbers beyond a bigint stay doubles.
             .when(F.col(f"f{i}") | F.col(f"h{i}"), "decimal")
             .otherwise("integer")
             .alias("kind"),
         )
-        for i, f in enumerate(_data_fields(df))
+        for i, f in enumerate(fields)
     ]
-    return profile_rows(df).select(F.inline(F.array(*per_column)))
+    return parsed.agg(*counts).select(F.inline(F.array(*per_column)))
 
 
 def _cleaned(f: T.StructField, kind: str) -> Column:
@@ -116,22 +82,21 @@ def _cleaned(f: T.StructField, kind: str) -> Column:
     return clean_text(as_text(value, f.dataType))
 
 
-def apply_profile(
-    df: DataFrame, profiles: list[ColumnProfile], loaded_at: datetime | None = None
-) -> DataFrame:
-    kinds = {p.column: p.kind for p in profiles}
+def clean(df: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
+    """Drop empty rows and audit columns, type each column by its content, stamp.
+    A table without rows is returned as it is."""
     fields = _data_fields(df)
+    if not fields:
+        return df
+    # One row per column.
+    profiles = {p.column_name: p for p in column_profiles(df).collect()}
+    if not any(p.table_rows for p in profiles.values()):
+        return df
+    for p in profiles.values():
+        if p.kind != "text" and p.value_count > p.number_count:
+            lost = p.value_count - p.number_count
+            log.warning("%s: %d values are no numbers and become null", p.column_name, lost)
     return df.where(_any_value(fields)).select(
-        *[_cleaned(f, kinds[f.name]).alias(f.name) for f in fields],
+        *[_cleaned(f, profiles[f.name].kind).alias(f.name) for f in fields],
         stamp(loaded_at).alias(SILVER_AT),
     )
-
-
-def clean(df: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
-    """Drop empty rows and audit columns, type each column by its content, stamp.
-    A table without rows is returned as it is."""
-    rows, profiles = profile(df)
-    for p in profiles:
-        if p.lost:
-            log.warning("%s: %d values are no numbers and become null", p.column, p.lost)
-    return apply_profile(df, profiles, loaded_at) if rows else df

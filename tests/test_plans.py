@@ -9,7 +9,7 @@ import pytest
 
 from checks import queries as q
 from strata.operators import kpis, order
-from strata.operators.clean import profile_rows
+from strata.operators.clean import column_profiles
 from strata.operators.loads import THINNING_ROWS, new_rows
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -72,7 +72,7 @@ def test_period_window_comes_after_the_aggregate(spark):
 
 
 def test_a_column_profile_is_one_pass(spark):
-    text = plan(profile_rows(q.messy_customers(spark, FOLDER)))
+    text = plan(column_profiles(q.messy_customers(spark, FOLDER)))
     assert text.count("Scan parquet") == 2  # in the tree and in the details
 
 

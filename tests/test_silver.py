@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.operators import order
-from strata.operators.clean import clean, profile, profile_table
+from strata.operators.clean import clean, column_profiles
 from strata.operators.star import (
     calendar,
     dim_clientes,
@@ -77,13 +77,24 @@ def test_half_of_all_rows_makes_a_number(spark):
     assert column(clean(less)) == ["1", "2", "X", None, None]
 
 
-def test_profile(spark):
-    df = spark.createDataFrame([("1.5", "a"), ("2", "b"), ("x", None)], "n string, t string")
-    rows, (n, t) = profile(df)
-    assert rows == 3
-    assert (n.kind, n.numbers, n.lost, t.kind, t.lost) == ("decimal", 2, 1, "text", 0)
-    table = {r.column_name: r.kind for r in profile_table(df).collect()}
-    assert table == {"n": "decimal", "t": "text"}
+def test_profiles(spark, caplog):
+    df = spark.createDataFrame(
+        [("1.5", "a", None), ("2", "b", None), ("x", None, None), (None, None, None)],
+        "n string, t string, z string",
+    )
+    found = {r.column_name: r[1:] for r in column_profiles(df).collect()}
+    assert found == {
+        "n": (4, 3, 3, 2, True, "decimal"),
+        "t": (4, 3, 2, 0, False, "text"),
+        "z": (4, 3, 0, 0, False, "text"),
+    }
+    clean(df)
+    assert "n: 1 values" in caplog.text
+
+
+def test_only_audit_columns(spark):
+    df = spark.createDataFrame([("f",)], "_source_file string")
+    assert clean(df).columns == ["_source_file"]
 
 
 def test_other_types(spark):
