@@ -137,7 +137,7 @@ def test_incremental_load(spark, database):
 
 def test_scratch_tables_are_dropped(spark, database):
     rows = spark.createDataFrame([("1",), ("2",)], "idventa string")
-    save(rows.limit(1), database, "ventas__a")
+    load_unit(rows.where("idventa = 1"), database, "ventas__a", "f", "s", None, "idventa")
 
     def scratch_tables():
         if not spark.catalog.databaseExists(SCRATCH):
