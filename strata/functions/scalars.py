@@ -8,12 +8,11 @@ from pyspark.sql import types as T
 
 from strata.fixed_values import BLANKS, NULL_TEXTS
 
-NUMBER = (
-    r"(?U)^[\s\x1c-\x1f]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?[\s\x1c-\x1f]*$"
-)
-ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}([ T]|$)"
-COMPACT_DATE = r"^(\d{4})(\d{2})(\d{2})$"
-SLASH_DATE = r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})([ T].*)?$"
+NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+TIME = r"([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?( ?(Z|[+-]\d{2}:?\d{2}))?)?$"
+YEAR_FIRST = r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}" + TIME
+DIGITS_ONLY = r"^(\d{4})(\d{2})(\d{2})" + TIME
+YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})" + TIME
 LONG_LIMIT = 9.2e18
 
 
@@ -39,11 +38,7 @@ def number(value: Column, kind: T.DataType) -> Column:
         return value.cast("double")
     if not isinstance(kind, T.StringType):
         return F.lit(None).cast("double")
-    # Casts trim common blanks by themselves; stripping is left for the rare others.
-    parsed = F.when(
-        value.rlike(NUMBER),
-        F.coalesce(value.try_cast("double"), strip(value).try_cast("double")),
-    )
+    parsed = F.when(value.rlike(NUMBER), value.try_cast("double"))
     infinite = F.lit(float("inf"))
     return F.nullif(F.nullif(parsed, infinite), -infinite)
 
@@ -54,8 +49,8 @@ def whole(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.IntegralType):
         return value.cast("bigint")
     if isinstance(kind, T.StringType):
-        exact_digits = F.coalesce(value.try_cast("bigint"), strip(value).try_cast("bigint"))
-        return F.coalesce(exact_digits, parsed)
+        digits = F.when(value.rlike(NUMBER), value.try_cast("bigint"))
+        return F.coalesce(digits, parsed)
     return parsed
 
 
@@ -126,23 +121,38 @@ def as_text(value: Column, kind: T.DataType) -> Column:
 
 
 def parse_date(value: Column, kind: T.DataType, day_first: bool = False) -> Column:
-    """Date of a timestamp, an ISO text, yyyymmdd, or a text with / or - between
-    the parts; what is none of these becomes null. Shapes are told apart by
+    """Date of a timestamp, or of a text: year first, yyyymmdd, or year last, then
+    month first unless ``day_first`` is set or the parts fit only the other way. A
+    zone is not applied. What is no date becomes null. Shapes are told apart by
     pattern, so that no row pays for failed parses."""
     if isinstance(kind, T.DateType):
         return value
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.to_date(value)
     text = canonical_key(value, kind)
-    day, month = (1, 2) if day_first else (2, 1)
 
-    def joined(pattern: str, *groups: int) -> Column:
-        return F.concat_ws("-", *[F.regexp_extract(text, pattern, g) for g in groups])
+    def part(pattern: str, group: int) -> Column:
+        return F.regexp_extract(text, pattern, group)
+
+    def joined(*parts: Column) -> Column:
+        return F.concat_ws("-", *parts).try_cast("date")
 
-    return F.to_date(
-        F.when(text.rlike(ISO_DATE), text.try_cast("timestamp"))
-        .when(text.rlike(COMPACT_DATE), joined(COMPACT_DATE, 1, 2, 3).try_cast("timestamp"))
-        .when(text.rlike(SLASH_DATE), joined(SLASH_DATE, 3, month, day).try_cast("timestamp"))
+    short_year = part(YEAR_LAST, 3)
+    year = (
+        F.when(F.length(short_year) == 4, short_year)
+        .when(short_year >= "69", F.concat(F.lit("19"), short_year))
+        .otherwise(F.concat(F.lit("20"), short_year))
+    )
+    first, second = part(YEAR_LAST, 1), part(YEAR_LAST, 2)
+    month_first, day_leads = joined(year, first, second), joined(year, second, first)
+    year_last = (day_leads, month_first) if day_first else (month_first, day_leads)
+    return (
+        F.when(text.rlike(YEAR_FIRST), F.translate(text, "/", "-").try_cast("date"))
+        .when(
+            text.rlike(DIGITS_ONLY),
+            joined(part(DIGITS_ONLY, 1), part(DIGITS_ONLY, 2), part(DIGITS_ONLY, 3)),
+        )
+        .when(text.rlike(YEAR_LAST), F.coalesce(*year_last))
     )
 
 
