@@ -65,6 +65,8 @@ def save(df: DataFrame, database: str, name: str, if_exists: str = "append") ->
     ensure_database(spark, database)
     exists = table_exists(spark, database, name)
     if exists and if_exists == "fail":
+        if df.isEmpty():
+            return 0
         raise ValueError(f"table {database}.{name} exists")
     if exists and if_exists == "append":
         return append_rows(df, database, name)

@@ -211,6 +211,7 @@ def test_save_modes(spark, database):
     assert save(rows, database, "t", "fail") == 2
     with pytest.raises(ValueError):
         save(rows, database, "t", "fail")
+    assert save(rows.where("false"), database, "t", "fail") == 0
     with pytest.raises(ValueError):
         save(rows, database, "t", "upsert")
     assert save(rows, database, "t") == 2

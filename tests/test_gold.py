@@ -1,6 +1,9 @@
 import datetime as dt
 import math
+import random
+from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,6 +190,67 @@ def test_text_keys(spark, fact, customers, days):
     assert kpis.kpi_ventas_por_cliente(as_double, padded, days).count() == 5
 
 
+def brute_force(sales, dim, days):
+    """Join row by row, then group, rank and share as the definitions say."""
+    groups = {}
+    for sale in sales:
+        month = days.get(sale["fk_fecha"])
+        for row in dim:
+            group = (month, sale["fk_producto"], row["nombre"], row["zona"])
+            if row["nk_producto"] is None or str(row["nk_producto"]) != str(sale["fk_producto"]):
+                continue
+            if None not in group:
+                groups.setdefault(group, []).append((sale["total"] or Decimal(0), sale["cantidad"] or 0))
+    kpi = {g: float(sum(t for t, _ in rows)) for g, rows in groups.items()}
+    months, keys = {}, {}
+    for (month, key, *_), total in kpi.items():
+        months.setdefault(month, []).append(total)
+        keys[key] = keys.get(key, Decimal(0)) + Decimal(str(total))
+    places = sorted(set(keys.values()), reverse=True)
+    found = []
+    for (month, key, *names), total in kpi.items():
+        rows = groups[month, key, *names]
+        found.append(
+            (
+                month, key, *names, total, len(rows), float(np.round(total / len(rows), 2)), sum(u for _, u in rows),
+                sorted(set(months[month]), reverse=True).index(total) + 1, places.index(keys[key]) + 1,
+            )
+        )
+    return sorted(found)
+
+
+@pytest.mark.parametrize("window_rows", [order.WINDOW_ROWS, 0])
+def test_random_sales_against_brute_force(spark, days, monkeypatch, window_rows):
+    monkeypatch.setattr(order, "WINDOW_ROWS", window_rows)
+    rng = random.Random(11)
+    data = []
+    for n in range(400):
+        key = 1 if rng.random() < 0.4 else rng.choice([2, 3, 4, 5, 6, None])
+        day = rng.choice([20240110, 20240111, 20240205, 20250301, 19990101, None])
+        total = rng.choice([None, Decimal(rng.randrange(-500, 5000)) / 4])
+        data.append((n, 1, key, day, total, rng.choice([None, 1, 2])))
+    schema = FACT.replace("total double", "total decimal(12,2)")
+    dim = [
+        (key, name, zone)
+        for key in (1, 2, 3, 4, 5, None)
+        for name in rng.sample(["A", "B", "B", None], 2)
+        for zone in (["N", "N"] if key == 3 else ["S"])
+    ]
+    products = spark.createDataFrame(dim, "nk_producto int, nombre string, zona string")
+    kpi = kpis.kpi_ventas_por_producto(sales(spark, data, schema), products, days)
+    found = rows(
+        kpi, "periodo_yyyymm", "fk_producto", "nombre", "zona", "total_ventas", "cantidad_transacciones",
+        "ticket_promedio", "cantidad_unidades", "ranking_mes", "ranking_global",
+    )
+    names = ["sk_venta", "fk_cliente", "fk_producto", "fk_fecha", "total", "cantidad"]
+    expected = brute_force(
+        [dict(zip(names, row, strict=True)) for row in data],
+        [dict(zip(["nk_producto", "nombre", "zona"], row, strict=True)) for row in dim],
+        {20240110: 202401, 20240111: 202401, 20240205: 202402, 20250301: 202503},
+    )
+    assert sorted(found) == expected
+
+
 # By product.
 
 

@@ -1,6 +1,9 @@
 import datetime as dt
 import math
+import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +36,29 @@ def test_number_grammar(spark):
     assert found == list(cases.values())
 
 
+def test_numbers_as_pandas_reads_them(spark):
+    rng = random.Random(5)
+    texts = sorted(
+        {"".join(rng.choice("0123456789+-.e _,dfx\t\xa0") for _ in range(rng.randint(1, 5))) for _ in range(4000)}
+    )
+    found = results(spark, texts, T.StringType(), lambda c: s.number(c, T.StringType()))
+    for text, number in zip(texts, found, strict=True):
+        expected = pd.to_numeric(pd.Series([text], dtype=object), errors="coerce").iloc[0]
+        if number is None:
+            assert math.isnan(expected), text
+        else:
+            assert math.isclose(number, expected, rel_tol=1e-15), text
+
+
+def test_rounding_and_text_of_doubles(spark):
+    rng = np.random.default_rng(5)
+    doubles = [*rng.uniform(-1e6, 1e6, 2000), *(np.arange(-400, 400) / 8), *(np.arange(0, 2, 0.005))]
+    doubles = [float(d) for d in doubles]
+    assert results(spark, doubles, T.DoubleType(), s.round2) == list(np.round(doubles, 2))
+    texts = results(spark, doubles, T.DoubleType(), lambda c: s.as_text(c, T.DoubleType()))
+    assert texts == [repr(d) for d in doubles]
+
+
 def test_number_of_nan_is_null(spark):
     values = [1.5, float("nan"), None]
     found = results(spark, values, T.DoubleType(), lambda c: s.number(c, T.DoubleType()))
