@@ -34,41 +34,41 @@ def _any_value(fields: list[T.StructField]) -> Column:
 
 
 def column_profiles(df: DataFrame) -> DataFrame:
-    """One row per data column, from one pass: rows of the table, rows with any data,
-    values, numbers among them, and the kind. A column is numeric if at least half of
-    the rows with data, missing values included, are numbers."""
+    """One row per data column of a table with rows: rows of the table, rows with any
+    data, values, numbers among them, and the kind. A column is numeric if at least
+    half of the rows with data, missing values included, are numbers.
+
+    One pass: each row becomes a row per column, which the map side sums up, so a
+    wide table needs no wider code than a narrow one."""
     fields = _data_fields(df)
-    parsed = df.select(
-        _any_value(fields).alias("_any"),
-        *[_field(f).isNotNull().alias(f"v{i}") for i, f in enumerate(fields)],
-        *[number(_field(f), f.dataType).alias(f"n{i}") for i, f in enumerate(fields)],
+    cells = df.select(F.array(*[_field(f).cast("string") for f in fields]).alias("_cells"))
+    values = cells.select(
+        F.exists("_cells", lambda v: v.isNotNull()).alias("_any"),
+        F.posexplode("_cells").alias("_place", "_text"),
+    ).select("_any", "_place", "_text", number(F.col("_text"), T.StringType()).alias("_n"))
+    n = F.col("_n")
+    names = F.array(*[F.lit(f.name) for f in fields])
+    counts = values.groupBy("_place").agg(
+        F.count(F.lit(1)).alias("table_rows"),
+        F.count_if("_any").alias("row_count"),
+        F.count("_text").alias("value_count"),
+        F.count(n).alias("number_count"),
+        F.coalesce(F.bool_or(n % 1 != 0), F.lit(False)).alias("has_decimals"),
+        F.coalesce(F.bool_or(F.abs(n) >= LONG_LIMIT), F.lit(False)).alias("_huge"),
+    )
+    return counts.select(
+        F.element_at(names, F.col("_place") + 1).alias("column_name"),
+        "table_rows",
+        "row_count",
+        "value_count",
+        "number_count",
+        "has_decimals",
+        F.when(F.col("number_count") < 0.5 * F.greatest("row_count", F.lit(1)), "text")
+        # Whole numbers beyond a bigint stay doubles.
+        .when(F.col("has_decimals") | F.col("_huge"), "decimal")
+        .otherwise("integer")
+        .alias("kind"),
     )
-    counts = [F.count(F.lit(1)).alias("table_rows"), F.count_if("_any").alias("row_count")]
-    for i in range(len(fields)):
-        n = F.col(f"n{i}")
-        counts += [
-            F.count_if(f"v{i}").alias(f"v{i}"),
-            F.count(n).alias(f"n{i}"),
-            F.coalesce(F.bool_or(n % 1 != 0), F.lit(False)).alias(f"f{i}"),
-            F.coalesce(F.bool_or(F.abs(n) >= LONG_LIMIT), F.lit(False)).alias(f"h{i}"),
-        ]
-    per_column = [
-        F.struct(
-            F.lit(f.name).alias("column_name"),
-            "table_rows",
-            "row_count",
-            F.col(f"v{i}").alias("value_count"),
-            F.col(f"n{i}").alias("number_count"),
-            F.col(f"f{i}").alias("has_decimals"),
-            F.when(F.col(f"n{i}") < 0.5 * F.greatest("row_count", F.lit(1)), "text")
-            # Whole numbers beyond a bigint stay doubles.
-            .when(F.col(f"f{i}") | F.col(f"h{i}"), "decimal")
-            .otherwise("integer")
-            .alias("kind"),
-        )
-        for i, f in enumerate(fields)
-    ]
-    return parsed.agg(*counts).select(F.inline(F.array(*per_column)))
 
 
 def _cleaned(f: T.StructField, kind: str) -> Column:
@@ -90,7 +90,7 @@ def clean(df: DataFrame, loaded_at: datetime | None = None) -> DataFrame:
         return df
     # One row per column.
     profiles = {p.column_name: p for p in column_profiles(df).collect()}
-    if not any(p.table_rows for p in profiles.values()):
+    if not profiles:
         return df
     for p in profiles.values():
         if p.kind != "text" and p.value_count > p.number_count:
