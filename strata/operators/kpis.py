@@ -185,11 +185,11 @@ def entity_sales(
     return sums.select(*MONTH, key, *attributes, *_totals(times), *units)
 
 
-def _ranked(sales: DataFrame, key: str, label: str) -> tuple[DataFrame, int]:
+def _ranked(sales: DataFrame, key: str, label: str) -> DataFrame:
     # The totals feed several groupings; written, the fact is read once.
     sales = written(sales, label)
     rows = sales.count()
-    return global_rank(month_rank(sales, rows), key, rows), rows
+    return global_rank(month_rank(sales, rows), key, rows)
 
 
 def _finished(df: DataFrame, columns: Sequence[str], key: str, loaded_at: datetime | None):
@@ -207,7 +207,7 @@ def kpi_ventas_por_cliente(
     loaded_at: datetime | None = None,
 ) -> DataFrame:
     sales = entity_sales(fact, dim_clientes, dim_tiempo, "cliente", "cli").drop(UNITS)
-    ranked, _ = _ranked(sales, "fk_cliente", "customer_sales")
+    ranked = _ranked(sales, "fk_cliente", "customer_sales")
     columns = [*sales.columns, "ranking_mes", "ranking_global"]
     return _finished(ranked, columns, "fk_cliente", loaded_at)
 
@@ -219,6 +219,6 @@ def kpi_ventas_por_producto(
     loaded_at: datetime | None = None,
 ) -> DataFrame:
     sales = entity_sales(fact, dim_productos, dim_tiempo, "producto", "prod")
-    ranked, _ = _ranked(sales, "fk_producto", "product_sales")
+    ranked = _ranked(sales, "fk_producto", "product_sales")
     columns = [*sales.columns, "ranking_mes", "ranking_global", "participacion_mes_pct"]
     return _finished(month_share(ranked), columns, "fk_producto", loaded_at)
