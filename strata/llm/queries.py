@@ -1,7 +1,9 @@
 """The registered queries of this subpackage, over whole tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strata.llm.decontaminate import decontaminate
 from strata.llm.shingle_join import shingle_join
 
 
@@ -9,6 +11,19 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words and items of the benchmark found in every document."""
+    found = decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        F.col("n_words").cast("bigint").alias("n_words"),
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near copies: class and number of links of every document."""
     return shingle_join(_table(spark, folder, "documents")).select(
@@ -17,7 +32,44 @@ def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op9_shingle_join": op9_shingle_join,
 }
 
-ORACLES: dict[str, str] = {}
+# Fixed: words as the contract of the first query has them.
+DECONTAMINATION_SQL = r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[0-9a-z\x{80}-\x{10FFFF}]+'), []) AS w
+  FROM documents
+), i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark
+), iw AS (
+  SELECT DISTINCT item, size, array_to_string(w[s:s + size - 1], ' ') AS span
+  FROM (SELECT item, w, least(10, len(w)) AS size FROM i WHERE len(w) > 0) x,
+       unnest(range(1, len(w) - size + 2)) AS t(s)
+), hit AS (
+  SELECT r, s, z.size, item
+  FROM (SELECT r, s, size, array_to_string(w[s:s + size - 1], ' ') AS span
+        FROM d, (SELECT DISTINCT size FROM iw) y, unnest(range(1, len(w) - size + 2)) AS t(s)) z
+  JOIN iw ON iw.size = z.size AND iw.span = z.span
+), n AS (
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT r, s, size FROM hit) h, unnest(range(s, s + size)) AS t(p) GROUP BY r
+), l AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+  FROM hit GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN l USING (r)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_decontamination": DECONTAMINATION_SQL,
+}
