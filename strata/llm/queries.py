@@ -1,9 +1,10 @@
 """The registered queries of this subpackage, over whole tables."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import decontaminate
+from strata.llm.quality import fit_quality, score_quality
 from strata.llm.shingle_join import shingle_join
 
 
@@ -24,6 +25,23 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def remainder(name: str, of: int) -> Column:
+    """The fold of an id: crc32 of its text; none for a missing id."""
+    return F.crc32(F.col(name).cast("string")) % of
+
+
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learnt from two folds of three."""
+    docs = _table(spark, folder, "documents")
+    model = fit_quality(docs, _table(spark, folder, "labels"), remainder("_id", 3) != 1)
+    return score_quality(docs, model).select(
+        F.col("_id").alias("doc_id"),
+        F.coalesce(remainder("_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near copies: class and number of links of every document."""
     return shingle_join(_table(spark, folder, "documents")).select(
@@ -33,6 +51,7 @@ def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op3_quality": op3_quality,
     "op9_shingle_join": op9_shingle_join,
 }
 
