@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from strata.llm.decontaminate import decontaminate
 from strata.llm.quality import fit_quality, score_quality
 from strata.llm.shingle_join import shingle_join
+from strata.llm.substring_dedup import remove_passages
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +43,17 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the passages that repeat earlier ones."""
+    return remove_passages(_table(spark, folder, "documents")).select(
+        "doc_id",
+        "text",
+        F.col("_spans").alias("n_passages"),
+        F.col("_removed").alias("n_words_removed"),
+        (F.col("_removed") > 0).alias("repeats"),
+    )
+
+
 def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near copies: class and number of links of every document."""
     return shingle_join(_table(spark, folder, "documents")).select(
@@ -52,6 +64,7 @@ def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_quality": op3_quality,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_shingle_join": op9_shingle_join,
 }
 
