@@ -4,9 +4,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import decontaminate
+from strata.llm.pieces import decode, encode
 from strata.llm.quality import fit_quality, score_quality
 from strata.llm.shingle_join import shingle_join
 from strata.llm.substring_dedup import remove_passages
+from strata.llm.token_counts import count_tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -43,6 +45,17 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every document, and whether decoding gives its text back."""
+    texts = _table(spark, folder, "documents").select("doc_id", "text")
+    return decode(encode(texts)).select(
+        "doc_id",
+        F.col("_ids").alias("ids"),
+        F.size("_ids").cast("bigint").alias("n_tokens"),
+        F.col("_decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the passages that repeat earlier ones."""
     return remove_passages(_table(spark, folder, "documents")).select(
@@ -61,11 +74,18 @@ def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumnRenamed("_id", "doc_id")
 
 
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens and pre-tokens of every document."""
+    return count_tokens(_table(spark, folder, "documents")).withColumnRenamed("_id", "doc_id")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_quality": op3_quality,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_shingle_join": op9_shingle_join,
+    "op10_token_counts": op10_token_counts,
 }
 
 # Fixed: words as the contract of the first query has them.
