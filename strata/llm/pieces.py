@@ -37,6 +37,7 @@ class Pieces:
     unknown: float
     first_byte: int
     spelled: list[bytes]
+    merges: bool
 
     @property
     def pairs(self) -> frozenset[str]:
@@ -44,11 +45,13 @@ class Pieces:
 
 
 def load_pieces(path: str = MODEL) -> Pieces:
-    """Read a SentencePiece model on the driver. Pieces must not reach over a space or a
+    """Read a SentencePiece model on the driver, of unigram or BPE type. Pieces must not reach over a space or a
     line end, and a byte must have a piece, as is usual; others raise ValueError."""
     import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
+    kind = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto()).trainer_spec
     texts, ids, scores, spelled, first_byte = [], [], [], [], None
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i)
@@ -72,7 +75,14 @@ def load_pieces(path: str = MODEL) -> Pieces:
     if first_byte is None:
         raise ValueError("bytes have no pieces")
     return Pieces(
-        texts, ids, scores, max(map(len, texts)), min(scores) - UNKNOWN_PENALTY, first_byte, spelled
+        texts,
+        ids,
+        scores,
+        max(map(len, texts)),
+        min(scores) - UNKNOWN_PENALTY,
+        first_byte,
+        spelled,
+        kind.model_type == kind.BPE,
     )
 
 
@@ -174,8 +184,32 @@ aggregate(sequence(size(best.back) - 1, 1, -1),
 """
 
 
+# The same edges as merges, the best score first and from the left: an edge over just two
+# of the parts that stand makes them one. A merge never scores above the pieces it is made
+# of, so the order of edges is the order of merges. The last of ``at`` is the word's end.
+MERGE = """
+aggregate(array_sort(filter(edges, e -> e.end > e.start + 1),
+    (x, y) -> CASE WHEN x.score > y.score THEN -1 WHEN x.score < y.score THEN 1
+                   WHEN x.start <> y.start THEN x.start - y.start ELSE x.end - y.end END),
+  named_struct(
+    'at', sequence(0, last),
+    'id', transform(filter(edges, e -> e.end = e.start + 1), e -> e.code & 4294967295L)),
+  (s, e) -> if(array_position(s.at, e.start) > 0
+               AND get(s.at, cast(array_position(s.at, e.start) + 1 AS int)) = e.end,
+    named_struct(
+      'at', concat(slice(s.at, 1, cast(array_position(s.at, e.start) AS int)),
+                   slice(s.at, cast(array_position(s.at, e.start) + 2 AS int), last + 1)),
+      'id', concat(slice(s.id, 1, cast(array_position(s.at, e.start) - 1 AS int)),
+                   array(e.code & 4294967295L),
+                   slice(s.id, cast(array_position(s.at, e.start) + 2 AS int), last + 1))),
+    s),
+  s -> transform(s.id, (x, i) -> shiftleft(cast(s.at[i] AS bigint), 32) | x))
+"""
+
+
 def segment(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word`` and ``ids`` of the segmentation with the best sum of scores.
+    """``word`` and ``ids`` of its segmentation: the one with the best sum of scores for a
+    unigram model; that of the merges for a BPE model, whose scores are ranks.
 
     Substrings up to the longest piece meet the piece table, which is broadcast as a
     vocabulary is bounded; the edges of a word come together where the word is, without
@@ -219,7 +253,12 @@ def segment(words: DataFrame, pieces: Pieces) -> DataFrame:
         .alias("code"),
     )
     best = edges.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    best = best.select("word", F.expr(FOLD).alias("best")).select("word", F.expr(WALK).alias("path"))
+    if pieces.merges:
+        best = best.withColumn("last", F.element_at("edges", -1)["end"])
+        best = best.select("word", F.expr(MERGE).alias("path"))
+    else:
+        best = best.select("word", F.expr(FOLD).alias("best"))
+        best = best.select("word", F.expr(WALK).alias("path"))
     piece = lambda p: p.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
     def spelled(p):
