@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import language_model
 from strata.llm.decontaminate import decontaminate
 from strata.llm.pieces import decode, encode
 from strata.llm.quality import fit_quality, score_quality
@@ -45,6 +46,15 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Log10 probability of every document, learnt from six folds of seven."""
+    docs = _table(spark, folder, "documents")
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    model = language_model.fit(docs.where(~held_out))
+    scored = language_model.score(docs, model).withColumnRenamed("_id", "doc_id")
+    return scored.withColumn("held_out", held_out)
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every document, and whether decoding gives its text back."""
     texts = _table(spark, folder, "documents").select("doc_id", "text")
@@ -82,6 +92,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op3_quality": op3_quality,
+    "op5_language_model": op5_language_model,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_shingle_join": op9_shingle_join,

@@ -17,7 +17,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.shared import kept
 from strata.session import fresh_path
 
 
@@ -66,12 +65,13 @@ def shard_bits(rows: int, per_shard: int = 1_000_000) -> int:
 class HashStore:
     """Looks up hashes; a value may be a number or a run of numbers."""
 
-    def __init__(self, folder: str, bits: int):
-        self.folder, self.bits = folder, bits
+    def __init__(self, folder: str, bits: int, sizes: np.ndarray):
+        self.folder, self.bits, self.sizes = folder, bits, sizes
+        self.bases = np.append(0, np.cumsum(sizes))
         self.held: dict[tuple[int, str], np.ndarray | None] = {}
 
     def __getstate__(self):
-        return {"folder": self.folder, "bits": self.bits, "held": {}}
+        return {**self.__dict__, "held": {}}
 
     def part(self, shard: int, name: str) -> np.ndarray | None:
         if (shard, name) not in self.held:
@@ -98,6 +98,13 @@ class HashStore:
             out[where] = np.where(there, self.part(shard, name)[at], missing)
         return out
 
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each of the sorted hashes among all of the store; -1 if missing."""
+        out = np.full(len(hashes), -1, np.int64)
+        for shard, where, at, there in self.find(hashes):
+            out[where] = np.where(there, at + self.bases[shard], -1)
+        return out
+
     def runs(self, hashes: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray]:
         """All runs of the sorted hashes, one after another, and the first of each."""
         parts = [np.zeros(0, np.int32)]
@@ -130,7 +137,9 @@ def _write(folder: str, name: str, runs: bool):
             else:
                 save(folder, last, name, column.to_numpy())
             same = int((hashes[1:] == hashes[:-1]).sum())
-            return pa.RecordBatch.from_pydict({"rows": [len(hashes)], "same": [same]})
+            return pa.RecordBatch.from_pydict(
+                {"shard": pa.array([last], pa.int32()), "rows": [len(hashes)], "same": [same]}
+            )
 
         for batch in batches:
             shards = batch.column("shard").to_numpy()
@@ -158,6 +167,8 @@ def write_store(rows: DataFrame, name: str, count: int, label: str) -> tuple[Has
     )
     # Unsigned order: the sign bit set sorts last.
     dealt = dealt.sortWithinPartitions("shard", F.col("hash") < 0, "hash")
-    done = kept(dealt.mapInArrow(_write(folder, name, runs), "rows bigint, same bigint"), "written")
-    twice = done.agg(F.sum("same")).first()[0]
-    return HashStore(folder, bits), twice or 0
+    done = dealt.mapInArrow(_write(folder, name, runs), "shard int, rows bigint, same bigint")
+    # One row per shard.
+    found = {r["shard"]: r for r in done.collect()}
+    sizes = np.array([found[i]["rows"] if i in found else 0 for i in range(1 << bits)], np.int64)
+    return HashStore(folder, bits, sizes), sum(r["same"] for r in found.values())
