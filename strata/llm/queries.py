@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import language_model
 from strata.llm.decontaminate import decontaminate
+from strata.llm.html_extract import extract, fit_extractor
 from strata.llm.pieces import decode, encode
 from strata.llm.quality import fit_quality, score_quality
 from strata.llm.shingle_join import shingle_join
@@ -29,6 +30,15 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    pages = _table(spark, folder, "pages")
+    found = extract(pages, fit_extractor(pages), ["page_id", "url"])
+    return found.withColumnRenamed("_text", "text").withColumn(
+        "n_chars", F.length("text").cast("bigint")
+    )
+
+
 def remainder(name: str, of: int) -> Column:
     """The fold of an id: crc32 of its text; none for a missing id."""
     return F.crc32(F.col(name).cast("string")) % of
@@ -91,6 +101,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_html_extraction": op2_html_extraction,
     "op3_quality": op3_quality,
     "op5_language_model": op5_language_model,
     "op7_sentencepiece": op7_sentencepiece,
