@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from strata.llm import language_model
 from strata.llm.decontaminate import decontaminate
+from strata.llm.embedding_dedup import link_embeddings
 from strata.llm.html_extract import extract, fit_extractor
 from strata.llm.pieces import decode, encode
 from strata.llm.quality import fit_quality, score_quality
+from strata.llm.quotes import link_quotes
 from strata.llm.shingle_join import shingle_join
 from strata.llm.substring_dedup import remove_passages
 from strata.llm.token_counts import count_tokens
@@ -56,6 +58,11 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """Every message without quotes, in the order of replies."""
+    return link_quotes(_table(spark, folder, "conversations"))
+
+
 def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probability of every document, learnt from six folds of seven."""
     docs = _table(spark, folder, "documents")
@@ -65,6 +72,11 @@ def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumn("held_out", held_out)
 
 
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near copies of every vector within its label."""
+    return link_embeddings(_table(spark, folder, "embeddings")).withColumnRenamed("_id", "vec_id")
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every document, and whether decoding gives its text back."""
     texts = _table(spark, folder, "documents").select("doc_id", "text")
@@ -103,7 +115,9 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_html_extraction": op2_html_extraction,
     "op3_quality": op3_quality,
+    "op4_quotation_linking": op4_quotation_linking,
     "op5_language_model": op5_language_model,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_shingle_join": op9_shingle_join,
@@ -144,6 +158,44 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN n USING (r) LEFT JOIN l USING (r)
 """
 
+QUOTATION_SQL = r"""
+WITH RECURSIVE m AS (SELECT *, row_number() OVER () AS r FROM conversations),
+s AS (SELECT r, string_split_regex(text, '\r?\n') AS ls FROM m
+      WHERE conv_id IS NOT NULL AND turn IS NOT NULL AND text IS NOT NULL),
+l AS (SELECT r, i, ls[i] AS line FROM s, unnest(range(1, len(ls) + 1)) AS t(i)),
+q AS (SELECT r, i, line ~ '(?s)[ \t]*>.*' AS quote,
+        len(regexp_replace(regexp_extract(line, '(?s)^[ \t]*((?:>[ \t]?)+)(.*)$', 1), '[^>]', '', 'g')) AS level,
+        CASE WHEN line ~ '(?s)[ \t]*>.*' THEN regexp_extract(line, '(?s)^[ \t]*((?:>[ \t]?)+)(.*)$', 2) ELSE line END AS t
+      FROM l),
+b AS (SELECT *, trim(t) = '' AS blank, lag(level) OVER w AS before, lag(trim(t) = '') OVER w AS gap
+      FROM q WINDOW w AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT *, sum(CASE WHEN before IS NULL OR before <> level OR gap OR blank THEN 1 ELSE 0 END)
+        OVER (PARTITION BY r ORDER BY i) AS n FROM b),
+p AS (SELECT r, n, level, trim(regexp_replace(lower(string_agg(t, chr(10) ORDER BY i)), '[\s\x{a0}]+', ' ', 'g')) AS words
+      FROM g WHERE NOT blank GROUP BY r, n, level),
+k AS (SELECT p.*, conv_id, turn FROM p JOIN m USING (r) WHERE words <> ''),
+o AS (SELECT conv_id, words, min(turn) AS origin FROM k WHERE level = 0 GROUP BY conv_id, words),
+f AS (SELECT k.r, k.conv_id, k.turn, n, level, CASE WHEN origin < k.turn THEN origin END AS origin
+      FROM k LEFT JOIN o ON o.conv_id = k.conv_id AND o.words = k.words WHERE level > 0),
+a AS (SELECT r, conv_id, turn, count(DISTINCT n) AS n_quotes,
+        count(DISTINCT CASE WHEN origin IS NOT NULL THEN n END) AS n_linked,
+        max(CASE WHEN origin IS NOT NULL THEN {'near': -level, 'origin': origin} END).origin AS reply_to
+      FROM f GROUP BY r, conv_id, turn),
+u AS (SELECT conv_id, turn, max(reply_to) AS up FROM a WHERE reply_to IS NOT NULL GROUP BY conv_id, turn),
+c(conv_id, turn, top, depth) AS (
+  SELECT conv_id, turn, up, 1 FROM u
+  UNION ALL SELECT c.conv_id, c.turn, u.up, depth + 1 FROM c JOIN u ON u.conv_id = c.conv_id AND u.turn = c.top),
+d AS (SELECT conv_id, turn, min(top) AS thread, max(depth) AS depth FROM c GROUP BY conv_id, turn),
+z AS (SELECT m.conv_id, m.turn, m.role,
+        CASE WHEN m.text IS NOT NULL THEN regexp_replace(array_to_string(list_filter(
+          string_split_regex(m.text, '\r?\n'), lambda x: NOT x ~ '(?s)[ \t]*>.*'), chr(10)), '^\s+|\s+\z', '', 'g') END AS text,
+        coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, reply_to,
+        coalesce(thread, m.turn) AS thread, CAST(coalesce(d.depth, 0) AS BIGINT) AS depth
+      FROM m LEFT JOIN a ON a.r = m.r LEFT JOIN d ON d.conv_id = m.conv_id AND d.turn = m.turn)
+SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY thread, depth, turn, role, text) - 1 AS position FROM z
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_quotation_linking": QUOTATION_SQL,
     "op1_decontamination": DECONTAMINATION_SQL,
 }

@@ -17,6 +17,9 @@ cloudpickle.register_pickle_by_value(strata)
 # Rows of the largest side that is broadcast, of a few words each (some 50 MB).
 BROADCAST_ROWS = 400_000
 
+# The same for rows of one number each.
+NUMBERS = 1_000_000
+
 # Rows that cross to Python at once. Texts have no bound, so few of them.
 BATCH_ROWS = 2_000
 
