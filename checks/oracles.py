@@ -307,6 +307,24 @@ ORACLES: dict[str, str] = {
                CAST(dense_rank() OVER (PARTITION BY {month_of("o_orderdate")}
                                        ORDER BY o_totalprice DESC) AS INTEGER) AS ranking_mes
         FROM orders""",
+    "rank_missing": f"""
+        SELECT *, CASE WHEN periodo_yyyymm IS NOT NULL AND total_ventas IS NOT NULL
+                  THEN CAST(dense_rank() OVER (PARTITION BY periodo_yyyymm
+                                               ORDER BY total_ventas DESC NULLS LAST) AS INTEGER)
+                  END AS ranking_mes
+        FROM (SELECT o_orderkey,
+                     CASE WHEN o_orderkey % 5 <> 0 THEN {month_of("o_orderdate")} END AS periodo_yyyymm,
+                     CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS total_ventas
+              FROM orders)""",
+    "kpi_small_and_large": f"""
+        WITH sales AS (
+            SELECT {month_keys("l_shipdate")}, CAST(amount > 1 AS VARCHAR) AS fk_cliente,
+                   {two("fsum(amount)")} AS total_ventas, count(*) AS cantidad_transacciones,
+                   {two("fsum(amount) / count(*)")} AS ticket_promedio
+            FROM (SELECT *, l_extendedprice * CASE WHEN l_linenumber % 2 = 0 THEN CAST(1e-7 AS DOUBLE)
+                                              ELSE CAST(1e5 AS DOUBLE) END AS amount FROM lineitem)
+            GROUP BY ALL)
+        {ranked("fk_cliente")}""",
     "rank_global": """
         SELECT o_orderkey, o_custkey AS fk_cliente, o_totalprice AS total_ventas,
                CAST(dense_rank() OVER (ORDER BY total DESC) AS INTEGER) AS ranking_global

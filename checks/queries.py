@@ -16,7 +16,7 @@ from strata.operators.clean import clean, column_profiles
 from strata.operators.control import mark_pending
 from strata.operators.coverage import key_coverage, key_sample
 from strata.operators.loads import load_rule, load_unit, new_rows, reset_staging
-from strata.operators.order import WINDOW_ROWS, dense_ranks
+from strata.operators.order import dense_ranks
 from strata.operators.raw import normalize, normalize_columns, stringify
 from strata.operators.star import (
     calendar,
@@ -164,7 +164,7 @@ def bronze_incremental_new(spark, folder):
         "idventa", F.when(F.col("estado") != "P", F.concat(F.lit(" "), F.col("idventa")))
     )
     loaded = read(spark, folder, "lineitem").select(F.col("l_orderkey").alias("idventa"))
-    return new_rows(incoming, loaded, "idventa", incoming.count()).drop("fecha")
+    return new_rows(incoming, loaded, "idventa").drop("fecha")
 
 
 def bronze_replace_staging(spark, folder):
@@ -339,7 +339,7 @@ def kpi_by_product(spark, folder):
 
 def _months(spark, folder):
     return kpis.dated_sales(order_fact(spark, folder), days(spark), kpis.MONTH).select(
-        "anio", kpis.PERIOD, kpis.round2(F.col("_amount").cast("double")).alias(kpis.SALES)
+        "anio", kpis.PERIOD, kpis.round2(F.col("_amount")).alias(kpis.SALES)
     )
 
 
@@ -360,16 +360,41 @@ def order_totals(spark, folder):
 
 
 def rank_month(spark, folder):
-    """Orders ranked within their month, by the way for tables of any size."""
-    return kpis.month_rank(order_totals(spark, folder), WINDOW_ROWS + 1)
+    """Orders ranked within their month."""
+    return kpis.month_rank(order_totals(spark, folder))
+
+
+def rank_missing(spark, folder):
+    """Totals ranked within their month, some without a total or a month."""
+    totals = order_totals(spark, folder).select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 5 != 0, F.col(kpis.PERIOD)).alias(kpis.PERIOD),
+        F.when(F.col("o_orderkey") % 7 != 0, F.col(kpis.SALES)).alias(kpis.SALES),
+    )
+    return kpis.month_rank(totals)
+
+
+def kpi_small_and_large(spark, folder):
+    """Sales of amounts with many decimals, and of large ones."""
+    lines = read(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("sk_venta"),
+        F.col("l_shipdate").alias("fecha"),
+        (
+            F.col("l_extendedprice")
+            * F.when(F.col("l_linenumber") % 2 == 0, F.lit(1e-7)).otherwise(F.lit(1e5))
+        ).alias("total"),
+    )
+    by_size = fact_columns(lines).withColumn("fk_cliente", (F.col("total") > 1).cast("string"))
+    names = by_size.select(F.col("fk_cliente").alias("nk_cliente")).distinct()
+    return kpis.kpi_ventas_por_cliente(by_size, names, days(spark)).drop(GOLD_AT)
 
 
 def rank_global(spark, folder):
-    """Customers ranked by their orders' total, by the way for tables of any size."""
+    """Customers ranked by their orders' total."""
     totals = read(spark, folder, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("fk_cliente"), F.col("o_totalprice").alias(kpis.SALES)
     )
-    return kpis.global_rank(totals, "fk_cliente", WINDOW_ROWS + 1)
+    return kpis.global_rank(totals, "fk_cliente")
 
 
 def rank_lines(spark, folder):
@@ -463,6 +488,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_growth": period_growth,
     "period_ytd": period_ytd,
     "rank_month": rank_month,
+    "rank_missing": rank_missing,
+    "kpi_small_and_large": kpi_small_and_large,
     "rank_global": rank_global,
     "rank_lines": rank_lines,
     "month_share": month_share,

@@ -1,5 +1,7 @@
 """Scalar rules shared by the layers, all built-in expressions."""
 
+import functools
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import Column
@@ -69,14 +71,30 @@ def ratio(top: Column, bottom: Column) -> Column:
     )
 
 
-def exact(value: Column, kind: T.DataType) -> Column:
-    """Summable value, 0 where it is no number: a decimal, so that sums do not
-    depend on row order. A double keeps six decimals."""
+def summands(value: Column, kind: T.DataType) -> list[Column]:
+    """Parts of a value whose sums do not depend on row order, see ``total``.
+
+    Whole numbers and decimals are one part. A double below 1e9 is a decimal of 18
+    places, below 1e20 one of 8, which holds all digits it has; sums of 1e10 such rows
+    fit. Beyond, and for infinite values, it stays a double. No number adds nothing."""
     if isinstance(kind, T.IntegralType):
-        value = value.cast("decimal(20,0)")
-    elif not isinstance(kind, T.DecimalType):
-        value = number(value, kind).cast("decimal(28,6)")
-    return F.coalesce(value, F.lit(0))
+        return [value.cast("decimal(20,0)")]
+    if isinstance(kind, T.DecimalType):
+        return [value]
+    value = number(value, kind)
+    size = F.abs(value)
+    return [
+        F.when(size < 1e9, value.cast("decimal(38,18)")),
+        F.when((size >= 1e9) & (size < 1e20), value.cast("decimal(38,8)")),
+        F.when(size >= 1e20, value),
+    ]
+
+
+def total(sums: Sequence[Column]) -> Column:
+    """The sum of summed parts as a double; 0 of nothing."""
+    parts = [F.coalesce(s.cast("double"), F.lit(0.0)) for s in sums]
+    # From the smallest part on.
+    return functools.reduce(lambda a, b: a + b, parts)
 
 
 def canonical_key(value: Column, kind: T.DataType) -> Column:

@@ -1,5 +1,6 @@
 """Type inference and cleaning of bronze rows."""
 
+import functools
 import logging
 from datetime import datetime
 
@@ -20,6 +21,8 @@ from strata.functions.scalars import (
 
 log = logging.getLogger(__name__)
 
+COLUMNS_AT_ONCE = 50
+
 
 def _data_fields(df: DataFrame) -> list[T.StructField]:
     return [f for f in df.schema.fields if f.name not in BRONZE_AUDIT]
@@ -38,36 +41,61 @@ def column_profiles(df: DataFrame) -> DataFrame:
     data, values, numbers among them, and the kind. A column is numeric if at least
     half of the rows with data, missing values included, are numbers.
 
-    One pass: each row becomes a row per column, which the map side sums up, so a
-    wide table needs no wider code than a narrow one."""
+    One aggregation per COLUMNS_AT_ONCE columns, so that code stays within the JVM's
+    limits for wide tables."""
     fields = _data_fields(df)
-    cells = df.select(F.array(*[_field(f).cast("string") for f in fields]).alias("_cells"))
-    values = cells.select(
-        F.exists("_cells", lambda v: v.isNotNull()).alias("_any"),
-        F.posexplode("_cells").alias("_place", "_text"),
-    ).select("_any", "_place", "_text", number(F.col("_text"), T.StringType()).alias("_n"))
-    n = F.col("_n")
-    names = F.array(*[F.lit(f.name) for f in fields])
-    counts = values.groupBy("_place").agg(
-        F.count(F.lit(1)).alias("table_rows"),
-        F.count_if("_any").alias("row_count"),
-        F.count("_text").alias("value_count"),
-        F.count(n).alias("number_count"),
-        F.coalesce(F.bool_or(n % 1 != 0), F.lit(False)).alias("has_decimals"),
-        F.coalesce(F.bool_or(F.abs(n) >= LONG_LIMIT), F.lit(False)).alias("_huge"),
+    blocks = [
+        fields[i : i + COLUMNS_AT_ONCE] for i in range(0, len(fields), COLUMNS_AT_ONCE)
+    ]
+    return functools.reduce(DataFrame.union, [_profiled(df, fields, b) for b in blocks])
+
+
+def _profiled(df: DataFrame, every: list[T.StructField], block: list[T.StructField]) -> DataFrame:
+    rows = df.select(
+        F.exists(F.array(*[_field(f).isNotNull() for f in every]), lambda v: v).alias("_any"),
+        *[_field(f).cast("string").alias(f"t{i}") for i, f in enumerate(block)],
+    )
+    numbers = rows.select(
+        "*", *[number(F.col(f"t{i}"), T.StringType()).alias(f"n{i}") for i in range(len(block))]
+    )
+    counts = []
+    for i in range(len(block)):
+        n = F.col(f"n{i}")
+        counts += [
+            F.count(f"t{i}").alias(f"v{i}"),
+            F.count(n).alias(f"c{i}"),
+            F.coalesce(F.bool_or(n % 1 != 0), F.lit(False)).alias(f"d{i}"),
+            F.coalesce(F.bool_or(F.abs(n) >= LONG_LIMIT), F.lit(False)).alias(f"h{i}"),
+        ]
+    summed = numbers.agg(
+        F.count(F.lit(1)).alias("table_rows"), F.count_if("_any").alias("row_count"), *counts
     )
-    return counts.select(
-        F.element_at(names, F.col("_place") + 1).alias("column_name"),
-        "table_rows",
-        "row_count",
-        "value_count",
-        "number_count",
-        "has_decimals",
-        F.when(F.col("number_count") < 0.5 * F.greatest("row_count", F.lit(1)), "text")
-        # Whole numbers beyond a bigint stay doubles.
-        .when(F.col("has_decimals") | F.col("_huge"), "decimal")
-        .otherwise("integer")
-        .alias("kind"),
+    columns = [
+        F.struct(
+            F.lit(f.name).alias("column_name"),
+            F.col(f"v{i}").alias("value_count"),
+            F.col(f"c{i}").alias("number_count"),
+            F.col(f"d{i}").alias("has_decimals"),
+            F.col(f"h{i}").alias("_huge"),
+        )
+        for i, f in enumerate(block)
+    ]
+    return (
+        summed.where("table_rows > 0")
+        .select("table_rows", "row_count", F.explode(F.array(*columns)).alias("_c"))
+        .select(
+            "_c.column_name",
+            "table_rows",
+            "row_count",
+            "_c.value_count",
+            "_c.number_count",
+            "_c.has_decimals",
+            F.when(F.col("_c.number_count") < 0.5 * F.greatest("row_count", F.lit(1)), "text")
+            # Whole numbers beyond a bigint stay doubles.
+            .when(F.col("_c.has_decimals") | F.col("_c._huge"), "decimal")
+            .otherwise("integer")
+            .alias("kind"),
+        )
     )
 
 

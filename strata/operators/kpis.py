@@ -4,12 +4,13 @@ import logging
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.fixed_values import AMOUNT, GOLD_AT, QUANTITY, SILVER_AT
 from strata.functions.names import find_column_loosely
-from strata.functions.scalars import canonical_key, exact, ratio, round2, stamp
+from strata.functions.scalars import canonical_key, ratio, round2, stamp, summands, total
 from strata.operators.order import add_dense_rank
 from strata.session import written
 
@@ -30,14 +31,21 @@ def _column(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _summable(df: DataFrame, name: str | None) -> Column:
-    return exact(_column(df, name), df.schema[name].dataType) if name else F.lit(0)
+def _parts(df: DataFrame, name: str | None, label: str) -> list[Column]:
+    parts = summands(_column(df, name), df.schema[name].dataType) if name else [F.lit(0)]
+    return [p.alias(f"{label}{i}") for i, p in enumerate(parts)]
+
+
+def _sum_of_doubles(name: str, window: WindowSpec | None = None) -> Column:
+    """Sum of a column of doubles that does not depend on the order of rows."""
+    sums = [F.sum(p) for p in summands(F.col(name), T.DoubleType())]
+    return total([s.over(window) for s in sums] if window else sums)
 
 
 def dated_sales(
     fact: DataFrame, dim_tiempo: DataFrame, period: Sequence[str], key: str | None = None
 ) -> DataFrame:
-    """Sums and counts per period and key, exact. Sales without a calendar day or
+    """Sums, as doubles, and counts per period and key. Sales without a calendar day or
     without a key belong to no group and are left out."""
     amount = find_column_loosely(fact.columns, AMOUNT)
     quantity = find_column_loosely(fact.columns, QUANTITY) if key else None
@@ -47,13 +55,17 @@ def dated_sales(
         "fk_fecha",
         "sk_venta",
         *([key] if key else []),
-        _summable(fact, amount).alias("_amount"),
-        _summable(fact, quantity).alias("_units"),
+        *_parts(fact, amount, "_amount"),
+        *(_parts(fact, quantity, "_units") if quantity else []),
     )
     days = dim_tiempo.select("sk_tiempo", *period).dropna()
-    sums = [F.sum("_amount").alias("_amount"), F.count("sk_venta").alias(COUNT)]
+
+    def summed(label: str) -> Column:
+        return total([F.sum(c) for c in sales.columns if c.startswith(label)]).alias(label)
+
+    sums = [summed("_amount"), F.count("sk_venta").alias(COUNT)]
     if quantity:
-        sums.append(F.sum("_units").alias("_units"))
+        sums.append(summed("_units"))
     if key:
         sales = sales.where(F.col(key).isNotNull())
     keys = [*period, *([key] if key else [])]
@@ -62,7 +74,7 @@ def dated_sales(
 
 def _totals(times: Column) -> list[Column]:
     """Average ticket from the unrounded sum, then the rounded sum."""
-    amount = (F.col("_amount") * times).cast("double")
+    amount = F.col("_amount") * times
     count = F.col(COUNT) * times
     return [
         round2(amount).alias(SALES),
@@ -82,8 +94,7 @@ def year_to_date(df: DataFrame, value: str, name: str) -> DataFrame:
     so_far = (
         Window.partitionBy("anio").orderBy(PERIOD).rowsBetween(Window.unboundedPreceding, 0)
     )
-    total = F.sum(F.col(value).cast("decimal(28,2)")).over(so_far)
-    return df.withColumn(name, round2(total.cast("double")))
+    return df.withColumn(name, round2(_sum_of_doubles(value, so_far)))
 
 
 def kpi_ventas_por_periodo(
@@ -100,32 +111,21 @@ def kpi_ventas_por_periodo(
     )
 
 
-def _cents(total: Column) -> Column:
-    return F.rint(total * 100).cast("bigint")
-
-
-def month_rank(df: DataFrame, rows: int) -> DataFrame:
+def month_rank(df: DataFrame) -> DataFrame:
     """Dense rank of the total within the month, largest first."""
-    ranked = add_dense_rank(
-        df.withColumn("_cents", _cents(F.col(SALES))), [PERIOD], "_cents", "ranking_mes", rows
-    )
-    return ranked.drop("_cents")
+    return add_dense_rank(df, [PERIOD], SALES, "ranking_mes")
 
 
-def global_rank(df: DataFrame, key: str, rows: int) -> DataFrame:
+def global_rank(df: DataFrame, key: str) -> DataFrame:
     """Dense rank of each key's total over all months, put on each of its rows."""
-    totals = df.groupBy(key).agg(
-        (F.sum(F.col(SALES).cast("decimal(28,2)")) * 100).cast("bigint").alias("_cents")
-    )
-    ranks = add_dense_rank(totals, [], "_cents", "ranking_global", rows)
+    totals = df.groupBy(key).agg(round2(_sum_of_doubles(SALES)).alias("_total"))
+    ranks = add_dense_rank(totals, [], "_total", "ranking_global")
     return df.join(ranks.select(key, "ranking_global"), key, "left")
 
 
 def month_share(df: DataFrame) -> DataFrame:
     """Share of the month's total in %."""
-    months = df.groupBy(PERIOD).agg(
-        F.sum(F.col(SALES).cast("decimal(28,2)")).cast("double").alias("_month_total")
-    )
+    months = df.groupBy(PERIOD).agg(_sum_of_doubles(SALES).alias("_month_total"))
     share = round2(ratio(F.col(SALES), F.col("_month_total")) * 100)
     # One row per month of the calendar.
     return (
@@ -181,15 +181,14 @@ def entity_sales(
         times = F.coalesce("_times", F.lit(1))
     units = []
     if "_units" in sums.columns:
-        units.append((F.col("_units") * times).cast("double").alias(UNITS))
+        units.append((F.col("_units") * times).alias(UNITS))
     return sums.select(*MONTH, key, *attributes, *_totals(times), *units)
 
 
 def _ranked(sales: DataFrame, key: str, label: str) -> DataFrame:
     # The totals feed several groupings; written, the fact is read once.
     sales = written(sales, label)
-    rows = sales.count()
-    return global_rank(month_rank(sales, rows), key, rows)
+    return global_rank(month_rank(sales), key)
 
 
 def _finished(df: DataFrame, columns: Sequence[str], key: str, loaded_at: datetime | None):

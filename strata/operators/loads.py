@@ -29,9 +29,6 @@ log = logging.getLogger(__name__)
 
 Rule = tuple[str, str, str, str | None]
 
-# Up to this many incoming rows their id hashes, 8 bytes each, are broadcast.
-THINNING_ROWS = 2_000_000
-
 
 def load_rule(name: Column, rules: Sequence[Rule] = LOAD_RULES) -> Column:
     """Load mode, staging table and id column for a table name; the first rule
@@ -54,32 +51,27 @@ def load_rule(name: Column, rules: Sequence[Rule] = LOAD_RULES) -> Column:
     return otherwise if chosen is None else chosen.otherwise(otherwise)
 
 
-def new_rows(
-    incoming: DataFrame, existing: DataFrame, id_column: str, rows: int | None = None
-) -> DataFrame:
+def new_rows(incoming: DataFrame, existing: DataFrame, id_column: str) -> DataFrame:
     """Incoming rows whose id is not among the existing ones. A missing id equals
     a missing id. Copies within the incoming rows all stay.
 
-    ``rows``, if known, is the number of incoming rows. When they are few, the hashes
-    of their ids first thin out the existing ids where those are scanned, so that a
-    small load does not shuffle a large table."""
-
-    def with_key(df: DataFrame) -> tuple[Column, Column]:
-        key = canonical_key(F.col(f"`{id_column}`"), df.schema[id_column].dataType)
-        return F.coalesce(key, F.lit("")).alias("_id"), key.isNull().alias("_no_id")
-
-    marked = incoming.select("*", *with_key(incoming))
-    known = existing.select(*with_key(existing))
-    if rows is not None and rows <= THINNING_ROWS:
-        digest = F.xxhash64("_id", "_no_id").alias("_hash")
-        near = marked.select(digest).distinct()
-        known = known.withColumn("_hash", digest).join(F.broadcast(near), "_hash", "left_semi")
-    # Distinct on the join's own columns, so both share one shuffle, and copies of
-    # an id shrink before it.
-    known = known.select("_id", "_no_id").distinct()
-    return marked.join(known, ["_id", "_no_id"], "left_anti").select(
-        *[F.col(f"`{c}`") for c in incoming.columns]
-    )
+    Existing ids first meet the incoming ones, so that of a large table only those go on
+    which matter, and copies of an id shrink before the last join. Missing ids take no
+    part in the joins, where they would share one task: a look for one row tells whether there are any.
+    """
+
+    def key(df: DataFrame) -> Column:
+        return canonical_key(F.col(f"`{id_column}`"), df.schema[id_column].dataType)
+
+    marked = incoming.select("*", key(incoming).alias("_id"))
+    with_id = marked.where("_id IS NOT NULL")
+    ids = existing.select(key(existing).alias("_id"))
+    known = ids.join(with_id.select("_id"), "_id", "left_semi").distinct()
+    new = with_id.join(known, "_id", "left_anti")
+    columns = [F.col(f"`{c}`") for c in incoming.columns]
+    if not ids.where("_id IS NULL").isEmpty():
+        return new.select(*columns)
+    return new.select(*columns).union(marked.where("_id IS NULL").select(*columns))
 
 
 def reset_staging(spark: SparkSession, database: str, rules: Sequence[Rule] = LOAD_RULES) -> None:
@@ -142,7 +134,7 @@ def load_new(
     with scratch(spark):
         incoming = written(df, "incoming")
         # Written before the append, after which they would be new no more.
-        fresh = written(new_rows(incoming, existing, id_column, incoming.count()), "new_rows")
+        fresh = written(new_rows(incoming, existing, id_column), "new_rows")
         if fresh.isEmpty():
             return 0
         rows = save(fresh, database, name)

@@ -11,83 +11,61 @@ from strata.session import written
 TASK_SHIFT = 33
 ROW_MASK = (1 << TASK_SHIFT) - 1
 
-# A 63-bit value has three digits of 21 bits.
-DIGIT_BITS = 21
 
-# Up to this many rows a rank is left to one window per group.
-WINDOW_ROWS = 4_000_000
 
-
-def add_row_number(df: DataFrame, name: str, order_by: Sequence[str] = ()) -> DataFrame:
-    """Put 1..n in front: in arrival order, or sorted with ties in arrival order.
-
-    Each task numbers its own rows and the result is written once, so a retry
-    cannot renumber. One count per task then gives each task its start. Rows are
-    shuffled only for a sort. It sorts written rows too: their arrival numbers are
-    fixed, and spread copies of a key over tasks.
-    """
-    number = F.monotonically_increasing_id()
-    rows = df
-    if order_by:
-        rows = written(df.withColumn("_arrival", number), "arrived")
-        rows = rows.orderBy(*order_by, "_arrival").drop("_arrival")
-    rows = written(rows.withColumn("_slot", number), "numbered")
-    task = F.shiftrightunsigned("_slot", TASK_SHIFT)
+def _positions(rows: DataFrame, slot: str, name: str) -> DataFrame:
+    """Written rows with their place 1..n from ``slot``, the number each task gave."""
+    task = F.shiftrightunsigned(slot, TASK_SHIFT)
     counts = rows.groupBy(task.alias("_task")).agg(F.count(F.lit(1)).alias("_rows"))
     # One row per task of the written step.
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    position = F.col("_start") + F.col("_slot").bitwiseAND(F.lit(ROW_MASK)) + 1
+    position = F.col("_start") + F.col(slot).bitwiseAND(F.lit(ROW_MASK)) + 1
+    columns = [F.col(f"`{c}`") for c in rows.columns if c != slot]
     return rows.join(F.broadcast(starts), task == F.col("_task")).select(
-        position.alias(name), *[F.col(f"`{c}`") for c in df.columns]
+        position.alias(name), F.col(slot), *columns
     )
 
 
-def dense_ranks(df: DataFrame, groups: Sequence[str], value: str, name: str) -> DataFrame:
-    """One row per group and distinct bigint value, ranked from the largest.
+def add_row_number(df: DataFrame, name: str, order_by: Sequence[str] = ()) -> DataFrame:
+    """Put 1..n in front: in arrival order, or sorted with ties in arrival order.
 
-    The value is cut into three digits of 21 bits. A row's rank is its rank among
-    values that share the upper two digits, plus the number of values with a larger
-    middle digit, plus those with a larger upper digit. So each window sees at most
-    2**21 rows, however large a group is, and a retry gives the same cuts. The
-    distinct values are written, as all three counts start from them. Rows without
-    a group or value have no rank.
+    Each task numbers its own rows and the result is written once, so a retry cannot
+    renumber. One count per task then gives each task its start. A sort moves only its
+    keys and the arrival numbers, which spread copies of a key over tasks; the numbers
+    then join the written rows.
     """
-    high = F.shiftright(value, 2 * DIGIT_BITS).alias("_high")
-    upper = F.shiftright(value, DIGIT_BITS).alias("_upper")
-    distinct = df.select(*groups, value).dropna().distinct()
-    values = written(distinct, "values").select("*", high, upper)
-
-    by_upper = values.groupBy(*groups, "_high", "_upper").agg(F.count(F.lit(1)).alias("_n"))
-    by_high = by_upper.groupBy(*groups, "_high").agg(F.sum("_n").alias("_n"))
+    number = F.monotonically_increasing_id()
+    rows = written(df.withColumn("_slot", number), "numbered")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    if not order_by:
+        return _positions(rows, "_slot", name).select(name, *columns)
+    keys = rows.select("_slot", *order_by).orderBy(*order_by, "_slot").select("_slot")
+    places = written(keys.withColumn("_place", number), "sorted")
+    places = _positions(places, "_place", name).select("_slot", name)
+    return rows.join(places, "_slot").select(name, *columns)
 
-    def larger(within: Sequence[str], digit: str) -> Column:
-        above = (
-            Window.partitionBy(*within)
-            .orderBy(F.desc(digit))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        return F.coalesce(F.sum("_n").over(above), F.lit(0))
-
-    starts = by_upper.withColumn("_middle_start", larger([*groups, "_high"], "_upper")).drop("_n")
-    tops = by_high.withColumn("_high_start", larger(groups, "_high")).drop("_n")
-    offsets = starts.join(tops, [*groups, "_high"]).select(
-        *groups, "_upper", (F.col("_middle_start") + F.col("_high_start")).alias("_start")
-    )
-    place = F.row_number().over(Window.partitionBy(*groups, "_upper").orderBy(F.desc(value)))
-    return (
-        values.withColumn("_place", place)
-        .join(offsets, [*groups, "_upper"])
-        .select(*groups, value, (F.col("_start") + F.col("_place")).cast("int").alias(name))
-    )
 
+def dense_ranks(df: DataFrame, groups: Sequence[str], value: str, name: str) -> DataFrame:
+    """One row per group and distinct value, ranked from the largest.
 
-def add_dense_rank(
-    df: DataFrame, groups: Sequence[str], value: str, name: str, rows: int
-) -> DataFrame:
-    """Rank each row's value within its group, largest first. ``rows`` is the known
-    row count, which decides between a plain window and ``dense_ranks``."""
-    if rows <= WINDOW_ROWS:
-        window = Window.partitionBy(*groups).orderBy(F.desc(value))
-        return df.withColumn(name, F.dense_rank().over(window))
-    return df.join(dense_ranks(df, groups, value, name), [*groups, value])
+    The distinct values are sorted by group and value, which deals a large group out
+    over tasks, and numbered; a rank is the distance from the group's first number. Rows
+    without a group or value have no rank.
+    """
+    distinct = df.select(*groups, value).dropna().distinct()
+    rows = distinct.orderBy(*groups, F.desc(value))
+    rows = written(rows.withColumn("_slot", F.monotonically_increasing_id()), "ranked")
+    numbered = _positions(rows, "_slot", "_number").drop("_slot")
+    if not groups:
+        return numbered.select(value, F.col("_number").cast("int").alias(name))
+    first = numbered.groupBy(*groups).agg(F.min("_number").alias("_first"))
+    rank = (F.col("_number") - F.col("_first") + 1).cast("int")
+    return numbered.join(first, list(groups)).select(*groups, value, rank.alias(name))
+
+
+def add_dense_rank(df: DataFrame, groups: Sequence[str], value: str, name: str) -> DataFrame:
+    """Rank each row's value within its group, largest first. All rows stay; those without
+    a group or value have no rank."""
+    ranks = dense_ranks(df, groups, value, name)
+    return df.join(ranks, [*groups, value], "left").select(*df.columns, name)

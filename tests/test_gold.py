@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import kpis, order
+from strata.operators import kpis
 from strata.operators.coverage import key_coverage, key_sample
 from strata.operators.star import dim_tiempo
 
@@ -144,10 +144,14 @@ def test_customers(fact, customers, days):
     ]
 
 
-def test_large_ranks_in_the_kpi(fact, customers, days, monkeypatch):
-    plain = rows(kpis.kpi_ventas_por_cliente(fact, customers, days, AT), "*")
-    monkeypatch.setattr(order, "WINDOW_ROWS", 0)
-    assert rows(kpis.kpi_ventas_por_cliente(fact, customers, days, AT), "*") == plain
+def test_amounts_of_any_size(spark, customers, days):
+    """Small amounts add up, large and infinite ones neither fail nor vanish."""
+    data = [(n, 10, 1, 20240101, 4e-7, 1) for n in range(100_000)]
+    data += [(1, 20, 1, 20240101, 1e23, 1), (2, 20, 1, 20240101, 1e18, 1), (3, 30, 1, 20240101, float("inf"), 1)]
+    kpi = kpis.kpi_ventas_por_cliente(sales(spark, data).repartition(7), customers, days)
+    assert rows(kpi, "fk_cliente", "total_ventas", "ranking_mes", "ranking_global") == [
+        (30, float("inf"), 1, 1), (20, 1e23 + 1e18, 2, 2), (10, 0.04, 3, 3),
+    ]
 
 
 def test_equal_totals_share_a_rank(spark, customers, days):
@@ -219,9 +223,7 @@ def brute_force(sales, dim, days):
     return sorted(found)
 
 
-@pytest.mark.parametrize("window_rows", [order.WINDOW_ROWS, 0])
-def test_random_sales_against_brute_force(spark, days, monkeypatch, window_rows):
-    monkeypatch.setattr(order, "WINDOW_ROWS", window_rows)
+def test_random_sales_against_brute_force(spark, days):
     rng = random.Random(11)
     data = []
     for n in range(400):

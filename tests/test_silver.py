@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators import order
@@ -240,9 +241,17 @@ def test_large_ranks_equal_windows(spark):
         + [("b", 7), ("b", 7), ("b", -9)],
         "g string, v bigint",
     )
-    plain = order.add_dense_rank(df, ["g"], "v", "r", 16)
-    wide = order.add_dense_rank(df, ["g"], "v", "r", order.WINDOW_ROWS + 1)
+    window = Window.partitionBy("g").orderBy(F.desc("v"))
+    plain = df.withColumn("r", F.dense_rank().over(window))
     rows = lambda d: sorted(tuple(r) for r in d.select("g", "v", "r").collect())
-    assert rows(wide) == rows(plain) and len(rows(wide)) == 16
-    ungrouped = order.add_dense_rank(df.drop("g"), [], "v", "r", order.WINDOW_ROWS + 1)
+    assert rows(order.add_dense_rank(df, ["g"], "v", "r")) == rows(plain)
+    ungrouped = order.add_dense_rank(df.drop("g"), [], "v", "r")
     assert sorted(tuple(r) for r in ungrouped.select("v", "r").collect())[-1] == (2**62, 1)
+
+
+def test_ranks_keep_rows_without_group_or_value(spark):
+    df = spark.createDataFrame([("a", 1.5), ("a", None), (None, 2.0), (None, None)], "g string, v double")
+    found = order.add_dense_rank(df, ["g"], "v", "r").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(
+        [("a", 1.5, 1), ("a", None, None), (None, 2.0, None), (None, None, None)], key=repr
+    )
