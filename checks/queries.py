@@ -338,8 +338,9 @@ def kpi_by_product(spark, folder):
 
 
 def _months(spark, folder):
-    return kpis.dated_sales(order_fact(spark, folder), days(spark), kpis.MONTH).select(
-        "anio", kpis.PERIOD, kpis.round2(F.col("_amount")).alias(kpis.SALES)
+    sums = kpis.dated_sales(order_fact(spark, folder), days(spark), kpis.MONTH)
+    return sums.select(
+        "anio", kpis.PERIOD, kpis.round2(kpis.summed(sums, "_amount")).alias(kpis.SALES)
     )
 
 

@@ -45,7 +45,7 @@ def _sum_of_doubles(name: str, window: WindowSpec | None = None) -> Column:
 def dated_sales(
     fact: DataFrame, dim_tiempo: DataFrame, period: Sequence[str], key: str | None = None
 ) -> DataFrame:
-    """Sums, as doubles, and counts per period and key. Sales without a calendar day or
+    """Counts, and sums in parts for ``summed``, per period and key. Sales without a calendar day or
     without a key belong to no group and are left out."""
     amount = find_column_loosely(fact.columns, AMOUNT)
     quantity = find_column_loosely(fact.columns, QUANTITY) if key else None
@@ -59,22 +59,23 @@ def dated_sales(
         *(_parts(fact, quantity, "_units") if quantity else []),
     )
     days = dim_tiempo.select("sk_tiempo", *period).dropna()
-
-    def summed(label: str) -> Column:
-        return total([F.sum(c) for c in sales.columns if c.startswith(label)]).alias(label)
-
-    sums = [summed("_amount"), F.count("sk_venta").alias(COUNT)]
-    if quantity:
-        sums.append(summed("_units"))
+    parts = [c for c in sales.columns if c.startswith(("_amount", "_units"))]
+    sums = [*[F.sum(c).alias(c) for c in parts], F.count("sk_venta").alias(COUNT)]
     if key:
         sales = sales.where(F.col(key).isNotNull())
     keys = [*period, *([key] if key else [])]
     return sales.join(days, sales.fk_fecha == days.sk_tiempo).groupBy(*keys).agg(*sums)
 
 
-def _totals(times: Column) -> list[Column]:
+def summed(df: DataFrame, label: str, times: Column | None = None) -> Column:
+    """The double that the summed parts of a column make, as often as ``times``."""
+    parts = [F.col(c) for c in df.columns if c.startswith(label)]
+    return total([p * times if times is not None else p for p in parts])
+
+
+def _totals(df: DataFrame, times: Column) -> list[Column]:
     """Average ticket from the unrounded sum, then the rounded sum."""
-    amount = F.col("_amount") * times
+    amount = summed(df, "_amount", times)
     count = F.col(COUNT) * times
     return [
         round2(amount).alias(SALES),
@@ -100,9 +101,8 @@ def year_to_date(df: DataFrame, value: str, name: str) -> DataFrame:
 def kpi_ventas_por_periodo(
     fact: DataFrame, dim_tiempo: DataFrame, loaded_at: datetime | None = None
 ) -> DataFrame:
-    months = dated_sales(fact, dim_tiempo, MONTH_AND_QUARTER).select(
-        *MONTH_AND_QUARTER, *_totals(F.lit(1))
-    )
+    sums = dated_sales(fact, dim_tiempo, MONTH_AND_QUARTER)
+    months = sums.select(*MONTH_AND_QUARTER, *_totals(sums, F.lit(1)))
     grown = growth(months, SALES, "variacion_mes_anterior_pct")
     return (
         year_to_date(grown, SALES, "acumulado_anual")
@@ -180,9 +180,9 @@ def entity_sales(
         sums = sums.join(rows, as_key == F.col("_key"), how)
         times = F.coalesce("_times", F.lit(1))
     units = []
-    if "_units" in sums.columns:
-        units.append((F.col("_units") * times).alias(UNITS))
-    return sums.select(*MONTH, key, *attributes, *_totals(times), *units)
+    if any(c.startswith("_units") for c in sums.columns):
+        units.append(summed(sums, "_units", times).alias(UNITS))
+    return sums.select(*MONTH, key, *attributes, *_totals(sums, times), *units)
 
 
 def _ranked(sales: DataFrame, key: str, label: str) -> DataFrame:
