@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
-from strata.session import start
+from strata.session import scratch, start
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -51,7 +51,8 @@ def main(spark: SparkSession, folder: str, names: list[str]) -> bool:
     for name in names or QUERIES:
         began = time.time()
         try:
-            found = differences(QUERIES[name](spark, folder), con, ORACLES[name])
+            with scratch():
+                found = differences(QUERIES[name](spark, folder), con, ORACLES[name])
         except Exception as error:
             found = [f"{type(error).__name__}: {str(error)[:1500]}"]
         good &= not found

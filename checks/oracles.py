@@ -1,6 +1,14 @@
 """The SQL each query is compared with, for DuckDB."""
 
-from strata.fixed_values import BLANKS, LOAD_RULES, MONTHS, QUARTERS, WEEKDAYS
+from strata.fixed_values import (
+    BLANKS,
+    GOLD_AT,
+    LOAD_RULES,
+    MONTHS,
+    QUARTERS,
+    SILVER_AT,
+    WEEKDAYS,
+)
 
 NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
 STRIP = "'" + BLANKS + "'"
@@ -307,6 +315,42 @@ ORACLES: dict[str, str] = {
                CAST(dense_rank() OVER (PARTITION BY {month_of("o_orderdate")}
                                        ORDER BY o_totalprice DESC) AS INTEGER) AS ranking_mes
         FROM orders""",
+    "json_list": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id,
+               CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type
+        FROM events""",
+    "catalog_named_read": CUSTOMERS,
+    "staging_truncated": f"""
+        SELECT CAST(id_producto AS VARCHAR) AS id_producto, nombre, marca, categoria,
+               'a.xlsx' AS _source_file, 'a' AS _source_sheet
+        FROM ({PRODUCTS}) WHERE id_producto % 2 = 0""",
+    "bronze_incremental_load": f"""
+        SELECT place, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey AS VARCHAR) END AS idventa,
+               CAST(o_custkey AS VARCHAR) AS id_cliente, o_orderstatus AS estado,
+               CAST(o_totalprice AS VARCHAR) AS total,
+               CASE WHEN o_totalprice < 100000 THEN 'a.xlsx' ELSE 'b.xlsx' END AS _source_file
+        FROM orders, (SELECT unnest(['target', 'staging']) AS place)
+        WHERE o_totalprice < 100000 OR o_orderstatus <> 'P'""",
+    "dates_mixed": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 3
+               THEN CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) END AS fk_fecha
+        FROM orders""",
+    "stamped": f"""
+        SELECT '{SILVER_AT}' AS layer, '2024-05-06 07:08:09' AS at, count(*) AS n FROM customer
+        UNION ALL
+        SELECT '{GOLD_AT}', '2024-05-06 07:08:09', count(DISTINCT {month_of("o_orderdate")})
+        FROM orders""",
+    "kpi_order": "SELECT row_number() OVER (ORDER BY periodo_yyyymm, ranking_mes, fk_cliente)"
+    " AS place, periodo_yyyymm, ranking_mes, fk_cliente FROM ("
+    + CUSTOMER_KPI.format(
+        keys=month_keys("o_orderdate"),
+        fk="o_custkey",
+        attributes="c_name AS nombre, c_mktsegment AS segmento",
+        where="WHERE c_acctbal >= 0",
+        sums=SUMS,
+        ranked=ranked("fk_cliente"),
+    )
+    + ")",
     "rank_missing": f"""
         SELECT *, CASE WHEN periodo_yyyymm IS NOT NULL AND total_ventas IS NOT NULL
                   THEN CAST(dense_rank() OVER (PARTITION BY periodo_yyyymm
@@ -363,4 +407,47 @@ ORACLES: dict[str, str] = {
         sums=SUMS,
         ranked=ranked("fk_cliente"),
     ),
+    "medallion_kpis": f"""
+        WITH lines AS (
+            SELECT {month_keys("o_orderdate")}, o_custkey, l_partkey, l_quantity,
+                   CAST(l_extendedprice AS DECIMAL(18, 2)) AS amount
+            FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+            JOIN customer ON c_custkey = o_custkey),
+        parts AS (
+            SELECT 'periodo' AS kpi, anio, periodo_yyyymm, CAST(NULL AS BIGINT) AS clave, {SUMS},
+                   NULL AS units FROM lines GROUP BY ALL
+            UNION ALL
+            SELECT 'cliente', anio, periodo_yyyymm, o_custkey, {SUMS}, NULL FROM lines GROUP BY ALL
+            UNION ALL
+            SELECT 'producto', anio, periodo_yyyymm, l_partkey, {SUMS}, sum(l_quantity)
+            FROM lines JOIN part ON p_partkey = l_partkey GROUP BY ALL),
+        keyed AS (
+            SELECT *, sum(CAST(total_ventas AS DECIMAL(18, 2))) OVER (PARTITION BY kpi, clave) AS whole
+            FROM parts)
+        SELECT kpi, periodo_yyyymm, total_ventas, cantidad_transacciones, ticket_promedio, clave,
+               CASE WHEN kpi <> 'periodo' THEN CAST(dense_rank() OVER (
+                   PARTITION BY kpi, periodo_yyyymm ORDER BY total_ventas DESC) AS INTEGER) END AS ranking_mes,
+               CASE WHEN kpi <> 'periodo' THEN CAST(dense_rank() OVER (
+                   PARTITION BY kpi ORDER BY whole DESC) AS INTEGER) END AS ranking_global,
+               CASE WHEN kpi = 'producto' THEN {two("total_ventas / CAST(sum(CAST(total_ventas AS DECIMAL(18, 2))) "
+                   "OVER (PARTITION BY kpi, periodo_yyyymm) AS DOUBLE) * 100")} END AS participacion_mes_pct,
+               CASE WHEN kpi = 'periodo' THEN CAST(sum(CAST(total_ventas AS DECIMAL(18, 2))) OVER (
+                   PARTITION BY kpi, anio, clave IS NULL ORDER BY periodo_yyyymm
+                   ROWS UNBOUNDED PRECEDING) AS DOUBLE) END AS acumulado_anual,
+               CAST(units AS DOUBLE) AS cantidad_unidades
+        FROM keyed""",
+    "bronze_log": """
+        WITH runs AS (SELECT unnest([1, 2]) AS run),
+        sizes AS (SELECT 'regiones' AS name, count(*) AS n FROM region
+                  UNION ALL SELECT 'paises', count(*) FROM nation
+                  UNION ALL SELECT 'clientes', count(*) FROM customer)
+        SELECT '1' AS file_id, name || '.xlsx' AS file_name, 'Hoja' AS sheet_name,
+               name || '__hoja' AS target_table,
+               CASE WHEN run = 1 OR name = 'clientes' THEN n ELSE 0 END AS rows_loaded,
+               CASE WHEN run = 1 OR name = 'clientes' THEN 'SUCCESS' ELSE 'SKIPPED' END AS status,
+               'dev' AS env
+        FROM sizes, runs
+        UNION ALL SELECT '1', 'regiones.xlsx', 'Hoja', 'regiones__hoja', 0, 'SKIPPED', 'dev' FROM runs
+        UNION ALL SELECT '2', 'regiones-b.xlsx', 'Hoja', 'regiones__hoja', 0, 'ERROR', 'dev' FROM runs
+        UNION ALL SELECT '3', 'roto.xlsx', 'Hoja', 'roto__hoja', 0, 'ERROR', 'dev' FROM runs""",
 }

@@ -16,7 +16,7 @@ from strata.operators.clean import clean, column_profiles
 from strata.operators.control import mark_pending
 from strata.operators.coverage import key_coverage, key_sample
 from strata.operators.loads import load_rule, load_unit, new_rows, reset_staging
-from strata.operators.order import dense_ranks
+from strata.operators.order import add_row_number, dense_ranks
 from strata.operators.raw import normalize, normalize_columns, stringify
 from strata.operators.star import (
     calendar,
@@ -26,8 +26,8 @@ from strata.operators.star import (
     fact_columns,
     fact_ventas,
 )
-from strata.plans.run import run
-from strata.session import fresh_path, shared_folder
+from strata.plans.run import failed, run
+from strata.session import new_database, shared_folder, written
 from strata.sources.catalog import read_first, save, table
 from strata.sources.documents import read_documents, records
 from strata.sources.records import SourceRecord
@@ -40,12 +40,6 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def new_database(spark: SparkSession, label: str) -> str:
-    name = f"{label}_{uuid.uuid4().hex}"
-    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
-    return name
-
-
 # The tables in the roles of customers, products and sales.
 
 
@@ -219,13 +213,106 @@ def json_records(spark, folder):
     documents = read(spark, folder, "events").select(
         F.to_json(F.struct(F.array(record).alias("posts"), F.lit(1).alias("total")))
     )
-    landed = fresh_path(spark, "documents")
-    documents.write.text(landed)
+    landed = landing(spark, documents)
     return stringify(records(read_documents(spark, landed, multi_line=False), "posts")).select(
         "event_id", "event_type", "props"
     )
 
 
+def landing(spark, documents):
+    """A folder with the documents, one a line."""
+    text = written(documents.toDF("value"), "documents", "text")
+    return f"{shared_folder(spark)}/{'/'.join(text.inputFiles()[0].split('/')[-3:-1])}"
+
+
+def json_list(spark, folder):
+    """Documents that are a list of records, some of which lack a field."""
+    record = F.struct(
+        "event_id", F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("event_type")
+    )
+    documents = read(spark, folder, "events").select(F.to_json(F.array(record)))
+    landed = landing(spark, documents)
+    return stringify(records(read_documents(spark, landed, multi_line=False))).select(
+        "event_id", "event_type"
+    )
+
+
+def catalog_named_read(spark, folder):
+    """The second of the names looked for, though a keyword would fit another table."""
+    database = new_database(spark, "named")
+    save(customers(spark, folder), database, "clientes__sheet1")
+    save(products(spark, folder), database, "a_clientes_viejos")
+    return read_first(spark, database, ["clientes__hoja", "clientes__sheet1"], "clientes")
+
+
+def staging_truncated(spark, folder):
+    """A staging table that a new run empties before it is filled again."""
+    database = new_database(spark, "truncate")
+    reset_staging(spark, database)
+    staging = LOAD_RULES[1][2]
+    rows = products(spark, folder)
+    load_unit(rows, database, "productos__a", "a.xlsx", "a", staging)
+    reset_staging(spark, database)
+    load_unit(rows.where("id_producto % 2 = 0"), database, "productos__a", "a.xlsx", "a", staging)
+    return table(spark, database, staging).drop(STAGED_AT, INGESTED_AT)
+
+
+def bronze_incremental_load(spark, folder):
+    """A load of new ids, of which many are missing, into a table that has some."""
+    database = new_database(spark, "incremental")
+    reset_staging(spark, database)
+    staging, key = LOAD_RULES[2][2], "idventa"
+    text = orders(spark, folder).withColumn(
+        key, F.when(F.col("estado") != "P", F.col(key).cast("string"))
+    )
+    old = text.where("total < 100000")
+    load_unit(old, database, "ventas__a", "a.xlsx", "a", staging, key)
+    load_unit(text, database, "ventas__a", "b.xlsx", "b", staging, key)
+    columns = ["idventa", "id_cliente", "estado", "total", "_source_file"]
+    target, staged = table(spark, database, "ventas__a"), table(spark, database, staging)
+    return target.select(F.lit("target").alias("place"), *columns).union(
+        staged.select(F.lit("staging").alias("place"), *columns)
+    )
+
+
+def dates_mixed(spark, folder):
+    """Dates in other shapes than year, month, day with hyphens."""
+    day = F.col("o_orderdate")
+    shape = F.col("o_orderkey") % 4
+    text = (
+        F.when(shape == 0, F.date_format(day, "yyyyMMdd"))
+        .when(shape == 1, F.date_format(day, "d/M/yyyy"))
+        .when(shape == 2, F.date_format(day, "yyyy/MM/dd HH:mm"))
+        .otherwise(F.lit("mañana"))
+    )
+    sales = read(spark, folder, "orders").select("o_orderkey", text.alias("fecha"))
+    return fact_columns(sales, day_first=True).select("o_orderkey", "fk_fecha")
+
+
+def stamped(spark, folder):
+    """Rows per layer and load time, where the time is given."""
+    at = dt.datetime(2024, 5, 6, 7, 8, 9)
+    sales, calendar_days = order_fact(spark, folder), days(spark)
+    parts = {
+        SILVER_AT: clean(customers(spark, folder), at),
+        GOLD_AT: kpis.kpi_ventas_por_periodo(sales, calendar_days, at),
+    }
+    counted = [
+        df.groupBy(F.lit(name).alias("layer"), F.col(name).cast("string").alias("at")).count()
+        for name, df in parts.items()
+    ]
+    return counted[0].union(counted[1]).withColumnRenamed("count", "n")
+
+
+def kpi_order(spark, folder):
+    """The rows of a KPI table with their place, as they are returned in order."""
+    kpi = kpis.kpi_ventas_por_cliente(
+        order_fact(spark, folder), gap_customers(spark, folder), days(spark)
+    )
+    rows = add_row_number(kpi.select(kpis.PERIOD, "ranking_mes", "fk_cliente"), "place")
+    return rows
+
+
 def workbook_rows(spark, folder):
     sales = orders(spark, folder)
     files = packed(sales.repartition(spark.sparkContext.defaultParallelism), "Ventas")
@@ -464,6 +551,109 @@ def medallion_run(spark, folder):
     return table(spark, gold, "kpi_ventas_por_cliente").drop(GOLD_AT)
 
 
+def sale_lines(spark, folder):
+    """Sales with products and quantities, among them empty rows."""
+    sales = read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = read(spark, folder, "lineitem").join(sales, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = lines.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("idventa"),
+        F.col("o_custkey").alias("id_cliente"),
+        F.col("l_partkey").alias("id_producto"),
+        F.col("o_orderdate").alias("fecha"),
+        F.col("l_extendedprice").alias("total"),
+        F.col("l_quantity").alias("cantidad"),
+    )
+    empty = read(spark, folder, "nation").select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
+    )
+    return rows.union(empty)
+
+
+def medallion_kpis(spark, folder):
+    """Sale lines through all layers; the rows of all three KPI tables."""
+    bronze, silver, gold = (new_database(spark, layer) for layer in ("bronze", "silver", "gold"))
+    source = Tables(
+        {
+            "clientes": customers(spark, folder),
+            "productos": products(spark, folder),
+            "ventas": sale_lines(spark, folder),
+        }
+    )
+    period = {"start_year": FIRST_YEAR, "end_date": LAST_DAY}
+    options = {
+        "bronze": {"database": bronze},
+        "silver": {"bronze": bronze, "database": silver, **period},
+        "gold": {"silver": silver, "database": gold},
+    }
+    summary = run(spark, "all", [source], options=options)
+    assert not failed(summary) and summary["gold"]["success"] == 3, summary
+    columns = {
+        "clave": "bigint",
+        "ranking_mes": "int",
+        "ranking_global": "int",
+        "participacion_mes_pct": "double",
+        "acumulado_anual": "double",
+        "cantidad_unidades": "double",
+    }
+    parts = []
+    for name, key in (("periodo", None), ("cliente", "fk_cliente"), ("producto", "fk_producto")):
+        kpi = table(spark, gold, f"kpi_ventas_por_{name}")
+        kpi = kpi.withColumnRenamed(key, "clave") if key else kpi
+        more = [
+            (F.col(c) if c in kpi.columns else F.lit(None)).cast(kind).alias(c)
+            for c, kind in columns.items()
+        ]
+        parts.append(
+            kpi.select(
+                F.lit(name).alias("kpi"),
+                kpis.PERIOD,
+                kpis.SALES,
+                kpis.COUNT,
+                kpis.TICKET,
+                *more,
+            )
+        )
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@dataclass
+class Landed:
+    """Units of one run: given tables, one of them twice, one that breaks, and one whose
+    table name is taken."""
+
+    tables: dict[str, DataFrame]
+    source_type: str = "landed"
+
+    def extract(self):
+        def broken():
+            raise ValueError("no sheet")
+
+        at = dt.datetime(2024, 5, 6, tzinfo=dt.timezone.utc)
+        for name, df in self.tables.items():
+            yield SourceRecord(df, f"{name}.xlsx / Hoja", f"{name}__hoja", "1", at)
+        first = next(iter(self.tables))
+        yield SourceRecord(self.tables[first], f"{first}.xlsx / Hoja", f"{first}__hoja", "1", at)
+        yield SourceRecord(self.tables[first], f"{first}-b.xlsx / Hoja", f"{first}__hoja", "2", at)
+        yield SourceRecord(broken, "roto.xlsx / Hoja", "roto__hoja", "3", at)
+
+
+def bronze_log(spark, folder):
+    """The log of two runs over the same units, of which some fail."""
+    database = new_database(spark, "log")
+    source = Landed(
+        {
+            "regiones": read(spark, folder, "region"),
+            "paises": read(spark, folder, "nation"),
+            "clientes": customers(spark, folder),
+        }
+    )
+    summaries = [run(spark, "bronze", [source], options={"bronze": {"database": database}}) for _ in range(2)]
+    assert [s["bronze"]["errors"] for s in summaries] == [2, 2], summaries
+    return table(spark, database, "ingestion_control").select(
+        "file_id", "file_name", "sheet_name", "target_table", "rows_loaded", "status", "env"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_normalize_columns": bronze_normalize_columns,
     "bronze_drop_empty_rows": bronze_drop_empty_rows,
@@ -489,6 +679,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_growth": period_growth,
     "period_ytd": period_ytd,
     "rank_month": rank_month,
+    "json_list": json_list,
+    "catalog_named_read": catalog_named_read,
+    "staging_truncated": staging_truncated,
+    "bronze_incremental_load": bronze_incremental_load,
+    "dates_mixed": dates_mixed,
+    "stamped": stamped,
+    "kpi_order": kpi_order,
     "rank_missing": rank_missing,
     "kpi_small_and_large": kpi_small_and_large,
     "rank_global": rank_global,
@@ -497,4 +694,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_coverage": key_coverage_report,
     "key_sample": key_samples,
     "medallion_run": medallion_run,
+    "medallion_kpis": medallion_kpis,
+    "bronze_log": bronze_log,
 }

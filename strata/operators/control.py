@@ -4,8 +4,9 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.fixed_values import ALWAYS_LOADED
@@ -30,15 +31,15 @@ def ensure_control_table(spark: SparkSession, database: str) -> None:
 
 @dataclass
 class ControlLog:
-    """Log rows of a run, appended together so that a run adds one file."""
+    """Log rows of a run, one for each unit as soon as it is done."""
 
     spark: SparkSession
     database: str
     started_at: datetime
     env: str = "dev"
-    rows: list[tuple] = field(default_factory=list)
+    lock: Lock = field(default_factory=Lock)
 
-    def add(
+    def write(
         self,
         file_name: str,
         sheet_name: str,
@@ -49,21 +50,25 @@ class ControlLog:
         file_id: str | None = None,
         source_modified_at: datetime | None = None,
     ) -> None:
-        self.rows.append(
-            (
-                uuid.uuid4().hex, file_id, file_name, sheet_name, target_table, rows_loaded,
-                status, error_message, self.started_at, now_utc(), source_modified_at,
-                None, self.env,
-            )
+        row = (
+            uuid.uuid4().hex, file_id, file_name, sheet_name, target_table, rows_loaded,
+            status, error_message, self.started_at, now_utc(), source_modified_at,
+            None, self.env,
         )
-
-    def flush(self) -> None:
-        if self.rows:
-            rows = self.spark.createDataFrame(self.rows, CONTROL_SCHEMA).coalesce(1)
+        rows = self.spark.createDataFrame([row], CONTROL_SCHEMA).coalesce(1)
+        # Writers of one table take turns.
+        with self.lock:
             append_rows(
                 rows.withColumn("loaded_by", F.current_user()), self.database, CONTROL_TABLE
             )
-            self.rows = []
+
+
+def always_loaded(force: bool, always: Sequence[str] = ALWAYS_LOADED) -> Column:
+    """Whether a unit is loaded even if it was before, by its ``table_name``."""
+    kept = F.lit(force)
+    for text in always:
+        kept = kept | F.lower("table_name").contains(text)
+    return kept
 
 
 def mark_pending(
@@ -85,13 +90,9 @@ def mark_pending(
         .distinct()
         .withColumn("_done", F.lit(True))
     )
-    lowered = F.lower("table_name")
-    kept = F.lit(force)
-    for text in always:
-        kept = kept | lowered.contains(text)
     return (
         units.join(done, ["file_name", "sheet_name", "modified_at"], "left")
         .withColumn("already_loaded", F.coalesce("_done", F.lit(False)))
-        .withColumn("pending", kept | ~F.col("already_loaded"))
+        .withColumn("pending", always_loaded(force, always) | ~F.col("already_loaded"))
         .select(*units.columns, "already_loaded", "pending")
     )

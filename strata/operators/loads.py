@@ -131,7 +131,7 @@ def load_new(
     if id_column not in existing.columns:
         log.warning("table %s has no column %s and is replaced", name, id_column)
         return save(df, database, name, "replace")
-    with scratch(spark):
+    with scratch():
         incoming = written(df, "incoming")
         # Written before the append, after which they would be new no more.
         fresh = written(new_rows(incoming, existing, id_column), "new_rows")

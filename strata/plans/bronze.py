@@ -3,6 +3,7 @@
 import logging
 from collections.abc import Iterable, Sequence
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
@@ -13,10 +14,12 @@ from strata.functions.scalars import now_utc
 from strata.operators.control import (
     CONTROL_TABLE,
     ControlLog,
+    always_loaded,
     ensure_control_table,
     mark_pending,
 )
 from strata.operators.loads import Rule, load_rule, load_unit, reset_staging
+from strata.plans.parallel import side_by_side
 from strata.sources.catalog import ensure_database, table
 from strata.sources.records import Source, SourceRecord
 
@@ -46,6 +49,7 @@ def plan_units(
         load_rule(F.col("table_name"), rules).alias("rule"),
     )
     marked = mark_pending(units, table(spark, database, CONTROL_TABLE), force, always)
+    marked = marked.withColumn("forced", always_loaded(force, always))
     return marked.orderBy("position").collect()
 
 
@@ -77,23 +81,55 @@ def run_bronze(
             continue
         summary["total"] += len(records)
         control = ControlLog(spark, database, started_at, env)
-        try:
-            for unit in plan_units(spark, records, database, force, rules, always):
-                outcome = _load(records[unit.position], unit, control, database, loaded_at)
-                summary[outcome] += 1
-        finally:
-            control.flush()
+        units = plan_units(spark, records, database, force, rules, always)
+        for outcome in _load_lanes(records, units, control, database, loaded_at):
+            summary[outcome] += 1
     log.info("bronze: %s", summary)
     return summary
 
 
+def _load_lanes(
+    records: Sequence[SourceRecord],
+    units: Sequence[Row],
+    control: ControlLog,
+    database: str,
+    loaded_at: datetime | None,
+) -> list[str]:
+    """Outcomes of all units. Units that write to the same table, staging included, follow
+    each other; others are loaded side by side."""
+    lanes: dict[str, list[Row]] = {}
+    owners: dict[str, str] = {}
+    for unit in units:
+        lanes.setdefault(unit.rule.staging or unit.table_name, []).append(unit)
+        owners.setdefault(unit.table_name, unit.source_name)
+
+    def load_lane(lane: list[Row]) -> list[str]:
+        done: set[tuple] = set()
+        return [
+            _load(records[unit.position], unit, control, database, loaded_at, owners, done)
+            for unit in lane
+        ]
+
+    results = side_by_side({name: partial(load_lane, lane) for name, lane in lanes.items()})
+    outcomes = []
+    for name, result in results.items():
+        if isinstance(result, Exception):
+            raise result
+        outcomes += result
+    return outcomes
+
+
 def _load(
     record: SourceRecord,
     unit: Row,
     control: ControlLog,
     database: str,
     loaded_at: datetime | None,
+    owners: dict[str, str],
+    done: set[tuple],
 ) -> str:
+    """Load one unit and log it at once. ``owners`` says which source has a table name;
+    ``done`` has the units that this run has loaded before."""
     entry = dict(
         file_name=unit.file_name,
         sheet_name=unit.sheet_name,
@@ -101,9 +137,16 @@ def _load(
         file_id=record.source_id,
         source_modified_at=record.modified_at,
     )
-    if not unit.pending:
-        control.add(status="SKIPPED", **entry)
+    key = (unit.file_name, unit.sheet_name, record.modified_at)
+    if not unit.pending or (key in done and not unit.forced):
+        control.write(status="SKIPPED", **entry)
         return "skipped"
+    owner = owners[unit.table_name]
+    if owner != record.source_name:
+        error = f"the table {unit.table_name} belongs to {owner}"
+        log.error("%s not loaded: %s", record.source_name, error)
+        control.write(status="ERROR", error_message=error, **entry)
+        return "errors"
     try:
         rows = load_unit(
             record.rows(),
@@ -117,7 +160,9 @@ def _load(
         )
     except Exception as error:
         log.error("%s not loaded: %s", record.source_name, error)
-        control.add(status="ERROR", error_message=str(error), **entry)
+        control.write(status="ERROR", error_message=str(error), **entry)
         return "errors"
-    control.add(status="SUCCESS", rows_loaded=rows, **entry)
+    control.write(status="SUCCESS", rows_loaded=rows, **entry)
+    if record.modified_at is not None:
+        done.add(key)
     return "success"

@@ -2,8 +2,10 @@
 
 import datetime as dt
 import logging
+from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators.coverage import key_coverage
 from strata.operators.kpis import (
@@ -11,6 +13,7 @@ from strata.operators.kpis import (
     kpi_ventas_por_periodo,
     kpi_ventas_por_producto,
 )
+from strata.plans.parallel import side_by_side
 from strata.session import scratch
 from strata.sources.catalog import ensure_database, read_table, save
 
@@ -26,7 +29,7 @@ def run_gold(
     loaded_at: dt.datetime | None = None,
     report_keys: bool = False,
 ) -> dict[str, int]:
-    """Replace the KPI tables one by one; a failing one does not stop the others.
+    """Replace the KPI tables side by side; a failing one does not stop the others.
     ``report_keys`` also logs how many sales find their customer and product."""
     builders = {
         "kpi_ventas_por_periodo": lambda: kpi_ventas_por_periodo(fact, days, loaded_at),
@@ -45,13 +48,17 @@ def run_gold(
             if f"nk_{entity}" in dim.columns:
                 report = key_coverage(fact, f"fk_{entity}", dim, f"nk_{entity}").first()
                 log.info("keys of %s: %s", entity, report.asDict())
-    for name, build in builders.items():
-        try:
-            with scratch(spark):
-                rows = save(build(), database, name, "replace")
+    saved = side_by_side({k: partial(_saved, b, database, k) for k, b in builders.items()})
+    for name, rows in saved.items():
+        if isinstance(rows, Exception):
+            log.error("%s.%s not built: %s", database, name, rows)
+            summary["errors"] += 1
+        else:
             log.info("%s.%s: %d rows", database, name, rows)
             summary["success"] += 1
-        except Exception as error:
-            log.error("%s.%s not built: %s", database, name, error)
-            summary["errors"] += 1
     return summary
+
+
+def _saved(build: Callable[[], DataFrame], database: str, name: str) -> int:
+    with scratch():
+        return save(build(), database, name, "replace")

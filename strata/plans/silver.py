@@ -2,12 +2,15 @@
 
 import datetime as dt
 import logging
+from collections.abc import Callable, Sequence
+from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from strata.fixed_values import BRONZE_TABLES, FIRST_YEAR, LOAD_RULES
 from strata.operators.clean import clean
 from strata.operators.star import dim_clientes, dim_productos, dim_tiempo, fact_ventas
+from strata.plans.parallel import side_by_side
 from strata.session import scratch
 from strata.sources.catalog import ensure_database, read_first, save
 
@@ -22,13 +25,26 @@ def run_silver(
     start_year: int = FIRST_YEAR,
     end_date: dt.date | None = None,
     loaded_at: dt.datetime | None = None,
+    order_by: dict[str, Sequence[str]] | None = None,
+    day_first: bool = False,
 ) -> dict[str, int]:
-    """Replace the four tables one by one; a failing one does not stop the others."""
+    """Replace the four tables side by side; a failing one does not stop the others.
+    ``order_by`` has the columns that keys follow, by role: clientes, productos, ventas."""
+    sorted_by = order_by or {}
+
+    def rows(name: str) -> DataFrame:
+        if isinstance(cleaned[name], Exception):
+            raise cleaned[name]
+        return cleaned[name]
+
+    def built(build: Callable, name: str, **more) -> DataFrame:
+        return build(rows(name), sorted_by.get(name, ()), loaded_at, **more)
+
     builders = {
-        "dim_clientes": lambda: dim_clientes(cleaned["clientes"], loaded_at=loaded_at),
-        "dim_productos": lambda: dim_productos(cleaned["productos"], loaded_at=loaded_at),
+        "dim_clientes": lambda: built(dim_clientes, "clientes"),
+        "dim_productos": lambda: built(dim_productos, "productos"),
         "dim_tiempo": lambda: dim_tiempo(spark, start_year, end_date, loaded_at),
-        "fact_ventas": lambda: fact_ventas(cleaned["ventas"], loaded_at=loaded_at),
+        "fact_ventas": lambda: built(fact_ventas, "ventas", day_first=day_first),
     }
     summary = {"total": len(builders), "success": 0, "errors": 0}
     ensure_database(spark, database)
@@ -38,14 +54,18 @@ def run_silver(
     if any(df is None for df in raw.values()):
         summary["errors"] = summary["total"]
         return summary
-    cleaned = {k: clean(df, loaded_at) for k, df in raw.items()}
-    for name, build in builders.items():
-        try:
-            with scratch(spark):
-                rows = save(build(), database, name, "replace")
+    cleaned = side_by_side({k: partial(clean, df, loaded_at) for k, df in raw.items()})
+    saved = side_by_side({k: partial(_saved, b, database, k) for k, b in builders.items()})
+    for name, rows in saved.items():
+        if isinstance(rows, Exception):
+            log.error("%s.%s not built: %s", database, name, rows)
+            summary["errors"] += 1
+        else:
             log.info("%s.%s: %d rows", database, name, rows)
             summary["success"] += 1
-        except Exception as error:
-            log.error("%s.%s not built: %s", database, name, error)
-            summary["errors"] += 1
     return summary
+
+
+def _saved(build: Callable[[], DataFrame], database: str, name: str) -> int:
+    with scratch():
+        return save(build(), database, name, "replace")

@@ -3,6 +3,7 @@
 import contextlib
 import contextvars
 import functools
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -48,33 +49,55 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-_to_drop: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("to_drop", default=None)
+# SQL that clears what was made in a ``scratch`` scope, with its session.
+_to_drop: contextvars.ContextVar[list[tuple[SparkSession, str]] | None] = contextvars.ContextVar(
+    "to_drop", default=None
+)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def _at_end(spark: SparkSession, sql: str) -> None:
+    left = _to_drop.get()
+    if left is not None:
+        left.append((spark, sql))
+
+
+def scratch_database(spark: SparkSession) -> str:
+    """A database below the shared folder; another folder has another one."""
+    folder = shared_folder(spark)
+    name = f"{SCRATCH}_{hashlib.md5(folder.encode()).hexdigest()[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}/{name}'")
+    return name
+
+
+def new_database(spark: SparkSession, label: str) -> str:
+    """A database of its own below the shared folder, dropped with the scope."""
+    name = f"{label}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_folder(spark)}/{name}'")
+    _at_end(spark, f"DROP DATABASE IF EXISTS {name} CASCADE")
+    return name
+
+
+def written(df: DataFrame, label: str, kind: str = "parquet") -> DataFrame:
     """Write the rows once as a table in the shared folder and read them back, so
     that later steps and retries see the same rows and values without running the
     plan before them again."""
     spark = df.sparkSession
-    spark.sql(
-        f"CREATE DATABASE IF NOT EXISTS {SCRATCH} LOCATION '{shared_folder(spark)}/{SCRATCH}'"
-    )
-    name = f"{SCRATCH}.{label}_{uuid.uuid4().hex}"
-    df.write.format("parquet").saveAsTable(name)
-    names = _to_drop.get()
-    if names is not None:
-        names.append(name)
+    name = f"{scratch_database(spark)}.{label}_{uuid.uuid4().hex}"
+    _at_end(spark, f"DROP TABLE IF EXISTS {name}")
+    df.write.format(kind).saveAsTable(name)
     return spark.table(name)
 
 
 @contextlib.contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Drop the tables that ``written`` leaves inside, when their result is saved."""
-    names: list[str] = []
-    token = _to_drop.set(names)
+def scratch() -> Iterator[None]:
+    """Drop the tables and databases that are made inside, when their results are saved.
+    Results that are used later need a scope around their use too; without a scope
+    nothing is dropped."""
+    left: list[tuple[SparkSession, str]] = []
+    token = _to_drop.set(left)
     try:
         yield
     finally:
         _to_drop.reset(token)
-        for name in names:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for spark, sql in left:
+            spark.sql(sql)

@@ -26,20 +26,39 @@ def table(spark: SparkSession, database: str, name: str) -> DataFrame:
     return spark.table(quoted(database, name))
 
 
+def _previous(name: str) -> str:
+    return f"{name}__previous"
+
+
+def _recover(spark: SparkSession, database: str, name: str) -> None:
+    """Put a table back whose replacement was cut off, or drop what a finished one left."""
+    if not table_exists(spark, database, _previous(name)):
+        return
+    old = quoted(database, _previous(name))
+    if table_exists(spark, database, name):
+        spark.sql(f"DROP TABLE {old}")
+    else:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {quoted(database, name)}")
+
+
 def _create(df: DataFrame, database: str, name: str) -> int:
-    """Write a new table; without rows none is left behind."""
+    """Write a new table; without rows none is left behind. The new rows are complete
+    before the old ones go, and may be read from them; at every moment one of the two
+    is there, if only under the name that ``_recover`` looks for."""
     spark = df.sparkSession
     temporary = f"new_{uuid.uuid4().hex}"
-    df.write.format("parquet").saveAsTable(quoted(database, temporary))
-    rows = table(spark, database, temporary).count()
-    if rows:
-        # The new rows are complete before the old ones go, and may be read from them.
-        spark.sql(f"DROP TABLE IF EXISTS {quoted(database, name)}")
-        spark.sql(
-            f"ALTER TABLE {quoted(database, temporary)} RENAME TO {quoted(database, name)}"
-        )
-    else:
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.format("parquet").saveAsTable(quoted(database, temporary))
+    rows = seen.get["rows"]
+    if not rows:
         spark.sql(f"DROP TABLE {quoted(database, temporary)}")
+        return rows
+    target, old = quoted(database, name), quoted(database, _previous(name))
+    if table_exists(spark, database, name):
+        spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {quoted(database, temporary)} RENAME TO {target}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
     return rows
 
 
@@ -63,6 +82,7 @@ def save(df: DataFrame, database: str, name: str, if_exists: str = "append") ->
         raise ValueError(f"if_exists must be append, replace or fail, not {if_exists!r}")
     spark = df.sparkSession
     ensure_database(spark, database)
+    _recover(spark, database, name)
     exists = table_exists(spark, database, name)
     if exists and if_exists == "fail":
         if df.isEmpty():
@@ -96,7 +116,10 @@ def read_first(
         found = sorted(
             t.name
             for t in spark.catalog.listTables(quoted(database))
-            if not t.isTemporary and keyword.lower() in t.name.lower() and t.name not in skipped
+            if not t.isTemporary
+            and keyword.lower() in t.name.lower()
+            and t.name not in skipped
+            and not t.name.endswith(_previous(""))
         )
         if found:
             log.info("read %s.%s for %s", database, found[0], keyword)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.fixed_values import NULL_CELLS, WORKBOOK_TYPES
+from strata.fixed_values import LONGEST_TABLE_NAME, NULL_CELLS, WORKBOOK_TYPES
 from strata.functions.names import UNIT_SEPARATOR, header_names, table_name
 from strata.sources.records import SourceRecord
 
@@ -296,7 +296,20 @@ def filter_units(
 
 
 def name_tables(units: DataFrame) -> DataFrame:
-    return units.withColumn("table_name", table_name(F.col("file_name"), F.col("sheet_name")))
+    """Add ``table_name``. Of units whose names would be equal, as long ones are cut, the
+    first by file and sheet has the plain name, the others end in a hash of both."""
+    named = units.withColumn("table_name", table_name(F.col("file_name"), F.col("sheet_name")))
+    own = F.struct("file_name", "sheet_name")
+    first = named.groupBy("table_name").agg(F.min(own).alias("_first"))
+    digest = F.substring(F.md5(F.concat_ws("\n", "file_name", "sheet_name")), 1, 8)
+    marked = F.concat_ws(
+        "_", F.substring("table_name", 1, LONGEST_TABLE_NAME - 9), digest
+    )
+    return (
+        named.join(first, "table_name", "left")
+        .withColumn("table_name", F.when(own != F.col("_first"), marked).otherwise(F.col("table_name")))
+        .select(*units.columns, "table_name")
+    )
 
 
 def _open(spark: SparkSession, path: str) -> DataFrame:

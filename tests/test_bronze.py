@@ -15,7 +15,7 @@ from strata.operators.loads import (
 from strata.operators.raw import normalize, normalize_columns, stringify
 from strata.plans.bronze import run_bronze
 from strata.sources.catalog import ensure_database, read_first, read_table, save, table
-from strata.session import SCRATCH
+from strata.session import scratch_database
 from strata.sources.records import SourceRecord
 
 AT = dt.datetime(2024, 5, 1, tzinfo=dt.UTC)
@@ -141,9 +141,7 @@ def test_scratch_tables_are_dropped(spark, database):
     load_unit(rows.where("idventa = 1"), database, "ventas__a", "f", "s", None, "idventa")
 
     def scratch_tables():
-        if not spark.catalog.databaseExists(SCRATCH):
-            return set()
-        return {t.name for t in spark.catalog.listTables(SCRATCH)}
+        return {t.name for t in spark.catalog.listTables(scratch_database(spark))}
 
     before = scratch_tables()
     assert load_unit(rows, database, "ventas__a", "f", "s", None, "idventa") == 1
@@ -283,10 +281,8 @@ def test_control_log(spark, database):
     ensure_control_table(spark, database)
     ensure_control_table(spark, database)
     control = ControlLog(spark, database, AT)
-    control.add("f", "s", "t", "SUCCESS", rows_loaded=3)
-    control.add("g", "s", "t", "ERROR", error_message="broken")
-    control.flush()
-    control.flush()
+    control.write("f", "s", "t", "SUCCESS", rows_loaded=3)
+    control.write("g", "s", "t", "ERROR", error_message="broken")
     log = table(spark, database, "ingestion_control")
     assert values(log, "file_name", "status", "rows_loaded", "error_message") == [
         ("f", "SUCCESS", 3, None), ("g", "ERROR", 0, "broken"),

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as contract
 from checks.compare import connect, differences
 from checks.queries import QUERIES
+from strata.session import scratch, scratch_database
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -23,9 +24,13 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
-    df = contract.queries()[name](spark, FOLDER)
-    assert differences(df, con, contract.oracle_sql()[name]) == []
+    with scratch():
+        df = contract.queries()[name](spark, FOLDER)
+        assert differences(df, con, contract.oracle_sql()[name]) == []
+    assert spark.catalog.listTables(scratch_database(spark)) == []
+    assert {d.name for d in spark.catalog.listDatabases()} <= {"default", scratch_database(spark)}
 
 
 def test_entry(spark):
-    assert contract.entry(spark).count() > 0
+    with scratch():
+        assert contract.entry(spark).count() > 0

@@ -5,7 +5,7 @@ import pytest
 
 from strata.plans import gold, silver
 from strata.plans.run import failed, run
-from strata.session import SCRATCH
+from strata.session import scratch_database
 from strata.sources.catalog import ensure_database, save, table
 from strata.sources.records import SourceRecord
 
@@ -42,9 +42,7 @@ class Sales:
 
 
 def scratch_tables(spark):
-    if not spark.catalog.databaseExists(SCRATCH):
-        return set()
-    return {t.name for t in spark.catalog.listTables(SCRATCH)}
+    return {t.name for t in spark.catalog.listTables(scratch_database(spark))}
 
 
 def options(names):
@@ -130,3 +128,15 @@ def test_failing_tables_do_not_stop_the_others(spark, names, monkeypatch):
 def test_errors_in_one_layer_do_not_stop_the_next(spark, names):
     summary = run(spark, "all", [], options=options(names))
     assert [summary[layer]["errors"] for layer in ("bronze", "silver", "gold")] == [0, 4, 3]
+
+
+def test_an_interrupted_replace_is_put_back(spark, database):
+    from strata.sources.catalog import save, table
+
+    save(spark.range(3), database, "t")
+    spark.sql(f"ALTER TABLE {database}.t RENAME TO {database}.t__previous")
+    assert save(spark.range(5).toDF("id"), database, "t") == 5
+    assert table(spark, database, "t").count() == 8
+    spark.sql(f"CREATE TABLE {database}.t__previous USING parquet AS SELECT 1 AS id")
+    assert save(spark.range(2), database, "t", "replace") == 2
+    assert [t.name for t in spark.catalog.listTables(database)] == ["t"]

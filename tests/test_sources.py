@@ -209,3 +209,13 @@ def test_json_source(spark, document, database):
     loaded = table(spark, database, "api_x")
     assert sorted((r.id, r.user) for r in loaded.collect()) == [("1", '{"n":"x"}'), ("2", None)]
     assert loaded.first()["_source_file"] == good
+
+
+def test_units_of_one_table_name_keep_their_own(spark):
+    long = "a" * 70
+    rows = [(f"{long}1.xlsx", "x"), (f"{long}2.xlsx", "x"), ("b.xlsx", "x"), ("b.xls", "x"), ("c.xlsx", None)]
+    named = name_tables(spark.createDataFrame(rows, "file_name string, sheet_name string")).collect()
+    names = [r["table_name"] for r in named if r["sheet_name"]]
+    assert len(set(names)) == len(names) == 4
+    assert all(len(n) <= 63 for n in names)
+    assert {"a" * 63, "b__x"} <= set(names)
