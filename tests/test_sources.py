@@ -13,6 +13,7 @@ from strata.sources.workbook import (
     WorkbookFolder,
     filter_units,
     list_workbooks,
+    name_tables,
     read_workbook,
     sheet_cells,
     with_columns,
