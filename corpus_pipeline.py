@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import decontaminate
-from strata.llm.pieces import decode, encode
+from strata.llm.pieces import encode
 from strata.llm.quality import fit_quality, keep_good
 from strata.llm.shared import broadcast_if_small, kept, row_key
 from strata.llm.shingle_join import shingle_join
@@ -78,11 +78,11 @@ def drop_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def to_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
-    return decode(encode(docs.select("doc_id", "text"))).select(
+    return encode(docs.select("doc_id", "text"), verify=True).select(
         "doc_id",
         F.col("_ids").alias("ids"),
         F.size("_ids").cast("bigint").alias("n_tokens"),
-        F.col("_decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+        F.col("_exact").alias("round_trip"),
     )
 
 

@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.llm.shared import kept, session
+from strata.llm.shared import kept, parts, session
 from strata.llm.store import HashStore, write_store
 from strata.llm.words import buffers, byte_values, hash_spans
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MOST_PIECES = 1_000_000  # beyond this a vocabulary is no longer broadcast
+MOST_PIECES = (1 << 20) - 1  # of a vocabulary, which so is small enough to broadcast
 LONG_BYTES = 64
 BLOCK = 128
+SHORT = 60
+WORDS_PER_TASK = 30_000
 
 # Fixed: what an unknown character costs below the worst piece.
 UNKNOWN_PENALTY = 10.0
@@ -27,8 +29,8 @@ UNKNOWN_PENALTY = 10.0
 @dataclass(frozen=True)
 class Pieces:
     """The pieces of a model that may match text, with a space for its mark, and what
-    follows from them: neighbours within a piece, the cost of an unknown character, the
-    id of byte 0, and the bytes of each id for decoding."""
+    follows from them: the cost of an unknown character, the id of byte 0, the bytes of
+    each id for decoding, and whether they are merges (BPE) or scored (unigram)."""
 
     texts: list[str]
     ids: list[int]
@@ -40,8 +42,22 @@ class Pieces:
     merges: bool
 
     @property
-    def pairs(self) -> frozenset[str]:
-        return frozenset(t[i : i + 2] for t in self.texts for i in range(len(t) - 1))
+    def cuts(self) -> "Cuts":
+        pairs = frozenset(t[i : i + 2] for t in self.texts for i in range(len(t) - 1))
+        apart = np.zeros((256, 256), bool)
+        for a in range(128):
+            for b in range(128):
+                apart[a, b] = chr(a) + chr(b) not in pairs
+        return Cuts(pairs, apart)
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """Characters that are side by side in a piece, and for two bytes whether they are
+    ASCII characters that are not."""
+
+    pairs: frozenset[str]
+    apart: np.ndarray
 
 
 def load_pieces(path: str = MODEL) -> Pieces:
@@ -74,6 +90,8 @@ def load_pieces(path: str = MODEL) -> Pieces:
         spelled.append(text.encode())
     if first_byte is None:
         raise ValueError("bytes have no pieces")
+    if len(spelled) > MOST_PIECES or max(map(len, texts)) > 31:
+        raise ValueError("too many or too long pieces")
     return Pieces(
         texts,
         ids,
@@ -95,10 +113,11 @@ def marked(texts: pa.Array) -> pa.Array:
     return pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, spaced)
 
 
-def find_pretokens(data: np.ndarray, begins: np.ndarray, pairs: frozenset[str]):
+def find_pretokens(data: np.ndarray, begins: np.ndarray, cuts: Cuts):
     """Where pre-tokens begin and end, and each text's first. A cut lies before spaces,
-    around line ends and, in long runs, between characters that no piece has side by
-    side. No piece crosses a cut, so the best segmentation of a text is that of its parts.
+    around line ends and between characters that no piece has side by side; beyond ASCII
+    these are looked for in long runs only. No piece crosses a cut, so the best
+    segmentation of a text is that of its parts.
     """
     if not len(data):
         none = np.zeros(0, np.int64)
@@ -106,7 +125,7 @@ def find_pretokens(data: np.ndarray, begins: np.ndarray, pairs: frozenset[str]):
     space, line = data == 32, data == 10
     opens = line.copy()
     opens[begins[begins < len(data)]] = True
-    opens[1:] |= line[:-1] | (space[1:] & ~space[:-1])
+    opens[1:] |= line[:-1] | (space[1:] & ~space[:-1]) | cuts.apart[data[:-1], data[1:]]
     starts = np.flatnonzero(opens)
     ends = np.append(starts[1:], len(data))
     long = np.flatnonzero(ends - starts > LONG_BYTES)
@@ -114,12 +133,12 @@ def find_pretokens(data: np.ndarray, begins: np.ndarray, pairs: frozenset[str]):
         more = [starts]
         for i in long.tolist():
             run = data[starts[i] : ends[i]].tobytes().decode()
-            at, cuts = int(starts[i]), []
+            at, found = int(starts[i]), []
             for a, b in zip(run, run[1:]):
                 at += len(a.encode())
-                if a + b not in pairs:
-                    cuts.append(at)
-            more.append(np.array(cuts, np.int64))
+                if a + b not in cuts.pairs:
+                    found.append(at)
+            more.append(np.array(found, np.int64))
         starts = np.sort(np.concatenate(more))
         ends = np.append(starts[1:], len(data))
     return starts, ends, np.searchsorted(starts, begins)
@@ -134,12 +153,12 @@ def strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     ).cast(pa.string())
 
 
-def _distinct(pairs: frozenset[str]):
+def _distinct(cuts: Cuts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = byte_values(0, False)
         for batch in batches:
             data, begins = buffers(marked(batch.column("_text")))
-            starts, ends, _ = find_pretokens(data, begins, pairs)
+            starts, ends, _ = find_pretokens(data, begins, cuts)
             _, at = np.unique(hash_spans(data, starts, ends, values), return_index=True)
             found = strings(data, starts[at], ends[at])
             yield pa.RecordBatch.from_arrays([found], names=["word"])
@@ -151,12 +170,15 @@ def pretokens(docs: DataFrame, text: str, pieces: Pieces) -> DataFrame:
     """The distinct pre-tokens of all texts, dealt out by ``word``."""
     session(docs)
     texts = docs.select(F.col(f"`{text}`").alias("_text"))
-    return texts.mapInArrow(_distinct(pieces.pairs), "word string").distinct()
+    return texts.mapInArrow(_distinct(pieces.cuts), "word string").distinct()
 
 
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
-    rows = list(zip(pieces.texts, pieces.ids, pieces.scores))
-    return spark.createDataFrame(rows, "piece string, id int, score double")
+    """``rank`` is the place of the score among all, 0 for the best."""
+    places = {score: i for i, score in enumerate(sorted(set(pieces.scores), reverse=True))}
+    ranks = [places[score] for score in pieces.scores]
+    rows = list(zip(pieces.texts, pieces.ids, pieces.scores, ranks))
+    return spark.createDataFrame(rows, "piece string, id int, score double, rank int")
 
 
 # From edges in order of end and start: the best score and the last edge for each end.
@@ -184,41 +206,61 @@ aggregate(sequence(size(best.back) - 1, 1, -1),
 """
 
 
-# The same edges as merges, the best score first and from the left: an edge over just two
-# of the parts that stand makes them one. A merge never scores above the pieces it is made
-# of, so the order of edges is the order of merges. The last of ``at`` is the word's end.
-MERGE = """
-aggregate(array_sort(filter(edges, e -> e.end > e.start + 1),
-    (x, y) -> CASE WHEN x.score > y.score THEN -1 WHEN x.score < y.score THEN 1
-                   WHEN x.start <> y.start THEN x.start - y.start ELSE x.end - y.end END),
+# Edges as merges, the best rank first and from the left: an edge over just two of the parts
+# that stand makes them one. A merge never ranks above the pieces it is made of, so the order
+# of edges is the order of merges. For words of up to SHORT characters an edge is a number,
+# of rank, start (6 bits), length (5 bits) and id (20 bits), and so are the places ``b`` where
+# parts begin and end, a bit each. An edge applies if these are its ends and one between.
+MERGED = """
+aggregate(sorted, shiftleft(2L, last) - 1, (b, e) ->
+  if(bit_count(shiftright(b, CAST(shiftright(e, 25) & 63 AS int))
+               & (shiftleft(2L, CAST(shiftright(e, 20) & 31 AS int)) - 1)) = 3
+     AND (shiftright(b, CAST(shiftright(e, 25) & 63 AS int))
+          & (shiftleft(1L, CAST(shiftright(e, 20) & 31 AS int)) | 1))
+         = (shiftleft(1L, CAST(shiftright(e, 20) & 31 AS int)) | 1),
+     b & ~shiftleft(shiftleft(1L, CAST((shiftright(e, 20) & 31) - 1 AS int)) - 1,
+                    CAST((shiftright(e, 25) & 63) + 1 AS int)),
+     b))
+"""
+
+# Edges with both ends and nothing between stand in the end; from the left. The first test
+# is implied by the second, but spares it, and with two uses of ``b`` the planner leaves its
+# computation outside of the filter.
+STANDING = """
+array_sort(transform(
+  filter(sorted, e -> (shiftright(b, CAST(shiftright(e, 25) & 63 AS int)) & 1) = 1
+                      AND (shiftright(b, CAST(shiftright(e, 25) & 63 AS int))
+                       & (shiftleft(2L, CAST(shiftright(e, 20) & 31 AS int)) - 1))
+                      = (shiftleft(1L, CAST(shiftright(e, 20) & 31 AS int)) | 1)),
+  e -> shiftleft(shiftright(e, 25) & 63, 32) | (e & 1048575)))
+"""
+
+# The same for longer words, with the places themselves. The last of ``at`` is the end.
+MERGED_LONG = """
+aggregate(array_sort(filter(edges, e -> e.end > e.start + 1)),
   named_struct(
     'at', sequence(0, last),
-    'id', transform(filter(edges, e -> e.end = e.start + 1), e -> e.code & 4294967295L)),
+    'id', transform(array_sort(transform(filter(edges, e -> e.end = e.start + 1),
+                                         e -> shiftleft(CAST(e.start AS bigint), 32) | e.id)),
+                    x -> CAST(x & 4294967295L AS int))),
   (s, e) -> if(array_position(s.at, e.start) > 0
                AND get(s.at, cast(array_position(s.at, e.start) + 1 AS int)) = e.end,
     named_struct(
       'at', concat(slice(s.at, 1, cast(array_position(s.at, e.start) AS int)),
                    slice(s.at, cast(array_position(s.at, e.start) + 2 AS int), last + 1)),
       'id', concat(slice(s.id, 1, cast(array_position(s.at, e.start) - 1 AS int)),
-                   array(e.code & 4294967295L),
+                   array(e.id),
                    slice(s.id, cast(array_position(s.at, e.start) + 2 AS int), last + 1))),
     s),
-  s -> transform(s.id, (x, i) -> shiftleft(cast(s.at[i] AS bigint), 32) | x))
+  s -> transform(s.id, (x, i) -> shiftleft(CAST(s.at[i] AS bigint), 32) | x))
 """
 
 
-def segment(words: DataFrame, pieces: Pieces) -> DataFrame:
-    """``word`` and ``ids`` of its segmentation: the one with the best sum of scores for a
-    unigram model; that of the merges for a BPE model, whose scores are ranks.
-
-    Substrings up to the longest piece meet the piece table, which is broadcast as a
-    vocabulary is bounded; the edges of a word come together where the word is, without
-    a shuffle, and are folded. A character without a piece is an edge of its own and
-    becomes its bytes.
-    """
-    spark = words.sparkSession
-    table = piece_table(spark, pieces)
-    table = F.broadcast(table) if len(pieces.texts) <= MOST_PIECES else table
+def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """``word``, ``start``, ``end``, ``score`` and ``id`` of every piece in a word, and of
+    every character without a piece, with id 0. Substrings meet the piece table, which is
+    broadcast as a vocabulary is bounded."""
+    table = F.broadcast(piece_table(words.sparkSession, pieces))
     size = F.length("word")
     whole = F.array(F.struct(F.lit(0).alias("base"), F.col("word").alias("part"), size.alias("own")))
     blocks = F.transform(
@@ -229,36 +271,82 @@ def segment(words: DataFrame, pieces: Pieces) -> DataFrame:
             F.least(F.lit(BLOCK), size - base).alias("own"),
         ),
     )
-    edges = (
+    starts = F.sequence(F.lit(0), F.col("b.own") - 1)
+    lengths = F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("part") - F.col("at")))
+    start = (F.col("base") + F.col("at")).alias("start")
+    return (
         words.where(size > 0)
         .select("word", F.explode_outer(F.when(size <= BLOCK, whole).otherwise(blocks)).alias("b"))
-        .select("word", "b.base", "b.part", F.explode_outer(F.sequence(F.lit(0), F.col("b.own") - 1)).alias("at"))
-        .withColumn(
-            "len",
-            F.explode_outer(
-                F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.length("part") - F.col("at")))
-            ),
-        )
+        .select("word", "b.base", "b.part", F.explode_outer(starts).alias("at"))
+        .withColumn("len", F.explode_outer(lengths))
         .withColumn("piece", F.substring("part", F.col("at") + 1, F.col("len")))
         .join(table, "piece", "left")
         .where("id IS NOT NULL OR len = 1")
+        .select(
+            "word",
+            start,
+            (start + F.col("len")).alias("end"),
+            F.coalesce("score", F.lit(pieces.unknown)).alias("score"),
+            F.coalesce("rank", F.lit(MOST_PIECES)).alias("rank"),
+            F.coalesce("id", F.lit(0)).alias("id"),
+        )
     )
-    start = F.col("base") + F.col("at")
-    edge = F.struct(
-        (start + F.col("len")).alias("end"),
-        start.alias("start"),
-        F.coalesce("score", F.lit(pieces.unknown)).alias("score"),
-        F.shiftleft(start.cast("bigint"), 32)
-        .bitwiseOR(F.coalesce("id", F.lit(0)).cast("bigint"))
-        .alias("code"),
-    )
-    best = edges.groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-    if pieces.merges:
-        best = best.withColumn("last", F.element_at("edges", -1)["end"])
-        best = best.select("word", F.expr(MERGE).alias("path"))
-    else:
+
+
+def _paths(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """``word`` and ``path``: start, in the upper half, and id of each piece."""
+    if not pieces.merges:
+        edge = F.struct(
+            "end",
+            "start",
+            "score",
+            F.shiftleft(F.col("start").cast("bigint"), 32).bitwiseOR(F.col("id")).alias("code"),
+        )
+        best = _edges(words, pieces).groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
         best = best.select("word", F.expr(FOLD).alias("best"))
-        best = best.select("word", F.expr(WALK).alias("path"))
+        return best.select("word", F.expr(WALK).alias("path"))
+    size = F.col("end") - F.col("start")
+    edge = (
+        F.shiftleft(F.col("rank").cast("bigint"), 31)
+        .bitwiseOR(F.shiftleft(F.col("start").cast("bigint"), 25))
+        .bitwiseOR(F.shiftleft(size.cast("bigint"), 20))
+        .bitwiseOR(F.col("id").cast("bigint"))
+    )
+    short = (
+        _edges(words.where(F.length("word") <= SHORT), pieces)
+        .groupBy("word")
+        .agg(F.sort_array(F.collect_list(edge)).alias("sorted"))
+        .withColumn("last", F.length("word"))
+        .withColumn("b", F.expr(MERGED))
+        .select("word", F.expr(STANDING).alias("path"))
+    )
+    edge = F.struct("rank", "start", "end", "id")
+    long = _edges(words.where(F.length("word") > SHORT), pieces)
+    long = (
+        long.groupBy("word")
+        .agg(F.collect_list(edge).alias("edges"))
+        .withColumn("last", F.length("word"))
+        .select("word", F.expr(MERGED_LONG).alias("path"))
+    )
+    return short.union(long)
+
+
+def segment(words: DataFrame, pieces: Pieces) -> DataFrame:
+    """``word`` and ``ids`` of its segmentation: the one with the best sum of scores for a
+    unigram model; that of the merges for a BPE model, whose scores are ranks.
+
+    Substrings up to the longest piece meet the piece table; the edges of a word come
+    together where the word is, without a shuffle, and are folded. A character without a
+    piece is an edge of its own and becomes its bytes. Words are dealt out so that a task
+    groups WORDS_PER_TASK at a time in memory.
+    """
+    words = kept(words, "words")
+    count = words.count()
+    # Else grouping turns to sorting all edges after a few words.
+    words.sparkSession.conf.set(
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(4 * WORDS_PER_TASK)
+    )
+    best = _paths(words.repartition(parts(count, WORDS_PER_TASK), "word"), pieces)
     piece = lambda p: p.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
     def spelled(p):
@@ -304,30 +392,61 @@ def word_store(words: DataFrame, name: str, label: str) -> tuple[HashStore, int]
     raise RuntimeError("words keep clashing")
 
 
-def _encoded(store: HashStore, seed: int, names: list[str], text: str, pairs: frozenset[str]):
+class _Speller:
+    """The text of runs of piece ids."""
+
+    def __init__(self, spelled: list[bytes]):
+        self.size = np.array([len(s) for s in spelled])
+        self.begin = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(spelled), np.uint8)
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """Texts of ``counts`` ids each, without the space that stands first."""
+        long = self.size[ids]
+        end = np.cumsum(long)
+        total = int(end[-1]) if len(end) else 0
+        place = np.arange(total) - np.repeat(end - long - self.begin[ids], long)
+        stop = np.append(0, end)[np.append(0, np.cumsum(counts))]
+        low = np.minimum(stop[:-1] + 1, stop[1:])
+        return strings(self.data[place], low, stop[1:])
+
+
+def _encoded(
+    store: HashStore, seed: int, names: list[str], text: str, cuts: Cuts, spelled: list[bytes] | None
+):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = byte_values(seed, False)
+        speller = _Speller(spelled) if spelled else None
         for batch in batches:
             texts = batch.column(names.index(text))
             data, begins = buffers(marked(texts))
-            starts, ends, firsts = find_pretokens(data, begins, pairs)
+            starts, ends, firsts = find_pretokens(data, begins, cuts)
             words, back = np.unique(hash_spans(data, starts, ends, values), return_inverse=True)
             runs, at = store.runs(words, "ids")
             size = np.diff(at)[back]
             total = np.append(0, np.cumsum(size))
             place = np.arange(total[-1]) - np.repeat(total[:-1] - at[back], size)
+            found, bounds = runs[place], total[firsts]
             ids = pa.ListArray.from_arrays(
-                pa.array(total[firsts].astype(np.int32)), pa.array(runs[place], pa.int32())
+                pa.array(bounds.astype(np.int32)), pa.array(found, pa.int32())
             )
             if texts.null_count:
                 ids = pc.if_else(texts.is_valid(), ids, pa.scalar(None, ids.type))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*names, "_ids"])
+            out, more = [*batch.columns, ids], ["_ids"]
+            if speller:
+                again = speller.texts(found, np.diff(bounds))
+                out.append(pc.equal(again, pc.fill_null(texts.cast(pa.string()), "")))
+                more.append("_exact")
+            yield pa.RecordBatch.from_arrays(out, names=[*names, *more])
 
     return run
 
 
-def encode(docs: DataFrame, text: str = "text", pieces: Pieces | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, text: str = "text", pieces: Pieces | None = None, verify: bool = False
+) -> DataFrame:
     """``docs`` with ``_ids``, the piece ids of its text; columns must have distinct names.
+    ``verify`` adds ``_exact``, whether the ids decode to the text (null counts as empty).
 
     Every distinct pre-token is segmented once, see ``segment``; the result is stored as
     sorted hash arrays, which the tasks that read the texts map and look up, so that
@@ -338,27 +457,21 @@ def encode(docs: DataFrame, text: str = "text", pieces: Pieces | None = None) ->
     pieces = pieces or load_pieces()
     words = segment(pretokens(docs, text, pieces), pieces)
     store, seed = word_store(words, "ids", "segmented")
-    schema = StructType([*docs.schema, *StructType.fromDDL("_ids array<int>")])
-    run = _encoded(store, seed, docs.columns, text, pieces.pairs)
+    added = "_ids array<int>, _exact boolean" if verify else "_ids array<int>"
+    schema = StructType([*docs.schema, *StructType.fromDDL(added)])
+    spelled = pieces.spelled if verify else None
+    run = _encoded(store, seed, docs.columns, text, pieces.cuts, spelled)
     return docs.mapInArrow(run, schema)
 
 
 def _decoded(names: list[str], ids: str, spelled: list[bytes]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = np.array([len(s) for s in spelled])
-        begin = np.cumsum(size) - size
-        data = np.frombuffer(b"".join(spelled), np.uint8)
+        speller = _Speller(spelled)
         for batch in batches:
             column = batch.column(names.index(ids))
             found = column.flatten().to_numpy().astype(np.int64)
             count = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
-            long = size[found]
-            end = np.cumsum(long)
-            place = np.arange(end[-1] if len(end) else 0) - np.repeat(end - long - begin[found], long)
-            whole = data[place]
-            stop = np.append(0, end)[np.append(0, np.cumsum(count))]
-            low = np.minimum(stop[:-1] + 1, stop[1:])  # without the first space
-            texts = strings(whole, low, stop[1:])
+            texts = speller.texts(found, count)
             if column.null_count:
                 texts = pc.if_else(column.is_valid(), texts, pa.scalar(None, texts.type))
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*names, "_decoded"])

@@ -7,7 +7,7 @@ from strata.llm import language_model
 from strata.llm.decontaminate import decontaminate
 from strata.llm.embedding_dedup import link_embeddings
 from strata.llm.html_extract import extract, fit_extractor
-from strata.llm.pieces import decode, encode
+from strata.llm.pieces import encode
 from strata.llm.quality import fit_quality, score_quality
 from strata.llm.quotes import link_quotes
 from strata.llm.shingle_join import shingle_join
@@ -80,11 +80,11 @@ def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every document, and whether decoding gives its text back."""
     texts = _table(spark, folder, "documents").select("doc_id", "text")
-    return decode(encode(texts)).select(
+    return encode(texts, verify=True).select(
         "doc_id",
         F.col("_ids").alias("ids"),
         F.size("_ids").cast("bigint").alias("n_tokens"),
-        F.col("_decoded").eqNullSafe(F.col("text")).alias("round_trip"),
+        F.col("_exact").alias("round_trip"),
     )
 
 

@@ -21,7 +21,7 @@ BROADCAST_ROWS = 400_000
 NUMBERS = 1_000_000
 
 # Rows that cross to Python at once. Texts have no bound, so few of them.
-BATCH_ROWS = 2_000
+BATCH_ROWS = 500
 
 
 def session(df: DataFrame) -> SparkSession:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.pieces import Pieces, find_pretokens, load_pieces, marked, pretokens, word_store
+from strata.llm.pieces import Cuts, Pieces, find_pretokens, load_pieces, marked, pretokens, word_store
 from strata.llm.store import HashStore
 from strata.llm.words import buffers, byte_values, hash_spans
 
@@ -132,12 +132,12 @@ def count_words(words: DataFrame, pieces: Pieces) -> DataFrame:
     return words.sortWithinPartitions("word").mapInArrow(_trie(pieces), "word string, tokens int")
 
 
-def _counted(store: HashStore, seed: int, pairs: frozenset[str]):
+def _counted(store: HashStore, seed: int, cuts: Cuts):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = byte_values(seed, False)
         for batch in batches:
             data, begins = buffers(marked(batch.column("_text")))
-            starts, ends, firsts = find_pretokens(data, begins, pairs)
+            starts, ends, firsts = find_pretokens(data, begins, cuts)
             words, back = np.unique(hash_spans(data, starts, ends, values), return_inverse=True)
             total = np.append(0, np.cumsum(store.numbers(words, "tokens")[back]))
             yield pa.RecordBatch.from_arrays(
@@ -162,5 +162,5 @@ def count_tokens(
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(
-        _counted(store, seed, pieces.pairs), f"_id {kind}, n_tokens bigint, n_pretokens bigint"
+        _counted(store, seed, pieces.cuts), f"_id {kind}, n_tokens bigint, n_pretokens bigint"
     )

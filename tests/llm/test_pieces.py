@@ -2,7 +2,7 @@ import pytest
 import sentencepiece
 from sentencepiece import sentencepiece_model_pb2
 
-from strata.llm.pieces import MODEL, decode, encode, load_pieces, piece_table, pretokens, segment
+from strata.llm.pieces import MODEL, decode, encode, load_pieces, _paths, piece_table, pretokens, segment
 from strata.llm.token_counts import count_tokens
 from tests.llm import brute
 
@@ -44,7 +44,9 @@ def test_ids_are_those_of_the_library(documents, library, prose, pick):
 
 def test_decoding_gives_every_text_back(documents, prose, pick):
     rows = [*enumerate(texts_of(prose, pick)), (900, None), (900, None), (None, "a"), (901, prose(20_000))]
-    found = decode(encode(documents(rows).select("doc_id", "text"))).collect()
+    texts = documents(rows).select("doc_id", "text")
+    assert encode(texts, verify=True).where("_exact").count() == len(rows)
+    found = decode(encode(texts)).collect()
     assert len(found) == len(rows)
     for r in found:
         assert r["_decoded"] == r["text"]
@@ -97,6 +99,6 @@ def test_empty_table(documents):
 def test_edges_need_no_shuffle_of_their_own(documents):
     pieces = load_pieces()
     words = pretokens(documents([(1, "a b")]), "text", pieces)
-    plan = segment(words, pieces)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    plan = _paths(words, pieces)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # of short and long words
     assert piece_table(words.sparkSession, pieces).count() == len(pieces.texts)
