@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.llm.components import components
-from strata.llm.shared import broadcast_if_small, grouped, kept, session
+from strata.llm.shared import NUMBERS, broadcast_if_small, grouped, kept, session
 from strata.llm.words import (
+    MULTIPLIER,
     buffers,
     byte_values,
     constants,
@@ -68,12 +69,13 @@ def _sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     return found, np.searchsorted(owner, np.arange(len(firsts)))
 
 
-def _class(found: np.ndarray) -> str:
-    return hashlib.md5(found.tobytes()).hexdigest()
+def _class(found: np.ndarray) -> bytes:
+    return hashlib.md5(found.tobytes()).digest()
 
 
 def _minima(found: np.ndarray, firsts: np.ndarray, spec: Tables) -> np.ndarray:
-    """A key per text and table, from the minima of ``rows`` hash functions."""
+    """A key per text and table, from the minima of ``rows`` hash functions. Keys of
+    different tables differ."""
     full = np.flatnonzero(np.diff(firsts) > 0)
     keys = np.zeros((len(firsts) - 1, spec.tables), np.uint64)
     if not len(full):
@@ -87,7 +89,7 @@ def _minima(found: np.ndarray, firsts: np.ndarray, spec: Tables) -> np.ndarray:
             spread ^= spread >> np.uint64(29)
             least = np.minimum.reduceat(spread, firsts[full])
             keys[full, table] += mix(least) * order[row]
-    return mix(keys)
+        return mix(keys + np.arange(1, spec.tables + 1, dtype=np.uint64) * MULTIPLIER) | np.uint64(1)
 
 
 def _signatures(columns: list[str], schema: pa.Schema, spec: Tables):
@@ -106,7 +108,7 @@ def _signatures(columns: list[str], schema: pa.Schema, spec: Tables):
                 pa.array(keys.ravel()),
             )
             out = [batch.column(c) for c in columns]
-            out += [pa.array(names, pa.string()), pa.array(sizes.astype(np.int32)), lists]
+            out += [pa.array(names, pa.binary()), pa.array(sizes.astype(np.int32)), lists]
             yield pa.RecordBatch.from_arrays(out, names=schema)
 
     return run
@@ -119,7 +121,7 @@ def _payloads(words: int):
             parts = [found[a:b] for a, b in zip(firsts[:-1], firsts[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_class(p) for p in parts], pa.string()),
+                    pa.array([_class(p) for p in parts], pa.binary()),
                     pa.array([p.tobytes() for p in parts], pa.binary()),
                 ],
                 names=["cls", "found"],
@@ -191,7 +193,7 @@ def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np
 def _verify(similarity: float, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in grouped(batches, ["bucket", "bi", "bj"]):
-            names = np.array(rows.column("cls").to_pylist())
+            names = np.array(rows.column("cls").to_pylist(), object)
             block = rows.column("block").to_numpy()
             copies = rows.column("copies").to_numpy()
             sets = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("found")]
@@ -226,8 +228,8 @@ def _verify(similarity: float, tables: int):
             some = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(names[some].tolist(), pa.string()),
-                    pa.array(root[some].tolist(), pa.string()),
+                    pa.array(names[some].tolist(), pa.binary()),
+                    pa.array(root[some].tolist(), pa.binary()),
                     pa.array(links[some]),
                 ],
                 names=["cls", "root", "links"],
@@ -246,7 +248,7 @@ def links(source: DataFrame, columns: list[str], spec: Tables) -> Links:
     into blocks, so that a task holds two blocks, and only sums leave them.
     """
     session(source)
-    more = StructType.fromDDL("cls string, n int, keys array<bigint>")
+    more = StructType.fromDDL("cls binary, n int, keys array<bigint>")
     schema = StructType([*(source.schema[c] for c in columns), *more])
     names = [*columns, "cls", "n", "keys"]
     rows = kept(
@@ -260,27 +262,27 @@ def links(source: DataFrame, columns: list[str], spec: Tables) -> Links:
         .agg(F.count(F.lit(1)).alias("copies"), first),
         "classes",
     )
+    # Keys alone find out which meet at all; most do not, and only the rest goes on.
     keyed = classes.select("cls", "n", F.posexplode("keys").alias("tree", "key"))
+    met = kept(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "met")
+    keyed = kept(keyed.join(broadcast_if_small(met, met.count(), NUMBERS), "key"), "keyed")
     member = F.xxhash64("cls")
     groups = (
-        keyed.groupBy("tree", "key")
+        keyed.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("rows"),
             F.sum("n").alias("total"),
             F.bit_xor(member).alias("members"),
             F.min("cls").alias("low"),
         )
-        .where("rows > 1")
         .groupBy("rows", "total", "members", "low")
-        .agg(F.min(F.struct("tree", "key")).alias("at"))
+        .agg(F.min("key").alias("key"))
     )
     blocks = F.ceil(F.greatest(F.col("rows") / BLOCK_ROWS, F.col("total") / BLOCK_SHINGLES))
-    groups = groups.select("at.tree", "at.key", blocks.cast("int").alias("blocks"))
-    place = F.struct(
-        "tree", F.xxhash64("tree", "key").bitwiseOR(F.lit(1)).alias("bucket"), "blocks"
-    )
+    groups = groups.select("key", blocks.cast("int").alias("blocks"))
+    place = F.struct("tree", F.col("key").alias("bucket"), "blocks")
     places = kept(
-        keyed.join(groups, ["tree", "key"])
+        keyed.join(groups, "key")
         .groupBy("cls")
         .agg(F.sort_array(F.collect_list(place)).alias("places"))
         .join(classes.select("cls", "copies", "first"), "cls"),
@@ -293,7 +295,7 @@ def links(source: DataFrame, columns: list[str], spec: Tables) -> Links:
         .alias("s")
         .join(broadcast_if_small(wanted, places.count()).alias("w"), same, "left_semi")
         .select("_text")
-        .mapInArrow(_payloads(spec.words), "cls string, found binary")
+        .mapInArrow(_payloads(spec.words), "cls binary, found binary")
         .dropDuplicates(["cls"])
     )
     members = (
@@ -305,7 +307,7 @@ def links(source: DataFrame, columns: list[str], spec: Tables) -> Links:
     )
     found = kept(
         in_blocks(members, "cls", "blocks", ["bucket"]).mapInArrow(
-            _verify(spec.similarity, spec.tables), "cls string, root string, links bigint"
+            _verify(spec.similarity, spec.tables), "cls binary, root binary, links bigint"
         ),
         "links",
     )

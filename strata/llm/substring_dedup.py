@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.llm.shared import broadcast_if_small, kept, row_key, session
+from strata.llm.shared import NUMBERS, broadcast_if_small, kept, row_key, session
 from strata.llm.similarity import Tables, links
 from strata.llm.words import (
     MULTIPLIER,
@@ -31,9 +31,6 @@ WHOLE_WORDS = 40  # longer paragraphs are cut into pieces
 PIECE_WORDS = 3
 REACH = 5
 
-# Rows of one number each that may be broadcast.
-NUMBERS = 1_000_000
-
 
 def tune_bands(similarity: float, recall: float = RECALL, most: int = MOST_BANDS) -> tuple[int, int]:
     """Bands and rows: the most rows, so the fewest chance meetings, with which no more
