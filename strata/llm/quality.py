@@ -16,7 +16,8 @@ SAMPLE_ROWS = 20_000
 CUTS = [0.001, 0.005, 0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98, 0.995, 0.999]
 ROUNDS = 800
 STEP = 0.05
-SHRINK = 1e-5
+SHRINK = 0.2  # shared by all positives
+LEAST_BEYOND = 5  # positives below the first edge and above the last
 
 # Kinds of bytes: letters, digits, blanks, then marks that prose uses rarely.
 KINDS = [
@@ -105,7 +106,9 @@ def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Mode
     """
     both = np.vstack([positive, unlabelled])
     # Edges follow the positives, so that what they hardly ever show has bins of its own.
-    edges = np.quantile(positive, CUTS, axis=0).T
+    margin = min(LEAST_BEYOND / len(positive), 0.5)
+    cuts = np.clip(CUTS, margin, 1 - margin)
+    edges = np.quantile(positive, cuts, axis=0).T
     edges[:, len(CUTS) // 2 :] = np.nextafter(edges[:, len(CUTS) // 2 :], np.inf)
     bins = _bins(both, edges)
     width = edges.shape[1] + 1
@@ -128,7 +131,7 @@ def fit_rows(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Mode
             pull[:n] = prior * chance[:n] / n
             pull[n:] = -chance[n:] / len(unlabelled)
         slope = np.bincount(flat.ravel(), np.repeat(pull, flat.shape[1]), len(weights))
-        slope = np.append(slope + SHRINK * weights, pull.sum())
+        slope = np.append(slope + SHRINK / n * weights, pull.sum())
         moment = 0.9 * moment + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
         move = STEP * (moment / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)

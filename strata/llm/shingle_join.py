@@ -56,8 +56,8 @@ def shingle_join(
         "_hash",
         F.when(F.col("cls").isNull(), F.col("_id")).otherwise(F.col("lowest")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce(
-            F.col("winner._id").eqNullSafe(F.col("_id")) & (F.col("winner._hash") == F.col("_hash")),
-            F.lit(True),
+        (
+            F.col("cls").isNull()
+            | F.col("winner").eqNullSafe(F.struct("_id", "_hash"))
         ).alias("kept"),
     )
