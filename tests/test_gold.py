@@ -24,9 +24,10 @@ def days(spark):
 def fact(spark):
     return spark.createDataFrame(
         [
-            (1, 10, 100, 20240115, 50000.0, 2), (2, 10, 200, 20240220, 30000.0, 1),
-            (3, 20, 100, 20240315, 70000.0, 3), (4, 20, 200, 20240415, 20000.0, 1),
-            (5, 30, 100, 20240115, 45000.0, 2), (6, 10, 100, 20240220, 60000.0, 3),
+            (1, 10, 200, 20240103, 12.5, 5), (2, 30, 100, 20240119, 40.0, 2),
+            (3, 20, 100, 20240207, 7.25, 1), (4, 30, 200, 20240528, 100.0, 4),
+            (5, 20, 200, 20240528, 60.5, 2), (6, 10, 100, 20240531, 60.5, 3),
+            (7, 10, 100, 20240209, 20.75, 1),
         ],
         FACT,
     )
@@ -35,7 +36,7 @@ def fact(spark):
 @pytest.fixture(scope="module")
 def customers(spark):
     return spark.createDataFrame(
-        [(1, 10, "CLIENTE A", "MEDELLIN"), (2, 20, "CLIENTE B", "BOGOTA"), (3, 30, "CLIENTE C", "CALI")],
+        [(1, 10, "LUNA", "SALTA"), (2, 20, "RIO", "CUSCO"), (3, 30, "SOL", "QUITO")],
         "sk_cliente int, nk_cliente int, nombre string, ciudad string",
     )
 
@@ -43,7 +44,7 @@ def customers(spark):
 @pytest.fixture(scope="module")
 def products(spark):
     return spark.createDataFrame(
-        [(1, 100, "PRODUCTO X", "CAT A"), (2, 200, "PRODUCTO Y", "CAT B")],
+        [(1, 100, "MESA", "HOGAR"), (2, 200, "LAMPARA", "LUZ")],
         "sk_producto int, nk_producto int, nombre string, categoria string",
     )
 
@@ -63,12 +64,11 @@ def test_periods(fact, days):
         "_gold_loaded_at",
     ]
     assert rows(kpi, *kpi.columns[5:11]) == [
-        (202401, 95000.0, 2, 47500.0, None, 95000.0),
-        (202402, 90000.0, 2, 45000.0, -5.26, 185000.0),
-        (202403, 70000.0, 1, 70000.0, -22.22, 255000.0),
-        (202404, 20000.0, 1, 20000.0, -71.43, 275000.0),
+        (202401, 52.5, 2, 26.25, None, 52.5),
+        (202402, 28.0, 2, 14.0, -46.67, 80.5),
+        (202405, 221.0, 3, 73.67, 689.29, 301.5),
     ]
-    assert rows(kpi, "mes_nombre", "trimestre_nombre")[3] == ("ABRIL", "SEGUNDO TRIMESTRE")
+    assert rows(kpi, "mes_nombre", "trimestre_nombre")[2] == ("MAYO", "SEGUNDO TRIMESTRE")
 
 
 def sales(spark, data, schema=FACT):
@@ -136,11 +136,13 @@ def test_customers(fact, customers, days):
         "cantidad_transacciones", "ticket_promedio", "ranking_mes", "ranking_global", "_gold_loaded_at",
     ]
     assert rows(kpi, *kpi.columns[3:12]) == [
-        (202401, 10, "CLIENTE A", "MEDELLIN", 50000.0, 1, 50000.0, 1, 1),
-        (202401, 30, "CLIENTE C", "CALI", 45000.0, 1, 45000.0, 2, 3),
-        (202402, 10, "CLIENTE A", "MEDELLIN", 90000.0, 2, 45000.0, 1, 1),
-        (202403, 20, "CLIENTE B", "BOGOTA", 70000.0, 1, 70000.0, 1, 2),
-        (202404, 20, "CLIENTE B", "BOGOTA", 20000.0, 1, 20000.0, 1, 2),
+        (202401, 30, "SOL", "QUITO", 40.0, 1, 40.0, 1, 1),
+        (202401, 10, "LUNA", "SALTA", 12.5, 1, 12.5, 2, 2),
+        (202402, 10, "LUNA", "SALTA", 20.75, 1, 20.75, 1, 2),
+        (202402, 20, "RIO", "CUSCO", 7.25, 1, 7.25, 2, 3),
+        (202405, 30, "SOL", "QUITO", 100.0, 1, 100.0, 1, 1),
+        (202405, 10, "LUNA", "SALTA", 60.5, 1, 60.5, 2, 2),
+        (202405, 20, "RIO", "CUSCO", 60.5, 1, 60.5, 2, 3),
     ]
 
 
@@ -176,9 +178,9 @@ def test_missing_and_repeated_customers(spark, days):
 def test_dimension_without_attributes_or_key(spark, fact, customers, days):
     keys = customers.select("nk_cliente").where("nk_cliente < 30")
     found = rows(kpis.kpi_ventas_por_cliente(fact, keys, days), "fk_cliente", "total_ventas")
-    assert (30, 45000.0) in found and len(found) == 5
+    assert (30, 40.0) in found and len(found) == 7
     no_key = kpis.kpi_ventas_por_cliente(fact, customers.drop("nk_cliente"), days)
-    assert no_key.columns[4:6] == ["fk_cliente", "total_ventas"] and no_key.count() == 5
+    assert no_key.columns[4:6] == ["fk_cliente", "total_ventas"] and no_key.count() == 7
 
 
 def test_attribute_names_that_are_taken(fact, customers, days):
@@ -189,9 +191,9 @@ def test_attribute_names_that_are_taken(fact, customers, days):
 
 def test_text_keys(spark, fact, customers, days):
     padded = customers.withColumn("nk_cliente", F.concat(F.lit(" "), "nk_cliente", F.lit(" ")))
-    assert kpis.kpi_ventas_por_cliente(fact, padded, days).count() == 5
+    assert kpis.kpi_ventas_por_cliente(fact, padded, days).count() == 7
     as_double = fact.withColumn("fk_cliente", F.col("fk_cliente").cast("double"))
-    assert kpis.kpi_ventas_por_cliente(as_double, padded, days).count() == 5
+    assert kpis.kpi_ventas_por_cliente(as_double, padded, days).count() == 7
 
 
 def brute_force(sales, dim, days):
@@ -264,11 +266,11 @@ def test_products(fact, products, days):
         "ranking_global", "participacion_mes_pct", "_gold_loaded_at",
     ]
     assert rows(kpi, *kpi.columns[3:5], *kpi.columns[7:14]) == [
-        (202401, 100, 95000.0, 2, 47500.0, 4.0, 1, 1, 100.0),
-        (202402, 100, 60000.0, 1, 60000.0, 3.0, 1, 1, 66.67),
-        (202402, 200, 30000.0, 1, 30000.0, 1.0, 2, 2, 33.33),
-        (202403, 100, 70000.0, 1, 70000.0, 3.0, 1, 1, 100.0),
-        (202404, 200, 20000.0, 1, 20000.0, 1.0, 1, 2, 100.0),
+        (202401, 100, 40.0, 1, 40.0, 2.0, 1, 2, 76.19),
+        (202401, 200, 12.5, 1, 12.5, 5.0, 2, 1, 23.81),
+        (202402, 100, 28.0, 2, 14.0, 2.0, 1, 2, 100.0),
+        (202405, 200, 160.5, 2, 80.25, 6.0, 1, 1, 72.62),
+        (202405, 100, 60.5, 1, 60.5, 3.0, 2, 2, 27.38),
     ]
 
 
@@ -302,6 +304,6 @@ def test_key_coverage(spark, fact, customers):
     )
     report = key_coverage(more, "fk_cliente", customers, "nk_cliente").first().asDict()
     assert report == {
-        "rows": 9, "rows_without_key": 1, "unmatched_rows": 3, "distinct_keys": 4, "unmatched_keys": 1,
+        "rows": 10, "rows_without_key": 1, "unmatched_rows": 3, "distinct_keys": 4, "unmatched_keys": 1,
     }
     assert rows(key_sample(more, "fk_cliente", 2), "key") == [(10,), (20,)]
