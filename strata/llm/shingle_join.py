@@ -48,13 +48,13 @@ def shingle_join(
     at = prefix_depth(recall, trees, depth, similarity)
     found = links(source, ["_id", "_hash"], Tables(trees, at, words, similarity))
     groups = found.classes.groupBy("root").agg(
-        F.min("first").alias("winner"), F.min("first._id").alias("lowest")
+        F.min("first").alias("winner"), F.min("lowest").alias("class_id")
     )
-    known = found.classes.join(groups, "root").select("cls", "n_links", "winner", "lowest")
+    known = found.classes.join(groups, "root").select("cls", "n_links", "winner", "class_id")
     return found.rows.join(known, "cls", "left").select(
         "_id",
         "_hash",
-        F.when(F.col("cls").isNull(), F.col("_id")).otherwise(F.col("lowest")).alias("class_id"),
+        F.when(F.col("cls").isNull(), F.col("_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
         (
             F.col("cls").isNull()

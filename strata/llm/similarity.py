@@ -48,8 +48,9 @@ class Tables:
 
 @dataclass(frozen=True)
 class Links:
-    """``rows``: the given columns and cls; ``classes``: cls, copies, n_links of one
-    copy, root of the component."""
+    """``rows``: the given columns and cls; ``classes``: cls, copies, the first row (a
+    missing value comes first), the lowest value of the first column (a missing one does
+    not count), n_links of one copy, root of the component."""
 
     rows: DataFrame
     classes: DataFrame
@@ -259,7 +260,7 @@ def links(source: DataFrame, columns: list[str], spec: Tables) -> Links:
     classes = kept(
         rows.where("cls IS NOT NULL")
         .groupBy("cls", "n", "keys")
-        .agg(F.count(F.lit(1)).alias("copies"), first),
+        .agg(F.count(F.lit(1)).alias("copies"), first, F.min(columns[0]).alias("lowest")),
         "classes",
     )
     # Keys alone find out which meet at all; most do not, and only the rest goes on.
@@ -314,13 +315,14 @@ def links(source: DataFrame, columns: list[str], spec: Tables) -> Links:
     counts = found.groupBy("cls").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")))
     described = (
-        classes.select("cls", "copies", "first")
+        classes.select("cls", "copies", "first", "lowest")
         .join(counts, "cls", "left")
         .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
         .select(
             "cls",
             "copies",
             "first",
+            "lowest",
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
             F.coalesce("root", "cls").alias("root"),
         )
