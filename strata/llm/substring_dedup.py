@@ -139,7 +139,8 @@ def repeated_pieces(source: DataFrame) -> DataFrame:
     )
     rows = kept(rows.join(broadcast_if_small(again, again.count(), NUMBERS), "piece"), "pieces")
     where = F.struct("_id", "_hash", "low")
-    first = rows.groupBy("piece", "check").agg(F.min(where).alias("first"))
+    # Written, so that the join deals its rows anew and a piece with many can be split.
+    first = kept(rows.groupBy("piece", "check").agg(F.min(where).alias("first")), "firsts")
     return (
         rows.join(first, ["piece", "check"])
         .where(~F.col("first").eqNullSafe(where))
@@ -273,10 +274,10 @@ def remove_passages(
         .agg(F.max("_lines").alias("_lines"), F.max_by("_at", F.size("_at")).alias("_at")),
         "marks",
     )
-    size = marks.agg(F.sum(F.greatest(F.size("_lines"), F.lit(0)) + F.greatest(F.size("_at"), F.lit(0)))).first()[0]
     names = docs.columns
     keyed = docs.select(F.struct("*").alias("_row"), *row_key(doc_id, text)).alias("d")
-    m = broadcast_if_small(marks, size or 0, NUMBERS).alias("m")
+    # Texts are shuffled once, at any size: marks grow with the texts.
+    m = marks.hint("merge").alias("m")
     same = F.col("d._id").eqNullSafe(F.col("m._id")) & (F.col("d._hash") == F.col("m._hash"))
     joined = keyed.join(m, same, "left").select("_row.*", "m._lines", "m._at")
     more = StructType.fromDDL("_spans bigint, _removed bigint")
