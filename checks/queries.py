@@ -1,7 +1,6 @@
 """One query per operator, each over whole tables."""
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
