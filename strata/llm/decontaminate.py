@@ -1,6 +1,5 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only."""
 
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
