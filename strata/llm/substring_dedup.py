@@ -1,5 +1,5 @@
-"""Repeated passages: paragraphs that copy others nearly, and pieces that repeat inside
-other text, are removed from all documents but one."""
+"""Repeated passages: paragraphs that copy others nearly, and runs of words that repeat
+inside other text, are removed from all documents but one."""
 
 import math
 from collections.abc import Iterator
@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from strata.llm.shared import NUMBERS, broadcast_if_small, kept, row_key, session
 from strata.llm.similarity import Tables, links
+from strata.llm.store import HashStore, write_store
 from strata.llm.words import (
     MULTIPLIER,
     buffers,
@@ -27,9 +28,7 @@ MOST_BANDS = 8
 RECALL = 0.99
 LEAST_WORDS = 25  # of a run that is removed
 PARAGRAPH_WORDS = 10  # shorter paragraphs are no candidates for near copies
-WHOLE_WORDS = 40  # longer paragraphs are cut into pieces
-PIECE_WORDS = 3
-REACH = 5
+PIECE_WORDS = 3  # of a line that counts beside other marked words
 
 
 def tune_bands(similarity: float, recall: float = RECALL, most: int = MOST_BANDS) -> tuple[int, int]:
@@ -54,98 +53,166 @@ def _lines(data: np.ndarray, begins: np.ndarray, starts: np.ndarray) -> np.ndarr
     return line[starts] + text
 
 
-def pieces(texts: pa.Array):
-    """Pieces of whole paragraphs: where each begins and ends in its text, in bytes, its
-    words, text and two hashes.
+class Spans:
+    """Hashes of any words in a row, of sums that end at each word."""
 
-    A long paragraph is cut before a word whose hash, with the next word's, is the least
-    within REACH words on both sides. The cut depends on these words alone, so a passage
-    is cut alike wherever it stands.
+    def __init__(self, hashes: np.ndarray):
+        n = len(hashes)
+        with np.errstate(over="ignore"):
+            self.sums = np.append(np.uint64(0), np.cumsum(hashes * powers(n)[:n], dtype=np.uint64))
+        self.back = powers(n + 1, np.uint64(pow(int(MULTIPLIER), -1, 1 << 64)))
+
+    def hash(self, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            own = (self.sums[at + size] - self.sums[at]) * self.back[at]
+            return mix(own + np.asarray(size).astype(np.uint64) * MULTIPLIER)
+
+
+def _least_places(values: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of every ``width`` values in a row is, the first of equal ones."""
+    place, reach = np.arange(len(values)), 1
+    while reach < width:
+        step = min(reach, width - reach)
+        a, b = place[:-step], place[step:]
+        place = np.where(values[a] <= values[b], a, b)
+        reach += step
+    return place
+
+
+class Blocks:
+    """Blocks of whole texts: text, first word in it, words, two hashes, and the hashes of
+    the windows in each.
+
+    A window is ``least`` words in a row, line ends or not, and its anchor the least hash
+    of a few words in a row inside it. Windows in a row with the anchor at one place are a
+    block. Equal windows have equal anchors, so a block without an anchor in common with
+    others repeats nowhere. Shorter lines are blocks of their own, without windows.
     """
-    data, begins = buffers(texts)
-    starts, ends, firsts = find_words(data, begins)
-    n = len(starts)
-    if not n:
-        none = np.zeros(0, np.int64)
-        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    hashes = hash_spans(data, starts, ends, byte_values())
-    line = _lines(data, begins, starts)
-    opens = np.ones(n, bool)
-    opens[1:] = line[1:] != line[:-1]
-    at = np.flatnonzero(opens)
-    number = np.cumsum(opens) - 1
-    size = np.diff(np.append(at, n))
-    with np.errstate(over="ignore"):
-        after = np.append(hashes[1:], np.uint64(0))
-        after[np.append(opens[1:], True)] = 0
-        pair = mix(hashes * MULTIPLIER + after)
-        # Between paragraphs, values that are never the least.
-        place = np.arange(n) + REACH * (number + 1)
-        padded = np.full(n + REACH * (len(at) + 1), np.iinfo(np.uint64).max, np.uint64)
-        padded[place] = pair
-        least = np.ones(n, bool)
-        for d in range(1, REACH + 1):
-            least &= (pair < padded[place - d]) & (pair < padded[place + d])
-        cut = opens | (least & (size[number] > WHOLE_WORDS))
-        at = np.flatnonzero(cut)
+
+    def __init__(self, texts: pa.Array, least: int):
+        data, begins = buffers(texts)
+        starts, ends, firsts = find_words(data, begins)
+        n = len(starts)
+        hashes = hash_spans(data, starts, ends, byte_values())
+        spans = Spans(hashes)
+        line = _lines(data, begins, starts)
+        at = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if n else np.zeros(0, np.int64)
         size = np.diff(np.append(at, n))
-        within = np.arange(n) - np.repeat(at, size)
-        power = powers(int(size.max()))[within]
-        first = mix(np.add.reduceat(hashes * power, at))
-        second = mix(np.add.reduceat(mix(hashes ^ constants(1, 23)[0]) * power, at))
-    text = np.searchsorted(firsts, at, side="right") - 1
-    long = size >= PIECE_WORDS
-    low = starts[at] - begins[text]
-    high = ends[at + size - 1] - begins[text]
-    return low[long], high[long], size[long], text[long], first[long], second[long]
-
-
-def _numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        number, times = np.unique(pieces(batch.column("_text"))[4], return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(number.view(np.int64)), pa.array(times)], names=["piece", "times"]
-        )
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        low, high, _, text, first, second = pieces(batch.column("_text"))
-        own = pa.array(text)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("_id").take(own),
-                batch.column("_hash").take(own),
-                pa.array(low),
-                pa.array(high),
-                pa.array(first.view(np.int64)),
-                pa.array(second.view(np.int64)),
-            ],
-            names=["_id", "_hash", "low", "high", "piece", "check"],
-        )
-
-
-def repeated_pieces(source: DataFrame) -> DataFrame:
-    """``_id``, ``_hash``, ``low`` and ``high`` of every piece that also stands earlier:
-    in a smaller id, or before it in the same text."""
-    counted = source.select("_text").mapInArrow(_numbers, "piece bigint, times bigint")
-    again = kept(
-        counted.groupBy("piece").agg(F.sum("times").alias("times")).where("times > 1").select("piece"),
-        "repeated",
-    )
+        short = (size >= PIECE_WORDS) & (size < least)
+        at, size = at[short], size[short]
+        with np.errstate(over="ignore"):
+            anchor = mix(spans.hash(at, size) + MULTIPLIER)
+        check = Spans(mix(hashes ^ constants(1, 23)[0])).hash(at, size)
+
+        few = max(1, least // 3)
+        window = np.zeros(0, np.int64)
+        if n >= least:
+            grams = spans.hash(np.arange(n - few + 1), few)
+            place = _least_places(grams, least - few + 1)
+            last = np.repeat(firsts[1:], np.diff(firsts))
+            window = np.flatnonzero(np.arange(len(place)) + least <= last[: len(place)])
+        if len(window):
+            place = place[window]
+            opens = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+            count = np.diff(np.append(opens, len(window)))
+            low = window[opens]
+            self.windows = spans.hash(window, least)
+            at, size = np.append(at, low), np.append(size, count + least - 1)
+            anchor = np.append(anchor, grams[place[opens]])
+            check = np.append(check, spans.hash(low, count + least - 1))
+            self.counts = np.append(np.zeros(len(at) - len(low), np.int64), count)
+        else:
+            self.windows, self.counts = np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
+        self.text = np.searchsorted(firsts, at, side="right") - 1
+        self.low, self.size, self.anchor, self.check = at - firsts[self.text], size, anchor, check
+
+
+def _numbers(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number, times = np.unique(Blocks(batch.column("_text"), least).anchor, return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number.view(np.int64)), pa.array(times)], names=["hash", "times"]
+            )
+
+    return run
+
+
+def _rows(store: HashStore, least: int, with_windows: bool):
+    """Blocks whose anchor is in the store, with their windows if asked for."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = Blocks(batch.column("_text"), least)
+            order = np.argsort(blocks.anchor)
+            again = np.zeros(len(order), bool)
+            again[order] = store.places(blocks.anchor[order]) >= 0
+            own = pa.array(blocks.text[again])
+            columns = {
+                "_id": batch.column("_id").take(own),
+                "_hash": batch.column("_hash").take(own),
+                "low": pa.array(blocks.low[again].astype(np.int32)),
+                "size": pa.array(blocks.size[again].astype(np.int32)),
+                "anchor": pa.array(blocks.anchor[again].view(np.int64)),
+                "block": pa.array(blocks.check[again].view(np.int64)),
+            }
+            if with_windows:
+                ends = np.append(0, np.cumsum(blocks.counts[again])).astype(np.int32)
+                windows = blocks.windows[np.repeat(again, blocks.counts)]
+                columns["windows"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(windows.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return run
+
+
+def _with_first(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """With ``gone``: whether the same words stand earlier, in a smaller id or before it in
+    the same text, and do not overlap it."""
+    where = F.struct("_id", "_hash", "low")
+    # Written, so that the join deals its rows anew and a key with many can be split.
+    first = kept(rows.groupBy(*keys).agg(F.min(where).alias("first")), "firsts")
+    here = F.col("first._id").eqNullSafe(F.col("_id")) & (F.col("first._hash") == F.col("_hash"))
+    near = F.col("low") - F.col("first.low") < F.least("size", F.lit(least))
+    return rows.join(first, keys).withColumn("gone", ~(here & near)).drop("first")
+
+
+def repeated_spans(source: DataFrame, least: int) -> DataFrame:
+    """``_id``, ``_hash``, ``low`` and ``size`` in words of what also stands earlier: all
+    windows of ``least`` words, and shorter whole lines.
+
+    A block that stands earlier goes as a whole. Its windows are in its first copy too, so
+    of the blocks that are left, those that share their anchor with other blocks are
+    compared window by window.
+    """
+    counted = source.select("_text").mapInArrow(_numbers(least), "hash bigint, times bigint")
+    again = kept(counted.groupBy("hash").agg(F.sum("times").alias("times")).where("times > 1"), "repeated")
+    store, _ = write_store(again, "times", again.count(), "repeated")
     kind = source.schema["_id"].dataType.simpleString()
-    rows = source.mapInArrow(
-        _rows, f"_id {kind}, _hash bigint, low bigint, high bigint, piece bigint, check bigint"
+    columns = f"_id {kind}, _hash bigint, low int, size int, anchor bigint, block bigint"
+    rows = kept(source.mapInArrow(_rows(store, least, False), columns), "blocks")
+    thin = kept(_with_first(rows, ["anchor", "block"], least), "first_blocks")
+    left = thin.where(f"NOT gone AND size >= {least}")
+    shared = kept(
+        left.groupBy("anchor").agg(F.min("block").alias("a"), F.max("block").alias("b")).where("a <> b").select("anchor"),
+        "shared",
     )
-    rows = kept(rows.join(broadcast_if_small(again, again.count(), NUMBERS), "piece"), "pieces")
-    where = F.struct("_id", "_hash", "low")
-    # Written, so that the join deals its rows anew and a piece with many can be split.
-    first = kept(rows.groupBy("piece", "check").agg(F.min(where).alias("first")), "firsts")
-    return (
-        rows.join(first, ["piece", "check"])
-        .where(~F.col("first").eqNullSafe(where))
-        .select("_id", "_hash", "low", "high")
+    count = shared.count()
+    left = left.join(broadcast_if_small(shared, count, NUMBERS), "anchor")
+    left = left.select(F.col("_id").alias("i"), F.col("_hash").alias("h"), F.col("low").alias("l")).distinct()
+    # Windows take most room, so they are made in a scan of their own, of these anchors only.
+    store, _ = write_store(shared.select(F.col("anchor").alias("hash"), F.lit(1).alias("times")), "times", count, "shared")
+    rows = source.mapInArrow(_rows(store, least, True), f"{columns}, windows array<bigint>")
+    a, b = rows.drop("size", "block").alias("a"), left.alias("b")
+    same = F.col("a._id").eqNullSafe(F.col("b.i")) & (F.col("a._hash") == F.col("b.h")) & (F.col("a.low") == F.col("b.l"))
+    single = a.join(b, same, "left_semi").select(
+        "_id", "_hash", "anchor", F.col("low").alias("begin"), F.posexplode("windows").alias("place", "window")
+    )
+    single = single.select(
+        "_id", "_hash", (F.col("begin") + F.col("place")).alias("low"), F.lit(least).alias("size"), "anchor", "window"
     )
+    single = _with_first(kept(single, "windows"), ["anchor", "window"], least)
+    span = ["_id", "_hash", "low", "size"]
+    return thin.where("gone").select(*span).union(single.where("gone").select(*span))
 
 
 def copied_paragraphs(source: DataFrame, similarity: float, words: int, recall: float) -> DataFrame:
@@ -163,10 +230,18 @@ def copied_paragraphs(source: DataFrame, similarity: float, words: int, recall:
     )
 
 
-def _runs(text: bytes, lines: list[int], spans: list[tuple[int, int]], least: int):
-    """Removed spans of a text: those given, joined where only white space lies between,
-    if they hold enough words."""
-    spans = list(spans)
+def _runs(text: bytes, lines: list[int], marked: np.ndarray, least: int):
+    """Removed spans of a text: lines and words (first, number) given, joined where only
+    white space lies between, if they hold enough words."""
+    spans: list[tuple[int, int]] = []
+    if len(marked):
+        starts, ends, _ = find_words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        edges = np.zeros(len(starts) + 1, np.int64)
+        np.add.at(edges, marked[:, 0], 1)
+        np.add.at(edges, marked.sum(1), -1)
+        inside = np.append(np.cumsum(edges)[:-1] > 0, False)
+        change = np.flatnonzero(inside != np.append(False, inside[:-1]))
+        spans += zip(starts[change[::2]].tolist(), ends[change[1::2] - 1].tolist())
     if lines:
         wanted, at = set(lines), 0
         for number, line in enumerate(text.split(b"\n")):
@@ -221,8 +296,9 @@ def _clean(names: list[str], text: str, least: int):
                 values = texts.to_pylist()
                 for i in changed.tolist():
                     whole = (values[i] or "").encode()
-                    pairs = [(s["low"], s["high"]) for s in spans[i].as_py() or []]
-                    runs[i] = _runs(whole, lines[i].as_py() or [], pairs, least)
+                    pairs = [(s["low"], s["size"]) for s in spans[i].as_py() or []]
+                    marked = np.array(pairs, np.int64).reshape(-1, 2)
+                    runs[i] = _runs(whole, lines[i].as_py() or [], marked, least)
                     if runs[i]:
                         values[i] = _without(whole, runs[i]).decode()
                 texts = pa.array(values, texts.type)
@@ -250,11 +326,12 @@ def remove_passages(
 
     Paragraphs are lines. Those of PARAGRAPH_WORDS words or more link if their shingles'
     exact Jaccard reaches ``similarity``; candidates come from MinHash bands tuned to
-    ``recall``. Of each component only the first paragraph, by id and place, stays. To
-    find passages inside other text, long paragraphs are also cut into pieces by their
-    words, at the same places in every copy; a piece stays where it stands first. What is
-    marked is removed if ``least_words`` words or more stand together, so that short
-    lines in common, such as names and licences, stay.
+    ``recall``. Of each component only the first paragraph, by id and place, stays. Of
+    passages inside other text, however wrapped, every word goes that lies in
+    ``least_words`` words in a row that stand earlier, and not overlapping, without regard
+    to case and white space; so do shorter whole lines that stand earlier. What is marked
+    is removed if ``least_words`` words or more stand together, so that short lines in
+    common, such as names and licences, stay.
 
     Null and empty texts stay as they are. Repeated rows of one id and text stay alike. A
     missing id comes first. A text may become empty; no row is dropped.
@@ -262,8 +339,8 @@ def remove_passages(
     session(docs)
     source = docs.select(*row_key(doc_id, text), F.col(f"`{text}`").alias("_text"))
     source = source.where(F.col("_text").isNotNull())
-    spans = repeated_pieces(source).groupBy("_id", "_hash").agg(
-        F.collect_set(F.struct("low", "high")).alias("_at"), F.lit(None).cast("array<int>").alias("_lines")
+    spans = repeated_spans(source, least_words).groupBy("_id", "_hash").agg(
+        F.collect_set(F.struct("low", "size")).alias("_at"), F.lit(None).cast("array<int>").alias("_lines")
     )
     lines = copied_paragraphs(source, similarity, words, recall).groupBy("_id", "_hash").agg(
         F.lit(None).cast(spans.schema["_at"].dataType).alias("_at"), F.collect_set("line").alias("_lines")

@@ -48,6 +48,21 @@ def components(n, links):
     return root
 
 
+def without_runs(texts, least):
+    """The words of each text that lie in no ``least`` words in a row that stand earlier,
+    in a text before it or before them in their own, not overlapping."""
+    first, out = {}, []
+    for number, text in enumerate(texts):
+        words = blank_words(text)
+        gone = set()
+        for i in range(len(words) - least + 1):
+            other, at = first.setdefault(tuple(words[i : i + least]), (number, i))
+            if other != number or i - at >= least:
+                gone.update(range(i, i + least))
+        out.append([w for i, w in enumerate(words) if i not in gone])
+    return out
+
+
 def contamination(text, items, window=10):
     """Words, hit places and items (id, text) found in a text."""
     words, hit, found = item_words(text), set(), set()

@@ -1,5 +1,6 @@
 from strata.llm.substring_dedup import remove_passages, tune_bands
 from strata.llm.similarity import Tables
+from tests.llm import brute
 
 
 def result(df):
@@ -60,3 +61,35 @@ def test_odd_rows(documents, prose):
     assert found.count((None, a)) == 1 and found.count((5, "")) == 2
     assert found.count((1, None)) == 2 and found.count((2, "")) == 1 and found.count((3, " \n\n ")) == 1
     assert remove_passages(df.where("1 = 0")).collect() == []
+
+
+def test_runs_equal_brute_force(documents, prose, pick):
+    """Passages of 20 to 60 words in the middle of long lines, with common phrases inside."""
+    phrase = prose(8).split()
+    rows = [(0, f"{prose(30)} {' '.join(phrase)} {prose(30)}")]
+    for n in [20, 24, 25, 26, 30, 41, 45, *range(51, 61)] * 3:
+        words = prose(n).split()
+        at = pick.randrange(n - 8)
+        words[at : at + 8] = phrase
+        for part in (words, words, words[: n - 5]):
+            rows.append((len(rows), f"{prose(45)} {' '.join(part)} {prose(45)}"))
+    found = result(documents(rows))
+    for (i, _), kept in zip(rows, brute.without_runs([t for _, t in rows], 25)):
+        assert found[i]["text"].lower().split() == kept
+
+
+def test_wrapped_passages_go(documents, prose):
+    words = prose(200).split()
+
+    def wrapped(n):
+        return "\n".join(" ".join(words[i : i + n]) for i in range(0, len(words), n))
+
+    rows = [(i, f"{prose(30)}\n{wrapped(n)}\n{prose(30)}") for i, n in enumerate([12, 7, 17, 38, 300])]
+    found = result(documents(rows))
+    assert found[0]["text"] == rows[0][1]
+    assert all(found[i]["_removed"] == 200 and found[i]["_spans"] == 1 for i in range(1, 5))
+
+
+def test_words_said_over_and_over_stay_once(documents):
+    found = result(documents([(1, "ha " * 100)]))
+    assert found[1]["text"].split() == ["ha"] * 25
