@@ -37,12 +37,13 @@ CLOSED_BY = {
     "th": {"td", "th"},
 }
 CONTROLS = frozenset("button label option input".split())
+# Attributes of any length; a quote counts after = only, and one that never ends does not.
+MORE = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|))*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<raw>{SKIPPED})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]{0,40})"
-    r"(?P<more>(?:\"[^\"]{0,2000}\"|'[^']{0,2000}'|[^'\">]){0,2000})>"
-    r"|<[!?/][^>]{0,2000}>",
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<more>{MORE})>"
+    r"|<[!?/][^>]*+>",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)

@@ -67,3 +67,28 @@ def test_choices_do_not_contradict(trees):
     import numpy as np
 
     assert choose(page, np.array(logits) + 0.1) == ["one", "four"]
+
+
+def runs(source):
+    return [r[1] for r in Page(source).runs]
+
+
+@pytest.mark.parametrize(
+    "tag",
+    [
+        f'<img src="data:image/png;base64,{"A" * 3000}">',
+        f"<div data-json='{'{}>' * 3000}'></div>",
+        f"<div data-list={'a,b' * 3000}></div>",
+        f"<div {'x=1 ' * 3000}></div>",
+        f"<?xml {'x' * 3000}?>",
+        f"<!doctype {'x' * 3000}>",
+        "<div title=it's></div>",
+    ],
+)
+def test_tags_of_any_length_are_no_text(tag):
+    source = f"<article><p>before</p>{tag}<p>after, isn't it</p></article>"
+    page = Page(source)
+    assert [(r[1], page.tags[page.parents[r[0]]]) for r in page.runs] == [
+        ("before", "article"),
+        ("after, isn't it", "article"),
+    ]
