@@ -27,7 +27,12 @@ BLOCKS = frozenset(
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-SKIPPED = "script|style|noscript|template|textarea|svg|math|iframe|select|title|object|canvas|head"
+# What these hold is no text: of RAW up to the end tag or else the end of the page, of
+# SKIPPED up to their own end tag; without one, they are tags like others.
+RAW = frozenset("script style textarea title".split())
+SKIPPED = frozenset("noscript template svg math iframe select object canvas".split())
+FOREIGN = ("svg", "math")
+ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+>", re.I) for tag in RAW}
 CLOSED_BY = {
     "li": {"li"},
     "dt": {"dt", "dd"},
@@ -41,7 +46,6 @@ CONTROLS = frozenset("button label option input".split())
 MORE = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+|))*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{SKIPPED})\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<more>{MORE})>"
     r"|<[!?/][^>]*+>",
     re.S | re.I,
@@ -85,6 +89,39 @@ def name_kinds(attributes: str) -> list[int]:
     return sorted(found)
 
 
+def _tokens(source: str) -> list[tuple[int, int, str, bool, str]]:
+    """Tags and what is skipped: where each begins and ends, tag, whether it is an end tag,
+    and attributes. Comments have no tag; skipped elements neither, but a blank."""
+    found: list[tuple[int, int, str, bool, str]] = []
+    opened: dict[str, list[int]] = {tag: [] for tag in SKIPPED}
+    until: dict[int, int] = {}
+    at = 0
+    while token := TOKEN.search(source, at):
+        begin, at = token.span()
+        tag, ends, more = (token["tag"] or "").lower(), bool(token["end"]), token["more"] or ""
+        # Only inside and at svg and math a slash closes a tag.
+        inside = tag in FOREIGN or any(opened[t] for t in FOREIGN)
+        closed = inside and more.endswith("/")
+        if tag in RAW and not ends and not closed:
+            end = ENDS[tag].search(source, at)
+            at = end.end() if end else len(source)
+            tag, more = "", " "
+        elif tag in SKIPPED and ends and opened[tag]:
+            until[opened[tag].pop()] = at
+        elif tag in SKIPPED and not ends and not closed:
+            opened[tag].append(begin)
+        found.append((begin, at, tag, ends, more))
+    out, at = [], 0
+    for token in found:
+        if token[0] in until and token[0] >= at:
+            at = until[token[0]]
+            out.append((token[0], at, "", False, " "))
+        elif token[0] >= at:
+            out.append(token)
+            at = token[1]
+    return out
+
+
 class Page:
     """Block elements in order, each with its parent, tag and names, and the runs of text
     between their edges, each with the element it is in."""
@@ -106,19 +143,17 @@ class Page:
                     self.runs.append((stack[-1], text, linked, controlled))
                 parts, linked, controlled = [], 0, 0
 
-        for token in TOKEN.finditer(source):
-            if token.start() > at:
-                piece = source[at : token.start()]
+        for begin, end, tag, ends, more in _tokens(source):
+            if begin > at:
+                piece = source[at:begin]
                 parts.append(piece)
                 linked += len(piece) * (link > 0)
                 controlled += len(piece) * (control > 0)
-            at = token.end()
-            tag = (token["tag"] or "").lower()
+            at = end
             if not tag:
-                if token["raw"]:
-                    parts.append(" ")
+                if more:
+                    parts.append(more)
                 continue
-            ends = bool(token["end"])
             if tag == "br":
                 parts.append(" ")
             elif tag == "a":
@@ -150,8 +185,8 @@ class Page:
                 continue
             self.parents.append(stack[-1])
             self.tags.append(tag)
-            self.kinds.append(name_kinds(token["more"]) if "=" in token["more"] else [])
-            self.attributes.append(token["more"])
+            self.kinds.append(name_kinds(more) if "=" in more else [])
+            self.attributes.append(more)
             stack.append(len(self.tags) - 1)
         if at < len(source):
             parts.append(source[at:])

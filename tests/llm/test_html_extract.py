@@ -92,3 +92,28 @@ def test_tags_of_any_length_are_no_text(tag):
         ("before", "article"),
         ("after, isn't it", "article"),
     ]
+
+
+@pytest.mark.parametrize(
+    "source, texts",
+    [
+        ("<html><head><title>t</title><meta name=a><body><p>one</p><p>two</p></body></html>", ["one", "two"]),
+        ("<head><title>t</title><style>p{}</style><p>one</p>", ["one"]),
+        ("<head><script>x</script></head><p>one</p>", ["one"]),
+        ('<p>one</p><svg class="x"/><p>two</p>', ["one", "two"]),
+        ("<p>one</p><math/><p>two</p>", ["one", "two"]),
+        ("<p>one</p><svg><style/><text>no</text><svg>no</svg>no</svg><p>two</p>", ["one", "two"]),
+        ("<p>one</p><svg><p>two</p><svg>no</svg><p>three</p>", ["one", "two", "three"]),
+        *[
+            (f"<p>one</p><{tag}><p>two</p>", ["one", "two"])
+            for tag in ("select", "object", "canvas", "noscript", "template", "iframe")
+        ],
+        *[
+            (f"<p>one</p><{tag} data-x='>'>no</{tag} ><p>two</p>", ["one", "two"])
+            for tag in ("select", "object", "script", "textarea", "title", "iframe")
+        ],
+        *[(f"<p>one</p><{tag}>no<p>no</p>", ["one"]) for tag in ("script", "style", "textarea", "title")],
+    ],
+)
+def test_skipped_elements_end(source, texts):
+    assert runs(source) == texts
