@@ -1,5 +1,8 @@
 """The registered queries of this subpackage, over whole tables."""
 
+import zlib
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -7,12 +10,15 @@ from strata.llm import language_model
 from strata.llm.decontaminate import decontaminate
 from strata.llm.embedding_dedup import link_embeddings
 from strata.llm.html_extract import extract, fit_extractor
+from strata.llm.periodic_runs import periodic_runs
 from strata.llm.pieces import encode
 from strata.llm.quality import fit_quality, score_quality
 from strata.llm.quotes import link_quotes
 from strata.llm.shingle_join import shingle_join
 from strata.llm.substring_dedup import remove_passages
 from strata.llm.token_counts import count_tokens
+from strata.llm.toxicity import fit_toxicity, score_toxicity
+from strata.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -111,6 +117,61 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return count_tokens(_table(spark, folder, "documents")).withColumnRenamed("_id", "doc_id")
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from two folds of three."""
+    docs = _table(spark, folder, "documents")
+    model = fit_toxicity(docs, _table(spark, folder, "labels"), remainder("_id", 3) != 1)
+    return score_toxicity(docs, model).select(
+        F.col("_id").alias("doc_id"),
+        F.coalesce(remainder("_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("passages").cast("bigint").alias("n_passages"),
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable vector along the first components."""
+    return whiten(_table(spark, folder, "embeddings")).withColumnRenamed("_id", "vec_id")
+
+
+def planted_order(ids: list, sizes: np.ndarray) -> list[np.ndarray | None]:
+    """Fixed by the contract: of one id in ten, by crc32, the words from some place on
+    repeat some words of it."""
+    out: list[np.ndarray | None] = []
+    for number, n in zip(ids, sizes.tolist()):
+        h = None if number is None else zlib.crc32(str(number).encode())
+        if h is None or h % 10 or not n:
+            out.append(None)
+            continue
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        places = np.arange(n)
+        places[a:] = a + np.arange(n - a) % p
+        out.append(places)
+    return out
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every document, and what is left without them."""
+    found = periodic_runs(_table(spark, folder, "documents"), order=planted_order)
+    first = F.array_max(
+        F.transform("runs", lambda r: F.struct(r.length.alias("n"), (-r.start).alias("s"), (-r.period).alias("p")))
+    )
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r.start, r.length, r.period))
+    return found.withColumn("best", first).select(
+        F.col("_id").alias("doc_id"),
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.n div -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_html_extraction": op2_html_extraction,
@@ -122,6 +183,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_shingle_join": op9_shingle_join,
     "op10_token_counts": op10_token_counts,
+    "op11_toxicity": op11_toxicity,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # Fixed: words as the contract of the first query has them.
