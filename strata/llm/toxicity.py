@@ -28,6 +28,7 @@ CLEAR = 1.0  # segments of this score and more show the law of chance
 SIGNIFICANT = 0.01  # chance segments of this score and more in a text's length
 BINS = 400  # of evidence, for the curve
 STEP = 0.25  # of evidence a bin
+TILT = 0.001
 HELD_WORDS = 500_000  # distinct words of a task before it hands over counts
 
 # Fixed: what is part of no word.
@@ -139,7 +140,9 @@ class Model:
     shares: np.ndarray
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
-        return np.interp(evidence, self.evidence, self.shares)
+        # Within a pool, too, more evidence ranks higher.
+        tilt = evidence / (evidence + 1)
+        return (1 - TILT) * np.interp(evidence, self.evidence, self.shares) + TILT * tilt
 
 
 def _packed(toxic: str, clean: str) -> Column:
@@ -217,19 +220,17 @@ def _bin(chance: Chance) -> Column:
 
 
 def _curve(bins: np.ndarray, toxic: np.ndarray, size: np.ndarray, share: float):
-    """Where evidence lies and the share of toxic texts there, which never falls. Neighbouring
-    bins whose shares fall are pooled; each pool has one text more, as all are."""
+    """Evidence and the share of toxic texts there, which never falls. Neighbouring bins
+    whose shares fall are pooled; each pool has one text more, as all texts are."""
     pools: list[list[float]] = []
     for i in np.argsort(bins).tolist():
-        pools.append([toxic[i], size[i], (bins[i] + 0.5) * STEP * size[i]])
-        while len(pools) > 1 and _share(pools[-2], share) >= _share(pools[-1], share):
+        pools.append([toxic[i], size[i], bins[i], bins[i] + 1])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             last = pools.pop()
-            pools[-1] = [x + y for x, y in zip(pools[-1], last)]
-    return np.array([x / n for _, n, x in pools]), np.array([_share(x, share) for x in pools])
-
-
-def _share(pool: list[float], share: float) -> float:
-    return (pool[0] + share) / (pool[1] + 1)
+            pools[-1] = [pools[-1][0] + last[0], pools[-1][1] + last[1], pools[-1][2], last[3]]
+    shares = np.maximum.accumulate([(t + share) / (n + 1) for t, n, _, _ in pools])
+    ends = np.array([(low, high) for _, _, low, high in pools], float)
+    return ends.ravel() * STEP, np.repeat(shares, 2)
 
 
 def fit_toxicity(
