@@ -158,6 +158,18 @@ CUSTOMER_KPI = """
         GROUP BY ALL)
     {ranked}"""
 
+SALE_LINES = f"""
+    SELECT {month_keys("o_orderdate")}, CAST(quarter(o_orderdate) AS INTEGER) AS trimestre,
+           o_custkey AS fk_cliente, l_partkey AS fk_producto, l_quantity,
+           CAST(l_extendedprice AS DECIMAL(18, 2)) AS amount
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+GAP_SALES = """
+    SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS d,
+           CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS k,
+           CAST(o_totalprice AS DECIMAL(18, 2)) AS amount
+    FROM orders"""
+
 UNITS = """
     SELECT source AS file_name, lang AS sheet_name, max(doc_id) AS last_doc
     FROM documents GROUP BY ALL"""
@@ -399,6 +411,76 @@ ORACLES: dict[str, str] = {
         FROM (SELECT o_orderkey AS k,
                      o_orderkey IN (SELECT l_orderkey FROM lineitem) AS known FROM orders)""",
     "key_sample": "SELECT DISTINCT o_custkey AS key FROM orders ORDER BY key LIMIT 5",
+    "kpi_fractions": f"""
+        SELECT periodo_yyyymm, fk_producto, n * CASE WHEN fk_producto % 3 = 0 THEN 2 ELSE 1 END AS partes
+        FROM (SELECT {month_of("l_shipdate")} AS periodo_yyyymm, l_partkey AS fk_producto,
+                     CAST(sum(l_quantity) AS BIGINT) AS n
+              FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY ALL)""",
+    "sales_cube": f"""
+        SELECT CASE WHEN grouping(fk_cliente) = 0 THEN 'cliente' WHEN grouping(fk_producto) = 0
+                    THEN 'producto' ELSE 'periodo' END AS conjunto,
+               trimestre, periodo_yyyymm, fk_cliente, fk_producto,
+               {two("CAST(sum(amount) AS DOUBLE)")} AS total_ventas,
+               count(*) AS cantidad_transacciones, CAST(sum(l_quantity) AS DOUBLE) AS cantidad_unidades
+        FROM ({SALE_LINES})
+        GROUP BY GROUPING SETS ((trimestre, periodo_yyyymm), (periodo_yyyymm, fk_cliente),
+                                (periodo_yyyymm, fk_producto))""",
+    "kpi_unmatched": f"""
+        WITH known AS (
+            SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS segment
+            FROM customer WHERE c_custkey % 7 <> 0),
+        sales AS (
+            SELECT {month_keys("d")}, k AS fk_cliente,
+                   CASE WHEN c_custkey IS NULL THEN 'DESCONOCIDO' ELSE c_name END AS nombre,
+                   CASE WHEN c_custkey IS NULL THEN 'DESCONOCIDO' ELSE segment END AS segmento,
+                   CASE WHEN d IS NULL THEN 'sin_fecha' WHEN k IS NULL THEN 'sin_clave'
+                        WHEN c_custkey IS NULL THEN 'sin_miembro'
+                        WHEN segment IS NULL THEN 'atributo_nulo' END AS motivo, {SUMS}
+            FROM ({GAP_SALES}) LEFT JOIN known ON c_custkey = k GROUP BY ALL),
+        totals AS (
+            SELECT fk_cliente, dense_rank() OVER (ORDER BY total DESC) AS place
+            FROM (SELECT fk_cliente, sum(CAST(total_ventas AS DECIMAL(18, 2))) AS total
+                  FROM sales WHERE fk_cliente IS NOT NULL GROUP BY fk_cliente))
+        SELECT sales.*, CASE WHEN periodo_yyyymm IS NOT NULL THEN CAST(dense_rank() OVER (
+                   PARTITION BY periodo_yyyymm ORDER BY total_ventas DESC) AS INTEGER) END AS ranking_mes,
+               CAST(place AS INTEGER) AS ranking_global
+        FROM sales LEFT JOIN totals ON totals.fk_cliente = sales.fk_cliente""",
+    "kpi_unmatched_periods": f"""
+        WITH sales AS (
+            SELECT CAST(year(d) AS INTEGER) AS anio, {month_of("d")} AS periodo_yyyymm, {SUMS}
+            FROM ({GAP_SALES}) GROUP BY ALL)
+        SELECT periodo_yyyymm, total_ventas, cantidad_transacciones,
+               CASE WHEN periodo_yyyymm IS NOT NULL THEN {two(
+                   "(total_ventas / lag(total_ventas) OVER (ORDER BY periodo_yyyymm NULLS LAST) - 1) * 100"
+               )} END AS variacion_mes_anterior_pct,
+               {YEAR_TO_DATE} AS acumulado_anual
+        FROM sales""",
+    "kpi_refresh": f"""
+        WITH parts AS (
+            SELECT 'cliente' AS kpi, periodo_yyyymm, fk_cliente AS clave, c_name AS nombre, {SUMS}
+            FROM ({SALE_LINES}) JOIN customer ON c_custkey = fk_cliente GROUP BY ALL
+            UNION ALL
+            SELECT 'producto', periodo_yyyymm, fk_producto, p_name, {SUMS}
+            FROM ({SALE_LINES}) JOIN part ON p_partkey = fk_producto GROUP BY ALL),
+        keyed AS (
+            SELECT *, sum(CAST(total_ventas AS DECIMAL(18, 2))) OVER (PARTITION BY kpi, clave) AS whole
+            FROM parts)
+        SELECT kpi, periodo_yyyymm, clave, nombre, total_ventas, cantidad_transacciones,
+               CAST(dense_rank() OVER (PARTITION BY kpi, periodo_yyyymm ORDER BY total_ventas DESC)
+                    AS INTEGER) AS ranking_mes,
+               CAST(dense_rank() OVER (PARTITION BY kpi ORDER BY whole DESC) AS INTEGER) AS ranking_global,
+               CASE WHEN kpi = 'producto' THEN {two("total_ventas / CAST(sum(CAST(total_ventas AS DECIMAL(18, 2))) "
+                   "OVER (PARTITION BY kpi, periodo_yyyymm) AS DOUBLE) * 100")} END AS participacion_mes_pct
+        FROM keyed""",
+    "silver_empty_rows": """
+        SELECT o_orderkey AS idventa, upper(o_orderpriority) AS prioridad, round_even(o_totalprice * 100, 0) / 100 AS total
+        FROM orders WHERE o_orderstatus <> 'P'""",
+    "gold_without_table": """
+        SELECT missing, 3 AS total, 0 AS success, 3 AS errors, (SELECT count(*) FROM customer) AS stored
+        FROM (SELECT unnest(['fact_ventas', 'dim_tiempo', 'dim_clientes', 'dim_productos']) AS missing)""",
+    "json_endpoints": """
+        SELECT 'api_eventos' AS table_name, event_type AS kind, count(*) AS n FROM events GROUP BY ALL
+        UNION ALL SELECT 'api_listas', event_type, count(*) FROM events GROUP BY ALL""",
     "medallion_run": CUSTOMER_KPI.format(
         keys=month_keys("o_orderdate"),
         fk="o_custkey",

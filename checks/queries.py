@@ -3,6 +3,7 @@
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +26,12 @@ from strata.operators.star import (
     fact_columns,
     fact_ventas,
 )
+from strata.plans.gold import run_gold
+from strata.plans.refresh import append_sales, refresh_gold
 from strata.plans.run import failed, run
-from strata.session import new_database, shared_folder, written
+from strata.session import fresh_path, new_database, shared_folder, written
 from strata.sources.catalog import read_first, save, table
-from strata.sources.documents import read_documents, records
+from strata.sources.documents import JsonDocuments, read_documents, records
 from strata.sources.records import SourceRecord
 from strata.sources.workbook import filter_units, name_tables, sheet_cells, with_columns
 
@@ -476,6 +479,69 @@ def kpi_small_and_large(spark, folder):
     return kpis.kpi_ventas_por_cliente(by_size, names, days(spark)).drop(GOLD_AT)
 
 
+def kpi_fractions(spark, folder):
+    """Products of which tiny parts are sold, some of them twice in the dimension."""
+    lines = read(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("sk_venta"),
+        F.col("l_partkey").alias("id_producto"),
+        F.col("l_shipdate").alias("fecha"),
+        F.col("l_extendedprice").alias("importe"),
+        (F.col("l_quantity") * 1e-9).alias("cantidad"),
+    )
+    dim = products(spark, folder).select(F.col("id_producto").alias("nk_producto"), "marca")
+    again = dim.where("nk_producto % 3 = 0")
+    sales = kpis.entity_sales(fact_columns(lines), dim.union(again), days(spark), "producto", "prod")
+    # As whole billionths, which do not depend on how a sum of doubles is rounded.
+    return sales.select(
+        kpis.PERIOD, "fk_producto", F.rint(F.col(kpis.UNITS) * 1e9).cast("bigint").alias("partes")
+    )
+
+
+def lines_with_customers(spark, folder):
+    """Order lines as sales with customer and product."""
+    return fact_columns(sale_lines(spark, folder).dropna(how="all")).withColumnRenamed("idventa", "sk_venta")
+
+
+def sales_cube(spark, folder):
+    """Sums by month, by month and customer, by month and product, of one scan."""
+    cube = kpis.sales_cube(lines_with_customers(spark, folder), days(spark))
+    return cube.select(
+        kpis.CUBE_SET,
+        "trimestre",
+        kpis.PERIOD,
+        "fk_cliente",
+        "fk_producto",
+        kpis.round2(kpis.summed(cube, "_amount")).alias(kpis.SALES),
+        kpis.COUNT,
+        kpis.summed(cube, "_units").alias(kpis.UNITS),
+    )
+
+
+def gap_sales(spark, folder):
+    """Sales of which some lack the date, some the customer, and some customers are unknown."""
+    sales = read(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("sk_venta"),
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("id_cliente"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("fecha"),
+        F.col("o_totalprice").alias("total"),
+    )
+    return fact_columns(sales), gap_customers(spark, folder).where("nk_cliente % 7 != 0")
+
+
+def kpi_unmatched(spark, folder):
+    """All sales by customer, those without date, customer or attributes by cause."""
+    fact, known = gap_sales(spark, folder)
+    return kpis.kpi_ventas_por_cliente(fact, known, days(spark), keep_unmatched=True).drop(GOLD_AT)
+
+
+def kpi_unmatched_periods(spark, folder):
+    """All sales by month, those without a date in a row of their own."""
+    fact, _ = gap_sales(spark, folder)
+    return kpis.kpi_ventas_por_periodo(fact, days(spark), keep_unmatched=True).select(
+        kpis.PERIOD, kpis.SALES, kpis.COUNT, "variacion_mes_anterior_pct", "acumulado_anual"
+    )
+
+
 def rank_global(spark, folder):
     """Customers ranked by their orders' total."""
     totals = read(spark, folder, "orders").select(
@@ -615,6 +681,98 @@ def medallion_kpis(spark, folder):
     return parts[0].union(parts[1]).union(parts[2])
 
 
+def kpi_refresh(spark, folder):
+    """Sales that come in two loads, the second of late months; the rows of two KPIs."""
+    silver, gold = new_database(spark, "silver"), new_database(spark, "gold")
+    save(customers(spark, folder).withColumnRenamed("id_cliente", "nk_cliente"), silver, "dim_clientes")
+    save(products(spark, folder).withColumnRenamed("id_producto", "nk_producto"), silver, "dim_productos")
+    save(days(spark), silver, "dim_tiempo")
+    sales = written(lines_with_customers(spark, folder), "sales")
+    for load in (sales.where("fk_fecha < 19980401"), sales.where("fk_fecha >= 19980401")):
+        refresh_gold(spark, silver, gold, append_sales(load, silver))
+    parts = []
+    for name, more in (("cliente", F.lit(None).cast("double")), ("producto", F.col("participacion_mes_pct"))):
+        parts.append(
+            table(spark, gold, f"kpi_ventas_por_{name}").select(
+                F.lit(name).alias("kpi"),
+                kpis.PERIOD,
+                F.col(f"fk_{name}").alias("clave"),
+                "nombre",
+                kpis.SALES,
+                kpis.COUNT,
+                "ranking_mes",
+                "ranking_global",
+                more.alias("participacion_mes_pct"),
+            )
+        )
+    return parts[0].union(parts[1])
+
+
+def silver_empty_rows(spark, folder):
+    """Text rows of which some are null in all data columns, cleaned."""
+    rows = read(spark, folder, "orders").select(
+        *[
+            F.when(F.col("o_orderstatus") != "P", F.col(c).cast("string")).alias(name)
+            for c, name in (("o_orderkey", "idventa"), ("o_orderpriority", "prioridad"), ("o_totalprice", "total"))
+        ],
+        F.lit("v.xlsx").alias("_source_file"),
+    )
+    return clean(rows).drop(SILVER_AT)
+
+
+def gold_without_table(spark, folder):
+    """Gold runs over star schemas that each lack one table: errors only."""
+    fact = order_fact(spark, folder)
+    star = {
+        "fact_ventas": fact,
+        "dim_tiempo": days(spark),
+        "dim_clientes": customers(spark, folder),
+        "dim_productos": products(spark, folder),
+    }
+    parts = []
+    for missing in star:
+        silver, gold = new_database(spark, "silver"), new_database(spark, "gold")
+        for name, df in star.items():
+            if name != missing:
+                save(df, silver, name)
+        summary = run_gold(spark, silver, gold)
+        stored = read(spark, folder, "customer").agg(F.count("*").alias("stored"))
+        assert not spark.catalog.listTables(gold)
+        columns = [F.lit(summary[c]).alias(c) for c in ("total", "success", "errors")]
+        parts.append(stored.select(F.lit(missing).alias("missing"), *columns, "stored"))
+    return reduce(DataFrame.union, parts)
+
+
+def json_endpoints(spark, folder):
+    """Landed documents of several endpoints, of which some are incomplete, missing, broken
+    or without the key; the records of the good ones."""
+    base = fresh_path(spark, "landed")
+    rows = read(spark, folder, "events").select("event_id", "event_type")
+    rows.write.json(f"{base}/lines")
+    # Lists of one task's records, a document each.
+    lists = rows.groupBy((F.col("event_id") % 64).alias("part")).agg(
+        F.collect_list(F.struct("event_id", "event_type")).alias("eventos")
+    )
+    lists.select("eventos").write.json(f"{base}/lists")
+    lists.select(F.lit("{no").alias("value")).write.text(f"{base}/broken")
+    endpoints = [
+        {"path": f"{base}/lines", "table_name": "api_eventos", "multi_line": False},
+        {"path": f"{base}/lists", "table_name": "api_listas", "data_key": "eventos", "multi_line": False},
+        {"path": f"{base}/lists", "table_name": "api_otra", "data_key": "otra", "multi_line": False},
+        {"path": f"{base}/broken", "table_name": "api_rota", "multi_line": False},
+        {"path": f"{base}/none", "table_name": "api_sin_datos"},
+        {"path": f"{base}/lines"},
+        {"table_name": "api_sin_ruta"},
+    ]
+    found = [
+        r.df.groupBy(F.lit(r.table_name).alias("table_name"), F.col("event_type").alias("kind")).agg(
+            F.count("*").alias("n")
+        )
+        for r in JsonDocuments(spark, endpoints).extract()
+    ]
+    return reduce(DataFrame.union, found)
+
+
 @dataclass
 class Landed:
     """Units of one run: given tables, one of them twice, one that breaks, and one whose
@@ -687,6 +845,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_order": kpi_order,
     "rank_missing": rank_missing,
     "kpi_small_and_large": kpi_small_and_large,
+    "kpi_fractions": kpi_fractions,
+    "sales_cube": sales_cube,
+    "kpi_unmatched": kpi_unmatched,
+    "kpi_unmatched_periods": kpi_unmatched_periods,
+    "kpi_refresh": kpi_refresh,
+    "silver_empty_rows": silver_empty_rows,
+    "gold_without_table": gold_without_table,
+    "json_endpoints": json_endpoints,
     "rank_global": rank_global,
     "rank_lines": rank_lines,
     "month_share": month_share,

@@ -26,6 +26,9 @@ SALES, COUNT, TICKET, UNITS = (
     "cantidad_unidades",
 )
 
+# Of sales that are kept without a match.
+CAUSE, UNKNOWN = "motivo", "DESCONOCIDO"
+
 
 def _column(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`")
@@ -42,41 +45,123 @@ def _sum_of_doubles(name: str, window: WindowSpec | None = None) -> Column:
     return total([s.over(window) for s in sums] if window else sums)
 
 
-def dated_sales(
-    fact: DataFrame, dim_tiempo: DataFrame, period: Sequence[str], key: str | None = None
-) -> DataFrame:
-    """Counts, and sums in parts for ``summed``, per period and key. Sales without a calendar day or
-    without a key belong to no group and are left out."""
+def _measures(fact: DataFrame, keys: Sequence[str], units: bool) -> tuple[DataFrame, list[Column]]:
+    """The columns of the sales that KPIs need, and what sums them."""
     amount = find_column_loosely(fact.columns, AMOUNT)
-    quantity = find_column_loosely(fact.columns, QUANTITY) if key else None
+    quantity = find_column_loosely(fact.columns, QUANTITY) if units else None
     if amount is None:
         log.warning("the sales have no amount column; totals are 0")
     sales = fact.select(
         "fk_fecha",
         "sk_venta",
-        *([key] if key else []),
+        *keys,
         *_parts(fact, amount, "_amount"),
         *(_parts(fact, quantity, "_units") if quantity else []),
     )
-    days = dim_tiempo.select("sk_tiempo", *period).dropna()
     parts = [c for c in sales.columns if c.startswith(("_amount", "_units"))]
-    sums = [*[F.sum(c).alias(c) for c in parts], F.count("sk_venta").alias(COUNT)]
-    if key:
+    return sales, [*[F.sum(c).alias(c) for c in parts], F.count("sk_venta").alias(COUNT)]
+
+
+def dated_sales(
+    fact: DataFrame,
+    dim_tiempo: DataFrame,
+    period: Sequence[str],
+    key: str | None = None,
+    keep_unmatched: bool = False,
+) -> DataFrame:
+    """Counts, and sums in parts for ``summed``, per period and key. Sales without a calendar
+    day or without a key belong to no group and are left out, unless ``keep_unmatched`` gives
+    them groups of nulls."""
+    keys = [key] if key else []
+    sales, sums = _measures(fact, keys, bool(key))
+    days = dim_tiempo.select("sk_tiempo", *period).dropna()
+    if key and not keep_unmatched:
         sales = sales.where(F.col(key).isNotNull())
-    keys = [*period, *([key] if key else [])]
-    return sales.join(days, sales.fk_fecha == days.sk_tiempo).groupBy(*keys).agg(*sums)
+    how = "left" if keep_unmatched else "inner"
+    return sales.join(days, sales.fk_fecha == days.sk_tiempo, how).groupBy(*period, *keys).agg(*sums)
+
+
+# The sets of a cube: what its rows are grouped by beside the period.
+CUBE_SET = "conjunto"
+CUBE_KEYS = {"periodo": [], "cliente": ["fk_cliente"], "producto": ["fk_producto"]}
+
+
+def sales_cube(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
+    """The sums of ``dated_sales`` for all three KPIs, from one scan of the sales and one
+    join with the calendar: by period, by period and customer, by period and product. The
+    set a row belongs to is in CUBE_SET; columns that a set does not group by are null."""
+    keys = [k for own in CUBE_KEYS.values() for k in own]
+    sales, sums = _measures(fact, keys, True)
+    # Quarters count for the set of periods alone, so they may be missing elsewhere.
+    days = dim_tiempo.select("sk_tiempo", *MONTH_AND_QUARTER).dropna(subset=MONTH)
+    grouped = {
+        name: [*(MONTH if own else MONTH_AND_QUARTER), *own] for name, own in CUBE_KEYS.items()
+    }
+    columns = [*MONTH_AND_QUARTER, *keys]
+    cube = (
+        sales.join(days, sales.fk_fecha == days.sk_tiempo)
+        .groupingSets([[F.col(c) for c in own] for own in grouped.values()], *[F.col(c) for c in columns])
+        .agg(*sums, F.grouping_id().alias("_set"))
+    )
+    # A bit for each column that a set lacks, the first column highest.
+    number = {
+        name: sum(1 << i for i, c in enumerate(reversed(columns)) if c not in own)
+        for name, own in grouped.items()
+    }
+    whole, which = F.lit(False), None
+    for name, own in grouped.items():
+        here = F.col("_set") == number[name]
+        which = F.when(here, name) if which is None else which.when(here, name)
+        full = here
+        for c in own:
+            full = full & F.col(c).isNotNull()
+        whole = whole | full
+    return cube.where(whole).select(which.alias(CUBE_SET), *[c for c in cube.columns if c != "_set"])
+
+
+def _grouped_sales(
+    fact: DataFrame,
+    dim_tiempo: DataFrame,
+    period: Sequence[str],
+    name: str,
+    keep_unmatched: bool,
+    cube: DataFrame | None,
+) -> DataFrame:
+    """``dated_sales``, from the cube if there is one."""
+    keys = CUBE_KEYS[name]
+    if cube is None:
+        return dated_sales(fact, dim_tiempo, period, keys[0] if keys else None, keep_unmatched)
+    if keep_unmatched:
+        raise ValueError("a cube has no unmatched sales")
+    sums = [c for c in cube.columns if c.startswith(("_amount", "_units")) or c == COUNT]
+    return cube.where(F.col(CUBE_SET) == name).select(*period, *keys, *sums)
+
+
+def _multiplied(part: Column, kind: T.DataType, times: Column | None) -> Column:
+    """A summed part, as often as ``times``, as a double. Below 1e10 all 18 places count;
+    beyond, the six that a product of decimals leaves are more than a double has."""
+    if times is None or not isinstance(kind, T.DecimalType):
+        return part.cast("double") if times is None else part.cast("double") * times
+    near = (F.abs(part) < 10**10) & (times < 10**9)
+    exact = part.try_cast("decimal(28,18)") * times.try_cast("decimal(9,0)")
+    return F.when(near, exact.cast("double")).otherwise((part * times).cast("double"))
 
 
 def summed(df: DataFrame, label: str, times: Column | None = None) -> Column:
     """The double that the summed parts of a column make, as often as ``times``."""
-    parts = [F.col(c) for c in df.columns if c.startswith(label)]
-    return total([p * times if times is not None else p for p in parts])
+    return total(
+        [
+            _multiplied(F.col(c), df.schema[c].dataType, times)
+            for c in df.columns
+            if c.startswith(label)
+        ]
+    )
 
 
-def _totals(df: DataFrame, times: Column) -> list[Column]:
+def _totals(df: DataFrame, times: Column | None) -> list[Column]:
     """Average ticket from the unrounded sum, then the rounded sum."""
     amount = summed(df, "_amount", times)
-    count = F.col(COUNT) * times
+    count = F.col(COUNT) if times is None else F.col(COUNT) * times
     return [
         round2(amount).alias(SALES),
         count.alias(COUNT),
@@ -86,8 +171,9 @@ def _totals(df: DataFrame, times: Column) -> list[Column]:
 
 def growth(df: DataFrame, value: str, name: str) -> DataFrame:
     """Change in % against the month before in the table, which has one row a month."""
-    previous = F.lag(value).over(Window.orderBy(PERIOD))
-    return df.withColumn(name, round2((ratio(F.col(value), previous) - 1) * 100))
+    previous = F.lag(value).over(Window.orderBy(F.col(PERIOD).asc_nulls_last()))
+    change = round2((ratio(F.col(value), previous) - 1) * 100)
+    return df.withColumn(name, F.when(F.col(PERIOD).isNotNull(), change))
 
 
 def year_to_date(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -99,10 +185,16 @@ def year_to_date(df: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def kpi_ventas_por_periodo(
-    fact: DataFrame, dim_tiempo: DataFrame, loaded_at: datetime | None = None
+    fact: DataFrame,
+    dim_tiempo: DataFrame,
+    loaded_at: datetime | None = None,
+    keep_unmatched: bool = False,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
-    sums = dated_sales(fact, dim_tiempo, MONTH_AND_QUARTER)
-    months = sums.select(*MONTH_AND_QUARTER, *_totals(sums, F.lit(1)))
+    """Sales by month. ``keep_unmatched`` adds a row without a month for sales that have
+    none. The sums may come from a ``cube`` of the same sales."""
+    sums = _grouped_sales(fact, dim_tiempo, MONTH_AND_QUARTER, "periodo", keep_unmatched, cube)
+    months = sums.select(*MONTH_AND_QUARTER, *_totals(sums, None))
     grown = growth(months, SALES, "variacion_mes_anterior_pct")
     return (
         year_to_date(grown, SALES, "acumulado_anual")
@@ -118,9 +210,14 @@ def month_rank(df: DataFrame) -> DataFrame:
 
 def global_rank(df: DataFrame, key: str) -> DataFrame:
     """Dense rank of each key's total over all months, put on each of its rows."""
-    totals = df.groupBy(key).agg(round2(_sum_of_doubles(SALES)).alias("_total"))
-    ranks = add_dense_rank(totals, [], "_total", "ranking_global")
-    return df.join(ranks.select(key, "ranking_global"), key, "left")
+    return df.join(key_ranks(df, key), key, "left")
+
+
+def key_ranks(df: DataFrame, key: str) -> DataFrame:
+    """Each key and the dense rank of its total over all months. No key has no rank."""
+    totals = df.where(F.col(key).isNotNull()).groupBy(key)
+    totals = totals.agg(round2(_sum_of_doubles(SALES)).alias("_total"))
+    return add_dense_rank(totals, [], "_total", "ranking_global").select(key, "ranking_global")
 
 
 def month_share(df: DataFrame) -> DataFrame:
@@ -129,18 +226,18 @@ def month_share(df: DataFrame) -> DataFrame:
     share = round2(ratio(F.col(SALES), F.col("_month_total")) * 100)
     # One row per month of the calendar.
     return (
-        df.join(F.broadcast(months), PERIOD)
+        df.join(F.broadcast(months), PERIOD, "left")
         .withColumn("participacion_mes_pct", share)
         .drop("_month_total")
     )
 
 
 def dimension_attributes(
-    dim: DataFrame, entity: str, prefix: str, taken: Sequence[str]
+    dim: DataFrame, entity: str, prefix: str, taken: Sequence[str], keep_nulls: bool = False
 ) -> tuple[DataFrame | None, list[str]]:
     """The dimension's key as text, its attributes, and how often each such row
     occurs; attributes whose name is taken get a prefix. Rows with a null belong to
-    no group."""
+    no group, unless ``keep_nulls`` keeps those that have a key."""
     key = f"nk_{entity}"
     if key not in dim.columns:
         log.warning("the dimension has no column %s; attributes are left out", key)
@@ -155,34 +252,66 @@ def dimension_attributes(
         *[_column(dim, c).alias(name) for c, name in names.items()],
     )
     attributes = list(names.values())
-    counted = rows.dropna().groupBy("_key", *attributes).agg(F.count(F.lit(1)).alias("_times"))
+    rows = rows.dropna(subset=["_key"]) if keep_nulls else rows.dropna()
+    counted = rows.groupBy("_key", *attributes).agg(F.count(F.lit(1)).alias("_times"))
     return counted, attributes
 
 
+def _cause(key: str, attributes: Sequence[str], known: Column) -> Column:
+    """Why a group of sales is none of a month, member and attributes; null if it is one."""
+    cause = F.when(F.col(PERIOD).isNull(), "sin_fecha").when(F.col(key).isNull(), "sin_clave")
+    cause = cause.when(~known, "sin_miembro")
+    for name in attributes:
+        cause = cause.when(F.col(f"`{name}`").isNull(), "atributo_nulo")
+    return cause
+
+
 def entity_sales(
-    fact: DataFrame, dim: DataFrame, dim_tiempo: DataFrame, entity: str, prefix: str
+    fact: DataFrame,
+    dim: DataFrame,
+    dim_tiempo: DataFrame,
+    entity: str,
+    prefix: str,
+    keep_unmatched: bool = False,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
     """Totals per month, key and attributes of the dimension.
 
     Sales are summed per month and key before they meet the dimension, so a key
     with many sales is one row a month in that join. A dimension row that occurs
     n times counts its sales n times. Groups with a null attribute are left out.
+
+    With ``keep_unmatched`` all sales stay, and CAUSE tells why a group is incomplete:
+    without a date, without a key, of a key that the dimension lacks, or of a member with
+    a null attribute. Text attributes of an unknown member are UNKNOWN.
     """
     key = f"fk_{entity}"
-    sums = dated_sales(fact, dim_tiempo, MONTH, key)
-    taken = {*fact.columns, *MONTH, SALES, COUNT, TICKET, UNITS}
-    rows, attributes = dimension_attributes(dim, entity, prefix, taken)
-    times = F.lit(1)
+    sums = _grouped_sales(fact, dim_tiempo, MONTH, entity, keep_unmatched, cube)
+    taken = {*fact.columns, *MONTH, SALES, COUNT, TICKET, UNITS, *([CAUSE] if keep_unmatched else [])}
+    rows, attributes = dimension_attributes(dim, entity, prefix, taken, keep_unmatched)
+    times = None
+    known = F.lit(True)
     if rows is not None:
         as_key = canonical_key(F.col(key), fact.schema[key].dataType)
         # An unmatched sale lacks the attributes, if there are any.
-        how = "inner" if attributes else "left"
+        how = "left" if keep_unmatched or not attributes else "inner"
         sums = sums.join(rows, as_key == F.col("_key"), how)
         times = F.coalesce("_times", F.lit(1))
+        known = F.col("_key").isNotNull()
     units = []
     if any(c.startswith("_units") for c in sums.columns):
         units.append(summed(sums, "_units", times).alias(UNITS))
-    return sums.select(*MONTH, key, *attributes, *_totals(sums, times), *units)
+    described = [F.col(f"`{name}`") for name in attributes]
+    cause = []
+    if keep_unmatched:
+        described = [
+            F.when(known, F.col(f"`{f.name}`")).otherwise(UNKNOWN).alias(f.name)
+            if isinstance(f.dataType, T.StringType)
+            else F.col(f"`{f.name}`")
+            for f in (sums.schema[name] for name in attributes)
+        ]
+        cause = [_cause(key, attributes, known).alias(CAUSE)]
+    return sums.select(*MONTH, key, *described, *cause, *_totals(sums, times), *units)
 
 
 def _ranked(sales: DataFrame, key: str, label: str) -> DataFrame:
@@ -204,8 +333,13 @@ def kpi_ventas_por_cliente(
     dim_clientes: DataFrame,
     dim_tiempo: DataFrame,
     loaded_at: datetime | None = None,
+    keep_unmatched: bool = False,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
-    sales = entity_sales(fact, dim_clientes, dim_tiempo, "cliente", "cli").drop(UNITS)
+    """Sales by month and customer, see ``entity_sales``. What has no month or key has no
+    rank there."""
+    sales = entity_sales(fact, dim_clientes, dim_tiempo, "cliente", "cli", keep_unmatched, cube)
+    sales = sales.drop(UNITS)
     ranked = _ranked(sales, "fk_cliente", "customer_sales")
     columns = [*sales.columns, "ranking_mes", "ranking_global"]
     return _finished(ranked, columns, "fk_cliente", loaded_at)
@@ -216,8 +350,12 @@ def kpi_ventas_por_producto(
     dim_productos: DataFrame,
     dim_tiempo: DataFrame,
     loaded_at: datetime | None = None,
+    keep_unmatched: bool = False,
+    cube: DataFrame | None = None,
 ) -> DataFrame:
-    sales = entity_sales(fact, dim_productos, dim_tiempo, "producto", "prod")
+    """Sales by month and product, see ``entity_sales``. What has no month or key has no
+    rank or share there."""
+    sales = entity_sales(fact, dim_productos, dim_tiempo, "producto", "prod", keep_unmatched, cube)
     ranked = _ranked(sales, "fk_producto", "product_sales")
     columns = [*sales.columns, "ranking_mes", "ranking_global", "participacion_mes_pct"]
     return _finished(month_share(ranked), columns, "fk_producto", loaded_at)

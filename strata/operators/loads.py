@@ -24,6 +24,7 @@ from strata.sources.catalog import (
     table,
     table_exists,
 )
+from strata.sources.partitions import IdIndex
 
 log = logging.getLogger(__name__)
 
@@ -51,25 +52,32 @@ def load_rule(name: Column, rules: Sequence[Rule] = LOAD_RULES) -> Column:
     return otherwise if chosen is None else chosen.otherwise(otherwise)
 
 
+def id_key(df: DataFrame, id_column: str) -> Column:
+    return canonical_key(F.col(f"`{id_column}`"), df.schema[id_column].dataType)
+
+
 def new_rows(incoming: DataFrame, existing: DataFrame, id_column: str) -> DataFrame:
     """Incoming rows whose id is not among the existing ones. A missing id equals
-    a missing id. Copies within the incoming rows all stay.
+    a missing id. Copies within the incoming rows all stay."""
+    ids = existing.select(id_key(existing, id_column).alias("_id"))
+    return rows_without(incoming, id_column, ids, not ids.where("_id IS NULL").isEmpty())
+
+
+def rows_without(incoming: DataFrame, id_column: str, ids: DataFrame, has_missing: bool) -> DataFrame:
+    """Incoming rows whose id is not an ``_id`` of ``ids``; rows without an id go too if
+    ``has_missing``.
 
     Existing ids first meet the incoming ones, so that of a large table only those go on
     which matter, and copies of an id shrink before the last join. Missing ids take no
-    part in the joins, where they would share one task: a look for one row tells whether there are any.
+    part in the joins, where they would share one task. If ``ids`` lie in buckets, only
+    incoming ids are shuffled.
     """
-
-    def key(df: DataFrame) -> Column:
-        return canonical_key(F.col(f"`{id_column}`"), df.schema[id_column].dataType)
-
-    marked = incoming.select("*", key(incoming).alias("_id"))
+    marked = incoming.select("*", id_key(incoming, id_column).alias("_id"))
     with_id = marked.where("_id IS NOT NULL")
-    ids = existing.select(key(existing).alias("_id"))
     known = ids.join(with_id.select("_id"), "_id", "left_semi").distinct()
     new = with_id.join(known, "_id", "left_anti")
     columns = [F.col(f"`{c}`") for c in incoming.columns]
-    if not ids.where("_id IS NULL").isEmpty():
+    if has_missing:
         return new.select(*columns)
     return new.select(*columns).union(marked.where("_id IS NULL").select(*columns))
 
@@ -120,7 +128,7 @@ def load_new(
     loaded_at: datetime | None = None,
 ) -> int:
     """Append rows with new ids and stage them. A table without the id column is
-    replaced."""
+    replaced. The ids of the table are kept in buckets beside it, see ``IdIndex``."""
     spark = df.sparkSession
     if not table_exists(spark, database, name):
         rows = save(df, database, name)
@@ -133,11 +141,14 @@ def load_new(
         return save(df, database, name, "replace")
     with scratch():
         incoming = written(df, "incoming")
+        index = IdIndex(spark, database, name)
+        ids, has_missing = index.of(existing.select(id_key(existing, id_column).alias("_id")))
         # Written before the append, after which they would be new no more.
-        fresh = written(new_rows(incoming, existing, id_column), "new_rows")
+        fresh = written(rows_without(incoming, id_column, ids, has_missing), "new_rows")
         if fresh.isEmpty():
             return 0
         rows = save(fresh, database, name)
+        index.add(fresh.select(id_key(fresh, id_column).alias("_id")), rows)
         if staging:
             stage(fresh, database, staging, loaded_at)
     return rows

@@ -12,9 +12,10 @@ from strata.operators.kpis import (
     kpi_ventas_por_cliente,
     kpi_ventas_por_periodo,
     kpi_ventas_por_producto,
+    sales_cube,
 )
 from strata.plans.parallel import side_by_side
-from strata.session import scratch
+from strata.session import scratch, written
 from strata.sources.catalog import ensure_database, read_table, save
 
 log = logging.getLogger(__name__)
@@ -28,13 +29,19 @@ def run_gold(
     database: str = "gold",
     loaded_at: dt.datetime | None = None,
     report_keys: bool = False,
+    keep_unmatched: bool = False,
 ) -> dict[str, int]:
-    """Replace the KPI tables side by side; a failing one does not stop the others.
-    ``report_keys`` also logs how many sales find their customer and product."""
+    """Replace the KPI tables side by side; a failing one does not stop the others. The
+    sales are read once, for the sums of all three. ``report_keys`` also logs how many
+    sales find their customer and product, ``keep_unmatched`` keeps those that do not."""
     builders = {
-        "kpi_ventas_por_periodo": lambda: kpi_ventas_por_periodo(fact, days, loaded_at),
-        "kpi_ventas_por_cliente": lambda: kpi_ventas_por_cliente(fact, customers, days, loaded_at),
-        "kpi_ventas_por_producto": lambda: kpi_ventas_por_producto(fact, products, days, loaded_at),
+        "kpi_ventas_por_periodo": lambda more: kpi_ventas_por_periodo(fact, days, loaded_at, **more),
+        "kpi_ventas_por_cliente": lambda more: kpi_ventas_por_cliente(
+            fact, customers, days, loaded_at, **more
+        ),
+        "kpi_ventas_por_producto": lambda more: kpi_ventas_por_producto(
+            fact, products, days, loaded_at, **more
+        ),
     }
     summary = {"total": len(builders), "success": 0, "errors": 0}
     ensure_database(spark, database)
@@ -48,7 +55,20 @@ def run_gold(
             if f"nk_{entity}" in dim.columns:
                 report = key_coverage(fact, f"fk_{entity}", dim, f"nk_{entity}").first()
                 log.info("keys of %s: %s", entity, report.asDict())
-    saved = side_by_side({k: partial(_saved, b, database, k) for k, b in builders.items()})
+    with scratch():
+        try:
+            more = (
+                {"keep_unmatched": True}
+                if keep_unmatched
+                else {"cube": written(sales_cube(fact, days), "sales_cube")}
+            )
+        except Exception as error:
+            log.error("the sales are not summed: %s", error)
+            summary["errors"] = summary["total"]
+            return summary
+        saved = side_by_side(
+            {k: partial(_saved, partial(b, more), database, k) for k, b in builders.items()}
+        )
     for name, rows in saved.items():
         if isinstance(rows, Exception):
             log.error("%s.%s not built: %s", database, name, rows)

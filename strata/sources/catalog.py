@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
+# Ends the name of a table that holds the ids of another one.
+INDEX = "__row_ids"
+
 
 def quoted(*names: str) -> str:
     return ".".join("`" + name.replace("`", "``") + "`" for name in names)
@@ -119,7 +122,7 @@ def read_first(
             if not t.isTemporary
             and keyword.lower() in t.name.lower()
             and t.name not in skipped
-            and not t.name.endswith(_previous(""))
+            and not t.name.endswith((_previous(""), INDEX))
         )
         if found:
             log.info("read %s.%s for %s", database, found[0], keyword)
