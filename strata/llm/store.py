@@ -75,7 +75,13 @@ class HashStore:
 
     def part(self, shard: int, name: str) -> np.ndarray | None:
         if (shard, name) not in self.held:
-            self.held[shard, name] = load(self.folder, shard, name)
+            values = load(self.folder, shard, name)
+            if values is None and name == "hash" and self.sizes[shard]:
+                raise FileNotFoundError(
+                    f"shard {shard} of {self.folder} has {self.sizes[shard]} hashes but no file here; "
+                    "spark.checkpoint.dir must be mounted on every executor"
+                )
+            self.held[shard, name] = values
         return self.held[shard, name]
 
     def find(self, hashes: np.ndarray) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray]]:

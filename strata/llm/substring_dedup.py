@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -127,40 +128,89 @@ class Blocks:
         self.low, self.size, self.anchor, self.check = at - firsts[self.text], size, anchor, check
 
 
-def _numbers(least: int):
+BLOCK_LISTS = {"low": "int", "size": "int", "anchor": "bigint", "block": "bigint"}
+
+
+def _lists(ends: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
+
+
+def _blocks(least: int):
+    """All blocks of each text, as lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blocks = Blocks(batch.column("_text"), least)
+            # Short lines come first, so order by text.
+            order = np.argsort(blocks.text, kind="stable")
+            ends = np.searchsorted(blocks.text[order], np.arange(batch.num_rows + 1))
+            columns = [
+                blocks.low[order].astype(np.int32),
+                blocks.size[order].astype(np.int32),
+                blocks.anchor[order].view(np.int64),
+                blocks.check[order].view(np.int64),
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), batch.column("_hash"), *(_lists(ends, c) for c in columns)],
+                names=["_id", "_hash", *BLOCK_LISTS],
+            )
+
+    return run
+
+
+def _known(store: HashStore, hashes: np.ndarray) -> np.ndarray:
+    order = np.argsort(hashes)
+    known = np.zeros(len(hashes), bool)
+    known[order] = store.places(hashes[order]) >= 0
+    return known
+
+
+def _repeated(store: HashStore):
+    """The blocks whose anchor is in the store, a row each."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            number, times = np.unique(Blocks(batch.column("_text"), least).anchor, return_counts=True)
+            lists = [batch.column(name) for name in BLOCK_LISTS]
+            flat = [x.flatten() for x in lists]
+            own = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists[0]).to_numpy())
+            again = _known(store, flat[2].to_numpy().view(np.uint64))
+            which, mask = pa.array(own[again]), pa.array(again)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(number.view(np.int64)), pa.array(times)], names=["hash", "times"]
+                [
+                    batch.column("_id").take(which),
+                    batch.column("_hash").take(which),
+                    *(x.filter(mask) for x in flat),
+                ],
+                names=["_id", "_hash", *BLOCK_LISTS],
             )
 
     return run
 
 
-def _rows(store: HashStore, least: int, with_windows: bool):
-    """Blocks whose anchor is in the store, with their windows if asked for."""
+def _windows(texts: HashStore, anchors: HashStore, least: int):
+    """The windows of blocks whose anchor is in the store, of texts whose row key is in
+    another; no other text is looked into."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(_known(texts, batch.column("_row").to_numpy().view(np.uint64))))
+            if not batch.num_rows:
+                continue
             blocks = Blocks(batch.column("_text"), least)
-            order = np.argsort(blocks.anchor)
-            again = np.zeros(len(order), bool)
-            again[order] = store.places(blocks.anchor[order]) >= 0
+            again = _known(anchors, blocks.anchor)
             own = pa.array(blocks.text[again])
-            columns = {
-                "_id": batch.column("_id").take(own),
-                "_hash": batch.column("_hash").take(own),
-                "low": pa.array(blocks.low[again].astype(np.int32)),
-                "size": pa.array(blocks.size[again].astype(np.int32)),
-                "anchor": pa.array(blocks.anchor[again].view(np.int64)),
-                "block": pa.array(blocks.check[again].view(np.int64)),
-            }
-            if with_windows:
-                ends = np.append(0, np.cumsum(blocks.counts[again])).astype(np.int32)
-                windows = blocks.windows[np.repeat(again, blocks.counts)]
-                columns["windows"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(windows.view(np.int64)))
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            ends = np.append(0, np.cumsum(blocks.counts[again]))
+            windows = blocks.windows[np.repeat(again, blocks.counts)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("_id").take(own),
+                    batch.column("_hash").take(own),
+                    pa.array(blocks.low[again].astype(np.int32)),
+                    pa.array(blocks.anchor[again].view(np.int64)),
+                    _lists(ends, windows.view(np.int64)),
+                ],
+                names=["_id", "_hash", "low", "anchor", "windows"],
+            )
 
     return run
 
@@ -184,12 +234,15 @@ def repeated_spans(source: DataFrame, least: int) -> DataFrame:
     of the blocks that are left, those that share their anchor with other blocks are
     compared window by window.
     """
-    counted = source.select("_text").mapInArrow(_numbers(least), "hash bigint, times bigint")
-    again = kept(counted.groupBy("hash").agg(F.sum("times").alias("times")).where("times > 1"), "repeated")
-    store, _ = write_store(again, "times", again.count(), "repeated")
     kind = source.schema["_id"].dataType.simpleString()
-    columns = f"_id {kind}, _hash bigint, low int, size int, anchor bigint, block bigint"
-    rows = kept(source.mapInArrow(_rows(store, least, False), columns), "blocks")
+    lists = ", ".join(f"{name} array<{of}>" for name, of in BLOCK_LISTS.items())
+    packed = source.select("_id", "_hash", "_text").mapInArrow(_blocks(least), f"_id {kind}, _hash bigint, {lists}")
+    packed = kept(packed, "blocks")
+    counted = packed.select(F.explode("anchor").alias("hash")).groupBy("hash").agg(F.count("*").alias("times"))
+    again = kept(counted.where("times > 1"), "repeated")
+    store, _ = write_store(again, "times", again.count(), "repeated")
+    flat = ", ".join(f"{name} {of}" for name, of in BLOCK_LISTS.items())
+    rows = packed.mapInArrow(_repeated(store), f"_id {kind}, _hash bigint, {flat}")
     thin = kept(_with_first(rows, ["anchor", "block"], least), "first_blocks")
     left = thin.where(f"NOT gone AND size >= {least}")
     shared = kept(
@@ -199,10 +252,16 @@ def repeated_spans(source: DataFrame, least: int) -> DataFrame:
     count = shared.count()
     left = left.join(broadcast_if_small(shared, count, NUMBERS), "anchor")
     left = left.select(F.col("_id").alias("i"), F.col("_hash").alias("h"), F.col("low").alias("l")).distinct()
-    # Windows take most room, so they are made in a scan of their own, of these anchors only.
-    store, _ = write_store(shared.select(F.col("anchor").alias("hash"), F.lit(1).alias("times")), "times", count, "shared")
-    rows = source.mapInArrow(_rows(store, least, True), f"{columns}, windows array<bigint>")
-    a, b = rows.drop("size", "block").alias("a"), left.alias("b")
+    left = kept(left, "left_blocks")
+    # Windows take most room, so they are made in a scan of their own, of these anchors and
+    # the texts that have them only.
+    anchors, _ = write_store(shared.select(F.col("anchor").alias("hash"), F.lit(1).alias("times")), "times", count, "shared")
+    wanted = kept(left.select(F.xxhash64("i", "h").alias("hash"), F.lit(1).alias("times")).distinct(), "wanted")
+    texts, _ = write_store(wanted, "times", wanted.count(), "wanted")
+    rows = source.select("_id", "_hash", F.xxhash64("_id", "_hash").alias("_row"), "_text").mapInArrow(
+        _windows(texts, anchors, least), f"_id {kind}, _hash bigint, low int, anchor bigint, windows array<bigint>"
+    )
+    a, b = rows.alias("a"), left.alias("b")
     same = F.col("a._id").eqNullSafe(F.col("b.i")) & (F.col("a._hash") == F.col("b.h")) & (F.col("a.low") == F.col("b.l"))
     single = a.join(b, same, "left_semi").select(
         "_id", "_hash", "anchor", F.col("low").alias("begin"), F.posexplode("windows").alias("place", "window")
