@@ -30,13 +30,24 @@ def session(df: DataFrame) -> SparkSession:
     return spark
 
 
-def kept(df: DataFrame, label: str) -> DataFrame:
+def kept_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """Write rows once to the shared folder and read them from there, so that neither
-    later steps nor retries run the plan before them again."""
+    later steps nor retries run the plan before them again. Also where they are."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    return kept_at(df, label)[0]
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Drop written rows that nothing reads any more: later steps are written too."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def broadcast_if_small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.llm.shared import NUMBERS, broadcast_if_small, kept, row_key, session
+from strata.llm.shared import NUMBERS, broadcast_if_small, kept, kept_at, remove, row_key, session
 from strata.llm.similarity import Tables, links
 from strata.llm.store import HashStore, write_store
 from strata.llm.words import (
@@ -215,15 +215,17 @@ def _windows(texts: HashStore, anchors: HashStore, least: int):
     return run
 
 
-def _with_first(rows: DataFrame, keys: list[str], least: int) -> DataFrame:
+def _with_first(rows: DataFrame, keys: list[str], least: int, label: str) -> DataFrame:
     """With ``gone``: whether the same words stand earlier, in a smaller id or before it in
-    the same text, and do not overlap it."""
+    the same text, and do not overlap it. Written."""
     where = F.struct("_id", "_hash", "low")
     # Written, so that the join deals its rows anew and a key with many can be split.
-    first = kept(rows.groupBy(*keys).agg(F.min(where).alias("first")), "firsts")
+    first, path = kept_at(rows.groupBy(*keys).agg(F.min(where).alias("first")), "firsts")
     here = F.col("first._id").eqNullSafe(F.col("_id")) & (F.col("first._hash") == F.col("_hash"))
     near = F.col("low") - F.col("first.low") < F.least("size", F.lit(least))
-    return rows.join(first, keys).withColumn("gone", ~(here & near)).drop("first")
+    out = kept(rows.join(first, keys).withColumn("gone", ~(here & near)).drop("first"), label)
+    remove(rows.sparkSession, path)
+    return out
 
 
 def repeated_spans(source: DataFrame, least: int) -> DataFrame:
@@ -237,13 +239,15 @@ def repeated_spans(source: DataFrame, least: int) -> DataFrame:
     kind = source.schema["_id"].dataType.simpleString()
     lists = ", ".join(f"{name} array<{of}>" for name, of in BLOCK_LISTS.items())
     packed = source.select("_id", "_hash", "_text").mapInArrow(_blocks(least), f"_id {kind}, _hash bigint, {lists}")
-    packed = kept(packed, "blocks")
+    packed, path = kept_at(packed, "blocks")
     counted = packed.select(F.explode("anchor").alias("hash")).groupBy("hash").agg(F.count("*").alias("times"))
     again = kept(counted.where("times > 1"), "repeated")
     store, _ = write_store(again, "times", again.count(), "repeated")
     flat = ", ".join(f"{name} {of}" for name, of in BLOCK_LISTS.items())
     rows = packed.mapInArrow(_repeated(store), f"_id {kind}, _hash bigint, {flat}")
-    thin = kept(_with_first(rows, ["anchor", "block"], least), "first_blocks")
+    thin = _with_first(rows, ["anchor", "block"], least, "first_blocks")
+    # All that is read from here on is written.
+    remove(source.sparkSession, path)
     left = thin.where(f"NOT gone AND size >= {least}")
     shared = kept(
         left.groupBy("anchor").agg(F.min("block").alias("a"), F.max("block").alias("b")).where("a <> b").select("anchor"),
@@ -269,8 +273,10 @@ def repeated_spans(source: DataFrame, least: int) -> DataFrame:
     single = single.select(
         "_id", "_hash", (F.col("begin") + F.col("place")).alias("low"), F.lit(least).alias("size"), "anchor", "window"
     )
-    single = _with_first(kept(single, "windows"), ["anchor", "window"], least)
+    single, path = kept_at(single, "windows")
     span = ["_id", "_hash", "low", "size"]
+    single = _with_first(single, ["anchor", "window"], least, "first_windows")
+    remove(source.sparkSession, path)
     return thin.where("gone").select(*span).union(single.where("gone").select(*span))
 
 
