@@ -14,7 +14,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 
 @pytest.fixture(scope="module")
 def con():
-    return connect(FOLDER)
+    connection = connect(FOLDER)
+    yield connection
+    connection.close()
 
 
 def test_every_query_has_sql():
