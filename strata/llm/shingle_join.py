@@ -1,4 +1,4 @@
-"""N-gram Jaccard join over a forest of MinHash tries."""
+"""N-gram Jaccard join over tables of MinHash prefixes."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,9 +36,10 @@ def shingle_join(
 
     Two texts link if the Jaccard similarity of their shingles reaches ``similarity``.
     Words are split at white space, with A-Z in lower case; a text of fewer words than a
-    shingle is one shingle. Each of the ``trees`` tries orders texts by a signature of
-    ``depth`` minima; texts under one node at the depth of ``prefix_depth`` meet, and are
-    then compared exactly. Memory is bounded by blocks, whatever a node holds.
+    shingle is one shingle. Each of the ``trees`` tables has a signature of up to ``depth``
+    minima; texts whose first ``prefix_depth`` minima are equal in a table meet, and are
+    then compared exactly. That length is one for all texts, found from the recall; prefixes
+    are not shortened per group. Memory is bounded by blocks, whatever a group holds.
 
     Null and blank texts link with nothing and are their own component. Repeated rows
     are linked copies and share ``kept``. A null id counts as the smallest, and is given
