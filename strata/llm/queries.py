@@ -1,5 +1,6 @@
 """The registered queries of this subpackage, over whole tables."""
 
+import string
 import zlib
 
 import numpy as np
@@ -69,6 +70,29 @@ def op4_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
     return link_quotes(_table(spark, folder, "conversations"))
 
 
+ALPHABETS = (string.ascii_lowercase, string.ascii_uppercase)
+
+
+def quotation_replies(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for conversations in which every message answers the one before: it quotes
+    the whole of it, its first line only, or its last line inside another quote."""
+    told = _table(spark, folder, "conversations")
+    before = told.select(
+        "conv_id", (F.col("turn") + 1).alias("turn"), F.split("text", "\n").alias("quote")
+    )
+    quote = F.col("quote")
+    kind = F.col("turn") % 3
+    lines = (
+        F.when(kind == 0, F.transform(quote, lambda line: F.concat(F.lit("> "), line)))
+        .when(kind == 1, F.array(F.concat(F.lit(">"), F.translate(quote[0], *ALPHABETS))))
+        .otherwise(F.array(F.lit("> somebody said"), F.concat(F.lit("> > "), F.element_at(quote, -1))))
+    )
+    answers = told.join(before, ["conv_id", "turn"], "left").withColumn(
+        "text", F.when(quote.isNull(), F.col("text")).otherwise(F.concat_ws("\n", lines, "text"))
+    )
+    return link_quotes(answers.select(told.columns))
+
+
 def op5_language_model(spark: SparkSession, folder: str) -> DataFrame:
     """Log10 probability of every document, learnt from six folds of seven."""
     docs = _table(spark, folder, "documents")
@@ -186,6 +210,7 @@ QUERIES = {
     "op11_toxicity": op11_toxicity,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_periodic_runs": op13_periodic_runs,
+    "quotation_replies": quotation_replies,
 }
 
 # Fixed: words as the contract of the first query has them.
@@ -239,8 +264,16 @@ p AS (SELECT r, n, level, trim(regexp_replace(lower(string_agg(t, chr(10) ORDER
       FROM g WHERE NOT blank GROUP BY r, n, level),
 k AS (SELECT p.*, conv_id, turn FROM p JOIN m USING (r) WHERE words <> ''),
 o AS (SELECT conv_id, words, min(turn) AS origin FROM k WHERE level = 0 GROUP BY conv_id, words),
-f AS (SELECT k.r, k.conv_id, k.turn, n, level, CASE WHEN origin < k.turn THEN origin END AS origin
+f0 AS (SELECT k.r, k.conv_id, k.turn, n, level, CASE WHEN origin < k.turn THEN origin END AS origin
       FROM k LEFT JOIN o ON o.conv_id = k.conv_id AND o.words = k.words WHERE level > 0),
+ln AS (SELECT g.r, n, level, conv_id, turn, trim(regexp_replace(lower(t), '[\s\x{a0}]+', ' ', 'g')) AS line
+       FROM g JOIN m USING (r) WHERE NOT blank),
+lo AS (SELECT conv_id, line, min(turn) AS origin FROM ln WHERE level = 0 AND line <> '' GROUP BY conv_id, line),
+lc AS (SELECT ln.r, ln.n, lo.origin, count(*) AS c FROM ln JOIN lo ON lo.conv_id = ln.conv_id AND lo.line = ln.line
+       WHERE ln.level > 0 AND lo.origin < ln.turn GROUP BY ln.r, ln.n, lo.origin),
+lb AS (SELECT r, n, max({'c': c, 'origin': origin}).origin AS by_lines FROM lc GROUP BY r, n),
+f AS (SELECT f0.r, conv_id, turn, f0.n, level, coalesce(origin, by_lines) AS origin
+      FROM f0 LEFT JOIN lb ON lb.r = f0.r AND lb.n = f0.n),
 a AS (SELECT r, conv_id, turn, count(DISTINCT n) AS n_quotes,
         count(DISTINCT CASE WHEN origin IS NOT NULL THEN n END) AS n_linked,
         max(CASE WHEN origin IS NOT NULL THEN {'near': -level, 'origin': origin} END).origin AS reply_to
@@ -259,7 +292,19 @@ z AS (SELECT m.conv_id, m.turn, m.role,
 SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY thread, depth, turn, role, text) - 1 AS position FROM z
 """
 
+# The conversations as the query makes them.
+REPLIES_SQL = r"""
+SELECT c.conv_id, c.turn, c.role,
+       CASE WHEN q IS NULL THEN c.text ELSE concat_ws(chr(10),
+         CASE c.turn % 3 WHEN 0 THEN array_to_string(list_transform(q, lambda x: '> ' || x), chr(10))
+                         WHEN 1 THEN '>' || translate(q[1], 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')
+                         ELSE '> somebody said' || chr(10) || '> > ' || q[-1] END, c.text) END AS text
+FROM conversations c LEFT JOIN (SELECT conv_id, turn + 1 AS turn, string_split(text, chr(10)) AS q FROM conversations) b
+  ON b.conv_id = c.conv_id AND b.turn = c.turn
+"""
+
 ORACLES: dict[str, str] = {
+    "quotation_replies": QUOTATION_SQL.replace("FROM conversations)", f"FROM ({REPLIES_SQL}))"),
     "op4_quotation_linking": QUOTATION_SQL,
     "op1_decontamination": DECONTAMINATION_SQL,
 }

@@ -56,6 +56,40 @@ def unquoted(text: Column) -> Column:
     return F.regexp_replace(F.array_join(own, "\n"), r"^\s+|\s+\z", "")
 
 
+def hashes(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("h1"), F.xxhash64(F.reverse(text), F.length(text)).alias("h2")]
+
+
+def _line_hashes(text: Column) -> Column:
+    """The lines of a passage that have words."""
+    lines = F.filter(F.transform(F.split(text, "\n"), normal), lambda line: line != "")
+    return F.transform(lines, lambda line: F.struct(*hashes(line))).alias("lines")
+
+
+def _first(own: DataFrame, quoted: DataFrame) -> DataFrame:
+    """The first turn of each conversation that has what is quoted in it as its own."""
+    wanted = quoted.select("conv_id", "h1", "h2")
+    own = own.select("conv_id", "h1", "h2", "turn").join(wanted, ["conv_id", "h1", "h2"], "left_semi")
+    return own.groupBy("conv_id", "h1", "h2").agg(F.min("turn").alias("origin"))
+
+
+def _with_line_origins(found: DataFrame, own: DataFrame) -> DataFrame:
+    """``origin`` by lines where a quoted passage has none as a whole."""
+    passage = ["conv_id", "turn", "message", "place"]
+    rest = found.where("origin IS NULL").dropDuplicates(passage)
+    lines = rest.select(*passage, F.explode("lines").alias("line")).select(*passage, "line.*")
+    firsts = _first(own.select("conv_id", "turn", F.explode("lines").alias("line")).select("*", "line.*"), lines)
+    counts = (
+        lines.join(firsts, ["conv_id", "h1", "h2"])
+        .where("origin < turn")
+        .groupBy(*passage, "origin")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    best = counts.groupBy(*passage).agg(F.max(F.struct("n", "origin"))["origin"].alias("_by_lines"))
+    joined = found.drop("lines").join(best, passage, "left")
+    return joined.withColumn("origin", F.coalesce("origin", "_by_lines")).drop("_by_lines")
+
+
 def link_quotes(
     messages: DataFrame,
     conversation: str = "conv_id",
@@ -70,11 +104,14 @@ def link_quotes(
     each by depth and turn, so that an answer follows what it quotes.
 
     A passage is quoted from the first message of its conversation with the same normalised
-    passage of its own; only an earlier one counts as original. Outer quotes, of the lowest
-    level, say what is answered; the latest such turn if there are several. Passages meet
-    by two hashes. Originals are reduced to one row per passage before they meet quotes, so
-    a passage that a third of all messages quote is no hot group; chains of replies are
-    followed by pointer jumping, as many rounds as the logarithm of the longest.
+    passage of its own; only an earlier one counts as original. If there is none, as where
+    part of a passage is quoted, each line of it counts for the first message with that
+    line, if it is an earlier one, and the message with most of its lines is the original,
+    the latest of several. Outer quotes, of the lowest level, say what is answered; the
+    latest such turn if there are several. Passages and lines meet by two hashes. Originals
+    are reduced to one row per passage and line before they meet quotes, so what a third of
+    all messages quote is no hot group; chains of replies are followed by pointer jumping,
+    as many rounds as the logarithm of the longest.
 
     Messages without quotes are threads of their own. A null text is kept as null and has
     no passages; a null conversation or turn is never linked, and has a position by itself.
@@ -86,22 +123,21 @@ def link_quotes(
         F.col(f"`{role}`").alias("role"),
         F.col(f"`{text}`").alias("raw"),
     )
-    passages = (
+    passages = kept(
         rows.where("conv_id IS NOT NULL AND turn IS NOT NULL AND raw IS NOT NULL")
         .select("conv_id", "turn", F.md5("raw").alias("message"), parse(F.col("raw")).alias("p"))
         .select("conv_id", "turn", "message", F.posexplode("p").alias("place", "p"))
-        .select("conv_id", "turn", "message", "place", "p.level", normal(F.col("p.text")).alias("words"))
+        .withColumn("words", normal(F.col("p.text")))
         .where("words <> ''")
-        .select(
-            "conv_id", "turn", "message", "place", "level",
-            F.xxhash64("words").alias("h1"), F.xxhash64(F.reverse("words"), F.length("words")).alias("h2"),
-        )
-    )
+        .select("conv_id", "turn", "message", "place", "p.level", *hashes(F.col("words")), _line_hashes(F.col("p.text"))),
+        "passages",
+    )
     own, quoted = passages.where("level = 0"), passages.where("level > 0")
-    origin = own.groupBy("conv_id", "h1", "h2").agg(F.min("turn").alias("origin"))
+    origin = _first(own, quoted)
     found = quoted.join(origin, ["conv_id", "h1", "h2"], "left").withColumn(
         "origin", F.when(F.col("origin") < F.col("turn"), F.col("origin"))
     )
+    found = _with_line_origins(found, own)
     key = ["conv_id", "turn", "message"]
     replies = kept(
         found.groupBy(*key).agg(

@@ -65,3 +65,26 @@ def test_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = linked(spark, ROWS)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_part_of_a_passage_is_linked_by_its_lines(spark):
+    rows = [
+        (1, 1, "a", "First point here\nSecond  point here\nCommon line"),
+        (1, 2, "b", "> second point HERE\nI agree."),
+        (1, 3, "c", "Common line\nOther thing\nThird thing"),
+        (1, 4, "d", "> Common line\n> Other thing\nAnd yet"),
+        (1, 5, "e", "> Third thing\n>\n> nothing like it\nNo"),
+        (1, 6, "f", "> Later words\nToo early"),
+        (1, 7, "g", "Later words\nand more"),
+        (2, 1, "h", "> second point here"),
+        (1, None, "i", "> second point here"),
+    ]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = {(r["conv_id"], r["role"]): (r["n_quotes"], r["n_linked"], r["reply_to"]) for r in link_quotes(df).collect()}
+    assert found[1, "b"] == (1, 1, 1)
+    # One line of it stands in turn 1 and in turn 3 first, one each: the latest counts.
+    assert found[1, "d"] == (1, 1, 3)
+    assert found[1, "e"] == (2, 1, 3)
+    assert found[1, "f"] == (1, 0, None)
+    assert found[2, "h"] == (1, 0, None)
+    assert found[1, "i"] == (0, 0, None)
