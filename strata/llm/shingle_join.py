@@ -1,23 +1,15 @@
-"""N-gram Jaccard join over tables of MinHash prefixes."""
+"""N-gram Jaccard join over a MinHash LSH forest."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.forest import Forest
 from strata.llm.shared import row_key
-from strata.llm.similarity import Tables, links
+from strata.llm.similarity import links
 
-TREES = 12
+TREES = 16
 DEPTH = 8
-RECALL = 0.9995
-
-
-def prefix_depth(recall: float, trees: int, depth: int, similarity: float) -> int:
-    """Start from whole signatures and shorten the prefixes that have to match until
-    pairs at the threshold are found with the wanted recall; closer pairs are found
-    with a higher one. Never shorter than one minimum."""
-    while depth > 1 and Tables(trees, depth).recall(similarity) < recall:
-        depth -= 1
-    return depth
+RECALL = 0.9999
 
 
 def shingle_join(
@@ -36,18 +28,18 @@ def shingle_join(
 
     Two texts link if the Jaccard similarity of their shingles reaches ``similarity``.
     Words are split at white space, with A-Z in lower case; a text of fewer words than a
-    shingle is one shingle. Each of the ``trees`` tables has a signature of up to ``depth``
-    minima; texts whose first ``prefix_depth`` minima are equal in a table meet, and are
-    then compared exactly. That length is one for all texts, found from the recall; prefixes
-    are not shortened per group. Memory is bounded by blocks, whatever a group holds.
+    shingle is one shingle. Each of ``trees`` tries holds signatures of ``depth`` minima.
+    Texts meet where they share a prefix, shortened until pairs at the threshold are found
+    with the wanted ``recall``; where many texts share a short prefix, it stays longer as
+    long as the recall allows. Texts that meet are compared exactly. Memory is bounded by
+    blocks, whatever a group holds.
 
     Null and blank texts link with nothing and are their own component. Repeated rows
     are linked copies and share ``kept``. A null id counts as the smallest, and is given
     as class only if the component has no other. Other columns are not read.
     """
     source = docs.select(*row_key(doc_id, text), F.col(f"`{text}`").alias("_text"))
-    at = prefix_depth(recall, trees, depth, similarity)
-    found = links(source, ["_id", "_hash"], Tables(trees, at, words, similarity))
+    found = links(source, ["_id", "_hash"], Forest(trees, depth, recall, words, similarity))
     groups = found.classes.groupBy("root").agg(
         F.min("first").alias("winner"), F.min("lowest").alias("class_id")
     )

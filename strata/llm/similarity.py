@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.llm.components import components
+from strata.llm.forest import Forest
 from strata.llm.shared import NUMBERS, broadcast_if_small, grouped, kept, session
 from strata.llm.words import (
     MULTIPLIER,
@@ -41,10 +42,43 @@ class Tables:
     similarity: float = 0.8
     least: int = 1
 
+    @property
+    def key_type(self) -> str:
+        return "array<bigint>"
+
     def recall(self, similarity: float) -> float:
         """Share of pairs of that similarity which some table brings together."""
         return 1 - (1 - similarity**self.rows) ** self.tables
 
+    def signed(self, found: np.ndarray, firsts: np.ndarray) -> pa.Array:
+        """A key per text and table, from the minima of ``rows`` hash functions. Keys of
+        different tables differ."""
+        full = np.flatnonzero(np.diff(firsts) > 0)
+        keys = np.zeros((len(firsts) - 1, self.tables), np.uint64)
+        if len(full):
+            factors = constants(self.tables * self.rows, 11)
+            order = constants(self.rows, 13)
+            with np.errstate(over="ignore"):
+                for i, factor in enumerate(factors):
+                    table, row = divmod(i, self.rows)
+                    spread = found * factor
+                    spread ^= spread >> np.uint64(29)
+                    least = np.minimum.reduceat(spread, firsts[full])
+                    keys[full, table] += mix(least) * order[row]
+                numbers = np.arange(1, self.tables + 1, dtype=np.uint64) * MULTIPLIER
+                keys = mix(keys + numbers) | np.uint64(1)
+        return pa.ListArray.from_arrays(
+            pa.array(np.arange(0, keys.size + 1, self.tables, dtype=np.int32)),
+            pa.array(keys.view(np.int64).ravel()),
+        )
+
+    def meeting(self, classes: DataFrame) -> DataFrame:
+        """cls, n, tree and key of the keys that ``classes`` share with others."""
+        keyed = classes.select("cls", "n", F.posexplode("keys").alias("tree", "key"))
+        shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        shared = kept(shared.select("key"), "met")
+        return keyed.join(broadcast_if_small(shared, shared.count(), NUMBERS), "key")
+
 
 @dataclass(frozen=True)
 class Links:
@@ -74,42 +108,18 @@ def _class(found: np.ndarray) -> bytes:
     return hashlib.md5(found.tobytes()).digest()
 
 
-def _minima(found: np.ndarray, firsts: np.ndarray, spec: Tables) -> np.ndarray:
-    """A key per text and table, from the minima of ``rows`` hash functions. Keys of
-    different tables differ."""
-    full = np.flatnonzero(np.diff(firsts) > 0)
-    keys = np.zeros((len(firsts) - 1, spec.tables), np.uint64)
-    if not len(full):
-        return keys
-    factors = constants(spec.tables * spec.rows, 11)
-    order = constants(spec.rows, 13)
-    with np.errstate(over="ignore"):
-        for i, factor in enumerate(factors):
-            table, row = divmod(i, spec.rows)
-            spread = found * factor
-            spread ^= spread >> np.uint64(29)
-            least = np.minimum.reduceat(spread, firsts[full])
-            keys[full, table] += mix(least) * order[row]
-        return mix(keys + np.arange(1, spec.tables + 1, dtype=np.uint64) * MULTIPLIER) | np.uint64(1)
-
-
-def _signatures(columns: list[str], schema: pa.Schema, spec: Tables):
+def _signatures(columns: list[str], schema: list[str], spec: Tables | Forest):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, firsts = _sets(batch.column("_text"), spec.words)
             sizes = np.diff(firsts)
-            keys = _minima(found, firsts, spec).view(np.int64)
             enough = sizes >= max(spec.least, 1)
             names = [
                 _class(found[a:b]) if ok else None
                 for a, b, ok in zip(firsts[:-1], firsts[1:], enough)
             ]
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(0, keys.size + 1, spec.tables, dtype=np.int32)),
-                pa.array(keys.ravel()),
-            )
             out = [batch.column(c) for c in columns]
-            out += [pa.array(names, pa.binary()), pa.array(sizes.astype(np.int32)), lists]
+            out += [pa.array(names, pa.binary()), pa.array(sizes.astype(np.int32)), spec.signed(found, firsts)]
             yield pa.RecordBatch.from_arrays(out, names=schema)
 
     return run
@@ -239,17 +249,17 @@ def _verify(similarity: float, tables: int):
     return run
 
 
-def links(source: DataFrame, columns: list[str], spec: Tables) -> Links:
+def links(source: DataFrame, columns: list[str], spec: Tables | Forest) -> Links:
     """Link the texts ``_text`` of ``source`` whose shingle sets are similar enough.
     ``columns`` name a row. A text without enough words has no class and no link.
 
     Equal sets are one class, however many rows have them. Classes that share a key in
-    a table meet in a group; a group with the very members of another is dropped, and a
+    a table, or a prefix in a tree, meet in a group; a group with the very members of another is dropped, and a
     pair is counted in the first table that brings it together. Large groups are cut
     into blocks, so that a task holds two blocks, and only sums leave them.
     """
     session(source)
-    more = StructType.fromDDL("cls binary, n int, keys array<bigint>")
+    more = StructType.fromDDL(f"cls binary, n int, keys {spec.key_type}")
     schema = StructType([*(source.schema[c] for c in columns), *more])
     names = [*columns, "cls", "n", "keys"]
     rows = kept(
@@ -264,9 +274,7 @@ def links(source: DataFrame, columns: list[str], spec: Tables) -> Links:
         "classes",
     )
     # Keys alone find out which meet at all; most do not, and only the rest goes on.
-    keyed = classes.select("cls", "n", F.posexplode("keys").alias("tree", "key"))
-    met = kept(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "met")
-    keyed = kept(keyed.join(broadcast_if_small(met, met.count(), NUMBERS), "key"), "keyed")
+    keyed = kept(spec.meeting(classes), "keyed")
     member = F.xxhash64("cls")
     groups = (
         keyed.groupBy("key")
@@ -276,6 +284,7 @@ def links(source: DataFrame, columns: list[str], spec: Tables) -> Links:
             F.bit_xor(member).alias("members"),
             F.min("cls").alias("low"),
         )
+        .where("rows > 1")
         .groupBy("rows", "total", "members", "low")
         .agg(F.min("key").alias("key"))
     )

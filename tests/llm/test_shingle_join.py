@@ -1,5 +1,6 @@
 import strata.llm.similarity as similarity
-from strata.llm.shingle_join import prefix_depth, shingle_join
+from strata.llm.forest import Forest
+from strata.llm.shingle_join import shingle_join
 from strata.llm.similarity import Tables
 from tests.llm import brute
 
@@ -58,6 +59,50 @@ def test_empty_table(documents):
 
 
 def test_prefixes_are_shortened_until_the_recall_is_met():
-    assert prefix_depth(0.9995, 12, 8, 0.8) == 3
+    assert Forest(12, 8, 0.9995).shortest == 3
     assert Tables(12, 3).recall(0.8) > 0.9995 > Tables(12, 4).recall(0.8)
-    assert prefix_depth(1.1, 12, 8, 0.8) == 1
+    assert Forest(12, 8, 1.1).shortest == 1
+    assert Forest(12, 8, 1.1).spare == 0
+    forest = Forest(16, 8, 0.9999)
+    assert (forest.shortest, forest.spare) == (3, 4)
+    assert forest.missed(3, 4) <= 0.0001 < forest.missed(3, 5)
+
+
+def met(spark, forest, signatures):
+    """Pairs of names that some tree brings together."""
+    rows = [
+        (name.encode(), 9, [b"".join(bytes([0, 0, 0, m]) for m in tree) for tree in trees])
+        for name, trees in signatures.items()
+    ]
+    keyed = forest.meeting(spark.createDataFrame(rows, "cls binary, n int, keys array<binary>"))
+    groups = {}
+    for r in keyed.collect():
+        groups.setdefault((r["tree"], r["key"]), set()).add(bytes(r["cls"]).decode())
+    return {frozenset(g) for g in groups.values() if len(g) > 1}
+
+
+def test_crowded_nodes_keep_longer_prefixes_in_spare_trees(spark):
+    forest = Forest(2, 3, 0.8, crowd=2)
+    assert (forest.shortest, forest.spare) == (2, 1)
+    # In tree 0 four texts share two minima, a and b all three; in tree 1 only c and d meet.
+    signatures = {
+        "a": [(1, 1, 1), (1, 2, 3)],
+        "b": [(1, 1, 1), (2, 2, 3)],
+        "c": [(1, 1, 2), (3, 3, 1)],
+        "d": [(1, 1, 3), (3, 3, 2)],
+    }
+    assert met(spark, forest, signatures) == {frozenset("ab"), frozenset("cd")}
+    assert met(spark, Forest(2, 3, 0.8, crowd=4), signatures) == {frozenset("abcd"), frozenset("cd")}
+    # Crowded in both trees, each text needs one of them short: for all its texts.
+    twice = {name: [trees[0], trees[0]] for name, trees in signatures.items()}
+    assert frozenset("abcd") in met(spark, forest, twice)
+
+
+def test_crowded_nodes_lose_no_link(documents, prose, pick, monkeypatch):
+    import strata.llm.shingle_join as module
+
+    small = lambda *given: Forest(*given, crowd=3)
+    monkeypatch.setattr(module, "Forest", small)
+    base = prose(100)
+    rows = list(enumerate([near(base, pick, n % 3) for n in range(30)] + [prose(40) for _ in range(9)]))
+    check(documents(rows), rows)
