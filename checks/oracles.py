@@ -481,6 +481,42 @@ ORACLES: dict[str, str] = {
     "json_endpoints": """
         SELECT 'api_eventos' AS table_name, event_type AS kind, count(*) AS n FROM events GROUP BY ALL
         UNION ALL SELECT 'api_listas', event_type, count(*) FROM events GROUP BY ALL""",
+    "json_mixed": """
+        WITH e AS (SELECT event_id, event_type, event_id % 8 AS form,
+                          CAST(event_id AS VARCHAR) AS id FROM events)
+        SELECT '' AS data_key, event_id AS source, p AS position,
+               CASE WHEN form IN (0, 1) THEN id END AS found_id,
+               CASE WHEN form IN (0, 1) AND p = 0 THEN event_type END AS found_type,
+               CASE WHEN form IN (0, 1) AND p = 0 THEN '{"x":1}' END AS more,
+               CASE WHEN form = 4 THEN CASE p WHEN 0 THEN event_type ELSE '5' END END AS scalar,
+               CASE form WHEN 2 THEN 'neither an object nor a list'
+                         WHEN 3 THEN 'invalid JSON: {broken ' || event_type
+                         WHEN 7 THEN 'empty document' END AS error
+        FROM (SELECT *, unnest(CASE WHEN form IN (1, 4) THEN [0, 1] WHEN form IN (2, 3, 7) THEN [NULL]
+                               ELSE [0] END) AS p FROM e)
+        UNION ALL
+        SELECT 'posts', event_id, CASE WHEN form = 5 THEN 0 END, CASE WHEN form = 5 THEN id END,
+               CASE WHEN form = 5 THEN event_type END, CASE WHEN form = 5 THEN '{"x":1}' END, NULL,
+               CASE WHEN form = 0
+                    THEN $$data_key 'posts' not found; the keys are event_id, event_type, more$$
+                    WHEN form IN (1, 2, 4) THEN $$no object with data_key 'posts'$$
+                    WHEN form = 3 THEN 'invalid JSON: {broken ' || event_type
+                    WHEN form = 6 THEN $$'posts' holds no list$$
+                    WHEN form = 7 THEN 'empty document' END
+        FROM e""",
+    "dates_voted": """
+        SELECT shape, o_orderkey, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS fk_fecha
+        FROM orders, (SELECT unnest(['day', 'month', 'short']) AS shape)""",
+    "lost_values": """
+        WITH cells AS (
+            SELECT 'idventa' AS column_name, 'ref ' || o_orderpriority AS text
+            FROM orders WHERE o_orderkey % 9 = 0
+            UNION ALL
+            SELECT 'total', CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE 'pendiente' END
+            FROM orders WHERE o_orderstatus = 'P' OR o_orderkey % 7 = 0)
+        SELECT column_name, CAST(sum(count(*)) OVER (PARTITION BY column_name) AS BIGINT) AS lost_rows,
+               text, count(*) AS rows
+        FROM cells GROUP BY column_name, text""",
     "medallion_run": CUSTOMER_KPI.format(
         keys=month_keys("o_orderdate"),
         fk="o_custkey",

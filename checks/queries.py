@@ -16,6 +16,7 @@ from strata.operators.clean import clean, column_profiles
 from strata.operators.control import mark_pending
 from strata.operators.coverage import key_coverage, key_sample
 from strata.operators.loads import load_rule, load_unit, new_rows, reset_staging
+from strata.operators.losses import lost_report, lost_sketches
 from strata.operators.order import add_row_number, dense_ranks
 from strata.operators.raw import normalize, normalize_columns, stringify
 from strata.operators.star import (
@@ -32,6 +33,7 @@ from strata.plans.run import failed, run
 from strata.session import fresh_path, new_database, shared_folder, written
 from strata.sources.catalog import read_first, save, table
 from strata.sources.documents import JsonDocuments, read_documents, records
+from strata.sources.mixed import mixed_records
 from strata.sources.records import SourceRecord
 from strata.sources.workbook import filter_units, name_tables, sheet_cells, with_columns
 
@@ -291,6 +293,45 @@ def dates_mixed(spark, folder):
     return fact_columns(sales, day_first=True).select("o_orderkey", "fk_fecha")
 
 
+def dates_voted(spark, folder):
+    """Columns of dates that have the day or the month first, some with names of months;
+    which is first is left to the dates."""
+    day, key = F.col("o_orderdate"), F.col("o_orderkey")
+    parts = []
+    for shape, text in (("day", "dd/MM/yyyy"), ("month", "MM/dd/yyyy"), ("short", "d-M-yy")):
+        date = (
+            F.when(key % 5 == 0, F.date_format(day, "d MMMM yyyy"))
+            .when(key % 5 == 1, F.date_format(day, "MMM dd, yyyy"))
+            .when(key % 5 == 2, F.date_format(day, "dd-MMM-yy"))
+            .otherwise(F.date_format(day, text))
+        )
+        sales = read(spark, folder, "orders").select("o_orderkey", date.alias("fecha"))
+        found = fact_columns(sales, day_first=None)
+        parts.append(found.select(F.lit(shape).alias("shape"), "o_orderkey", "fk_fecha"))
+    return reduce(DataFrame.union, parts)
+
+
+def lost_values(spark, folder):
+    """Texts that are no numbers, in columns that are mostly numbers, of two loads."""
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    sales = read(spark, folder, "orders").select(
+        F.when(key % 9 == 0, F.concat(F.lit(" ref "), F.col("o_orderpriority")))
+        .otherwise(key.cast("string"))
+        .alias("idventa"),
+        F.when(status == "P", F.lit("n/a"))
+        .when(key % 7 == 0, F.lit("pendiente"))
+        .otherwise(F.col("o_totalprice").cast("string"))
+        .alias("total"),
+        F.col("o_orderpriority").alias("prioridad"),
+        F.col("o_custkey").cast("string").alias("id_cliente"),
+    )
+    loads = [sales.where("id_cliente % 3 = 0"), sales.where("id_cliente % 3 > 0")]
+    report = lost_report(lost_sketches(loads[0]).union(lost_sketches(loads[1])))
+    return report.select("column_name", "lost_rows", F.explode("texts").alias("_t")).select(
+        "column_name", "lost_rows", "_t.text", "_t.rows"
+    )
+
+
 def stamped(spark, folder):
     """Rows per layer and load time, where the time is given."""
     at = dt.datetime(2024, 5, 6, 7, 8, 9)
@@ -743,6 +784,42 @@ def gold_without_table(spark, folder):
     return reduce(DataFrame.union, parts)
 
 
+def json_mixed(spark, folder):
+    """Documents of all forms, with and without a key that the records lie under."""
+    kind, at = F.col("event_type"), F.col("event_id")
+    record = F.struct(at, kind, F.struct(F.lit(1).alias("x")).alias("more"))
+    one, bare = F.to_json(record), F.to_json(F.struct(at))
+    forms = [
+        one,
+        F.concat(F.lit("["), one, F.lit(", "), bare, F.lit("]")),
+        at.cast("string"),
+        F.concat(F.lit("{broken "), kind),
+        F.concat(F.lit('["'), kind, F.lit('", 5]')),
+        F.concat(F.lit('{"posts": ['), one, F.lit("]}")),
+        F.concat(F.lit('{"posts": '), at, F.lit("}")),
+        F.lit(" "),
+    ]
+    form = F.lit(None)
+    for i, text in enumerate(forms):
+        form = F.when(at % len(forms) == i, text).otherwise(form)
+    documents = read(spark, folder, "events").select(at.alias("source"), form.alias("document"))
+    parts = []
+    for key in (None, "posts"):
+        found = mixed_records(documents, key)
+        fields = [F.try_element_at("record", F.lit(n)) for n in ("event_id", "event_type", "more", "0")]
+        names = ["found_id", "found_type", "more", "scalar"]
+        parts.append(
+            found.select(
+                F.lit(key or "").alias("data_key"),
+                "source",
+                "position",
+                *[f.alias(n) for f, n in zip(fields, names)],
+                "error",
+            )
+        )
+    return parts[0].union(parts[1])
+
+
 def json_endpoints(spark, folder):
     """Landed documents of several endpoints, of which some are incomplete, missing, broken
     or without the key; the records of the good ones."""
@@ -853,6 +930,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_empty_rows": silver_empty_rows,
     "gold_without_table": gold_without_table,
     "json_endpoints": json_endpoints,
+    "json_mixed": json_mixed,
+    "dates_voted": dates_voted,
+    "lost_values": lost_values,
     "rank_global": rank_global,
     "rank_lines": rank_lines,
     "month_share": month_share,

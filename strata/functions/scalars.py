@@ -8,13 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.fixed_values import BLANKS, NULL_TEXTS
+from strata.fixed_values import BLANKS, ENGLISH_MONTHS, NULL_TEXTS
 
 NUMBER = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 TIME = r"([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?( ?(Z|[+-]\d{2}:?\d{2}))?)?$"
 YEAR_FIRST = r"^\d{4}[-/]\d{1,2}[-/]\d{1,2}" + TIME
 DIGITS_ONLY = r"^(\d{4})(\d{2})(\d{2})" + TIME
 YEAR_LAST = r"^(\d{1,2})[-/.](\d{1,2})[-/.](\d{4}|\d{2})" + TIME
+ORDINAL = r"(?:st|nd|rd|th)?"
+DAY_NAMED = r"(?i)^(\d{1,2})" + ORDINAL + r"[ -]([a-z]{3,9})\.?,?[ -](\d{4}|\d{2})" + TIME
+NAMED_DAY = r"(?i)^([a-z]{3,9})\.?[ -](\d{1,2})" + ORDINAL + r",?[ -](\d{4})" + TIME
+NAMED = r"(?i)^([a-z]{3,9})\.?,?[ -](\d{4})$"
+NO_DAY = r"^\d{4}([-/]\d{1,2})?$"
 LONG_LIMIT = 9.2e18
 
 
@@ -140,9 +145,10 @@ def as_text(value: Column, kind: T.DataType) -> Column:
 
 def parse_date(value: Column, kind: T.DataType, day_first: bool = False) -> Column:
     """Date of a timestamp, or of a text: year first, yyyymmdd, or year last, then
-    month first unless ``day_first`` is set or the parts fit only the other way. A
-    zone is not applied. What is no date becomes null. Shapes are told apart by
-    pattern, so that no row pays for failed parses."""
+    month first unless ``day_first`` is set or the parts fit only the other way, or
+    with the English name of the month, whole or of three letters. Texts of a year or a
+    year and month are its first day. A zone is not applied. What is no date becomes
+    null. Shapes are told apart by pattern, so that no row pays for failed parses."""
     if isinstance(kind, T.DateType):
         return value
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -155,15 +161,22 @@ def parse_date(value: Column, kind: T.DataType, day_first: bool = False) -> Colu
     def joined(*parts: Column) -> Column:
         return F.concat_ws("-", *parts).try_cast("date")
 
-    short_year = part(YEAR_LAST, 3)
-    year = (
-        F.when(F.length(short_year) == 4, short_year)
-        .when(short_year >= "69", F.concat(F.lit("19"), short_year))
-        .otherwise(F.concat(F.lit("20"), short_year))
-    )
+    def full_year(year: Column) -> Column:
+        return (
+            F.when(F.length(year) == 4, year)
+            .when(year >= "69", F.concat(F.lit("19"), year))
+            .otherwise(F.concat(F.lit("20"), year))
+        )
+
+    def named(year: Column, name: Column, day: Column) -> Column:
+        month = F.try_element_at(_month_numbers(), F.lower(name))
+        return F.when(month.isNotNull(), joined(year, month, day))
+
+    year = full_year(part(YEAR_LAST, 3))
     first, second = part(YEAR_LAST, 1), part(YEAR_LAST, 2)
     month_first, day_leads = joined(year, first, second), joined(year, second, first)
     year_last = (day_leads, month_first) if day_first else (month_first, day_leads)
+    whole_text = F.lit(isinstance(kind, T.StringType))
     return (
         F.when(text.rlike(YEAR_FIRST), F.translate(text, "/", "-").try_cast("date"))
         .when(
@@ -171,9 +184,36 @@ def parse_date(value: Column, kind: T.DataType, day_first: bool = False) -> Colu
             joined(part(DIGITS_ONLY, 1), part(DIGITS_ONLY, 2), part(DIGITS_ONLY, 3)),
         )
         .when(text.rlike(YEAR_LAST), F.coalesce(*year_last))
+        .when(
+            text.rlike(DAY_NAMED),
+            named(full_year(part(DAY_NAMED, 3)), part(DAY_NAMED, 2), part(DAY_NAMED, 1)),
+        )
+        .when(text.rlike(NAMED_DAY), named(part(NAMED_DAY, 3), part(NAMED_DAY, 1), part(NAMED_DAY, 2)))
+        .when(text.rlike(NAMED), named(part(NAMED, 2), part(NAMED, 1), F.lit("1")))
+        # A number of four digits is no year.
+        .when(whole_text & text.rlike(NO_DAY), F.translate(text, "/", "-").try_cast("date"))
     )
 
 
+def _month_numbers() -> Column:
+    """Names of months, whole and short, to their numbers as text."""
+    numbers = {}
+    for i, name in enumerate(ENGLISH_MONTHS, 1):
+        numbers |= {name: i, name[:3]: i}
+    numbers["sept"] = numbers["september"]
+    return F.create_map(*[F.lit(x) for name, i in numbers.items() for x in (name, str(i))])
+
+
+def leading_parts(value: Column, kind: T.DataType) -> tuple[Column, Column]:
+    """Whether a date with the year last can only have the day, or only the month, first;
+    null for other values."""
+    text = canonical_key(value, kind)
+    first = F.regexp_extract(text, YEAR_LAST, 1).try_cast("int")
+    second = F.regexp_extract(text, YEAR_LAST, 2).try_cast("int")
+    month_leads, month_follows = first.between(1, 12), second.between(1, 12)
+    return ~month_leads & month_follows, month_leads & ~month_follows
+
+
 def date_number(day: Column) -> Column:
     """Date as the integer yyyymmdd."""
     return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)

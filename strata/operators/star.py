@@ -19,7 +19,7 @@ from strata.fixed_values import (
     WEEKDAYS,
 )
 from strata.functions.names import find_column, find_column_loosely
-from strata.functions.scalars import date_number, now_utc, parse_date, stamp
+from strata.functions.scalars import date_number, leading_parts, now_utc, parse_date, stamp
 from strata.operators.order import add_row_number
 
 
@@ -101,9 +101,22 @@ def dim_tiempo(
     return calendar(bounds).withColumn(SILVER_AT, stamp(loaded_at))
 
 
-def fact_columns(df: DataFrame, day_first: bool = False) -> DataFrame:
+def day_leads(df: DataFrame, names: Sequence[str]) -> dict[str, bool]:
+    """For each column whether its dates with the year last have the day first: of the
+    dates that leave no choice, more do than have the month first. One scan of these
+    columns, and one row for the driver."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    votes = []
+    for i, name in enumerate(names):
+        day, month = leading_parts(F.col(f"`{name}`"), kinds[name])
+        votes.append((F.count_if(day) > F.count_if(month)).alias(f"v{i}"))
+    return dict(zip(names, df.agg(*votes).first())) if votes else {}
+
+
+def fact_columns(df: DataFrame, day_first: bool | None = False) -> DataFrame:
     """Sales with ``fk_cliente``, ``fk_producto`` and ``fk_fecha`` in front of the
-    other columns; a role without a column is null."""
+    other columns; a role without a column is null. Without a ``day_first`` (None) the
+    dates of the column vote on it, see ``day_leads``."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     customer = find_column_loosely(df.columns, SALE_CUSTOMER)
     left = [c for c in df.columns if c != customer]
@@ -115,7 +128,9 @@ def fact_columns(df: DataFrame, day_first: bool = False) -> DataFrame:
     def copied(name: str | None) -> Column:
         return F.col(f"`{name}`") if name else F.lit(None).cast("string")
 
-    day = parse_date(F.col(f"`{date}`"), kinds[date], day_first) if date else F.lit(None).cast("date")
+    if date and day_first is None:
+        day_first = day_leads(df, [date])[date]
+    day = parse_date(F.col(f"`{date}`"), kinds[date], bool(day_first)) if date else F.lit(None).cast("date")
     return df.select(
         copied(customer).alias("fk_cliente"),
         copied(product).alias("fk_producto"),
@@ -128,7 +143,7 @@ def fact_ventas(
     df: DataFrame,
     order_by: Sequence[str] = (),
     loaded_at: dt.datetime | None = None,
-    day_first: bool = False,
+    day_first: bool | None = False,
 ) -> DataFrame:
     """Sales fact with ``sk_venta`` 1..n."""
     rows = add_row_number(fact_columns(df, day_first), "sk_venta", order_by)

@@ -3,12 +3,14 @@
 import datetime as dt
 import logging
 from collections.abc import Callable, Sequence
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.fixed_values import BRONZE_TABLES, FIRST_YEAR, LOAD_RULES
 from strata.operators.clean import clean
+from strata.operators.losses import lost_report, lost_sketches
 from strata.operators.star import dim_clientes, dim_productos, dim_tiempo, fact_ventas
 from strata.plans.parallel import side_by_side
 from strata.session import scratch
@@ -26,10 +28,13 @@ def run_silver(
     end_date: dt.date | None = None,
     loaded_at: dt.datetime | None = None,
     order_by: dict[str, Sequence[str]] | None = None,
-    day_first: bool = False,
+    day_first: bool | None = False,
+    lost: str | None = None,
 ) -> dict[str, int]:
     """Replace the four tables side by side; a failing one does not stop the others.
-    ``order_by`` has the columns that keys follow, by role: clientes, productos, ventas."""
+    ``order_by`` has the columns that keys follow, by role: clientes, productos, ventas.
+    ``day_first=None`` lets the dates vote. ``lost`` names a table, besides the four, for
+    the texts that became null, by role and column."""
     sorted_by = order_by or {}
 
     def rows(name: str) -> DataFrame:
@@ -55,6 +60,11 @@ def run_silver(
         summary["errors"] = summary["total"]
         return summary
     cleaned = side_by_side({k: partial(clean, df, loaded_at) for k, df in raw.items()})
+    if lost:
+        reports = [
+            lost_report(lost_sketches(df)).select(F.lit(k).alias("role"), "*") for k, df in raw.items()
+        ]
+        save(reduce(DataFrame.union, reports), database, lost, "replace")
     saved = side_by_side({k: partial(_saved, b, database, k) for k, b in builders.items()})
     for name, rows in saved.items():
         if isinstance(rows, Exception):

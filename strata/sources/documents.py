@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.mixed import as_table, mixed_records, read_texts
 from strata.sources.records import SourceRecord
 
 log = logging.getLogger(__name__)
@@ -62,7 +63,9 @@ def records(documents: DataFrame, data_key: str | None = None) -> DataFrame:
 @dataclass(frozen=True)
 class JsonDocuments:
     """Endpoints given as ``path``, ``table_name`` and, where the list of records
-    lies under a key, ``data_key``; also ``schema`` and ``multi_line``."""
+    lies under a key, ``data_key``; also ``schema`` and ``multi_line``. With ``mixed`` the
+    documents may have any form: those without records are counted in the log, and the
+    fields of the others are text."""
 
     spark: SparkSession
     endpoints: Sequence[dict]
@@ -75,10 +78,7 @@ class JsonDocuments:
                 log.warning("endpoint without path or table_name left out: %s", endpoint)
                 continue
             try:
-                documents = read_documents(
-                    self.spark, path, endpoint.get("schema"), endpoint.get("multi_line", True)
-                )
-                df = records(documents, endpoint.get("data_key"))
+                df = self._records(endpoint)
                 empty = not df.columns or df.isEmpty()
             except Exception as error:
                 log.error("%s skipped: %s", path, error)
@@ -89,3 +89,13 @@ class JsonDocuments:
             yield SourceRecord(
                 df=df, source_name=path, table_name=table_name, source_id=path
             )
+
+    def _records(self, endpoint: dict) -> DataFrame:
+        path, key, multi_line = endpoint["path"], endpoint.get("data_key"), endpoint.get("multi_line", True)
+        if not endpoint.get("mixed"):
+            return records(read_documents(self.spark, path, endpoint.get("schema"), multi_line), key)
+        found = mixed_records(read_texts(self.spark, path, multi_line), key)
+        failed = found.where("error IS NOT NULL").count()
+        if failed:
+            log.warning("%s: %d documents without records left out", path, failed)
+        return as_table(found)

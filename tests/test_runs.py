@@ -2,6 +2,7 @@ import datetime as dt
 import logging
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.plans import gold, silver
 from strata.plans.run import failed, run
@@ -140,3 +141,19 @@ def test_an_interrupted_replace_is_put_back(spark, database):
     spark.sql(f"CREATE TABLE {database}.t__previous USING parquet AS SELECT 1 AS id")
     assert save(spark.range(2), database, "t", "replace") == 2
     assert [t.name for t in spark.catalog.listTables(database)] == ["t"]
+
+
+def test_lost_texts_are_saved(spark, names):
+    class Gaps(Sales):
+        def __init__(self, spark):
+            super().__init__(spark)
+            totals = F.when(F.col("IdVenta") == 3, "s/n").otherwise(F.col("Total").cast("string"))
+            self.frames["ventas"] = self.frames["ventas"].withColumn("Total", totals)
+
+    given = options(names)
+    given["silver"] |= {"lost": "lost_values", "day_first": None}
+    summary = run(spark, "all", [Gaps(spark)], options=given)
+    assert not failed(summary)
+    rows = table(spark, names["silver"], "lost_values").collect()
+    found = [(r["role"], r["column_name"], r["lost_rows"], [tuple(t) for t in r["texts"]]) for r in rows]
+    assert found == [("ventas", "total", 1, [("s/n", 1)])]

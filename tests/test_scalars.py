@@ -152,6 +152,20 @@ def test_dates(spark):
     assert found == list(cases.values())
 
 
+def test_dates_with_names_and_without_days(spark):
+    may, march = dt.date(2024, 5, 12), dt.date(2024, 3, 1)
+    cases = {
+        "12 May 2024": may, "12-MAY-2024": may, "12th may, 2024": may, "May 12, 2024": may,
+        "MAY 12 2024 10:00": may, "12-May-24": may, "1 Mar. 2024": march, "March 2024": march,
+        "2024-03": march, "2024/3": march, "2024": dt.date(2024, 1, 1), "Sept 3, 2024": dt.date(2024, 9, 3),
+        "31 June 2024": None, "12 Mayo 2024": None, "12 Mar": None, "2024-13": None, "May": None,
+        "Marchy 1, 2024": None, "204": None,
+    }
+    found = results(spark, list(cases), T.StringType(), lambda c: s.parse_date(c, T.StringType()))
+    assert found == list(cases.values())
+    assert results(spark, [2024], T.LongType(), lambda c: s.parse_date(c, T.LongType())) == [None]
+
+
 def test_dates_of_other_types(spark):
     day_first = results(
         spark, ["05/03/2024"], T.StringType(), lambda c: s.parse_date(c, T.StringType(), True)

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from strata.operators import order
 from strata.operators.clean import clean, column_profiles
+from strata.operators.losses import lost_report, lost_sketches
 from strata.operators.star import (
     calendar,
+    day_leads,
     dim_clientes,
     dim_productos,
     dim_tiempo,
@@ -255,3 +257,55 @@ def test_ranks_keep_rows_without_group_or_value(spark):
     assert sorted(map(tuple, found), key=repr) == sorted(
         [("a", 1.5, 1), ("a", None, None), (None, 2.0, None), (None, None, None)], key=repr
     )
+
+
+# Lost values.
+
+
+def report(sketches, top=10):
+    return {
+        r["column_name"]: (r["lost_rows"], [(t["text"], t["rows"]) for t in r["texts"]])
+        for r in lost_report(sketches, top).collect()
+    }
+
+
+def test_lost_texts_are_counted_by_column(spark):
+    rows = [("1", "x", "n/a"), ("2", "x", "3"), (" n/a ", "1", "4"), ("n/a", None, "5"), ("?", "y", "6")]
+    rows += [(str(i), "x", str(i)) for i in range(9)]
+    df = spark.createDataFrame([(*r, "a.xlsx") for r in rows], "a string, b string, `c.d` string, _source_file string")
+    assert report(lost_sketches(df)) == {"a": (3, [("n/a", 2), ("?", 1)]), "c.d": (1, [("n/a", 1)])}
+    assert report(lost_sketches(df), 1)["a"] == (3, [("n/a", 2)])
+
+
+def test_lost_texts_of_loads_are_merged(spark):
+    def load(*texts):
+        return lost_sketches(one_column(spark, [*texts, *map(str, range(9))], "string"))
+
+    empty = lost_sketches(one_column(spark, [], "string"))
+    none = lost_sketches(one_column(spark, ["1", None], "string"))
+    assert report(load("x", "y").union(load("y", "z")).union(none).union(empty)) == {
+        "c": (4, [("y", 2), ("x", 1), ("z", 1)])
+    }
+    assert report(none) == report(empty) == {}
+
+
+# Dates whose shape the column tells.
+
+
+def test_dates_vote_for_the_day_or_the_month_first(spark):
+    rows = [
+        ("13/02/2024", "02/13/2024", "01/02/2024", None, 20240102),
+        ("01/02/2024", "02/01/2024", "3 May 2024", "x", 20240103),
+        ("02-25-2024", "25.02.2024", "", "", None),
+        ("14/03/2024", "03/14/2024", None, "32/32/2024", 5),
+    ]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e bigint")
+    assert day_leads(df, df.columns) == {"a": True, "b": False, "c": False, "d": False, "e": False}
+    assert day_leads(df.where("1 = 0"), ["a"]) == {"a": False}
+    assert day_leads(df, []) == {}
+    sales = df.select(F.col("a").alias("fecha"))
+    assert column(fact_ventas(sales, day_first=None), "fk_fecha") == [
+        20240201, 20240213, 20240225, 20240314,
+    ]
+    assert column(fact_ventas(sales), "fk_fecha")[0] == 20240102
+    assert column(fact_ventas(df.select("b"), day_first=None), "fk_fecha") == [None] * 4

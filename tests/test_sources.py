@@ -220,3 +220,57 @@ def test_units_of_one_table_name_keep_their_own(spark):
     assert len(set(names)) == len(names) == 4
     assert all(len(n) <= 63 for n in names)
     assert {"a" * 63, "b__x"} <= set(names)
+
+
+def mixed(spark, texts, key=None):
+    from strata.sources.mixed import mixed_records
+
+    df = spark.createDataFrame(list(enumerate(texts)), "position_in_file int, document string")
+    rows = mixed_records(df, key).orderBy("position_in_file", "position").collect()
+    return [(r["position_in_file"], r["position"], r["record"], r["error"]) for r in rows]
+
+
+def test_documents_of_any_form(spark):
+    texts = ['{"a": 1, "b": {"c": [2]}}', '[{"a": "x"}, 5, null, [1]]', "[]", "7", "null", "{x", "", None]
+    other = "neither an object nor a list"
+    assert mixed(spark, texts) == [
+        (0, 0, {"a": "1", "b": '{"c":[2]}'}, None),
+        (1, 0, {"a": "x"}, None),
+        (1, 1, {"0": "5"}, None),
+        (1, 2, {"0": None}, None),
+        (1, 3, {"0": "[1]"}, None),
+        (3, None, None, other),
+        (4, None, None, other),
+        (5, None, None, "invalid JSON: {x"),
+        (6, None, None, "empty document"),
+        (7, None, None, "empty document"),
+    ]
+
+
+def test_documents_with_a_key(spark):
+    texts = ['{"my key": [{"a": 1}, {"b": 2}]}', '{"z": 1, "a": 2}', '{"my key": 5}', '{"my key": null}', "[1]", "{}"]
+    assert mixed(spark, texts, "my key") == [
+        (0, 0, {"a": "1"}, None),
+        (0, 1, {"b": "2"}, None),
+        (1, None, None, "data_key 'my key' not found; the keys are a, z"),
+        (2, None, None, "'my key' holds no list"),
+        (3, None, None, "data_key 'my key' not found; the keys are my key"),
+        (4, None, None, "no object with data_key 'my key'"),
+        (5, None, None, "data_key 'my key' not found; the keys are "),
+    ]
+    assert mixed(spark, [], "my key") == []
+
+
+def test_a_broken_document_does_not_stop_a_mixed_endpoint(spark, tmp_path):
+    for i, text in enumerate(['[{"a": 1}, {"b c": "x"}]', "{no", '{"a": 2}']):
+        (tmp_path / f"{i}.json").write_text(text)
+    endpoints = [
+        {"path": str(tmp_path), "table_name": "plain", "data_key": "a"},
+        {"path": str(tmp_path), "table_name": "any", "mixed": True},
+        {"path": str(tmp_path), "table_name": "none", "mixed": True, "data_key": "z"},
+    ]
+    found = {r.table_name: r.rows() for r in JsonDocuments(spark, endpoints).extract()}
+    assert found.keys() == {"any"}
+    assert found["any"].columns == ["a", "b c"]
+    rows = sorted((tuple(r) for r in found["any"].collect()), key=repr)
+    assert rows == [("1", None), ("2", None), (None, "x")]
