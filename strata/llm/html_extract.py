@@ -308,15 +308,15 @@ def choose(page: Page, logits: np.ndarray) -> list[str]:
     ]
 
 
-def _marked(page: Page) -> np.ndarray | None:
+def _marked(page: Page, anywhere: bool = False) -> np.ndarray | None:
     """For each run whether it is main text, as the tags of the page say: inside an article
-    or main element, but in none for other things. None if no tag says so."""
+    or main element, or ``anywhere``, but in none for other things. None if none is."""
     inside, barred = np.zeros(len(page.tags), bool), np.zeros(len(page.tags), bool)
     out = {KINDS.index(k) for k in KINDS if k != "main"}
     for i, tag in enumerate(page.tags):
         p = page.parents[i]
-        inside[i] = tag in ("article", "main") or (i and inside[p])
-        bad = tag in ("nav", "aside", "footer", "form") or (out & set(page.kinds[i]))
+        inside[i] = anywhere or tag in ("article", "main") or (i and inside[p])
+        bad = tag in ("nav", "aside", "footer", "form") or (anywhere and tag == "header") or (out & set(page.kinds[i]))
         barred[i] = bool(bad) or (i and barred[p])
     main = np.array([inside[r[0]] and not barred[r[0]] for r in page.runs], bool)
     return main if main.any() else None
@@ -336,6 +336,9 @@ PARTS = {
     "talk": ["section class=comments", "div id=comments", "div class=discussion", "ol class=comment-list"],
     "more": ["div class=related", "div class=share", "ul class=tags", "section class=recommended"],
 }
+LISTED = ["ul", "ol", "dl", "table"]
+# Share of rebuilt pages whose main text is a block or two.
+SHORT = 0.15
 PLACES = {"menu": 0, "head": 0, "notice": 0, "foot": 2, "talk": 2, "more": 2}
 
 
@@ -366,17 +369,38 @@ def _part(kind: str, say, pick: random.Random) -> str:
     return _element(pick.choice(PARTS[kind]), inner)
 
 
+def _listed(kind: str, say, pick: random.Random) -> str:
+    """A list or table that belongs to the main text."""
+
+    def cell(tag: str) -> str:
+        return f"<{tag} data-main>{html.escape(say(pick.randint(1, 12)))}</{tag}>"
+
+    rows = range(pick.randint(2, 5))
+    if kind == "dl":
+        inner = "".join(cell("dt") + cell("dd") for _ in rows)
+    elif kind == "table":
+        inner = "".join(f"<tr>{cell('td')}{cell('td')}</tr>" for _ in rows)
+    else:
+        inner = "".join(cell("li") for _ in rows)
+    return f"<{kind}>{inner}</{kind}>"
+
+
 def _rebuilt(texts: list[tuple[str, str]], say, pick: random.Random) -> str:
     """A page with the same main text in other dress, among parts of all kinds. The main
     text carries a mark that is taken off before anything looks at the names."""
     blocks = []
+    if pick.random() < SHORT:
+        texts = texts[: pick.randint(1, 2)]
     for i, (tag, text) in enumerate(texts):
         tag = tag if tag in ("h1", "h2", "p") else pick.choice(["p", "p", "div", "blockquote", "h2"])
+        if tag == "p" and pick.random() < 0.1:
+            tag = "pre"
         blocks.append(f"<{tag} data-main>{html.escape(text)}</{tag}>")
         if i and pick.random() < 0.1:
             blocks.append(_part(pick.choice(["ad", "more", "notice", "form", "side"]), say, pick))
-    if pick.random() < 0.3:
-        blocks.append("<ul>" + "".join(f"<li data-main>{html.escape(say(9))}</li>" for _ in range(3)) + "</ul>")
+    for kind in LISTED:
+        if pick.random() < 0.15:
+            blocks.insert(pick.randint(min(1, len(blocks)), len(blocks)), _listed(kind, say, pick))
     if pick.random() < 0.3:
         blocks.append(_part("talk", say, pick))
     main = "".join(blocks)
@@ -434,6 +458,12 @@ def fit_extractor(pages: DataFrame, content: str = "html", sample_pages: int = S
     )
 
 
+def _unbarred(page: Page) -> list[str]:
+    """The texts that neither tags nor names give to other parts of a page."""
+    main = _marked(page, True)
+    return [] if main is None else [run[1] for run, kept in zip(page.runs, main) if kept]
+
+
 def _extracted(trees: Trees | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -443,8 +473,10 @@ def _extracted(trees: Trees | None):
                 pages = [Page(x or "") for x in column.slice(low, 200).to_pylist()]
                 sizes = np.cumsum([len(p.tags) for p in pages])[:-1]
                 rows = np.vstack([features(p) for p in pages])
-                logits = np.ones(len(rows)) if trees is None else trees.logits(rows)
-                for page, own in zip(pages, np.split(logits, sizes)):
+                if trees is None:
+                    texts += ["\n".join(_unbarred(page)) for page in pages]
+                    continue
+                for page, own in zip(pages, np.split(trees.logits(rows), sizes)):
                     texts.append("\n".join(choose(page, own)))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in batch.schema.names if c != "_html"], pa.array(texts, pa.string())],
@@ -457,8 +489,8 @@ def _extracted(trees: Trees | None):
 def extract(pages: DataFrame, trees: Trees | None, keep: list[str], content: str = "html") -> DataFrame:
     """The columns ``keep`` of every row of ``pages`` and ``_text``, its main text: blocks
     in page order, one per line, white space as one space, character references decoded.
-    Null and empty pages have an empty text. Whole pages are read; without trees all text
-    is kept."""
+    Null and empty pages have an empty text. Whole pages are read. Without trees
+    all text is kept that neither tags nor names give to menus, comments and the like."""
     session(pages)
     rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{content}`").alias("_html"))
     schema = rows.drop("_html").withColumn("_text", F.lit("")).schema

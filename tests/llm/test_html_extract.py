@@ -117,3 +117,33 @@ def test_tags_of_any_length_are_no_text(tag):
 )
 def test_skipped_elements_end(source, texts):
     assert runs(source) == texts
+
+
+def text_of(spark, trees, page):
+    rows = spark.createDataFrame([(1, page)], "page_id int, html string")
+    return extract(rows, trees, ["page_id"]).first()["_text"]
+
+
+FRAME = "<html><body><nav><ul><li><a href=#>Home</a></li><li><a href=#>News</a></li></ul></nav>{}<footer><p>Copyright words here</p></footer></body></html>"
+
+
+@pytest.mark.parametrize(
+    "article, text",
+    [
+        ("<h1>Short</h1><p>One line only.</p>", "Short\nOne line only."),
+        ("<h1>A title of some words</h1><p>A first block of text, long enough to be one.</p>"
+         "<pre>some code</pre><ul><li>first thing</li><li>second thing</li></ul>",
+         "A title of some words\nA first block of text, long enough to be one.\nsome code\nfirst thing\nsecond thing"),
+        ("<h1>Terms in use</h1><p>What the words of this page mean in short.</p>"
+         "<dl><dt>word</dt><dd>what it means</dd></dl><table><tr><td>one</td><td>two</td></tr></table>",
+         "Terms in use\nWhat the words of this page mean in short.\nword\nwhat it means\none\ntwo"),
+    ],
+)
+def test_short_articles_lists_and_tables_stay(spark, trees, article, text):
+    assert text_of(spark, trees, FRAME.format(f"<article>{article}</article>")) == text
+
+
+def test_without_trees_names_tell_other_parts(spark):
+    page = FRAME.format("<div><h1>Title</h1><p>Text.</p></div><section class=comments><p>First!</p></section>")
+    assert text_of(spark, None, page) == "Title\nText."
+    assert text_of(spark, None, "<nav>Home</nav>") == ""
