@@ -49,7 +49,7 @@ def winnow(rows: DataFrame, window: int, gram: int) -> DataFrame:
     return rows.withColumn("_least", least).drop("_grams")
 
 
-def _span(start: Column, length: int) -> Column:
+def _span(start: Column, length: Column) -> Column:
     return F.array_join(F.slice("_words", start + 1, length), " ")
 
 
@@ -66,11 +66,10 @@ def item_windows(items: DataFrame, item_id: str, text: str, window: int) -> Data
     )
 
 
-def _hits(docs: DataFrame, spans: DataFrame, known: int, size: int, gram: int) -> DataFrame:
-    """Rows of ``docs`` with start and span for every place where a span of ``size``
-    words occurs, and one row with start -1 for each row of docs. The winnowed hashes
-    are looked up first; where one meets, the hits are extended over the run of windows
-    that share it, and their words compared."""
+def _places(docs: DataFrame, spans: DataFrame, known: int, size: int, gram: int) -> DataFrame:
+    """Rows of ``docs`` with ``start`` and ``end`` for every run of windows of ``size`` words
+    with one winnowed hash that some span has too, and one row with start -1 for each row
+    of docs. No words leave the scan, so a shuffle moves a few numbers a place."""
     looked = winnow(
         spans.where(F.col("size") == size).select("span", F.split("span", " ").alias("_words")),
         size,
@@ -85,25 +84,45 @@ def _hits(docs: DataFrame, spans: DataFrame, known: int, size: int, gram: int) -
     )
     # The outer form, as the plain one adds a filter that computes all arrays again.
     rows = rows.withColumn("_chosen", F.concat(chosen, F.array(F.lit(-1))))
-    rows = rows.select("*", F.posexplode_outer("_chosen").alias("_place", "_start"))
+    rows = rows.select("*", F.posexplode_outer("_chosen").alias("_place", "start"))
     # Where a run of windows with one least hash ends; the last entry marks the row itself.
     after = F.get("_chosen", F.col("_place") + 1)
     end = F.when(after >= 0, after).otherwise(F.size("_least"))
-    own = F.when(F.col("_start") < 0, F.xxhash64("_id", "_text")).otherwise(
-        F.get("_least", F.col("_start"))
+    own = F.when(F.col("start") < 0, F.xxhash64("_id", "_text")).otherwise(
+        F.get("_least", F.col("start"))
     )
-    rows = rows.withColumn("_end", end).withColumn("_print", own).drop("_chosen", "_least")
-    found = rows.join(
-        broadcast_if_small(prints.withColumn("_known", F.lit(True)), known), "_print", "left"
-    ).where("_known OR _start < 0")
-    every = F.when(F.col("_start") < 0, F.array(F.lit(-1))).otherwise(
-        F.sequence(F.col("_start"), F.col("_end") - 1)
+    rows = rows.select(
+        "_id", "_text", "n_words", "start", end.alias("end"), F.lit(size).alias("size"), own.alias("_print")
     )
-    found = found.withColumn("start", F.explode_outer(every))
-    span = F.when(F.col("start") >= 0, _span(F.col("start"), size))
-    return found.select(
-        "_id", "_text", "n_words", "start", F.lit(size).alias("size"), span.alias("span")
+    return (
+        rows.join(broadcast_if_small(prints.withColumn("_known", F.lit(True)), known), "_print", "left")
+        .where("_known OR start < 0")
+        .drop("_print", "_known")
+    )
+
+
+def _confirmed(
+    docs: DataFrame, text: str, places: DataFrame, spans: DataFrame, known: int
+) -> DataFrame:
+    """``_id``, ``_text``, ``start``, ``size`` and ``span`` where a span occurs: the windows at
+    the places found, with the same words. Only texts with such places are read again, and
+    equal rows once."""
+    key = ["_id", "_text"]
+    runs = places.groupBy(*key).agg(F.collect_set(F.struct("size", "start", "end")).alias("_runs"))
+    runs = kept(runs, "places")
+    a, b = docs.alias("a"), broadcast_if_small(runs.select(*key), runs.count()).alias("b")
+    same = F.col("a._id").eqNullSafe(F.col("b._id")) & F.col("a._text").eqNullSafe(F.col("b._text"))
+    texts = a.join(b, same, "left_semi").dropDuplicates(key).alias("a")
+    rows = texts.join(runs.alias("b"), same).select("a.*", "b._runs")
+    rows = rows.select(*key, words(F.col(text)).alias("_words"), F.explode_outer("_runs").alias("_run"))
+    rows = rows.select(
+        *key,
+        "_words",
+        "_run.size",
+        F.explode_outer(F.sequence(F.col("_run.start"), F.col("_run.end") - 1)).alias("start"),
     )
+    rows = rows.select(*key, "start", "size", _span(F.col("start"), F.col("size")).alias("span"))
+    return rows.join(broadcast_if_small(spans, known), ["size", "span"], "left_semi")
 
 
 def decontaminate(
@@ -125,8 +144,9 @@ def decontaminate(
     window shares a kept hash. Documents look theirs up, and every hit is confirmed on
     the words. Items shorter than a window have their own size looked up.
 
-    Documents are read once and never shuffled: what is left after the lookup is one row
-    per document and its hits. The items' hashes are broadcast only if few.
+    The items' hashes are broadcast only if few; beyond, the hashes of the documents are
+    shuffled, without words. Texts with places that share a hash are read once more, for
+    their words. What is left then is one row per document and its hits.
 
     Null and empty texts have no words; an empty or null item has no window; an item
     without id hits words but is not listed. Repeated rows each get their own result,
@@ -136,22 +156,23 @@ def decontaminate(
     spans = kept(windows.select("size", "span").distinct(), "spans")
     sizes = {r["size"]: r["rows"] for r in spans.groupBy("size").agg(F.count("*").alias("rows")).collect()}
     texts = F.col(f"`{text}`")
-    rows = docs.select(
-        F.col(f"`{doc_id}`").alias("_id"), F.md5(texts).alias("_text"), words(texts).alias("_words")
-    ).withColumn("n_words", F.size("_words"))
+    named = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.md5(texts).alias("_text"), texts.alias("_whole"))
+    rows = named.select("_id", "_text", words(F.col("_whole")).alias("_words"))
+    rows = rows.withColumn("n_words", F.size("_words"))
     found = None
     for size in sorted({window, *sizes}, reverse=True):
-        part = _hits(rows, spans, sizes.get(size, 0), size, gram if size == window else size)
+        part = _places(rows, spans, sizes.get(size, 0), size, gram if size == window else size)
         if size != window:
             part = part.where("start >= 0")
         found = part if found is None else found.union(part)
     key = ["_id", "_text"]
-    checked = found.join(
-        broadcast_if_small(spans.withColumn("_true", F.lit(True)), sum(sizes.values())),
-        ["size", "span"],
-        "left",
-    ).where("_true OR start < 0")
-    checked = kept(checked.select(*key, "n_words", "start", "size", "span"), "hits")
+    found = kept(found, "looked-up")
+    every = sum(sizes.values())
+    hits = _confirmed(named, "_whole", found.where("start >= 0"), spans, every)
+    hits = hits.withColumn("n_words", F.lit(None).cast("int"))
+    marks = found.where("start < 0").withColumn("span", F.lit(None).cast("string"))
+    columns = [*key, "n_words", "start", "size", "span"]
+    checked = kept(marks.select(*columns).union(hits.select(*columns)), "hits")
     per_doc = checked.groupBy(*key).agg(
         F.max("n_words").alias("n_words"),
         F.count_if(F.col("start") < 0).alias("_rows"),

@@ -41,6 +41,23 @@ def test_windows_equal_brute_force(documents, prose, pick, benchmark):
     check(documents(rows), rows, items, benchmark)
 
 
+def test_many_windows_equal_brute_force(documents, prose, pick, benchmark, monkeypatch):
+    """As if there were more windows than are broadcast."""
+    monkeypatch.setattr("strata.llm.decontaminate.broadcast_if_small", lambda df, rows: df.hint("merge"))
+    items = [(i, prose(pick.randint(4, 30))) for i in range(6)]
+    rows = [(i, prose(20) + " " + items[i % 6][1] + " " + prose(pick.randint(0, 20))) for i in range(20)]
+    rows += [(None, rows[0][1]), (None, rows[0][1]), (0, rows[1][1]), (0, rows[0][1]), (30, None), (31, prose(15))]
+    check(documents(rows), rows, items, benchmark)
+
+
+def test_no_words_are_shuffled(documents, prose, benchmark, monkeypatch):
+    """A long text sends a few numbers a place, so twice the words are twice the rows."""
+    monkeypatch.setattr("strata.llm.decontaminate.broadcast_if_small", lambda df, rows: df.hint("merge"))
+    item = prose(12)
+    rows = [(1, prose(40_000) + " " + item)]
+    check(documents(rows), rows, [(1, item)], benchmark)
+
+
 def test_only_ascii_letters_change_case(documents, benchmark):
     items = [(1, "ÉCOLE a b")]
     rows = [(1, "école a b"), (2, "ÉCOLE A B"), (3, "École a b")]
