@@ -21,6 +21,7 @@ LONG_BYTES = 64
 BLOCK = 128
 SHORT = 60
 WORDS_PER_TASK = 30_000
+HELD_CHARACTERS = 50_000  # of longer words whose paths leave Python at once
 
 # Fixed: what an unknown character costs below the worst piece.
 UNKNOWN_PENALTY = 10.0
@@ -235,25 +236,86 @@ array_sort(transform(
   e -> shiftleft(shiftright(e, 25) & 63, 32) | (e & 1048575)))
 """
 
-# The same for longer words, with the places themselves. The last of ``at`` is the end.
-MERGED_LONG = """
-aggregate(array_sort(filter(edges, e -> e.end > e.start + 1)),
-  named_struct(
-    'at', sequence(0, last),
-    'id', transform(array_sort(transform(filter(edges, e -> e.end = e.start + 1),
-                                         e -> shiftleft(CAST(e.start AS bigint), 32) | e.id)),
-                    x -> CAST(x & 4294967295L AS int))),
-  (s, e) -> if(array_position(s.at, e.start) > 0
-               AND get(s.at, cast(array_position(s.at, e.start) + 1 AS int)) = e.end,
-    named_struct(
-      'at', concat(slice(s.at, 1, cast(array_position(s.at, e.start) AS int)),
-                   slice(s.at, cast(array_position(s.at, e.start) + 2 AS int), last + 1)),
-      'id', concat(slice(s.id, 1, cast(array_position(s.at, e.start) - 1 AS int)),
-                   array(e.id),
-                   slice(s.id, cast(array_position(s.at, e.start) + 2 AS int), last + 1))),
-    s),
-  s -> transform(s.id, (x, i) -> shiftleft(CAST(s.at[i] AS bigint), 32) | x))
-"""
+
+def _merged(size: int, start: np.ndarray, end: np.ndarray, rank: np.ndarray, id_: np.ndarray, _):
+    """The path of a longer word by merges: a list of neighbours, in which a merge takes out
+    one part. Each edge is looked at once."""
+    after = list(range(1, size + 1))
+    owner = np.zeros(size, np.int64)
+    single = end == start + 1
+    owner[start[single]] = id_[single]
+    stands = bytearray(b"\1") * size
+    order = np.lexsort((start, rank))
+    pairs = order[~single[order]]
+    for s, e, i in zip(start[pairs].tolist(), end[pairs].tolist(), id_[pairs].tolist()):
+        if stands[s]:
+            middle = after[s]
+            if middle < e and after[middle] == e:
+                after[s] = e
+                owner[s] = i
+                stands[middle] = 0
+    at = np.flatnonzero(np.frombuffer(stands, np.uint8))
+    return at << 32 | owner[at]
+
+
+def _scored(size: int, start: np.ndarray, end: np.ndarray, _, id_: np.ndarray, score: np.ndarray):
+    """The path of a longer word with the best sum of scores. Edges come by start, so the
+    first that reaches a place with the best sum is the longest."""
+    best, back = [0.0] + [-np.inf] * size, [0] * (size + 1)
+    rows = zip(start.tolist(), end.tolist(), score.tolist())
+    for i, (s, e, value) in enumerate(rows):
+        if best[s] + value > best[e]:
+            best[e], back[e] = best[s] + value, i
+    path, at = [], size
+    while at:
+        path.append(back[at])
+        at = int(start[back[at]])
+    chosen = np.array(path[::-1], np.int64)
+    return start[chosen].astype(np.int64) << 32 | id_[chosen]
+
+
+def _walked(path: Callable):
+    """Paths of words from their edges, which come one word after the other and by start;
+    the first edge of a word has its text. One word at a time is held."""
+    names = ["start", "end", "rank", "id", "score"]
+
+    def found(word: str, parts: list[list[np.ndarray]]) -> np.ndarray:
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        start, end = columns[:2]
+        if start[0] or end[-1] != len(word) or (np.diff(start) < 0).any():
+            raise RuntimeError("the edges of a word are not in order")
+        return path(len(word), *columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word, parts = None, []
+        words, paths, held = [], [], 0
+        for batch in batches:
+            columns = [batch.column(n).to_numpy() for n in names]
+            texts = batch.column("word")
+            first = np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            low = 0
+            for high in [*first, batch.num_rows]:
+                if high > low:
+                    parts.append([c[low:high] for c in columns])
+                if high < batch.num_rows:
+                    if word is not None:
+                        words.append(word)
+                        paths.append(found(word, parts))
+                        held += len(word)
+                    word, parts = texts[high].as_py(), []
+                low = high
+            if held > HELD_CHARACTERS:
+                yield _as_paths(words, paths)
+                words, paths, held = [], [], 0
+        if word is not None:
+            yield _as_paths([*words, word], [*paths, found(word, parts)])
+
+    return run
+
+
+def _as_paths(words: list[str], paths: list[np.ndarray]) -> pa.RecordBatch:
+    lists = pa.array(paths, pa.list_(pa.int64()))
+    return pa.RecordBatch.from_arrays([pa.array(words), lists], names=["word", "path"])
 
 
 def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
@@ -295,6 +357,17 @@ def _edges(words: DataFrame, pieces: Pieces) -> DataFrame:
 
 def _paths(words: DataFrame, pieces: Pieces) -> DataFrame:
     """``word`` and ``path``: start, in the upper half, and id of each piece."""
+    short_words = words.where(F.length("word") <= SHORT)
+    long = _edges(words.where(F.length("word") > SHORT), pieces).select(
+        F.when((F.col("start") == 0) & (F.col("end") == 1), F.col("word")).alias("word"),
+        "start",
+        "end",
+        "rank",
+        "id",
+        "score",
+    )
+    walked = _walked(_merged if pieces.merges else _scored)
+    long = long.mapInArrow(walked, "word string, path array<bigint>")
     if not pieces.merges:
         edge = F.struct(
             "end",
@@ -302,9 +375,9 @@ def _paths(words: DataFrame, pieces: Pieces) -> DataFrame:
             "score",
             F.shiftleft(F.col("start").cast("bigint"), 32).bitwiseOR(F.col("id")).alias("code"),
         )
-        best = _edges(words, pieces).groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+        best = _edges(short_words, pieces).groupBy("word").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
         best = best.select("word", F.expr(FOLD).alias("best"))
-        return best.select("word", F.expr(WALK).alias("path"))
+        return best.select("word", F.expr(WALK).alias("path")).union(long)
     size = F.col("end") - F.col("start")
     edge = (
         F.shiftleft(F.col("rank").cast("bigint"), 31)
@@ -313,21 +386,13 @@ def _paths(words: DataFrame, pieces: Pieces) -> DataFrame:
         .bitwiseOR(F.col("id").cast("bigint"))
     )
     short = (
-        _edges(words.where(F.length("word") <= SHORT), pieces)
+        _edges(short_words, pieces)
         .groupBy("word")
         .agg(F.sort_array(F.collect_list(edge)).alias("sorted"))
         .withColumn("last", F.length("word"))
         .withColumn("b", F.expr(MERGED))
         .select("word", F.expr(STANDING).alias("path"))
     )
-    edge = F.struct("rank", "start", "end", "id")
-    long = _edges(words.where(F.length("word") > SHORT), pieces)
-    long = (
-        long.groupBy("word")
-        .agg(F.collect_list(edge).alias("edges"))
-        .withColumn("last", F.length("word"))
-        .select("word", F.expr(MERGED_LONG).alias("path"))
-    )
     return short.union(long)
 
 
@@ -336,8 +401,9 @@ def segment(words: DataFrame, pieces: Pieces) -> DataFrame:
     unigram model; that of the merges for a BPE model, whose scores are ranks.
 
     Substrings up to the longest piece meet the piece table; the edges of a word come
-    together where the word is, without a shuffle, and are folded. A character without a
-    piece is an edge of its own and becomes its bytes. Words are dealt out so that a task
+    together where the word is, without a shuffle, and are folded, for words of more than
+    SHORT characters in Python, as they come. A character without a piece is an edge of its
+    own and becomes its bytes. Words are dealt out so that a task
     groups WORDS_PER_TASK at a time in memory.
     """
     words = kept(words, "words")

@@ -42,6 +42,18 @@ def test_ids_are_those_of_the_library(documents, library, prose, pick):
             assert found[i] == library.encode(text), text[:50]
 
 
+def test_long_runs_have_the_ids_of_the_library(documents, library, pick):
+    """Words of one letter, of few letters and of letters at random, in linear time."""
+    texts = ["a" * 100_000, "=" * 5_001, "".join(pick.choice("ab") for _ in range(3_000)), "x" * 61, "y" * 60]
+    texts.append("".join(chr(97 + pick.randrange(26)) for _ in range(20_000)))
+    rows = list(enumerate([*texts, texts[0], " ".join(texts[1:4])]))
+    df = documents(rows).select("doc_id", "text")
+    found = {r["doc_id"]: list(r["_ids"]) for r in encode(df).collect()}
+    assert all(found[i] == library.encode(text) for i, text in rows)
+    counts = {r["_id"]: r["n_tokens"] for r in count_tokens(df).collect()}
+    assert all(counts[i] == len(found[i]) for i, _ in rows)
+
+
 def test_decoding_gives_every_text_back(documents, prose, pick):
     rows = [*enumerate(texts_of(prose, pick)), (900, None), (900, None), (None, "a"), (901, prose(20_000))]
     texts = documents(rows).select("doc_id", "text")
@@ -56,7 +68,7 @@ def test_decoding_gives_every_text_back(documents, prose, pick):
 def test_unigram_ids_have_the_best_score(spark, unigram):
     pieces = load_pieces(unigram)
     assert not pieces.merges
-    words = [" the", " theoretical", "aaaa", " x漢y", " unbelievably", "é", " " * 20, " 　"]
+    words = [" the", " theoretical", "aaaa", " x漢y", " unbelievably", "é", " " * 20, " 　", " the" * 40 + "漢" * 30, "ab" * 200]
     df = spark.createDataFrame([(w,) for w in words], "word string")
     scores = dict(zip(pieces.texts, pieces.scores))
     ids = dict(zip(pieces.texts, pieces.ids))
