@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata.llm.shared import session
 from strata.llm.words import buffers, byte_values, find_words, hash_spans, shingles
 
-# Rows of each kind, positive and unlabelled, that the model is fitted on, about.
+# Rows of each kind, positive and unlabelled, that the model is fitted on, at most.
 SAMPLE_ROWS = 20_000
 CUTS = [0.001, 0.005, 0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98, 0.995, 0.999]
 ROUNDS = 800
@@ -145,15 +145,19 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = features(batch.column("_text"))
         ends = pa.array(np.arange(0, found.size + 1, FEATURES, dtype=np.int32))
         lists = pa.ListArray.from_arrays(ends, pa.array(found.ravel()))
-        yield pa.RecordBatch.from_arrays([lists], names=["features"])
+        yield pa.RecordBatch.from_arrays([batch.column("_hash"), lists], names=["_hash", "features"])
 
 
 def _sample(rows: DataFrame, count: int, wanted: int) -> np.ndarray:
-    """Features of about ``wanted`` rows, chosen by a hash of their text."""
+    """Features of ``wanted`` rows at most, or of all if there are fewer: those of the least hashes
+    of id and text, so that copies of a text are chosen each on its own. Only rows below a
+    hash that leaves some more than wanted are measured, and only their numbers are sorted."""
+    rows = rows.select("_text", F.xxhash64("_id", "_text", F.lit(5)).alias("_hash"))
     if count > wanted:
-        part = int(wanted / count * 1_000_000) + 1
-        rows = rows.where(F.pmod(F.xxhash64("_text", F.lit(5)), F.lit(1_000_000)) < part)
-    found = rows.select("_text").mapInArrow(_measure, "features array<double>").collect()
+        part = int((wanted + 6 * wanted**0.5) / count * 1_000_000) + 1
+        rows = rows.where(F.pmod("_hash", F.lit(1_000_000)) < part)
+    found = rows.mapInArrow(_measure, "_hash bigint, features array<double>")
+    found = found.orderBy("_hash", "features").limit(wanted).select("features").collect()
     return np.array([r[0] for r in found], float).reshape(-1, FEATURES)
 
 
@@ -169,8 +173,8 @@ def fit_quality(
     """Fit on the rows of ``docs`` and ``labels`` whose id satisfies ``learn``, a
     condition on a column ``_id``. Positives are documents all of whose labels are 1;
     the unlabelled are all documents, labelled or not. Their share of positives is
-    estimated as that among labelled ids. At most about ``sample_rows`` rows of each
-    kind, chosen by a hash, reach the driver, as numbers. None if there are no positives.
+    estimated as that among labelled ids. At most ``sample_rows`` rows of each kind,
+    chosen by a hash, reach the driver, as numbers. None if there are no positives.
     """
     session(docs)
     texts = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("_text"))

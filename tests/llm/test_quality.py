@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm.quality import FEATURES, features, fit_quality, fit_rows, keep_good, score_quality
+from strata.llm.quality import FEATURES, _sample, features, fit_quality, fit_rows, keep_good, score_quality
 
 ALL = "1 = 1"
 
@@ -55,6 +55,20 @@ def test_rows_and_columns_are_kept(labelled, documents):
     assert {r["doc_id"] for r in kept.collect()} == good
 
 
+def test_sample_is_bounded_whatever_repeats(documents, prose, spark):
+    """A third of the rows have one text, and as many one id and text."""
+    hot, twin = prose(30), prose(40)
+    rows = [(i, hot) for i in range(400)] + [(7, twin)] * 400 + [(1000 + i, prose(20)) for i in range(400)]
+    texts = documents(rows).select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    found = _sample(texts, 1200, 100)
+    assert 0 < len(found) <= 100
+    lone = _sample(texts.where("_id != 7 OR _id IS NULL"), 800, 200)
+    share = (lone == features(pa.array([hot]))[0]).all(1).mean()
+    assert len(lone) == 200 and 0.35 < share < 0.65
+    assert np.array_equal(lone, _sample(texts.where("_id != 7").repartition(5), 800, 200))
+    assert len(_sample(texts, 1200, 5000)) == 1200
+
+
 def test_nothing_to_learn(documents, spark):
     docs = documents([(1, "a"), (2, None)])
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id bigint, quality int")
