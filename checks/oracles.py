@@ -481,6 +481,11 @@ ORACLES: dict[str, str] = {
     "json_endpoints": """
         SELECT 'api_eventos' AS table_name, event_type AS kind, count(*) AS n FROM events GROUP BY ALL
         UNION ALL SELECT 'api_listas', event_type, count(*) FROM events GROUP BY ALL""",
+    "landed_files": """
+        SELECT DISTINCT o_orderstatus AS estado, 'xls' AS extension,
+               'application/vnd.ms-excel' AS mime_type, true AS has_content, true AS has_time,
+               true AS newest_first
+        FROM orders""",
     "json_mixed": """
         WITH e AS (SELECT event_id, event_type, event_id % 8 AS form,
                           CAST(event_id AS VARCHAR) AS id FROM events)

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from checks.workbooks import packed
@@ -35,7 +35,7 @@ from strata.sources.catalog import read_first, save, table
 from strata.sources.documents import JsonDocuments, read_documents, records
 from strata.sources.mixed import mixed_records
 from strata.sources.records import SourceRecord
-from strata.sources.workbook import filter_units, name_tables, sheet_cells, with_columns
+from strata.sources.workbook import filter_units, list_workbooks, name_tables, sheet_cells, with_columns
 
 FIRST_YEAR, LAST_DAY = 1995, dt.date(2001, 12, 31)
 
@@ -223,6 +223,25 @@ def json_records(spark, folder):
     )
 
 
+def landed_files(spark, folder):
+    """Workbook files of a landed folder, one for each status of the orders, among others."""
+    landed = fresh_path(spark, "landed")
+    sales = orders(spark, folder).repartition(1)
+    for name, kind in (("old", "xls"), ("other", "csv")):
+        sales.write.partitionBy("estado").option("extension", kind).csv(f"{landed}/kind={name}")
+    files = list_workbooks(spark, landed)
+    times = Window.orderBy(F.monotonically_increasing_id())
+    files = files.withColumn("_before", F.lag("modified_at").over(times))
+    return files.select(
+        F.regexp_extract("id", "estado=([^/]*)", 1).alias("estado"),
+        F.regexp_extract("name", r"\.(\w+)$", 1).alias("extension"),
+        "mime_type",
+        (F.col("size") > 0).alias("has_content"),
+        F.col("modified_at").isNotNull().alias("has_time"),
+        F.coalesce(F.col("_before") >= F.col("modified_at"), F.lit(True)).alias("newest_first"),
+    )
+
+
 def landing(spark, documents):
     """A folder with the documents, one a line."""
     text = written(documents.toDF("value"), "documents", "text")
@@ -872,7 +891,8 @@ class Landed:
 
 
 def bronze_log(spark, folder):
-    """The log of two runs over the same units, of which some fail."""
+    """The log of two runs over the same units, of which some fail; the second one plans two
+    units at a time."""
     database = new_database(spark, "log")
     source = Landed(
         {
@@ -881,7 +901,10 @@ def bronze_log(spark, folder):
             "clientes": customers(spark, folder),
         }
     )
-    summaries = [run(spark, "bronze", [source], options={"bronze": {"database": database}}) for _ in range(2)]
+    summaries = [
+        run(spark, "bronze", [source], options={"bronze": {"database": database, "units_at_once": size}})
+        for size in (1000, 2)
+    ]
     assert [s["bronze"]["errors"] for s in summaries] == [2, 2], summaries
     return table(spark, database, "ingestion_control").select(
         "file_id", "file_name", "sheet_name", "target_table", "rows_loaded", "status", "env"
@@ -930,6 +953,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_empty_rows": silver_empty_rows,
     "gold_without_table": gold_without_table,
     "json_endpoints": json_endpoints,
+    "landed_files": landed_files,
     "json_mixed": json_mixed,
     "dates_voted": dates_voted,
     "lost_values": lost_values,

@@ -31,15 +31,17 @@ def ensure_control_table(spark: SparkSession, database: str) -> None:
 
 @dataclass
 class ControlLog:
-    """Log rows of a run, one for each unit as soon as it is done."""
+    """Log rows of a run. ``note`` takes one for a unit that is done, ``flush`` appends
+    those taken in one job, ``write`` does both."""
 
     spark: SparkSession
     database: str
     started_at: datetime
     env: str = "dev"
     lock: Lock = field(default_factory=Lock)
+    held: list[tuple] = field(default_factory=list)
 
-    def write(
+    def note(
         self,
         file_name: str,
         sheet_name: str,
@@ -55,12 +57,22 @@ class ControlLog:
             status, error_message, self.started_at, now_utc(), source_modified_at,
             None, self.env,
         )
-        rows = self.spark.createDataFrame([row], CONTROL_SCHEMA).coalesce(1)
+        with self.lock:
+            self.held.append(row)
+
+    def flush(self) -> None:
         # Writers of one table take turns.
         with self.lock:
-            append_rows(
-                rows.withColumn("loaded_by", F.current_user()), self.database, CONTROL_TABLE
-            )
+            if not self.held:
+                return
+            rows = self.spark.createDataFrame(self.held, CONTROL_SCHEMA).coalesce(1)
+            rows = rows.withColumn("loaded_by", F.current_user())
+            append_rows(rows, self.database, CONTROL_TABLE)
+            self.held.clear()
+
+    def write(self, *args, **entry) -> None:
+        self.note(*args, **entry)
+        self.flush()
 
 
 def always_loaded(force: bool, always: Sequence[str] = ALWAYS_LOADED) -> Column:

@@ -77,13 +77,19 @@ def new_database(spark: SparkSession, label: str) -> str:
     return name
 
 
+def scratch_table(spark: SparkSession, label: str) -> str:
+    """The name of a table to be made, dropped with the scope."""
+    name = f"{scratch_database(spark)}.{label}_{uuid.uuid4().hex}"
+    _at_end(spark, f"DROP TABLE IF EXISTS {name}")
+    return name
+
+
 def written(df: DataFrame, label: str, kind: str = "parquet") -> DataFrame:
     """Write the rows once as a table in the shared folder and read them back, so
     that later steps and retries see the same rows and values without running the
     plan before them again."""
     spark = df.sparkSession
-    name = f"{scratch_database(spark)}.{label}_{uuid.uuid4().hex}"
-    _at_end(spark, f"DROP TABLE IF EXISTS {name}")
+    name = scratch_table(spark, label)
     df.write.format(kind).saveAsTable(name)
     return spark.table(name)
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.fixed_values import INGESTED_AT, STAGED_AT
+from strata.operators import control
 from strata.operators.control import ControlLog, ensure_control_table, mark_pending
 from strata.operators.loads import (
     load_rule,
@@ -280,9 +281,9 @@ def test_pending_units(spark):
 def test_control_log(spark, database):
     ensure_control_table(spark, database)
     ensure_control_table(spark, database)
-    control = ControlLog(spark, database, AT)
-    control.write("f", "s", "t", "SUCCESS", rows_loaded=3)
-    control.write("g", "s", "t", "ERROR", error_message="broken")
+    writer = ControlLog(spark, database, AT)
+    writer.write("f", "s", "t", "SUCCESS", rows_loaded=3)
+    writer.write("g", "s", "t", "ERROR", error_message="broken")
     log = table(spark, database, "ingestion_control")
     assert values(log, "file_name", "status", "rows_loaded", "error_message") == [
         ("f", "SUCCESS", 3, None), ("g", "ERROR", 0, "broken"),
@@ -340,3 +341,59 @@ def test_run(spark, database):
     assert table(spark, database, "stg_clientes_nuevos").count() == 1
     forced = run_bronze(spark, sources, force=True, database=database)
     assert forced == {"total": 4, "success": 3, "skipped": 0, "errors": 2}
+
+
+class Counted(SourceRecord):
+    """Counts how many units are held."""
+
+    held = most = 0
+
+    def __post_init__(self):
+        Counted.held += 1
+        Counted.most = max(Counted.most, Counted.held)
+
+    def __del__(self):
+        Counted.held -= 1
+
+
+class Listing:
+    source_type = "listing"
+
+    def __init__(self, units, df):
+        self.units, self.df = units, df
+
+    def extract(self):
+        for i in range(self.units):
+            yield Counted(self.df, f"f{i}.xlsx / Hoja", f"t{i}", str(i), AT)
+
+
+def test_many_units_are_never_held_at_once(spark, database, monkeypatch):
+    """100,000 units, all but two loaded before, in batches that append the log once each."""
+    many, size = 100_000, 20_000
+    ensure_control_table(spark, database)
+    before = spark.range(many).where(f"id NOT IN (3, {many - 1})").select(
+        F.concat(F.lit("f"), "id", F.lit(".xlsx")).alias("file_name"),
+        F.lit("Hoja").alias("sheet_name"),
+        F.lit("SUCCESS").alias("status"),
+        F.lit(AT).alias("source_modified_at"),
+    )
+    save(before, database, "ingestion_control")
+    appends = []
+    plain = control.append_rows
+    monkeypatch.setattr(control, "append_rows", lambda *a: appends.append(plain(*a)))
+    fine = spark.createDataFrame([(1, "a")], "a int, b string")
+    found = run_bronze(spark, [Listing(many, fine)], database=database, units_at_once=size)
+    assert found == {"total": many, "success": 2, "skipped": many - 2, "errors": 0}
+    assert appends == [size] * 5
+    assert Counted.most <= size + 1
+    assert table(spark, database, "t3").count() == table(spark, database, f"t{many - 1}").count() == 1
+
+
+def test_table_names_have_one_owner_over_batches(spark, database):
+    fine = spark.createDataFrame([(1, "a")], "a int, b string")
+    names = [("x.xlsx", "t"), ("y.xlsx", "u"), ("z.xlsx", "t"), ("x.xlsx", "t")]
+    units = Units(*[SourceRecord(fine, f"{f} / Hoja", t, f, AT) for f, t in names])
+    found = run_bronze(spark, [units], database=database, units_at_once=2)
+    assert found == {"total": 4, "success": 2, "skipped": 1, "errors": 1}
+    log = table(spark, database, "ingestion_control").where("status = 'ERROR'")
+    assert log.first().error_message == "the table t belongs to x.xlsx / Hoja"
