@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from strata.fixed_values import AMOUNT, GOLD_AT, QUANTITY, SILVER_AT
 from strata.functions.names import find_column_loosely
 from strata.functions.scalars import canonical_key, ratio, round2, stamp, summands, total
-from strata.operators.order import add_dense_rank
+from strata.operators.order import add_dense_rank, sorted_ranks
 from strata.session import written
 
 log = logging.getLogger(__name__)
@@ -29,6 +29,9 @@ SALES, COUNT, TICKET, UNITS = (
 # Of sales that are kept without a match.
 CAUSE, UNKNOWN = "motivo", "DESCONOCIDO"
 
+# The key of a sale as text, by which it meets its dimension.
+KEY_TEXT = "_key_text"
+
 
 def _column(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`")
@@ -213,16 +216,18 @@ def global_rank(df: DataFrame, key: str) -> DataFrame:
     return df.join(key_ranks(df, key), key, "left")
 
 
-def key_ranks(df: DataFrame, key: str) -> DataFrame:
-    """Each key and the dense rank of its total over all months. No key has no rank."""
-    totals = df.where(F.col(key).isNotNull()).groupBy(key)
-    totals = totals.agg(round2(_sum_of_doubles(SALES)).alias("_total"))
-    return add_dense_rank(totals, [], "_total", "ranking_global").select(key, "ranking_global")
+def key_ranks(df: DataFrame, key: str, *more: str) -> DataFrame:
+    """Each key and the dense rank of its total over all months. No key has no rank.
+    ``more`` are columns that the key determines."""
+    totals = df.where(F.col(key).isNotNull()).groupBy(*more, key)
+    totals = written(totals.agg(round2(_sum_of_doubles(SALES)).alias("_total")), "key_totals")
+    return add_dense_rank(totals, [], "_total", "ranking_global").drop("_total")
 
 
-def month_share(df: DataFrame) -> DataFrame:
-    """Share of the month's total in %."""
-    months = df.groupBy(PERIOD).agg(_sum_of_doubles(SALES).alias("_month_total"))
+def month_share(df: DataFrame, sales: DataFrame | None = None) -> DataFrame:
+    """Share of the month's total in %. ``sales`` may give the totals of the rows, where
+    reading these costs less."""
+    months = (df if sales is None else sales).groupBy(PERIOD).agg(_sum_of_doubles(SALES).alias("_month_total"))
     share = round2(ratio(F.col(SALES), F.col("_month_total")) * 100)
     # One row per month of the calendar.
     return (
@@ -274,6 +279,7 @@ def entity_sales(
     prefix: str,
     keep_unmatched: bool = False,
     cube: DataFrame | None = None,
+    key_text: bool = False,
 ) -> DataFrame:
     """Totals per month, key and attributes of the dimension.
 
@@ -284,6 +290,9 @@ def entity_sales(
     With ``keep_unmatched`` all sales stay, and CAUSE tells why a group is incomplete:
     without a date, without a key, of a key that the dimension lacks, or of a member with
     a null attribute. Text attributes of an unknown member are UNKNOWN.
+
+    ``key_text`` adds KEY_TEXT, the key as the dimension has it, and leaves the rows dealt by
+    it.
     """
     key = f"fk_{entity}"
     sums = _grouped_sales(fact, dim_tiempo, MONTH, entity, keep_unmatched, cube)
@@ -291,13 +300,17 @@ def entity_sales(
     rows, attributes = dimension_attributes(dim, entity, prefix, taken, keep_unmatched)
     times = None
     known = F.lit(True)
+    sums = sums.withColumn(KEY_TEXT, canonical_key(F.col(key), fact.schema[key].dataType))
     if rows is not None:
-        as_key = canonical_key(F.col(key), fact.schema[key].dataType)
         # An unmatched sale lacks the attributes, if there are any.
         how = "left" if keep_unmatched or not attributes else "inner"
-        sums = sums.join(rows, as_key == F.col("_key"), how)
+        if key_text:
+            rows = rows.hint("merge")
+        sums = sums.join(rows, F.col(KEY_TEXT) == F.col("_key"), how)
         times = F.coalesce("_times", F.lit(1))
         known = F.col("_key").isNotNull()
+    elif key_text:
+        sums = sums.repartition(KEY_TEXT)
     units = []
     if any(c.startswith("_units") for c in sums.columns):
         units.append(summed(sums, "_units", times).alias(UNITS))
@@ -311,21 +324,29 @@ def entity_sales(
             for f in (sums.schema[name] for name in attributes)
         ]
         cause = [_cause(key, attributes, known).alias(CAUSE)]
-    return sums.select(*MONTH, key, *described, *cause, *_totals(sums, times), *units)
+    text = [KEY_TEXT] if key_text else []
+    return sums.select(*MONTH, key, *described, *cause, *_totals(sums, times), *units, *text)
 
 
-def _ranked(sales: DataFrame, key: str, label: str) -> DataFrame:
-    # The totals feed several groupings; written, the fact is read once.
-    sales = written(sales, label)
-    return global_rank(month_rank(sales), key)
+def _ranked(sales: DataFrame, key: str, share: bool = False) -> DataFrame:
+    """Written sales with both ranks and the ``share`` of the month, sorted by month, rank and key. Their rows are moved
+    once, to be sorted: they lie in buckets by the key, where the ranks of keys come to them."""
+    ranks = written(key_ranks(sales, key, KEY_TEXT), "key_ranks")
+    s, r = sales.alias("s"), ranks.hint("merge").alias("r")
+    # Several keys may have one text; as an equality this would be one more column to deal by.
+    own = F.col(f"s.{key}").between(F.col(f"r.{key}"), F.col(f"r.{key}"))
+    ranked = s.join(r, (F.col(f"s.{KEY_TEXT}") == F.col(f"r.{KEY_TEXT}")) & own, "left")
+    columns = [F.col(f"s.`{c}`") for c in sales.columns if c != KEY_TEXT]
+    ranked = ranked.select(*columns, "r.ranking_global")
+    if share:
+        # Before the sort: the optimizer drops a sort that a join follows.
+        ranked = month_share(ranked, sales)
+    return sorted_ranks(ranked, PERIOD, SALES, "ranking_mes", key, values=sales)
 
 
-def _finished(df: DataFrame, columns: Sequence[str], key: str, loaded_at: datetime | None):
-    return (
-        df.select(*columns)
-        .withColumn(GOLD_AT, stamp(loaded_at))
-        .orderBy(PERIOD, "ranking_mes", key)
-    )
+def _finished(df: DataFrame, columns: Sequence[str], loaded_at: datetime | None):
+    """The columns of ``_ranked`` rows, in whose order they stay."""
+    return df.select(*columns).withColumn(GOLD_AT, stamp(loaded_at))
 
 
 def kpi_ventas_por_cliente(
@@ -338,11 +359,12 @@ def kpi_ventas_por_cliente(
 ) -> DataFrame:
     """Sales by month and customer, see ``entity_sales``. What has no month or key has no
     rank there."""
-    sales = entity_sales(fact, dim_clientes, dim_tiempo, "cliente", "cli", keep_unmatched, cube)
-    sales = sales.drop(UNITS)
-    ranked = _ranked(sales, "fk_cliente", "customer_sales")
-    columns = [*sales.columns, "ranking_mes", "ranking_global"]
-    return _finished(ranked, columns, "fk_cliente", loaded_at)
+    sales = entity_sales(fact, dim_clientes, dim_tiempo, "cliente", "cli", keep_unmatched, cube, True)
+    # The totals feed several groupings; written, the fact is read once.
+    sales = written(sales.drop(UNITS), "customer_sales", by=KEY_TEXT)
+    ranked = _ranked(sales, "fk_cliente")
+    own = [c for c in sales.columns if c != KEY_TEXT]
+    return _finished(ranked, [*own, "ranking_mes", "ranking_global"], loaded_at)
 
 
 def kpi_ventas_por_producto(
@@ -355,7 +377,9 @@ def kpi_ventas_por_producto(
 ) -> DataFrame:
     """Sales by month and product, see ``entity_sales``. What has no month or key has no
     rank or share there."""
-    sales = entity_sales(fact, dim_productos, dim_tiempo, "producto", "prod", keep_unmatched, cube)
-    ranked = _ranked(sales, "fk_producto", "product_sales")
-    columns = [*sales.columns, "ranking_mes", "ranking_global", "participacion_mes_pct"]
-    return _finished(month_share(ranked), columns, "fk_producto", loaded_at)
+    sales = entity_sales(fact, dim_productos, dim_tiempo, "producto", "prod", keep_unmatched, cube, True)
+    sales = written(sales, "product_sales", by=KEY_TEXT)
+    ranked = _ranked(sales, "fk_producto", share=True)
+    own = [c for c in sales.columns if c != KEY_TEXT]
+    columns = [*own, "ranking_mes", "ranking_global", "participacion_mes_pct"]
+    return _finished(ranked, columns, loaded_at)

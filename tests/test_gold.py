@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.operators import kpis
+from strata.operators import kpis, order
 from strata.operators.coverage import key_coverage, key_sample
 from strata.operators.star import dim_tiempo
 
@@ -307,3 +307,46 @@ def test_key_coverage(spark, fact, customers):
         "rows": 10, "rows_without_key": 1, "unmatched_rows": 3, "distinct_keys": 4, "unmatched_keys": 1,
     }
     assert rows(key_sample(more, "fk_cliente", 2), "key") == [(10,), (20,)]
+
+
+# Ranks of rows that are moved once.
+
+
+def test_sorted_ranks_equal_dense_ranks(spark):
+    random.seed(5)
+    values = [None, math.nan, math.inf, -math.inf, 0.0, -0.0, 1.5]
+    data = [
+        (random.choice([None, 202401, 202402]), random.choice([*values, float(random.randrange(900))]), i)
+        for i in range(1500)
+    ]
+    # A value that many rows share, and a month of one value.
+    data += [(202401, 7.0, 2000 + i) for i in range(800)] + [(202403, 1.0, 9000 + i) for i in range(50)]
+    df = spark.createDataFrame(data, "m int, v double, k int").repartition(7)
+    found = [tuple(r) for r in order.sorted_ranks(df, "m", "v", "r", "k").collect()]
+    expected = {r.k: r.r for r in order.add_dense_rank(df, ["m"], "v", "r").collect()}
+    assert {r[2]: r[3] for r in found} == expected and len(found) == len(data)
+    places = [(m or 0, r or 0, k) for m, _, k, r in found]
+    assert places == sorted(places)
+
+
+def test_sales_with_attributes_move_once(spark, fact, products, days):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kpi = kpis.kpi_ventas_por_producto(fact, products, days, AT)
+        plan = kpi._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # To be sorted. The ranks of the keys come to the buckets; months are summed.
+    assert plan.count("Exchange rangepartitioning") == 1, plan
+    dealt = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 2 and not any("nombre" in line or "total_ventas" in line for line in dealt), plan
+
+
+def test_keys_of_one_text_keep_their_ranks(spark, days):
+    data = [(1, "10", 20240101, 5.0), (2, " 10", 20240101, 9.0), (3, "10", 20240201, 8.0), (4, "2", 20240101, 9.0)]
+    fact = spark.createDataFrame(data, "sk_venta int, fk_cliente string, fk_fecha int, total double")
+    dim = spark.createDataFrame([("10", "A"), ("2", "B")], "nk_cliente string, nombre string")
+    kpi = kpis.kpi_ventas_por_cliente(fact, dim, days)
+    assert rows(kpi, "periodo_yyyymm", "fk_cliente", "ranking_mes", "ranking_global") == [
+        (202401, " 10", 1, 2), (202401, "2", 1, 2), (202401, "10", 2, 1), (202402, "10", 1, 1),
+    ]
