@@ -226,9 +226,17 @@ def json_records(spark, folder):
 def landed_files(spark, folder):
     """Workbook files of a landed folder, one for each status of the orders, among others."""
     landed = fresh_path(spark, "landed")
-    sales = orders(spark, folder).repartition(1)
-    for name, kind in (("old", "xls"), ("other", "csv")):
-        sales.write.partitionBy("estado").option("extension", kind).csv(f"{landed}/kind={name}")
+    sales = orders(spark, folder).repartition("estado")
+    # A task has its files open side by side, as sorting its rows by status takes memory for
+    # all of them.
+    most = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(most)
+    spark.conf.set(most, "64")
+    try:
+        for name, kind in (("old", "xls"), ("other", "csv")):
+            sales.write.partitionBy("estado").option("extension", kind).csv(f"{landed}/kind={name}")
+    finally:
+        spark.conf.set(most, before)
     files = list_workbooks(spark, landed)
     times = Window.orderBy(F.monotonically_increasing_id())
     files = files.withColumn("_before", F.lag("modified_at").over(times))

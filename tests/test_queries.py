@@ -1,6 +1,8 @@
+import datetime as dt
 import os
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 import __spark_entry__ as contract
 from checks.compare import connect, differences
@@ -36,3 +38,18 @@ def test_query_equals_sql(spark, con, name):
 def test_entry(spark):
     with scratch():
         assert contract.entry(spark).count() > 0
+
+
+def test_landed_files_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    statuses = ["F", "O", "P", None]
+    rows = [(i, i, statuses[i % 4], i * 1.5, dt.date(1995, 1, 1)) for i in range(400)]
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "orders.parquet"))
+    most, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before, csv = spark.conf.get(most), DataFrameWriter.csv
+    monkeypatch.setattr(
+        DataFrameWriter, "csv", lambda self, path: (seen.append(int(spark.conf.get(most))), csv(self, path))
+    )
+    files = QUERIES["landed_files"](spark, str(tmp_path)).collect()
+    assert len(files) == 4 and {f.extension for f in files} == {"xls"}
+    assert len(seen) == 2 and min(seen) > 0 and spark.conf.get(most) == before
