@@ -65,6 +65,14 @@ def _measures(fact: DataFrame, keys: Sequence[str], units: bool) -> tuple[DataFr
     return sales, [*[F.sum(c).alias(c) for c in parts], F.count("sk_venta").alias(COUNT)]
 
 
+def _numbered(days: DataFrame, **numbers: Sequence[str]) -> DataFrame:
+    """Written days of the calendar with a number for each group of columns, by its name. It
+    stands for the columns while sums are dealt."""
+    places = {n: F.dense_rank().over(Window.orderBy(*columns)) for n, columns in numbers.items()}
+    # One row per day of the calendar.
+    return written(days.withColumns(places), "calendar")
+
+
 def dated_sales(
     fact: DataFrame,
     dim_tiempo: DataFrame,
@@ -77,11 +85,14 @@ def dated_sales(
     them groups of nulls."""
     keys = [key] if key else []
     sales, sums = _measures(fact, keys, bool(key))
-    days = dim_tiempo.select("sk_tiempo", *period).dropna()
+    months = _numbered(dim_tiempo.select("sk_tiempo", *period).dropna(), _month=period)
+    days = months.select("sk_tiempo", "_month")
     if key and not keep_unmatched:
         sales = sales.where(F.col(key).isNotNull())
     how = "left" if keep_unmatched else "inner"
-    return sales.join(days, sales.fk_fecha == days.sk_tiempo, how).groupBy(*period, *keys).agg(*sums)
+    groups = sales.join(days, sales.fk_fecha == days.sk_tiempo, how).groupBy("_month", *keys).agg(*sums)
+    labels = F.broadcast(months.select("_month", *period).distinct())
+    return groups.join(labels, "_month", how).select(*period, *groups.columns[1:])
 
 
 # The sets of a cube: what its rows are grouped by beside the period.
@@ -95,12 +106,11 @@ def sales_cube(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
     set a row belongs to is in CUBE_SET; columns that a set does not group by are null."""
     keys = [k for own in CUBE_KEYS.values() for k in own]
     sales, sums = _measures(fact, keys, True)
-    # Quarters count for the set of periods alone, so they may be missing elsewhere.
-    days = dim_tiempo.select("sk_tiempo", *MONTH_AND_QUARTER).dropna(subset=MONTH)
-    grouped = {
-        name: [*(MONTH if own else MONTH_AND_QUARTER), *own] for name, own in CUBE_KEYS.items()
-    }
-    columns = [*MONTH_AND_QUARTER, *keys]
+    calendar = dim_tiempo.select("sk_tiempo", *MONTH_AND_QUARTER).dropna(subset=MONTH)
+    months = _numbered(calendar, _month=MONTH, _full=[*MONTH, *MONTH_AND_QUARTER])
+    days = months.select("sk_tiempo", "_month", "_full")
+    grouped = {name: ["_month" if own else "_full", *own] for name, own in CUBE_KEYS.items()}
+    columns = ["_month", "_full", *keys]
     cube = (
         sales.join(days, sales.fk_fecha == days.sk_tiempo)
         .groupingSets([[F.col(c) for c in own] for own in grouped.values()], *[F.col(c) for c in columns])
@@ -119,7 +129,19 @@ def sales_cube(fact: DataFrame, dim_tiempo: DataFrame) -> DataFrame:
         for c in own:
             full = full & F.col(c).isNotNull()
         whole = whole | full
-    return cube.where(whole).select(which.alias(CUBE_SET), *[c for c in cube.columns if c != "_set"])
+    # Quarters count for the set of periods alone, so they may be missing elsewhere.
+    named = [
+        F.col(c) if c in MONTH else F.lit(None).cast(months.schema[c].dataType).alias(c)
+        for c in MONTH_AND_QUARTER
+    ]
+    labels = months.dropna().select(F.col("_full").alias("_place"), *MONTH_AND_QUARTER).union(
+        months.select((-F.col("_month")).alias("_place"), *named)
+    )
+    placed = cube.where(whole).withColumn("_place", F.coalesce("_full", -F.col("_month")))
+    totals = [c for c in cube.columns if c not in (*columns, "_set")]
+    return placed.join(F.broadcast(labels.distinct()), "_place").select(
+        which.alias(CUBE_SET), *MONTH_AND_QUARTER, *keys, *totals
+    )
 
 
 def _grouped_sales(
@@ -306,7 +328,14 @@ def entity_sales(
         how = "left" if keep_unmatched or not attributes else "inner"
         if key_text:
             rows = rows.hint("merge")
-        sums = sums.join(rows, F.col(KEY_TEXT) == F.col("_key"), how)
+        # A number stands for the columns of the month while the sums are dealt by key.
+        months = F.broadcast(_numbered(dim_tiempo.select(*MONTH).dropna().distinct(), _month=MONTH))
+        a, b = sums.alias("a"), months.alias("b")
+        same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in MONTH]
+        sums = a.join(b, same, "left").select(
+            "b._month", *[F.col(f"a.`{c}`") for c in sums.columns if c not in MONTH]
+        )
+        sums = sums.join(rows, F.col(KEY_TEXT) == F.col("_key"), how).join(months, "_month", "left")
         times = F.coalesce("_times", F.lit(1))
         known = F.col("_key").isNotNull()
     elif key_text:

@@ -16,7 +16,7 @@ from strata.fixed_values import (
 )
 from strata.functions.scalars import canonical_key, stamp
 from strata.operators.raw import normalize, stringify
-from strata.session import scratch, written
+from strata.session import PACKED, scratch, written
 from strata.sources.catalog import (
     append_rows,
     quoted,
@@ -92,7 +92,8 @@ def reset_staging(spark: SparkSession, database: str, rules: Sequence[Rule] = LO
                 spark.sql(
                     f"CREATE TABLE {quoted(database, staging)} ("
                     f"{STAGED_AT} TIMESTAMP, {SOURCE_FILE} STRING, "
-                    f"{SOURCE_SHEET} STRING, {INGESTED_AT} TIMESTAMP) USING parquet"
+                    f"{SOURCE_SHEET} STRING, {INGESTED_AT} TIMESTAMP) USING parquet "
+                    f"OPTIONS ({', '.join(f'{k} = {v!r}' for k, v in PACKED.items())})"
                 )
         except Exception as error:
             log.warning("staging table %s not prepared: %s", staging, error)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import PACKED
+
 log = logging.getLogger(__name__)
 
 # Ends the name of a table that holds the ids of another one.
@@ -52,7 +54,7 @@ def _create(df: DataFrame, database: str, name: str) -> int:
     temporary = f"new_{uuid.uuid4().hex}"
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.format("parquet").saveAsTable(quoted(database, temporary))
+    counted.write.format("parquet").options(**PACKED).saveAsTable(quoted(database, temporary))
     rows = seen.get["rows"]
     if not rows:
         spark.sql(f"DROP TABLE {quoted(database, temporary)}")
