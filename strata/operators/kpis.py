@@ -66,11 +66,11 @@ def _measures(fact: DataFrame, keys: Sequence[str], units: bool) -> tuple[DataFr
 
 
 def _numbered(days: DataFrame, **numbers: Sequence[str]) -> DataFrame:
-    """Written days of the calendar with a number for each group of columns, by its name. It
-    stands for the columns while sums are dealt."""
+    """Days of the calendar with a number for each group of columns, by its name. It stands
+    for the columns while sums are dealt, and is the same in each reading."""
     places = {n: F.dense_rank().over(Window.orderBy(*columns)) for n, columns in numbers.items()}
     # One row per day of the calendar.
-    return written(days.withColumns(places), "calendar")
+    return days.withColumns(places)
 
 
 def dated_sales(

@@ -10,21 +10,23 @@ import datetime as dt
 from collections.abc import Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.fixed_values import GOLD_AT
 from strata.functions.scalars import stamp
 from strata.operators.kpis import (
     PERIOD,
+    SALES,
     UNITS,
     entity_sales,
     key_ranks,
     kpi_ventas_por_periodo,
-    month_rank,
     month_share,
     sales_cube,
 )
+from strata.operators.order import sorted_ranks
 from strata.plans.parallel import side_by_side
 from strata.session import scratch, written
 from strata.sources.catalog import quoted, save, table, table_exists
@@ -38,20 +40,37 @@ def append_sales(fact: DataFrame, database: str) -> list[int | None]:
     """Append sales of the fact's form to the fact by month, numbered after those there.
     Returns the months they fall in, None if some have no date: as many as months at most."""
     spark = fact.sparkSession
-    start = 0
-    if table_exists(spark, database, FACT):
+    start, exists = 0, table_exists(spark, database, FACT)
+    if exists:
         start = table(spark, database, FACT).agg(F.max("sk_venta")).first()[0] or 0
     month = F.floor(F.col("fk_fecha") / 100).cast("int").alias(PERIOD)
     others = [F.col(f"`{c}`") for c in fact.columns if c not in ("sk_venta", PERIOD)]
     number = (F.col("sk_venta") + start).cast("bigint").alias("sk_venta")
-    with scratch():
-        rows = written(fact.select(number, *others, month), "new_sales")
-        months = sorted((r[0] for r in rows.select(PERIOD).distinct().collect()), key=lambda m: m or 0)
-        if months:
-            append_partitions(rows, database, FACT, PERIOD)
+    seen = Observation()
+    undated = F.count_if(F.col(PERIOD).isNull()).alias("undated")
+    rows = fact.select(number, *others, month).observe(seen, _found(), undated)
+    append_partitions(rows, database, FACT, PERIOD)
+    found = _values(seen)
+    months = [None] if found.get("undated") else []
+    months += sorted(found.get("months", []))
+    if not (months or exists):
+        spark.sql(f"DROP TABLE {quoted(database, FACT)}")
     return months
 
 
+def _found() -> Column:
+    """The months of rows, seen while they are written."""
+    return F.collect_set(PERIOD).alias("months")
+
+
+def _values(seen: Observation) -> dict:
+    try:
+        return seen.get
+    except Py4JJavaError:
+        # A plan that turns out to be empty is cut, and what observes it too.
+        return {}
+
+
 def _months(df: DataFrame, months: Sequence[int | None] | None) -> DataFrame:
     if months is None:
         return df
@@ -59,12 +78,13 @@ def _months(df: DataFrame, months: Sequence[int | None] | None) -> DataFrame:
 
 
 def _replace_months(
-    rows: DataFrame, database: str, name: str, months: Sequence[int | None] | None
+    rows: DataFrame, database: str, name: str, months: Sequence[int | None] | None, dealt: bool = False
 ) -> None:
-    """Replace the partitions of the months, all if None, by the written rows; of a month
-    that has rows no more the partition goes."""
-    save_partitions(rows, database, name, PERIOD)
-    here = {r[0] for r in rows.select(PERIOD).distinct().collect()}
+    """Replace the partitions of the months, all if None, by the rows; of a month that has
+    rows no more the partition goes. ``dealt`` rows lie together by month."""
+    seen = Observation()
+    save_partitions(rows.observe(seen, _found()), database, name, PERIOD, dealt)
+    here = set(_values(seen).get("months", []))
     stored = {r[0] for r in table(rows.sparkSession, database, name).select(PERIOD).distinct().collect()}
     gone = [m for m in stored - here if m is not None and (months is None or m in months)]
     drop_partitions(rows.sparkSession, database, name, PERIOD, gone)
@@ -84,10 +104,10 @@ def _refresh_entity(
     with scratch():
         sales = entity_sales(fact, dim, days, name, ENTITIES[name], cube=cube)
         columns = [c for c in sales.columns if name == "producto" or c != UNITS]
-        rows = month_rank(written(sales.select(*columns), "month_sales"))
-        rows = month_share(rows) if name == "producto" else rows
-        rows = written(rows.withColumn(GOLD_AT, stamp(loaded_at)), "month_rows")
-        _replace_months(rows, database, by_month, months)
+        sales = written(sales.select(*columns), "month_sales")
+        rows = month_share(sales, sales) if name == "producto" else sales
+        rows = sorted_ranks(rows, PERIOD, SALES, "ranking_mes", key, values=sales)
+        _replace_months(rows.withColumn(GOLD_AT, stamp(loaded_at)), database, by_month, months, dealt=True)
         ranks = key_ranks(table(spark, database, by_month), key)
         save(ranks, database, f"ranking_{name}", "replace")
     stored = [c for c in table(spark, database, by_month).columns if c != PERIOD]
@@ -118,8 +138,7 @@ def refresh_gold(
     fact = table(spark, silver, FACT)
     days = table(spark, silver, "dim_tiempo")
     with scratch():
-        sums = written(sales_cube(_months(fact, months), days), "sales_cube")
-        _replace_months(sums, database, CUBE, months)
+        _replace_months(sales_cube(_months(fact, months), days), database, CUBE, months)
         cube = table(spark, database, CUBE)
         touched = _months(cube, months)
         steps = {

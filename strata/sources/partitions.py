@@ -5,22 +5,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import PACKED
 from strata.sources.catalog import INDEX, ensure_database, quoted, table, table_exists
 
 
-def save_partitions(df: DataFrame, database: str, name: str, by: str) -> None:
+def save_partitions(df: DataFrame, database: str, name: str, by: str, dealt: bool = False) -> None:
     """Replace the partitions that the rows have; all others keep their files. The table is
     made with the first rows. Rows of one partition are written by a few tasks at most,
-    as AQE deals them by size."""
+    as AQE deals them by size; ``dealt`` rows lie so already, as in a sort, and stay."""
     spark = df.sparkSession
     columns = [*[c for c in df.columns if c != by], by]
-    rows = df.select(*[F.col(f"`{c}`") for c in columns]).hint("rebalance", F.col(by))
+    rows = df.select(*[F.col(f"`{c}`") for c in columns])
+    if not dealt:
+        rows = rows.hint("rebalance", F.col(by))
     ensure_database(spark, database)
     if not table_exists(spark, database, name):
         # Kept with the table, so that every overwrite goes by partition.
-        rows.write.partitionBy(by).option("partitionOverwriteMode", "dynamic").saveAsTable(
-            quoted(database, name)
-        )
+        writer = rows.write.partitionBy(by).options(**PACKED)
+        writer.option("partitionOverwriteMode", "dynamic").saveAsTable(quoted(database, name))
         return
     stored = table(spark, database, name).columns
     rows.select(*[F.col(f"`{c}`") for c in stored]).write.mode("overwrite").insertInto(

@@ -7,9 +7,10 @@ from strata.fixed_values import GOLD_AT
 from strata.operators import kpis
 from strata.operators.loads import load_unit, rows_without
 from strata.operators.star import dim_tiempo
+from strata.plans import refresh
 from strata.plans.refresh import append_sales, refresh_gold
-from strata.session import scratch
-from strata.sources.catalog import quoted, save, table
+from strata.session import scratch, written
+from strata.sources.catalog import quoted, save, table, table_exists
 from strata.sources.partitions import IdIndex, save_partitions
 
 FACT = "sk_venta int, fk_cliente int, fk_producto int, fk_fecha int, total double, cantidad int"
@@ -189,3 +190,31 @@ def test_index_follows_its_table(spark, database):
     assert load(spark, database, ["9", "8"]) == 1
     assert load(spark, database, ["8", "9", "10"]) == 1
     assert table(spark, database, "ventas__a").count() == 6
+
+
+# What is written once.
+
+
+def test_a_refresh_writes_sales_and_sums_once(spark, database, monkeypatch):
+    labels = []
+
+    def noted(df, label, *more, **named):
+        labels.append(label)
+        return written(df, label, *more, **named)
+
+    monkeypatch.setattr(refresh, "written", noted)
+    days = dim_tiempo(spark, 2024, dt.date(2024, 12, 31))
+    save(days, database, "dim_tiempo")
+    save(spark.createDataFrame([(1, "A")], "nk_cliente int, nombre string"), database, "dim_clientes")
+    save(spark.createDataFrame([(5, "X")], "nk_producto int, nombre string"), database, "dim_productos")
+    schema = "sk_venta int, fk_cliente int, fk_producto int, fk_fecha int, total double, cantidad int"
+    none = spark.createDataFrame([], schema)
+    assert refresh.append_sales(none, database) == []
+    assert not table_exists(spark, database, refresh.FACT)
+    sales = spark.createDataFrame([(1, 1, 5, 20240105, 2.0, 1), (2, 1, 5, None, 2.0, 1), (3, 1, 5, 20240301, 3.0, 1)], schema)
+    months = refresh.append_sales(sales, database)
+    assert months == [None, 202401, 202403]
+    refresh.refresh_gold(spark, database, database, months)
+    found = table(spark, database, "kpi_ventas_por_producto").orderBy("periodo_yyyymm").collect()
+    assert [(r.periodo_yyyymm, r.total_ventas, r.ranking_mes) for r in found] == [(202401, 2.0, 1), (202403, 3.0, 1)]
+    assert sorted(labels) == ["month_sales", "month_sales"]
