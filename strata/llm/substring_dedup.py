@@ -87,10 +87,11 @@ class Blocks:
     A window is ``least`` words in a row, line ends or not, and its anchor the least hash
     of a few words in a row inside it. Windows in a row with the anchor at one place are a
     block. Equal windows have equal anchors, so a block without an anchor in common with
-    others repeats nowhere. Shorter lines are blocks of their own, without windows.
+    others repeats nowhere. Shorter lines are blocks of their own, without windows; who
+    needs windows only leaves them out, and the second hash, with ``whole=False``.
     """
 
-    def __init__(self, texts: pa.Array, least: int):
+    def __init__(self, texts: pa.Array, least: int, whole: bool = True):
         data, begins = buffers(texts)
         starts, ends, firsts = find_words(data, begins)
         n = len(starts)
@@ -99,11 +100,12 @@ class Blocks:
         line = _lines(data, begins, starts)
         at = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if n else np.zeros(0, np.int64)
         size = np.diff(np.append(at, n))
-        short = (size >= PIECE_WORDS) & (size < least)
+        short = (size >= PIECE_WORDS) & (size < least) & whole
         at, size = at[short], size[short]
         with np.errstate(over="ignore"):
             anchor = mix(spans.hash(at, size) + MULTIPLIER)
-        check = Spans(mix(hashes ^ constants(1, 23)[0])).hash(at, size)
+        second = Spans(mix(hashes ^ constants(1, 23)[0])) if whole else spans
+        check = second.hash(at, size)
 
         few = max(1, least // 3)
         window = np.zeros(0, np.int64)
@@ -120,7 +122,8 @@ class Blocks:
             self.windows = spans.hash(window, least)
             at, size = np.append(at, low), np.append(size, count + least - 1)
             anchor = np.append(anchor, grams[place[opens]])
-            check = np.append(check, spans.hash(low, count + least - 1))
+            if whole:
+                check = np.append(check, spans.hash(low, count + least - 1))
             self.counts = np.append(np.zeros(len(at) - len(low), np.int64), count)
         else:
             self.windows, self.counts = np.zeros(0, np.uint64), np.zeros(len(at), np.int64)
@@ -196,7 +199,7 @@ def _windows(texts: HashStore, anchors: HashStore, least: int):
             batch = batch.filter(pa.array(_known(texts, batch.column("_row").to_numpy().view(np.uint64))))
             if not batch.num_rows:
                 continue
-            blocks = Blocks(batch.column("_text"), least)
+            blocks = Blocks(batch.column("_text"), least, whole=False)
             again = _known(anchors, blocks.anchor)
             own = pa.array(blocks.text[again])
             ends = np.append(0, np.cumsum(blocks.counts[again]))
