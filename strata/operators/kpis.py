@@ -68,7 +68,7 @@ def _measures(fact: DataFrame, keys: Sequence[str], units: bool) -> tuple[DataFr
 def _numbered(days: DataFrame, **numbers: Sequence[str]) -> DataFrame:
     """Days of the calendar with a number for each group of columns, by its name. It stands
     for the columns while sums are dealt, and is the same in each reading."""
-    places = {n: F.dense_rank().over(Window.orderBy(*columns)) for n, columns in numbers.items()}
+    places = {n: F.rank().over(Window.orderBy(*columns)) for n, columns in numbers.items()}
     # One row per day of the calendar.
     return days.withColumns(places)
 
@@ -360,8 +360,7 @@ def entity_sales(
 def _ranked(sales: DataFrame, key: str, share: bool = False) -> DataFrame:
     """Written sales with both ranks and the ``share`` of the month, sorted by month, rank and key. Their rows are moved
     once, to be sorted: they lie in buckets by the key, where the ranks of keys come to them."""
-    ranks = written(key_ranks(sales, key, KEY_TEXT), "key_ranks")
-    s, r = sales.alias("s"), ranks.hint("merge").alias("r")
+    s, r = sales.alias("s"), key_ranks(sales, key, KEY_TEXT).hint("merge").alias("r")
     # Several keys may have one text; as an equality this would be one more column to deal by.
     own = F.col(f"s.{key}").between(F.col(f"r.{key}"), F.col(f"r.{key}"))
     ranked = s.join(r, (F.col(f"s.{KEY_TEXT}") == F.col(f"r.{KEY_TEXT}")) & own, "left")
