@@ -7,13 +7,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.llm.components import components
 from strata.llm.forest import Forest
-from strata.llm.shared import NUMBERS, broadcast_if_small, grouped, kept, session
+from strata.llm.shared import NUMBERS, broadcast_if_small, kept, session
 from strata.llm.words import (
     MULTIPLIER,
     buffers,
@@ -22,6 +23,7 @@ from strata.llm.words import (
     find_words,
     hash_spans,
     mix,
+    order_within,
     shingles,
 )
 
@@ -30,6 +32,9 @@ BLOCK_ROWS = 256
 BLOCK_SHINGLES = 1_000_000
 COLUMNS = 4_096
 
+# Groups of no more rows are compared many at once.
+SMALL_ROWS = 32
+
 
 @dataclass(frozen=True)
 class Tables:
@@ -96,8 +101,7 @@ def _sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, firsts = find_words(data, begins)
     found, firsts = shingles(hash_spans(data, starts, ends, byte_values()), firsts, words)
     owner = np.repeat(np.arange(len(firsts) - 1), np.diff(firsts))
-    order = np.lexsort((found, owner))
-    found, owner = found[order], owner[order]
+    found = found[order_within(owner, found)]
     new = np.ones(len(found), bool)
     new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
     found, owner = found[new], owner[new]
@@ -201,50 +205,141 @@ def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np
     return out
 
 
+def _common(found: np.ndarray, owner: np.ndarray, group: np.ndarray, last: np.ndarray):
+    """All pairs of rows of a group, the earlier first, and the sizes of the
+    intersections. ``found`` are the shingles, ``owner`` their rows, ``group`` the group of
+    each row and ``last`` the end of its rows."""
+    n = len(group)
+    later = last - np.arange(n) - 1
+    begins = np.cumsum(later) - later
+    a = np.repeat(np.arange(n), later)
+    b = np.arange(len(a)) - np.repeat(begins, later) + a + 1
+    sizes = np.zeros(len(a), np.int64)
+    order = order_within(group[owner], found)
+    found, owner = found[order], owner[order]
+    # Rows in order among those with an equal shingle.
+    same = np.append(False, (found[1:] == found[:-1]) & (group[owner[1:]] == group[owner[:-1]]))
+    at, step = np.flatnonzero(same), 1
+    while len(at):
+        x, y = owner[at - step], owner[at]
+        x, y = np.minimum(x, y), np.maximum(x, y)
+        sizes += np.bincount(begins[x] + y - x - 1, minlength=len(a))
+        # The one before that is equal too.
+        at, step = at[same[at - step]], step + 1
+    return a, b, sizes
+
+
+def _shingles(found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of all rows, one after another, and their number in each."""
+    sizes = pc.binary_length(found).to_numpy().astype(np.int64) // 8
+    return np.frombuffer(b"".join(found.to_pylist()), np.uint64), sizes
+
+
+def _places(rows: pa.Table, tables: int) -> np.ndarray:
+    """Bucket of each row in each table; 0 if it has none."""
+    lists = rows.column("places").combine_chunks()
+    each = lists.flatten()
+    out = np.zeros((len(lists), tables), np.int64)
+    own = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy())
+    out[own, pc.struct_field(each, "tree").to_numpy()] = pc.struct_field(each, "bucket").to_numpy()
+    return out
+
+
+def _pairs_of_small(rows: pa.Table, ends: np.ndarray, similarity: float):
+    """Linked pairs within groups, which end at ``ends``."""
+    found, sizes = _shingles(rows.column("found").combine_chunks())
+    size = np.diff(np.append(0, ends))
+    group = np.repeat(np.arange(len(ends)), size)
+    a, b, common = _common(found, np.repeat(np.arange(len(group)), sizes), group, np.repeat(ends, size))
+    block, bi, bj = (rows.column(c).to_numpy() for c in ("block", "bi", "bj"))
+    across = (bi[a] == bj[a]) | (block[a] != block[b])
+    linked = across & (common >= similarity * (sizes[a] + sizes[b] - common) - 1e-9)
+    return a[linked], b[linked]
+
+
+def _pairs_of_large(rows: pa.Table, similarity: float):
+    """Linked pairs of one group."""
+    found, sizes = _shingles(rows.column("found").combine_chunks())
+    left, right = sides(rows.column("block").to_numpy(), rows.column("bi")[0].as_py(), rows.column("bj")[0].as_py())
+    if not len(left) or not len(right):
+        return left[:0], right[:0]
+    common = _overlaps(np.split(found, np.cumsum(sizes)[:-1]), left, right)
+    either = sizes[left][:, None] + sizes[right][None, :] - common
+    linked = common >= similarity * either - 1e-9
+    if left is right:
+        linked = np.triu(linked, 1)
+    a, b = np.nonzero(linked)
+    return left[a], right[b]
+
+
+def _linked(rows: pa.Table, a: np.ndarray, b: np.ndarray, tables: int) -> pa.RecordBatch:
+    """Roots and links of the rows from their linked pairs, but for pairs that meet in an
+    earlier table."""
+    if len(a):
+        places = _places(rows, tables)
+        mine, theirs = places[a], places[b]
+        before = np.arange(tables) < rows.column("tree").to_numpy()[a][:, None]
+        new = ~(before & (mine == theirs) & (mine != 0)).any(axis=1)
+        a, b = a[new], b[new]
+    names, copies = rows.column("cls").combine_chunks(), rows.column("copies").to_numpy()
+    rank = pc.rank(names, sort_keys="ascending", tiebreaker="first").to_numpy().astype(np.int64) - 1
+    by_rank = np.argsort(rank)
+    root = by_rank[local_roots(len(names), rank[a], rank[b])][rank]
+    links = np.zeros(len(names), np.int64)
+    np.add.at(links, a, copies[b])
+    np.add.at(links, b, copies[a])
+    some = np.flatnonzero(links)
+    return pa.RecordBatch.from_arrays(
+        [names.take(pa.array(some)), names.take(pa.array(root[some])), pa.array(links[some])],
+        names=["cls", "root", "links"],
+    )
+
+
+def _whole(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows, cut between groups of equal keys, and where the groups end. No more is
+    held than a batch and a group."""
+    held: list[pa.RecordBatch] = []
+
+    def cut(last: bool):
+        rows = pa.Table.from_batches(held)
+        new = np.zeros(rows.num_rows - 1, bool)
+        for k in keys:
+            values = rows.column(k).to_numpy()
+            new |= values[1:] != values[:-1]
+        ends = np.flatnonzero(new) + 1
+        return rows, np.append(ends, rows.num_rows) if last else ends
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        # While one group goes on, it is only added to.
+        if len(held) > 1 and all(held[0].column(k)[0] == batch.column(k)[-1] for k in keys):
+            continue
+        rows, ends = cut(False)
+        if len(ends):
+            yield rows.slice(0, int(ends[-1])), ends
+            held = rows.slice(int(ends[-1])).to_batches()
+    if held:
+        yield cut(True)
+
+
 def _verify(similarity: float, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in grouped(batches, ["bucket", "bi", "bj"]):
-            names = np.array(rows.column("cls").to_pylist(), object)
-            block = rows.column("block").to_numpy()
-            copies = rows.column("copies").to_numpy()
-            sets = [np.frombuffer(x.as_py(), np.uint64) for x in rows.column("found")]
-            left, right = sides(block, rows.column("bi")[0].as_py(), rows.column("bj")[0].as_py())
-            if not len(left) or not len(right):
-                continue
-            table = rows.column("tree")[0].as_py()
-            places = np.zeros((len(names), tables), np.int64)
-            for i, place in enumerate(rows.column("places").to_pylist()):
-                for p in place:
-                    places[i, p["tree"]] = p["bucket"]
-            common = _overlaps(sets, left, right)
-            sizes = np.array([len(s) for s in sets])
-            either = sizes[left][:, None] + sizes[right][None, :] - common
-            linked = common >= similarity * either - 1e-9
-            if left is right:
-                linked = np.triu(linked, 1)
-            for t in range(table):  # those meet in an earlier table
-                mine, theirs = places[left, t][:, None], places[right, t][None, :]
-                linked &= (mine != theirs) | (mine == 0)
-            a, b = np.nonzero(linked)
-            if not len(a):
-                continue
-            a, b = left[a], right[b]
-            order = np.argsort(names)
-            rank = np.empty(len(names), np.int64)
-            rank[order] = np.arange(len(names))
-            root = names[order][local_roots(len(names), rank[a], rank[b])][rank]
-            links = np.zeros(len(names), np.int64)
-            np.add.at(links, a, copies[b])
-            np.add.at(links, b, copies[a])
-            some = np.flatnonzero(links)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names[some].tolist(), pa.binary()),
-                    pa.array(root[some].tolist(), pa.binary()),
-                    pa.array(links[some]),
-                ],
-                names=["cls", "root", "links"],
-            )
+        for rows, ends in _whole(batches, ["bucket", "bi", "bj"]):
+            size = np.diff(np.append(0, ends))
+            for i in np.flatnonzero(size > SMALL_ROWS).tolist():
+                large = rows.slice(int(ends[i] - size[i]), int(size[i]))
+                yield _linked(large, *_pairs_of_large(large, similarity), tables)
+            few = size <= SMALL_ROWS
+            small, ends = rows.filter(pa.array(np.repeat(few, size))), np.cumsum(size[few])
+            total = pc.sum(pc.binary_length(small.column("found"))).as_py() or 0
+            # Groups of long texts are fewer at once.
+            for part in np.array_split(np.arange(len(ends)), min(max(len(ends), 1), 1 + total // (8 * BLOCK_SHINGLES))):
+                if len(part):
+                    low = int(ends[part[0] - 1]) if part[0] else 0
+                    some = small.slice(low, int(ends[part[-1]]) - low)
+                    yield _linked(some, *_pairs_of_small(some, ends[part] - low, similarity), tables)
 
     return run
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,6 +15,7 @@ from strata.llm.shared import NUMBERS, broadcast_if_small, kept, kept_at, remove
 from strata.llm.similarity import Tables, links
 from strata.llm.store import HashStore, write_store
 from strata.llm.words import (
+    INVERSE,
     MULTIPLIER,
     buffers,
     byte_values,
@@ -49,9 +50,9 @@ def _lines(data: np.ndarray, begins: np.ndarray, starts: np.ndarray) -> np.ndarr
     """For each word the number of its line, over all texts; a text begins a line."""
     if not len(data):
         return np.zeros(0, np.int64)
-    line = np.cumsum(data == 10)
+    line = np.searchsorted(np.flatnonzero(data == 10), starts)
     text = np.searchsorted(begins, starts, side="right")
-    return line[starts] + text
+    return line + text
 
 
 class Spans:
@@ -61,7 +62,7 @@ class Spans:
         n = len(hashes)
         with np.errstate(over="ignore"):
             self.sums = np.append(np.uint64(0), np.cumsum(hashes * powers(n)[:n], dtype=np.uint64))
-        self.back = powers(n + 1, np.uint64(pow(int(MULTIPLIER), -1, 1 << 64)))
+        self.back = powers(n + 1, INVERSE)
 
     def hash(self, at: np.ndarray, size: np.ndarray | int) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -298,42 +299,54 @@ def copied_paragraphs(source: DataFrame, similarity: float, words: int, recall:
     )
 
 
-def _runs(text: bytes, lines: list[int], marked: np.ndarray, least: int):
-    """Removed spans of a text: lines and words (first, number) given, joined where only
-    white space lies between, if they hold enough words."""
-    spans: list[tuple[int, int]] = []
-    if len(marked):
-        starts, ends, _ = find_words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-        edges = np.zeros(len(starts) + 1, np.int64)
-        np.add.at(edges, marked[:, 0], 1)
-        np.add.at(edges, marked.sum(1), -1)
-        inside = np.append(np.cumsum(edges)[:-1] > 0, False)
-        change = np.flatnonzero(inside != np.append(False, inside[:-1]))
-        spans += zip(starts[change[::2]].tolist(), ends[change[1::2] - 1].tolist())
-    if lines:
-        wanted, at = set(lines), 0
-        for number, line in enumerate(text.split(b"\n")):
-            if number in wanted:
-                spans.append((at, at + len(line)))
-            at += len(line) + 1
-    joined: list[list[int]] = []
-    for low, high in sorted(spans):
-        if joined and (low <= joined[-1][1] or not text[joined[-1][1] : low].strip()):
-            joined[-1][1] = max(joined[-1][1], high)
-        else:
-            joined.append([low, high])
-    out = []
-    for low, high in joined:
-        words = len(text[low:high].split())
-        if words >= least:
-            out.append((low, high, words))
-    return out
-
-
-def _without(text: bytes, spans: list[tuple[int, int, int]]) -> bytes:
+def _runs(texts: pa.Array, spans: pa.Array, lines: pa.Array, least: int):
+    """Removed spans of texts: text, first byte, byte after the last, words. Marked are
+    spans of words (first word and number of them, see ``_span``) and whole lines, which
+    hold words; they join where only white space lies between, and stay unless they hold
+    enough words."""
+    data, begins = buffers(texts)
+    starts, ends, firsts = find_words(data, begins)
+    n = len(starts)
+    own = np.arange(len(texts))
+    span = spans.flatten().to_numpy()
+    at = firsts[np.repeat(own, _sizes(spans))] + (span >> 32)
+    edges = np.bincount(at, minlength=n + 1) - np.bincount(at + (span & 0xFFFFFFFF), minlength=n + 1)
+    inside = np.cumsum(edges[:n]) > 0
+
+    breaks = np.flatnonzero(data == 10)
+    before = np.searchsorted(breaks, begins[:-1])
+    line = _lines(data, begins, starts)
+    wanted = np.zeros(len(breaks) + len(texts) + 1, bool)
+    of = np.repeat(own, _sizes(lines))
+    wanted[before[of] + of + 1 + lines.flatten().to_numpy()] = True
+    whole = wanted[line]
+    inside |= whole
+
+    opens, closes = inside.copy(), inside.copy()
+    new = np.zeros(n + 1, bool)
+    new[firsts] = True
+    opens[1:] &= ~inside[:-1] | new[1:n]
+    closes[:-1] &= ~inside[1:] | new[1:n]
+    a, b = np.flatnonzero(opens), np.flatnonzero(closes)
+    enough = b - a + 1 >= least
+    a, b = a[enough], b[enough]
+    text = np.searchsorted(firsts, a, side="right") - 1
+    # A whole line goes with the white space at its ends.
+    edge = np.append(breaks, len(data))
+    low = np.maximum(begins[text], np.append(-1, breaks)[np.searchsorted(breaks, starts[a])] + 1)
+    high = np.minimum(begins[text + 1], edge[np.searchsorted(breaks, starts[b])])
+    low, high = np.where(whole[a], low, starts[a]), np.where(whole[b], high, ends[b])
+    return text, low - begins[text], high - begins[text], b - a + 1
+
+
+def _sizes(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+
+
+def _without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """The rest of a text; a line that is emptied goes with its line end."""
     out, at = b"", 0
-    for low, high, _ in spans:
+    for low, high in spans:
         out += text[at:low]
         at = high
         if not out or out.endswith(b"\n"):
@@ -355,31 +368,33 @@ def _clean(names: list[str], text: str, least: int):
             columns = list(batch.columns)
             spans, lines = columns.pop(), columns.pop()
             texts = columns[at]
-            runs: list[list[tuple[int, int, int]]] = [[]] * len(texts)
-            changed = np.flatnonzero(
-                spans.is_valid().to_numpy(zero_copy_only=False)
-                | lines.is_valid().to_numpy(zero_copy_only=False)
-            )
-            if len(changed):
-                values = texts.to_pylist()
-                for i in changed.tolist():
-                    whole = (values[i] or "").encode()
-                    pairs = [(s["low"], s["size"]) for s in spans[i].as_py() or []]
-                    marked = np.array(pairs, np.int64).reshape(-1, 2)
-                    runs[i] = _runs(whole, lines[i].as_py() or [], marked, least)
-                    if runs[i]:
-                        values[i] = _without(whole, runs[i]).decode()
-                texts = pa.array(values, texts.type)
-            columns[at] = texts
-            removed = pa.array([sum(r[2] for r in x) for x in runs], pa.int64())
-            number = pa.array([len(x) for x in runs], pa.int64())
+            number, removed = np.zeros((2, len(texts)), np.int64)
+            marked = pc.or_(spans.is_valid(), lines.is_valid())
+            rows = np.flatnonzero(marked.to_numpy(zero_copy_only=False))
+            if len(rows):
+                some = texts.filter(marked)
+                of, low, high, size = _runs(some, spans.filter(marked), lines.filter(marked), least)
+                np.add.at(number, rows[of], 1)
+                np.add.at(removed, rows[of], size)
+                cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1])).tolist() if len(of) else []
+                runs = list(zip(low.tolist(), high.tolist()))
+                rest = [
+                    _without(some[int(of[a])].as_py().encode(), runs[a:b]).decode()
+                    for a, b in zip(cuts, [*cuts[1:], len(of)])
+                ]
+                columns[at] = pc.replace_with_mask(texts, pa.array(number > 0), pa.array(rest, texts.type))
             yield pa.RecordBatch.from_arrays(
-                [*columns, number, removed], names=[*names, "_spans", "_removed"]
+                [*columns, pa.array(number), pa.array(removed)], names=[*names, "_spans", "_removed"]
             )
 
     return run
 
 
+def _span(low: str, size: str) -> Column:
+    """First word and number of words as one number."""
+    return F.shiftleft(F.col(low).cast("bigint"), 32) + F.col(size)
+
+
 def remove_passages(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -408,7 +423,7 @@ def remove_passages(
     source = docs.select(*row_key(doc_id, text), F.col(f"`{text}`").alias("_text"))
     source = source.where(F.col("_text").isNotNull())
     spans = repeated_spans(source, least_words).groupBy("_id", "_hash").agg(
-        F.collect_set(F.struct("low", "size")).alias("_at"), F.lit(None).cast("array<int>").alias("_lines")
+        F.collect_set(_span("low", "size")).alias("_at"), F.lit(None).cast("array<int>").alias("_lines")
     )
     lines = copied_paragraphs(source, similarity, words, recall).groupBy("_id", "_hash").agg(
         F.lit(None).cast(spans.schema["_at"].dataType).alias("_at"), F.collect_set("line").alias("_lines")

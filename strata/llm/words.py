@@ -5,7 +5,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-WINDOW_BYTES = 1 << 20
+INVERSE = np.uint64(pow(int(MULTIPLIER), -1, 1 << 64))
+WINDOW_BYTES = 1 << 16
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -70,29 +71,42 @@ def find_words(data: np.ndarray, begins: np.ndarray, spaces: np.ndarray = SPACES
 def hash_spans(
     data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray
 ) -> np.ndarray:
-    """A hash of the bytes of each span, a window of spans at a time."""
+    """A hash of the bytes of each span, a window of bytes at a time. Spans come in order
+    and do not overlap."""
     sizes = ends - starts
     out = np.empty(len(starts), np.uint64)
     if not len(starts):
         return out
-    power = powers(int(sizes.max()))
-    total = np.cumsum(sizes)
-    cuts = np.searchsorted(total, np.arange(0, total[-1], WINDOW_BYTES))
+    cuts = np.searchsorted(starts, np.arange(starts[0], starts[-1] + 1, WINDOW_BYTES))
     cuts = np.unique(np.append(cuts, len(starts)))
+    windows = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+    most = max(int(ends[b - 1] - starts[a]) for a, b in windows)
+    power, back = powers(most), powers(most + 1, INVERSE)
+    sums = np.zeros(most + 1, np.uint64)
     with np.errstate(over="ignore"):
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            size = sizes[a:b]
-            first = np.cumsum(size) - size
-            place = np.arange(first[-1] + size[-1]) - np.repeat(first, size)
-            terms = values[data[place + np.repeat(starts[a:b], size)]] * power[place]
-            sums = np.add.reduceat(terms, first) if size.min() else _sums(terms, first, size)
-            out[a:b] = mix(sums + size.astype(np.uint64) * MULTIPLIER)
+        for a, b in windows:
+            base, size = starts[a], sizes[a:b]
+            terms = values[data[base : ends[b - 1]]]
+            terms *= power[: len(terms)]
+            np.cumsum(terms, out=sums[1 : len(terms) + 1])
+            low = starts[a:b] - base
+            own = (sums[low + size] - sums[low]) * back[low]
+            out[a:b] = mix(own + size.astype(np.uint64) * MULTIPLIER)
     return out
 
 
-def _sums(terms: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    whole = np.append(np.uint64(0), np.cumsum(terms, dtype=np.uint64))
-    return whole[first + size] - whole[first]
+def order_within(owner: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The order by owner, which the rows are in already, and value. One sort by the owner
+    and the upper bits of the value finds it, unless two values of one owner share these."""
+    bits = int(owner[-1]).bit_length() if len(owner) else 0
+    if not bits:
+        return np.argsort(values)
+    keys = (owner.astype(np.uint64) << np.uint64(64 - bits)) | (values >> np.uint64(bits))
+    order = np.argsort(keys)
+    same = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
+    if (values[order[same]] != values[order[same + 1]]).any():
+        return np.lexsort((values, owner))
+    return order
 
 
 def shingles(hashes: np.ndarray, firsts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

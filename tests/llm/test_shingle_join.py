@@ -1,3 +1,6 @@
+import numpy as np
+import pyarrow as pa
+
 import strata.llm.similarity as similarity
 from strata.llm.forest import Forest
 from strata.llm.shingle_join import shingle_join
@@ -106,3 +109,54 @@ def test_crowded_nodes_lose_no_link(documents, prose, pick, monkeypatch):
     base = prose(100)
     rows = list(enumerate([near(base, pick, n % 3) for n in range(30)] + [prose(40) for _ in range(9)]))
     check(documents(rows), rows)
+
+
+def test_small_groups_are_compared_many_at_once(pick, monkeypatch):
+    """The pairs of many groups are a few steps over arrays; groups go over batches."""
+    calls, roots = [], similarity.local_roots
+    monkeypatch.setattr(similarity, "local_roots", lambda *a: calls.append(1) or roots(*a))
+    monkeypatch.setattr(similarity, "SMALL_ROWS", 6)
+    rows, wanted = [], []
+    for bucket in range(1, 201):
+        size = 9 if bucket == 77 else pick.randint(1, 6)
+        base = [pick.getrandbits(64) for _ in range(30)]
+        sets = [sorted({*base[: pick.randint(24, 30)], *(pick.getrandbits(64) for _ in range(pick.randrange(4)))}) for _ in range(size)]
+        names = pick.sample(range(1000), size)
+        block = [pick.randrange(2) for _ in sets]
+        bi, bj = pick.choice([(0, 0), (0, 1)])
+        block = block if bj else [0] * size
+        # Some met in the table before, too.
+        before = [pick.randrange(3) for _ in sets]
+        near = {i: set() for i in range(size)}
+        for i in range(size):
+            for j in range(i):
+                both = len({*sets[i]} & {*sets[j]})
+                if both < 0.8 * (len(sets[i]) + len(sets[j]) - both) - 1e-9 or before[i] == before[j] != 0:
+                    continue
+                if bi == bj or block[i] != block[j]:
+                    near[i].add(j)
+                    near[j].add(i)
+        order = sorted(range(size), key=lambda i: names[i])
+        root = brute.components(size, {order.index(i): {order.index(j) for j in near[i]} for i in near})
+        for i in range(size):
+            places = [{"tree": 1, "bucket": bucket, "blocks": 2}]
+            places += [{"tree": 0, "bucket": before[i], "blocks": 2}] if before[i] else []
+            rows.append(
+                {
+                    "cls": names[i].to_bytes(4, "big"), "places": places, "copies": 1 + i, "tree": 1, "bucket": bucket,
+                    "found": np.array(sets[i], np.uint64).tobytes(), "block": block[i], "bi": bi, "bj": bj,
+                }
+            )
+            if near[i]:
+                top = names[order[root[order.index(i)]]]
+                wanted.append((names[i].to_bytes(4, "big"), top.to_bytes(4, "big"), sum(1 + j for j in near[i])))
+    kinds = {"tree": pa.int32(), "block": pa.int32(), "bi": pa.int32(), "bj": pa.int32()}
+    place = pa.list_(pa.struct([("tree", pa.int32()), ("bucket", pa.int64()), ("blocks", pa.int32())]))
+    table = pa.Table.from_pylist(rows)
+    for name, kind in {**kinds, "places": place}.items():
+        table = table.set_column(table.column_names.index(name), name, table.column(name).cast(kind))
+    found = []
+    for out in similarity._verify(0.8, 2)(iter(table.to_batches(max_chunksize=100))):
+        found += [tuple(r.values()) for r in out.to_pylist()]
+    assert sorted(found) == sorted(wanted) and len(wanted) > 100
+    assert len(calls) < 20

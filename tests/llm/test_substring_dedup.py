@@ -1,3 +1,6 @@
+import pyarrow as pa
+
+import strata.llm.substring_dedup as substring_dedup
 from strata.llm.substring_dedup import remove_passages, tune_bands
 from strata.llm.similarity import Tables
 from tests.llm import brute
@@ -93,3 +96,28 @@ def test_wrapped_passages_go(documents, prose):
 def test_words_said_over_and_over_stay_once(documents):
     found = result(documents([(1, "ha " * 100)]))
     assert found[1]["text"].split() == ["ha"] * 25
+
+
+def test_a_batch_is_cut_into_words_once(prose, monkeypatch):
+    """A batch of texts is a few steps over arrays, however many of them are marked."""
+    calls, find = [], substring_dedup.find_words
+    monkeypatch.setattr(substring_dedup, "find_words", lambda *a: calls.append(1) or find(*a))
+    texts = [f"head {prose(30)} {i}\n  {prose(30)} \n tail{i} end" for i in range(200)] + [None, "", "as it is"]
+    # Words 1 to 30 of even texts, the second line of every third.
+    spans = [[1 << 32 | 28, 3 << 32 | 28] if t and i < 200 and i % 2 == 0 else None for i, t in enumerate(texts)]
+    lines = [[1] if t and i < 200 and i % 3 == 0 else None for i, t in enumerate(texts)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array(lines, pa.list_(pa.int32())), pa.array(spans, pa.list_(pa.int64()))],
+        names=["text", "_lines", "_at"],
+    )
+    (out,) = substring_dedup._clean(["text"], "text", 25)(iter([batch]))
+    assert len(calls) == 1
+    for i, (text, kept, number, words) in enumerate(zip(texts, *(c.to_pylist() for c in out.columns))):
+        marked = (i % 2 == 0, i % 3 == 0) if i < 200 else (False, False)
+        assert (number, words) == (sum(marked), 30 * sum(marked))
+        if not any(marked):
+            assert kept == text
+            continue
+        first, second, last = text.split("\n")
+        first = f"head {i}" if marked[0] else first
+        assert kept == "\n".join([first, last] if marked[1] else [first, second, last])
