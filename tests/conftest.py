@@ -2,7 +2,7 @@ import uuid
 
 import pytest
 
-from strata.session import start
+from strata.session import scratch, start
 
 
 @pytest.fixture(scope="session")
@@ -24,6 +24,13 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def _tables_of_the_module():
+    """Drops the tables that a module's tests leave, so that the next finds none."""
+    with scratch():
+        yield
+
+
 @pytest.fixture
 def database(spark):
     """A name for a database of the test's own."""
